@@ -1,0 +1 @@
+"""Incremental ingest of yearly files as they arrive (Structured Streaming)."""
