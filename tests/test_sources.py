@@ -1,0 +1,128 @@
+"""CSV scan with an explicit schema, and raw CSV -> cleaned Parquet end to end."""
+
+import datetime as dt
+import os
+
+from conftest import rows
+from ticketlens.operators import schema_diff
+from ticketlens.plans.report import case_study, clean_files, profile_files
+from ticketlens.sources.csv import RAW_COLUMNS, kept_names, read_year, read_years, snake_case
+
+HEADER = [n for n, _ in RAW_COLUMNS]
+SHORT_HEADER = HEADER[:43]
+
+
+def _line(values):
+    return ",".join("" if v is None else str(v) for v in values)
+
+
+def _record(n_cols, summons, date, code, precinct, time, state="NY", house="12", street="MAIN ST"):
+    vals = [None] * n_cols
+    pos = {name: i for i, name in enumerate(HEADER[:n_cols])}
+    vals[pos["Summons Number"]] = summons
+    vals[pos["Registration State"]] = state
+    vals[pos["Issue Date"]] = date
+    vals[pos["Violation Code"]] = code
+    vals[pos["Vehicle Body Type"]] = "SUBN"
+    vals[pos["Vehicle Make"]] = "FORD"
+    vals[pos["Violation Precinct"]] = precinct
+    vals[pos["Issuer Precinct"]] = precinct
+    vals[pos["Violation Time"]] = time
+    vals[pos["House Number"]] = house
+    vals[pos["Street Name"]] = street
+    vals[pos["From Hours In Effect"]] = "ALL"
+    vals[pos["Unregistered Vehicle?"]] = "0"
+    return _line(vals)
+
+
+def write_csv(path, header, records):
+    with open(path, "w") as f:
+        f.write(",".join(header) + "\n")
+        for r in records:
+            f.write(r + "\n")
+    return path
+
+
+def make_files(tmp_dir):
+    y2015 = write_csv(
+        os.path.join(tmp_dir, "fy2015.csv"),
+        HEADER,
+        [
+            _record(51, 1, "07/01/2014", 21, 19, "0752A"),
+            _record(51, 1, "07/01/2014", 21, 19, "0752A"),  # exact duplicate
+            _record(51, 2, "06/30/2015", 38, 14, "1230P", house=None, street=None),
+            _record(51, 3, "06/30/2014", 14, 0, "0100P"),  # before the fiscal year
+            _record(51, 4, "not a date", 14, 0, "0100P"),
+        ],
+    )
+    y2017 = write_csv(
+        os.path.join(tmp_dir, "fy2017.csv"),
+        SHORT_HEADER,
+        [
+            _record(43, 10, "07/01/2016", 21, 0, "1203A", state="NJ"),
+            _record(43, 11, "1/15/2017", 36, 0, None),
+            _record(43, 12, "07/01/2017", 36, 0, "0800A"),  # after the fiscal year
+        ],
+    )
+    return {2015: y2015, 2017: y2017}
+
+
+def test_csv_scan_types_and_names(spark, tmp_dir):
+    paths = make_files(tmp_dir)
+    df = read_year(spark, paths[2015])
+    assert df.columns == [snake_case(n) for n in HEADER]
+    types = dict(df.dtypes)
+    assert types["summons_number"] == "bigint"
+    assert types["violation_code"] == "int"
+    assert types["issue_date"] == "string"
+    assert "unregistered_vehicle" in df.columns
+    assert df.count() == 5
+    # empty field reads as NULL
+    assert df.where("summons_number = 2").collect()[0].house_number is None
+
+
+def test_csv_scan_short_year_header_detect(spark, tmp_dir):
+    paths = make_files(tmp_dir)
+    short = read_year(spark, paths[2017], header="detect")
+    assert len(short.columns) == 43
+    assert "latitude" not in short.columns
+    years = read_years(spark, paths, headers={2017: "detect"})
+    diff = {r.column_name: (r.in_2015, r.in_2017) for r in schema_diff({str(k): v for k, v in years.items()}).collect()}
+    missing = sorted(c for c, (a, b) in diff.items() if a and not b)
+    assert missing == sorted(snake_case(n) for n in HEADER[43:])
+
+
+def test_clean_sink_end_to_end(spark, tmp_dir):
+    paths = make_files(tmp_dir)
+    out = os.path.join(tmp_dir, "clean")
+    t = clean_files(spark, paths, out, headers={2017: "detect"})
+    # partition folders on disk, one per fiscal year
+    assert sorted(p for p in os.listdir(out) if p.startswith("fiscal_year=")) == ["fiscal_year=2015", "fiscal_year=2017"]
+    assert set(kept_names()) <= set(t.columns)
+    assert len(t.columns) == 41
+    got = rows(t, "fiscal_year", "summons_number", "issue_date")
+    assert got == [
+        (2015, 1, dt.date(2014, 7, 1)),
+        (2015, 2, dt.date(2015, 6, 30)),
+        (2017, 10, dt.date(2016, 7, 1)),
+        (2017, 11, dt.date(2017, 1, 15)),
+    ]
+    plans = case_study(t, given_codes=(21, 36, 38))
+    per_year = {r.fiscal_year: r.n_tickets for r in plans["tickets_per_year"].collect()}
+    assert per_year == {2015: 2, 2017: 2}
+    assert {r.fiscal_year: r.n_missing for r in plans["missing_address_2"].collect()} == {2015: 1}
+    assert {r.fiscal_year: r.n_states for r in plans["unique_states"].collect()} == {2015: 1, 2017: 2}
+    # ticket 11 has no time and "ALL" in effect: one missing time
+    assert plans["missing_time_count"].collect()[0].n_missing == 1
+    bins = rows(plans["bins_for_codes"], "fiscal_year", "violation_code", "time_of_day", "frequency")
+    assert bins == [(2015, 21, "Morning", 1), (2015, 38, "Afternoon", 1), (2017, 21, "Late Night", 1)]
+
+
+def test_profile_files(spark, tmp_dir):
+    paths = make_files(tmp_dir)
+    raw = read_years(spark, paths, headers={2017: "detect"})
+    prof = profile_files(raw)
+    dup = prof["duplicates_2015"].collect()[0]
+    assert (dup.n_rows, dup.distinct_rows, dup.duplicates) == (5, 4, 1)
+    nulls = {r.column_name: r.n_null for r in prof["nulls_2017"].collect()}
+    assert nulls["summons_number"] == 0 and nulls["violation_time"] == 1
