@@ -81,11 +81,20 @@ def common_items(
 
     ``ranked`` is typically a top-N table with one row per
     (group, facet, item); the facets counted are those the group has.
+    One exchange on the group keys: the facet count per group comes from a
+    dense rank over facets (no self-join, no collected sets), and the
+    per-item count reuses that partitioning.
     """
     keys = _names(by)
-    n_facets = ranked.groupBy(*keys).agg(F.countDistinct(facet).alias("_n_facets"))
-    per_item = ranked.groupBy(*keys, item).agg(F.countDistinct(facet).alias("n_facets"))
-    return per_item.join(n_facets, keys).where(F.col("n_facets") == F.col("_n_facets")).drop("_n_facets")
+    w_order = Window.partitionBy(*keys).orderBy(F.col(facet))
+    w_all = Window.partitionBy(*keys)
+    counted = ranked.select(*keys, item, facet).withColumn(
+        "_facet_no", F.dense_rank().over(w_order)
+    ).withColumn("_n_facets", F.max("_facet_no").over(w_all))
+    per_item = counted.groupBy(*keys, item).agg(
+        F.countDistinct(facet).alias("n_facets"), F.max("_n_facets").alias("_n_facets")
+    )
+    return per_item.where(F.col("n_facets") == F.col("_n_facets")).drop("_n_facets")
 
 
 def share_lift(
@@ -98,27 +107,25 @@ def share_lift(
     """Share of an item inside its group and its lift over the item's share
     of the whole year: ``share``, ``overall_share``, ``lift`` (DOUBLE, 6 dp).
 
-    Totals come from grouped aggregates joined back (small frames that AQE
-    broadcasts), so no window holds a whole year in one task.
+    ``freq`` is already aggregated (one row per year x group x item, so its
+    size is bounded by the dimensions, not by the tickets).  It is clustered
+    by year once; the three totals are window sums inside that clustering,
+    with no joins back.
     """
-    group_tot = freq.groupBy(year, group).agg(F.sum(count).alias("_group_total"))
-    item_tot = freq.groupBy(year, item).agg(F.sum(count).alias("_item_total"))
-    year_tot = freq.groupBy(year).agg(F.sum(count).alias("_year_total"))
-    share = F.try_divide(F.col(count).cast("double"), F.col("_group_total").cast("double"))
-    overall = F.try_divide(F.col("_item_total").cast("double"), F.col("_year_total").cast("double"))
-    return (
-        freq.join(group_tot, [year, group])
-        .join(item_tot, [year, item])
-        .join(year_tot, [year])
-        .select(
-            year,
-            group,
-            item,
-            count,
-            F.round(share, 6).alias("share"),
-            F.round(overall, 6).alias("overall_share"),
-            F.round(F.try_divide(share, overall), 6).alias("lift"),
-        )
+    by_year = freq.repartition(year)
+    group_tot = F.sum(count).over(Window.partitionBy(year, group))
+    item_tot = F.sum(count).over(Window.partitionBy(year, item))
+    year_tot = F.sum(count).over(Window.partitionBy(year))
+    share = F.try_divide(F.col(count).cast("double"), group_tot.cast("double"))
+    overall = F.try_divide(item_tot.cast("double"), year_tot.cast("double"))
+    return by_year.select(
+        year,
+        group,
+        item,
+        count,
+        F.round(share, 6).alias("share"),
+        F.round(overall, 6).alias("overall_share"),
+        F.round(F.try_divide(share, overall), 6).alias("lift"),
     )
 
 

@@ -2,9 +2,13 @@
 
 Clock and date maths assume a UTC session; bad date / time text must become
 NULL (the ``try_`` functions are used everywhere), so ANSI mode can stay on.
-AQE is on so that small derived sides (top-k key lists, the fines table) turn
-into broadcast joins at run time from their measured size, and skewed shuffle
-partitions are split.
+Broadcast rule: the planner's static size guess (file size x column share)
+is switched off, so no table that grows with the data is broadcast on an
+estimate.  AQE still turns a join into a broadcast join at run time when a
+finished shuffle stage has *measured* one side below the adaptive threshold;
+explicit ``broadcast()`` hints are given only for sides with a row bound
+known from how they were built (see ``operators.joins``).  AQE also splits
+skewed shuffle partitions and coalesces small ones.
 """
 
 from __future__ import annotations
@@ -20,11 +24,24 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
 
+# SQL settings that can be applied to a running session (see ``apply_sql_defaults``).
+SQL_DEFAULTS = {k: v for k, v in DEFAULT_CONF.items() if k.startswith("spark.sql.")}
+
+
+def apply_sql_defaults(spark: SparkSession) -> SparkSession:
+    """Put the library's SQL settings on a session someone else built."""
+    for key, value in SQL_DEFAULTS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ticketlens",
