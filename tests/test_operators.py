@@ -249,3 +249,18 @@ def test_broadcast_hint_only_with_bound(spark):
     plan_none = small_side(df, None)
     plan_big = small_side(df, BROADCAST_MAX_ROWS + 1)
     assert plan_none is df and plan_big is df and plan_hint is not df
+
+
+def test_exclude_placeholder_values(spark):
+    df = spark.createDataFrame([(1, 0), (1, 0), (1, 5), (1, None)], "fy INT, p INT")
+    got = {r.p: r.frequency for r in frequency(df, "fy", "p", count_nulls=True, exclude=[0]).collect()}
+    assert got == {5: 1, None: 1}
+    top = [r.issuer_precinct for r in q.busiest_precincts(df.withColumnRenamed("p", "issuer_precinct"), 1, exclude=[0]).collect()]
+    assert top == [5]
+
+
+def test_unique_states_exact_and_approx(spark):
+    df = spark.createDataFrame([(2015, "NY"), (2015, "NJ"), (2015, "NY"), (2016, None)], "fiscal_year INT, registration_state STRING")
+    exact = {r.fiscal_year: r.n_states for r in q.unique_states(df).collect()}
+    approx = {r.fiscal_year: r.n_states for r in q.unique_states(df, approx_rsd=0.01).collect()}
+    assert exact == {2015: 2, 2016: 0} and approx == exact

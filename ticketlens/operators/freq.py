@@ -32,15 +32,20 @@ def frequency(
     item: str | Sequence[str],
     count_nulls: bool = False,
     name: str = "frequency",
+    exclude: Sequence | None = None,
 ) -> DataFrame:
     """Count per ``by + item`` group.
 
     ``count_nulls=False`` counts the item column itself, so the NULL item
     group gets frequency 0 (``count(col)``); ``True`` counts rows
-    (``count(*)``) and the NULL group gets its real size.
+    (``count(*)``) and the NULL group gets its real size.  ``exclude``
+    drops placeholder item values (e.g. precinct 0) before counting; the
+    filter sits under the aggregate, so it reaches the scan.
     """
     items = _names(item)
     keys = _names(by) + items
+    if exclude:
+        df = df.where(~F.col(items[0]).isin(list(exclude)) | F.col(items[0]).isNull())
     if count_nulls or len(items) != 1:
         counter = F.count(F.lit(1))
     else:

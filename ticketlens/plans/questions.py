@@ -39,8 +39,16 @@ def tickets_per_year(t: DataFrame, r: Roles = R) -> DataFrame:
     return t.groupBy(r.year).agg(F.count(r.summons).alias("n_tickets")).orderBy(r.year)
 
 
-def unique_states(t: DataFrame, r: Roles = R) -> DataFrame:
-    return t.groupBy(r.year).agg(F.countDistinct(r.state).alias("n_states")).orderBy(r.year)
+def unique_states(t: DataFrame, r: Roles = R, approx_rsd: float | None = None) -> DataFrame:
+    """Distinct registration states per year.  Exact by default (Spark
+    expands it to a two-level aggregate, so no task sees more than one row
+    per year and state); ``approx_rsd`` switches to HyperLogLog++ with that
+    relative error, for very high-cardinality columns."""
+    if approx_rsd is None:
+        agg = F.countDistinct(r.state)
+    else:
+        agg = F.approx_count_distinct(r.state, rsd=approx_rsd)
+    return t.groupBy(r.year).agg(agg.alias("n_states")).orderBy(r.year)
 
 
 def missing_address(t: DataFrame, r: Roles = R, columns: Sequence[str] | None = None) -> DataFrame:
@@ -55,20 +63,29 @@ def missing_address(t: DataFrame, r: Roles = R, columns: Sequence[str] | None =
 # --- frequencies and top-N --------------------------------------------------
 
 
-def item_frequency(t: DataFrame, item: str, r: Roles = R, count_nulls: bool = False) -> DataFrame:
-    return frequency(t, r.year, item, count_nulls=count_nulls)
+def item_frequency(
+    t: DataFrame, item: str, r: Roles = R, count_nulls: bool = False, exclude: Sequence | None = None
+) -> DataFrame:
+    return frequency(t, r.year, item, count_nulls=count_nulls, exclude=exclude)
 
 
 def top_items_per_year(
-    t: DataFrame, item: str, n: int = 5, r: Roles = R, count_nulls: bool = False
+    t: DataFrame,
+    item: str,
+    n: int = 5,
+    r: Roles = R,
+    count_nulls: bool = False,
+    exclude: Sequence | None = None,
 ) -> DataFrame:
-    return top_n_per_group(item_frequency(t, item, r, count_nulls), r.year, "frequency", n)
+    """Top ``n`` values of ``item`` per year (dense rank: ties kept).
+    ``exclude`` leaves out placeholder values such as precinct 0."""
+    return top_n_per_group(item_frequency(t, item, r, count_nulls, exclude), r.year, "frequency", n)
 
 
-def busiest_precincts(t: DataFrame, n: int = 3, r: Roles = R) -> DataFrame:
+def busiest_precincts(t: DataFrame, n: int = 3, r: Roles = R, exclude: Sequence | None = None) -> DataFrame:
     """The ``n`` issuer precincts with most tickets over all years (ties:
     smaller precinct first)."""
-    freq = frequency(t, None, r.issuer_precinct)
+    freq = frequency(t, None, r.issuer_precinct, exclude=exclude)
     return top_n(freq, "frequency", n, tiebreak=[r.issuer_precinct])
 
 
