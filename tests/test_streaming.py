@@ -1,0 +1,46 @@
+"""Incremental ingest: files landing in a folder end up cleaned in the table."""
+
+import datetime as dt
+import os
+
+from conftest import rows
+from test_sources import HEADER, _record, write_csv
+from ticketlens.plans import questions as q
+from ticketlens.streaming.ingest import ingest
+
+
+def test_ingest_stream_matches_batch_cleaning(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "landing")
+    os.makedirs(src)
+    table = os.path.join(tmp_dir, "table")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    write_csv(
+        os.path.join(src, "Parking_Violations_Issued_-_Fiscal_Year_2015.csv"),
+        HEADER,
+        [
+            _record(51, 1, "07/01/2014", 21, 19, "0752A"),
+            _record(51, 1, "07/01/2014", 21, 19, "0752A"),  # copy in the same file
+            _record(51, 2, "06/30/2015", 38, 14, "1230P"),
+            _record(51, 3, "06/30/2014", 14, 0, "0100P"),  # outside FY2015
+        ],
+    )
+    query = ingest(spark, src, table, checkpoint_location=ckpt)
+    query.awaitTermination(120)
+    t = spark.read.parquet(table)
+    assert rows(t, "fiscal_year", "summons_number", "issue_date") == [
+        (2015, 1, dt.date(2014, 7, 1)),
+        (2015, 2, dt.date(2015, 6, 30)),
+    ]
+
+    # a new year lands later: only that file is read in the next run
+    write_csv(
+        os.path.join(src, "Parking_Violations_Issued_-_Fiscal_Year_2016.csv"),
+        HEADER,
+        [_record(51, 7, "01/02/2016", 36, 0, "1100A"), _record(51, 7, "01/02/2016", 36, 0, "1100A")],
+    )
+    query = ingest(spark, src, table, checkpoint_location=ckpt)
+    query.awaitTermination(120)
+    t = spark.read.parquet(table)
+    per_year = {r.fiscal_year: r.n_tickets for r in q.tickets_per_year(t).collect()}
+    assert per_year == {2015: 2, 2016: 1}
+    assert sorted(p for p in os.listdir(table) if p.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]

@@ -1,0 +1,95 @@
+"""Clean yearly ticket files as they land, with Structured Streaming.
+
+The batch path (``plans.report.clean_files``) reads known files once.  This
+is the same cleaning for a folder that keeps receiving files: a file stream
+with the explicit raw schema, one whole file per micro-batch (so "duplicate"
+means a copy inside the same yearly file, as in the batch path), the fiscal
+year taken from the file name, and each micro-batch written with
+``foreachBatch`` to its own ``batch_id=N`` folder under the table.
+
+Exactly once: the stream's checkpoint records which files were taken in
+which batch; a batch that is re-run after a failure overwrites its own
+folder, so a retry never duplicates rows.  Readers read the table root and
+see ``batch_id`` and ``fiscal_year`` as partition columns.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ticketlens.operators.clean import clean_year
+from ticketlens.session import ensure_checkpoint_dir
+from ticketlens.sources.csv import KEPT_COLUMNS, kept_names, raw_schema, snake_case
+from ticketlens.sources.sink import write_clean
+
+# Fixed value: the yearly files are named "..._Fiscal_Year_2015.csv".
+FILE_YEAR_PATTERN = r"Fiscal_Year_([0-9]{4})"
+
+
+def raw_stream(
+    spark: SparkSession,
+    source_dir: str,
+    header: list[str] | None = None,
+    files_per_batch: int = 1,
+    year_pattern: str = FILE_YEAR_PATTERN,
+) -> DataFrame:
+    """Streaming DataFrame of raw records with snake_case names and the
+    file's fiscal year in ``file_year`` (NULL when the name has none)."""
+    stream = (
+        spark.readStream.schema(raw_schema(header))
+        .option("header", "true")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .csv(source_dir)
+    )
+    year_text = F.regexp_extract(F.col("_metadata.file_name"), year_pattern, 1)
+    return stream.select(
+        *[F.col(f"`{c}`").alias(snake_case(c)) for c in stream.columns],
+        F.when(year_text != "", year_text.cast("int")).alias("file_year"),
+    )
+
+
+def ingest(
+    spark: SparkSession,
+    source_dir: str,
+    table_path: str,
+    checkpoint_location: str | None = None,
+    keep: int | Sequence[str] = KEPT_COLUMNS,
+    header: list[str] | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    year_pattern: str = FILE_YEAR_PATTERN,
+) -> StreamingQuery:
+    """Start the ingest stream and return the running query.
+
+    ``available_now`` processes every file present and stops (a scheduled
+    run); otherwise it keeps polling every ``processing_time``.  The
+    checkpoint goes under the session's shared checkpoint folder unless
+    ``checkpoint_location`` is given.
+    """
+    names = kept_names(keep) if isinstance(keep, int) else list(keep)
+    location = checkpoint_location or os.path.join(
+        ensure_checkpoint_dir(spark), "streams", "ingest-" + snake_case(os.path.basename(table_path.rstrip("/")))
+    )
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        missing = [n for n in names if n not in batch.columns]
+        if missing:
+            batch = batch.select("*", *[F.lit(None).cast("string").alias(n) for n in missing])
+        cleaned = clean_year(batch, "file_year", keep=names)
+        write_clean(cleaned, os.path.join(table_path, f"batch_id={batch_id}"), "fiscal_year", mode="overwrite")
+
+    writer = (
+        raw_stream(spark, source_dir, header, 1, year_pattern)
+        .writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", location)
+    )
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
