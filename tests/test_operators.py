@@ -264,3 +264,15 @@ def test_unique_states_exact_and_approx(spark):
     exact = {r.fiscal_year: r.n_states for r in q.unique_states(df).collect()}
     approx = {r.fiscal_year: r.n_states for r in q.unique_states(df, approx_rsd=0.01).collect()}
     assert exact == {2015: 2, 2016: 0} and approx == exact
+
+
+def test_scale_conf_sizes_partitions():
+    from ticketlens.session import MB, scale_conf
+
+    small = scale_conf(64 * MB)
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    huge = scale_conf(100 * 1024**4)
+    assert huge["spark.sql.shuffle.partitions"] == "100000"
+    assert huge["spark.sql.files.maxPartitionBytes"] == str(512 * MB)
+    mid = scale_conf(1024**4)
+    assert mid["spark.sql.shuffle.partitions"] == str(4096)

@@ -13,6 +13,7 @@ skewed shuffle partitions and coalesces small ones.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -42,6 +43,36 @@ def apply_sql_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+MB = 1024 * 1024
+
+
+def scale_conf(
+    input_bytes: int,
+    target_partition_bytes: int = 256 * MB,
+    max_partitions: int = 100_000,
+    min_partitions: int = 8,
+) -> dict[str, str]:
+    """Shuffle and split sizes for a run over ``input_bytes`` of raw input.
+
+    The only shuffle that carries whole tickets is the whole-row dedupe of
+    the raw files (and the joins of the test mapping); every question after
+    cleaning shuffles partial aggregates.  So the start partition count is
+    sized for the dedupe: no reduce partition above ``target_partition_bytes``
+    (which keeps its hash table and sort within one executor's memory),
+    capped so the map x reduce block count stays manageable, with AQE
+    coalescing the small shuffles of the questions back down.  Input splits
+    grow with the input for the same reason (fewer map tasks).
+    """
+    n = int(min(max(math.ceil(input_bytes / target_partition_bytes), min_partitions), max_partitions))
+    split = 128 * MB if input_bytes < 10 * 1024 * 1024 * MB else 512 * MB
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ticketlens",
