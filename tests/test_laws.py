@@ -12,12 +12,16 @@ from ticketlens.sources.tables import raw_tickets, ticket_times, tickets
 
 @pytest.fixture(scope="module")
 def t(spark):
-    return tickets(spark, SMALL_SF).cache()
+    df = tickets(spark, SMALL_SF).cache()
+    yield df
+    df.unpersist()
 
 
 @pytest.fixture(scope="module")
 def tt(spark):
-    return ticket_times(spark, SMALL_SF).cache()
+    df = ticket_times(spark, SMALL_SF).cache()
+    yield df
+    df.unpersist()
 
 
 def test_seasons_add_up_to_year(t):

@@ -25,10 +25,25 @@ def _dec(v) -> Decimal | None:
     return None if v is None else Decimal(str(v))
 
 
+def _money_sql(v) -> str:
+    d = _dec(v)
+    return "NULL" if d is None else f"{d}BD"
+
+
 def fines_frame(spark: SparkSession, rows: Iterable[tuple[int, object, object]]) -> DataFrame:
-    """Inline fines table ``(code, fine_high, fine_low)``."""
-    data = [(int(c), _dec(h), _dec(lo)) for c, h, lo in rows]
-    return spark.createDataFrame(data, FINES_SCHEMA)
+    """Inline fines table ``(code, fine_high, fine_low)``.
+
+    Built as a SQL ``VALUES`` list, so Spark holds it as a local relation
+    whose exact size the planner knows (a parallelized Python list would be
+    an RDD of unknown size)."""
+    data = [(int(c), _money_sql(h), _money_sql(lo)) for c, h, lo in rows]
+    if not data:
+        return spark.createDataFrame([], FINES_SCHEMA)
+    values = ", ".join(f"({c}, {h}, {lo})" for c, h, lo in data)
+    return spark.sql(
+        "SELECT CAST(code AS INT) AS code, CAST(fine_high AS DECIMAL(10,2)) AS fine_high, "
+        f"CAST(fine_low AS DECIMAL(10,2)) AS fine_low FROM VALUES {values} AS fines(code, fine_high, fine_low)"
+    )
 
 
 def fines_from_averages(spark: SparkSession, averages: Mapping[int, object]) -> DataFrame:
