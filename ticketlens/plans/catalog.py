@@ -83,6 +83,28 @@ def _sql_view(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _month_histogram_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The histogram in SQL text, grouping by the SELECT aliases."""
+    tickets(spark, sf).createOrReplaceTempView("tickets")
+    return spark.sql(
+        "SELECT year(issue_date) AS year, month(issue_date) AS month, count(*) AS n "
+        "FROM tickets GROUP BY year, month ORDER BY year, month"
+    )
+
+
+def _fines_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Every code seen in the tickets with its fines row (NULL where the
+    table has none): which codes the revenue estimate can price."""
+    fines, n_rows = mapping_fines(spark)
+    codes = tickets(spark, sf).select("violation_code").distinct()
+    joined = lookup(codes, fines, codes["violation_code"] == fines["code"], "left", row_bound=n_rows)
+    return joined.select(
+        "violation_code",
+        F.col("fine_high").cast("double").alias("fine_high"),
+        F.col("fine_low").cast("double").alias("fine_low"),
+    )
+
+
 def _average_fine(spark: SparkSession, sf: str) -> DataFrame:
     """Top codes with their average fine; a code without a fines row keeps
     a NULL fine (LEFT join), an unknown fine shows ``fine_known`` false."""
@@ -133,6 +155,7 @@ QUERIES: dict[str, QueryFn] = {
     ),
     "combine_years": lambda s, d: clean.combine_years(_years(s, d)),
     "view_sql": _sql_view,
+    "month_histogram_sql": _month_histogram_sql,
     # examine the data
     "tickets_per_year": lambda s, d: q.tickets_per_year(T(s, d)),
     "unique_states": lambda s, d: q.unique_states(T(s, d)),
@@ -167,6 +190,7 @@ QUERIES: dict[str, QueryFn] = {
     "rank_list_season": lambda s, d: q.rank_list_season(T(s, d), 3),
     "common_codes_seasons": lambda s, d: q.common_codes_seasons(T(s, d), 3),
     # fines and revenue
+    "fines_table": _fines_table,
     "average_fine": lambda s, d: _average_fine(s, d),
     "fines_join": lambda s, d: _money(q.code_fines(T(s, d), *_fines_args(s))),
     "revenue": lambda s, d: _money(q.code_revenue(T(s, d), *_fines_args(s))),
@@ -452,6 +476,9 @@ ORACLE: dict[str, str] = {
     + "SELECT * REPLACE (CASE WHEN fiscal_year >= 2000 THEN NULL ELSE amount END AS amount) FROM tickets",
     "view_sql": TW
     + "SELECT fiscal_year, count(summons_number) AS n_tickets FROM tickets GROUP BY fiscal_year",
+    "month_histogram_sql": TW
+    + "SELECT CAST(year(issue_date) AS INT) AS year, CAST(month(issue_date) AS INT) AS month, count(*) AS n "
+    "FROM tickets GROUP BY 1, 2 ORDER BY 1, 2",
     "tickets_per_year": TW
     + "SELECT fiscal_year, count(summons_number) AS n_tickets FROM tickets GROUP BY fiscal_year ORDER BY fiscal_year",
     "unique_states": TW
@@ -512,6 +539,9 @@ ORACLE: dict[str, str] = {
     "rank_list_season": TW
     + _rank_list_sql(_TOP3_PER_SEASON, "fiscal_year, season", "lpad(CAST(violation_code AS VARCHAR), 2, '0')"),
     "common_codes_seasons": TW + _common_sql(_TOP3_PER_SEASON, "season"),
+    "fines_table": RW
+    + "SELECT c.violation_code, CAST(f.fine_high AS DOUBLE) AS fine_high, CAST(f.fine_low AS DOUBLE) AS fine_low "
+    "FROM (SELECT DISTINCT violation_code FROM tickets) c LEFT JOIN fines f ON c.violation_code = f.code",
     "average_fine": RW
     + "SELECT t.fiscal_year, t.violation_code, t.frequency, t.rnk, CAST(a.average_fine AS DOUBLE) AS average_fine, "
     f"a.fine_known FROM ({_TOP4_CODE}) t LEFT JOIN avg_fines a ON t.violation_code = a.code",
