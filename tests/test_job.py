@@ -1,0 +1,34 @@
+"""The spark-submit entry point on small CSV files."""
+
+import os
+
+from test_sources import make_files
+from ticketlens.plans.job import parse_args, run
+
+
+def test_job_writes_clean_profile_and_results(spark, tmp_dir):
+    paths = make_files(tmp_dir)
+    out = os.path.join(tmp_dir, "out")
+    args = parse_args(
+        [
+            "--year", f"2015={paths[2015]}",
+            "--year", f"2017={paths[2017]}",
+            "--header", "2017=detect",
+            "--out", out,
+            "--fine", "21=55", "--fine", "36=", "--fine", "38=50", "--fine", "14=115",
+            "--exclude-precinct", "0",
+        ]
+    )
+    written = run(spark, args)
+    assert "clean" in written and "profile/duplicates_2015" in written
+    assert {"results/top5_code", "results/revenue_rollup", "results/rank_list_bin"} <= set(written)
+    per_year = {r.fiscal_year: r.n_tickets for r in spark.read.parquet(written["results/tickets_per_year"]).collect()}
+    assert per_year == {2015: 2, 2017: 2}
+    busiest = [r.issuer_precinct for r in spark.read.parquet(written["results/global_top_precincts"]).collect()]
+    assert 0 not in busiest
+    rev = spark.read.parquet(written["results/revenue"]).collect()
+    assert {(r.fiscal_year, r.violation_code, r.revenue) for r in rev} >= {(2015, 21, 55.0), (2015, 38, 50.0)}
+
+    # a second run on the written table skips the cleaning
+    again = run(spark, parse_args(["--clean", written["clean"], "--out", os.path.join(tmp_dir, "out2")]))
+    assert "clean" not in again and "results/top5_code" in again

@@ -95,33 +95,45 @@ def precinct_code_freq(t: DataFrame, precincts: Sequence[int], r: Roles = R) ->
     return frequency(sub, [r.year, r.issuer_precinct], r.code)
 
 
-def precinct_code_freq_derived(t: DataFrame, n_precincts: int = 3, r: Roles = R) -> DataFrame:
-    """Same, for the ``n_precincts`` busiest precincts found in the data."""
-    keys = busiest_precincts(t, n_precincts, r).select(r.issuer_precinct)
+def precinct_code_freq_derived(
+    t: DataFrame, n_precincts: int = 3, r: Roles = R, exclude: Sequence | None = None
+) -> DataFrame:
+    """Same, for the ``n_precincts`` busiest precincts found in the data
+    (``exclude`` keeps placeholder precincts out of that ranking)."""
+    keys = busiest_precincts(t, n_precincts, r, exclude).select(r.issuer_precinct)
     sub = restrict_to(t, keys, r.issuer_precinct, row_bound=n_precincts)
     return frequency(sub, [r.year, r.issuer_precinct], r.code)
 
 
-def top_codes_per_precinct(t: DataFrame, n: int = 5, n_precincts: int = 3, r: Roles = R) -> DataFrame:
-    freq = precinct_code_freq_derived(t, n_precincts, r)
+def top_codes_per_precinct(
+    t: DataFrame, n: int = 5, n_precincts: int = 3, r: Roles = R, exclude: Sequence | None = None
+) -> DataFrame:
+    freq = precinct_code_freq_derived(t, n_precincts, r, exclude)
     return top_n_per_group(freq, [r.year, r.issuer_precinct], "frequency", n)
 
 
-def common_codes_precincts(t: DataFrame, n: int = 5, n_precincts: int = 3, r: Roles = R) -> DataFrame:
-    return common_items(top_codes_per_precinct(t, n, n_precincts, r), r.year, r.code, r.issuer_precinct)
+def common_codes_precincts(
+    t: DataFrame, n: int = 5, n_precincts: int = 3, r: Roles = R, exclude: Sequence | None = None
+) -> DataFrame:
+    top = top_codes_per_precinct(t, n, n_precincts, r, exclude)
+    return common_items(top, r.year, r.code, r.issuer_precinct)
 
 
-def precinct_code_lift(t: DataFrame, n_precincts: int = 3, r: Roles = R) -> DataFrame:
+def precinct_code_lift(
+    t: DataFrame, n_precincts: int = 3, r: Roles = R, exclude: Sequence | None = None
+) -> DataFrame:
     """Share of each code inside each busy precinct against the code's
     share of all tickets that year."""
     freq = frequency(t, [r.year, r.issuer_precinct], r.code)
     lift = share_lift(freq, r.year, r.issuer_precinct, r.code)
-    keys = busiest_precincts(t, n_precincts, r).select(r.issuer_precinct)
+    keys = busiest_precincts(t, n_precincts, r, exclude).select(r.issuer_precinct)
     return restrict_to(lift, keys, r.issuer_precinct, row_bound=n_precincts)
 
 
-def rank_list_precinct(t: DataFrame, n: int = 5, n_precincts: int = 3, r: Roles = R) -> DataFrame:
-    top = top_codes_per_precinct(t, n, n_precincts, r)
+def rank_list_precinct(
+    t: DataFrame, n: int = 5, n_precincts: int = 3, r: Roles = R, exclude: Sequence | None = None
+) -> DataFrame:
+    top = top_codes_per_precinct(t, n, n_precincts, r, exclude)
     return rank_list(top, [r.year, r.issuer_precinct], r.code, pad=2)
 
 

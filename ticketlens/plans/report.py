@@ -67,13 +67,17 @@ def case_study(
     given_codes: Sequence = (14, 21, 38),
     years: Sequence[int] | None = None,
     mode: str = CLOCK,
+    exclude_precincts: Sequence[int] | None = None,
 ) -> dict[str, DataFrame]:
     """Every question over the cleaned table ``t``.
 
     ``times`` is the table the clock questions use (the case study uses the
     same ticket table; default ``t``).  Revenue questions need ``fines``.
+    ``exclude_precincts`` keeps placeholder precincts (e.g. 0) out of the
+    precinct rankings.
     """
     tt = t if times is None else times
+    ex = list(exclude_precincts) if exclude_precincts else None
     out: dict[str, DataFrame] = {
         "tickets_per_year": q.tickets_per_year(t, r),
         "unique_states": q.unique_states(t, r),
@@ -82,14 +86,14 @@ def case_study(
         "top5_code": q.top_items_per_year(t, r.code, 5, r),
         "top5_body": q.top_items_per_year(t, r.body, 5, r),
         "top5_make": q.top_items_per_year(t, r.make, 5, r),
-        "top5_viol_precinct": q.top_items_per_year(t, r.violation_precinct, 5, r),
-        "top5_issuer_precinct": q.top_items_per_year(t, r.issuer_precinct, 5, r),
-        "global_top_precincts": q.busiest_precincts(t, 3, r),
+        "top5_viol_precinct": q.top_items_per_year(t, r.violation_precinct, 5, r, exclude=ex),
+        "top5_issuer_precinct": q.top_items_per_year(t, r.issuer_precinct, 5, r, exclude=ex),
+        "global_top_precincts": q.busiest_precincts(t, 3, r, ex),
         "precinct_code_freq": q.precinct_code_freq(t, given_precincts, r),
-        "top5_code_per_precinct": q.top_codes_per_precinct(t, 5, 3, r),
-        "common_codes": q.common_codes_precincts(t, 5, 3, r),
-        "precinct_code_lift": q.precinct_code_lift(t, 3, r),
-        "rank_list_precinct": q.rank_list_precinct(t, 5, 3, r),
+        "top5_code_per_precinct": q.top_codes_per_precinct(t, 5, 3, r, ex),
+        "common_codes": q.common_codes_precincts(t, 5, 3, r, ex),
+        "precinct_code_lift": q.precinct_code_lift(t, 3, r, ex),
+        "rank_list_precinct": q.rank_list_precinct(t, 5, 3, r, ex),
         "missing_time_count": q.missing_time_count(tt, r, mode),
         "top3_code_per_bin": q.top_codes_per_bin(tt, 3, r, mode),
         "bins_for_codes": q.bins_for_codes(tt, given_codes, r, mode),
