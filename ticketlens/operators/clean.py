@@ -22,13 +22,12 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 
 def first_columns(df: DataFrame, keep: int | Sequence[str]) -> DataFrame:
-    """Keep the first ``keep`` columns, or the named ones in the given order.
-    Names are the safe form; a count only works when headers agree."""
+    """Keep the first ``keep`` columns, or the named ones in the given order
+    (a name the frame lacks becomes a NULL column).  Names are the safe
+    form; a count only works when the files' headers agree."""
     if isinstance(keep, int):
         return df.select(df.columns[:keep])
-    missing = [c for c in keep if c not in df.columns]
-    cols = [F.col(c) if c in df.columns else F.lit(None).alias(c) for c in keep]
-    return df.select(cols) if missing else df.select(list(keep))
+    return df.select([F.col(c) if c in df.columns else F.lit(None).alias(c) for c in keep])
 
 
 def label_fiscal_year(
