@@ -1,8 +1,8 @@
 """Run a registered query in Spark and its oracle SQL in DuckDB; compare.
 
 Comparison: same column names, same row count, same multiset of rows
-(columns sorted by name, rows sorted, floats compared after rounding to 9
-significant digits).  Also reports the dtypes of both sides.
+(columns sorted by name, rows sorted, floats compared exactly).  Also
+reports the dtypes of both sides.
 
 Usage: python tests/oracle_compare.py [sf_dir] [name ...]
 """
@@ -43,9 +43,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
-        return (1, float(f"{v:.9g}"))
+        return (1, v)
     if isinstance(v, decimal.Decimal):
-        return (1, float(f"{float(v):.9g}"))
+        return (1, float(v))
     if isinstance(v, bool):
         return (2, int(v))
     if isinstance(v, int):
