@@ -8,6 +8,7 @@ counts, DOUBLE money and ratios).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,19 +77,27 @@ def _date_text(spark: SparkSession, sf: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", text.alias("issue_date_text"))
 
 
+def _view(spark: SparkSession, sf: str) -> str:
+    """Register the tickets view under a name of its own (concurrent
+    queries in one session must not replace each other's view)."""
+    name = f"tickets_{uuid.uuid4().hex[:12]}"
+    tickets(spark, sf).createOrReplaceTempView(name)
+    return name
+
+
 def _sql_view(spark: SparkSession, sf: str) -> DataFrame:
-    tickets(spark, sf).createOrReplaceTempView("tickets")
+    view = _view(spark, sf)
     return spark.sql(
-        "SELECT fiscal_year, count(summons_number) AS n_tickets FROM tickets GROUP BY fiscal_year"
+        f"SELECT fiscal_year, count(summons_number) AS n_tickets FROM {view} GROUP BY fiscal_year"
     )
 
 
 def _month_histogram_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The histogram in SQL text, grouping by the SELECT aliases."""
-    tickets(spark, sf).createOrReplaceTempView("tickets")
+    view = _view(spark, sf)
     return spark.sql(
         "SELECT year(issue_date) AS year, month(issue_date) AS month, count(*) AS n "
-        "FROM tickets GROUP BY year, month ORDER BY year, month"
+        f"FROM {view} GROUP BY year, month ORDER BY year, month"
     )
 
 
