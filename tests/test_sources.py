@@ -126,3 +126,11 @@ def test_profile_files(spark, tmp_dir):
     assert (dup.n_rows, dup.distinct_rows, dup.duplicates) == (5, 4, 1)
     nulls = {r.column_name: r.n_null for r in prof["nulls_2017"].collect()}
     assert nulls["summons_number"] == 0 and nulls["violation_time"] == 1
+
+
+def test_pad_columns_uses_raw_types(spark):
+    from ticketlens.sources.csv import pad_columns
+
+    df = spark.createDataFrame([(1,)], "summons_number BIGINT")
+    padded = pad_columns(df, ["summons_number", "violation_code", "house_number"])
+    assert dict(padded.dtypes) == {"summons_number": "bigint", "violation_code": "int", "house_number": "string"}

@@ -44,3 +44,18 @@ def test_ingest_stream_matches_batch_cleaning(spark, tmp_dir):
     per_year = {r.fiscal_year: r.n_tickets for r in q.tickets_per_year(t).collect()}
     assert per_year == {2015: 2, 2016: 1}
     assert sorted(p for p in os.listdir(table) if p.startswith("batch_id=")) == ["batch_id=0", "batch_id=1"]
+
+
+def test_file_without_year_in_name_keeps_its_rows(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "landing")
+    os.makedirs(src)
+    table = os.path.join(tmp_dir, "table")
+    write_csv(
+        os.path.join(src, "tickets_extract.csv"),
+        HEADER,
+        [_record(51, 1, "07/01/2014", 21, 19, "0752A"), _record(51, 2, "08/15/2015", 38, 14, "1230P"),
+         _record(51, 3, "garbage", 38, 14, "1230P")],
+    )
+    ingest(spark, src, table, checkpoint_location=os.path.join(tmp_dir, "ckpt")).awaitTermination(120)
+    got = rows(spark.read.parquet(table), "fiscal_year", "summons_number")
+    assert got == [(2015, 1), (2016, 2)]

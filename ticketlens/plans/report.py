@@ -18,7 +18,7 @@ from ticketlens.operators.clean import clean_year, combine_years
 from ticketlens.operators.profile import duplicate_report, null_profile, schema_diff
 from ticketlens.plans import questions as q
 from ticketlens.roles import DEFAULT_ROLES, Roles
-from ticketlens.sources.csv import KEPT_COLUMNS, kept_names, read_years
+from ticketlens.sources.csv import KEPT_COLUMNS, kept_names, pad_columns, read_years
 from ticketlens.sources.sink import read_clean, write_clean
 
 
@@ -43,20 +43,12 @@ def clean_files(
     raw = read_years(spark, paths, headers)
     names = kept_names(keep) if isinstance(keep, int) else list(keep)
     cleaned = combine_years(
-        {year: clean_year(_pad(df, names), year, keep=names) for year, df in raw.items()}
+        {year: clean_year(pad_columns(df, names), year, keep=names) for year, df in raw.items()}
     )
     write_clean(cleaned, out_path, "fiscal_year")
     return read_clean(spark, out_path)
 
 
-def _pad(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Add NULL columns a short year lacks, so every year keeps the same set."""
-    from pyspark.sql import functions as F
-
-    missing = [n for n in names if n not in df.columns]
-    return df.select("*", *[F.lit(None).cast("string").alias(n) for n in missing]) if missing else df
-
-
 def case_study(
     t: DataFrame,
     times: DataFrame | None = None,

@@ -97,6 +97,20 @@ def kept_names(n: int = KEPT_COLUMNS) -> list[str]:
     return [snake_case(name) for name, _ in RAW_COLUMNS[:n]]
 
 
+def column_type(name: str) -> T.DataType:
+    """Type of a (snake_case) raw column; text for unknown names."""
+    return {snake_case(n): t for n, t in RAW_COLUMNS}.get(name, T.StringType())
+
+
+def pad_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """Add the listed columns a file lacks as typed NULLs, so every year
+    keeps the same columns with the same types."""
+    missing = [n for n in names if n not in df.columns]
+    if not missing:
+        return df
+    return df.select("*", *[F.lit(None).cast(column_type(n)).alias(n) for n in missing])
+
+
 def read_year(
     spark: SparkSession,
     path: str,

@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ticketlens.functions.dates import fiscal_year_of, parse_date
 from ticketlens.operators.clean import clean_year
 from ticketlens.session import ensure_checkpoint_dir
-from ticketlens.sources.csv import KEPT_COLUMNS, kept_names, raw_schema, snake_case
+from ticketlens.sources.csv import KEPT_COLUMNS, kept_names, pad_columns, raw_schema, snake_case
 from ticketlens.sources.sink import write_clean
 
 # Fixed value: the yearly files are named "..._Fiscal_Year_2015.csv".
@@ -39,7 +40,9 @@ def raw_stream(
     year_pattern: str = FILE_YEAR_PATTERN,
 ) -> DataFrame:
     """Streaming DataFrame of raw records with snake_case names and the
-    file's fiscal year in ``file_year`` (NULL when the name has none)."""
+    file's fiscal year in ``file_year``.  A file whose name carries no year
+    labels each row with the fiscal year of its own issue date instead, so
+    its rows are kept (only rows without a readable date drop out)."""
     stream = (
         spark.readStream.schema(raw_schema(header))
         .option("header", "true")
@@ -47,9 +50,10 @@ def raw_stream(
         .csv(source_dir)
     )
     year_text = F.regexp_extract(F.col("_metadata.file_name"), year_pattern, 1)
+    own_year = fiscal_year_of(parse_date(F.col("`Issue Date`")))
     return stream.select(
         *[F.col(f"`{c}`").alias(snake_case(c)) for c in stream.columns],
-        F.when(year_text != "", year_text.cast("int")).alias("file_year"),
+        F.coalesce(F.when(year_text != "", year_text.cast("int")), own_year).alias("file_year"),
     )
 
 
@@ -77,10 +81,7 @@ def ingest(
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        missing = [n for n in names if n not in batch.columns]
-        if missing:
-            batch = batch.select("*", *[F.lit(None).cast("string").alias(n) for n in missing])
-        cleaned = clean_year(batch, "file_year", keep=names)
+        cleaned = clean_year(pad_columns(batch, names), "file_year", keep=names)
         write_clean(cleaned, os.path.join(table_path, f"batch_id={batch_id}"), "fiscal_year", mode="overwrite")
 
     writer = (
