@@ -121,7 +121,8 @@ def _average_fine(spark: SparkSession, sf: str) -> DataFrame:
     avg = average_fine(fines)
     top = q.top_codes_by_tickets(tickets(spark, sf), 4)
     joined = lookup(top, avg, top["violation_code"] == avg["code"], "left", row_bound=n_rows)
-    return _money(joined.drop("code"))
+    known = F.coalesce(F.col("fine_known"), F.lit(False)).alias("fine_known")
+    return _money(joined.drop("code")).withColumn("fine_known", known)
 
 
 def _tt(spark: SparkSession, sf: str) -> DataFrame:
@@ -553,7 +554,7 @@ ORACLE: dict[str, str] = {
     "FROM (SELECT DISTINCT violation_code FROM tickets) c LEFT JOIN fines f ON c.violation_code = f.code",
     "average_fine": RW
     + "SELECT t.fiscal_year, t.violation_code, t.frequency, t.rnk, CAST(a.average_fine AS DOUBLE) AS average_fine, "
-    f"a.fine_known FROM ({_TOP4_CODE}) t LEFT JOIN avg_fines a ON t.violation_code = a.code",
+    f"coalesce(a.fine_known, false) AS fine_known FROM ({_TOP4_CODE}) t LEFT JOIN avg_fines a ON t.violation_code = a.code",
     "fines_join": RW
     + "SELECT fiscal_year, violation_code, frequency, rnk, CAST(average_fine AS DOUBLE) AS average_fine, fine_known "
     f"FROM ({_FINES_JOIN}) j",
@@ -617,3 +618,57 @@ ORACLE: dict[str, str] = {
 }
 
 ROWS_ONLY = ("sample_rows", "schema_profile", "schema_diff")
+
+# --------------------------------------------------------------------------
+# Portable output columns
+# --------------------------------------------------------------------------
+# Result tables travel to a comparison harness through pandas or Arrow.  Two
+# column kinds convert differently on the two engines' pandas paths: DATE
+# (Python dates vs datetime64) and integers holding NULLs (float64 vs a
+# nullable integer type).  In the registered outputs such columns are given
+# one representation on both sides - dates as ISO ``yyyy-MM-dd`` text,
+# NULL-holding integers as DOUBLE.  The library functions keep their types.
+DATE_COLUMNS = {
+    "drop_empty_columns": ["issue_date"],
+    "first_columns": ["issue_date"],
+    "parse_issue_date": ["issue_date"],
+    "fiscal_year_label": ["issue_date"],
+    "fiscal_filter": ["issue_date"],
+    "clean_year": ["issue_date"],
+    "combine_years": ["issue_date"],
+    "season_label": ["issue_date"],
+}
+NULLABLE_INT_COLUMNS = {
+    "revenue_rollup": ["fiscal_year", "violation_code"],
+    "yoy_tickets": ["prev_n_tickets", "change_n_tickets"],
+    "parse_clock_time": ["minute_of_day"],
+    "parse_clock_time_additive": ["minute_of_day"],
+}
+
+
+def _portable_df(name: str, fn: QueryFn) -> QueryFn:
+    dates = DATE_COLUMNS.get(name, [])
+    doubles = NULLABLE_INT_COLUMNS.get(name, [])
+    if not dates and not doubles:
+        return fn
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = fn(spark, sf)
+        cols = {c: F.date_format(c, "yyyy-MM-dd") for c in dates}
+        cols.update({c: F.col(c).cast("double") for c in doubles})
+        return df.withColumns(cols)
+
+    run.__name__ = name
+    return run
+
+
+def _portable_sql(name: str, sql: str) -> str:
+    parts = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in DATE_COLUMNS.get(name, [])]
+    parts += [f"CAST({c} AS DOUBLE) AS {c}" for c in NULLABLE_INT_COLUMNS.get(name, [])]
+    if not parts:
+        return sql
+    return f"SELECT * REPLACE ({', '.join(parts)}) FROM (\n{sql}\n) q"
+
+
+QUERIES = {name: _portable_df(name, fn) for name, fn in QUERIES.items()}
+ORACLE = {name: _portable_sql(name, sql) for name, sql in ORACLE.items()}
