@@ -86,9 +86,12 @@ def top_n(
     tiebreak: Sequence[str | Column] = (),
     ascending: bool = False,
 ) -> DataFrame:
-    """Global first ``n`` rows (``ORDER BY .. LIMIT n``, a single
-    TakeOrderedAndProject: each task keeps its own n best, the driver merges
-    n x tasks rows)."""
+    """Global first ``n`` rows (``ORDER BY .. LIMIT n``).
+
+    Planned as TakeOrderedAndProject: each task keeps its own ``n`` best
+    rows, and one task merges ``n`` x tasks rows - the data never passes
+    through a global sort.  Give a ``tiebreak`` so the cut is deterministic.
+    """
     o = F.col(order) if isinstance(order, str) else order
     ordering = [o.asc() if ascending else o.desc()] + [
         F.col(t).asc() if isinstance(t, str) else t for t in tiebreak

@@ -43,8 +43,10 @@ def _orders_with_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders -> (o_orderkey, o_orderdate, o_orderstatus, n_name).
 
     customer and nation are joined to orders first: the result is
-    orders-sized, so lineitem is shuffled only once per join key.  nation is
-    a fixed 25-row table; the planner broadcasts it from its measured size.
+    orders-sized, so lineitem is shuffled only once per join key.  Small
+    sides (nation always, the others at small scale) become broadcast joins
+    at run time once AQE has measured their shuffle stage; large ones stay
+    sort-merge joins.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
