@@ -276,3 +276,14 @@ def test_scale_conf_sizes_partitions():
     assert huge["spark.sql.files.maxPartitionBytes"] == str(512 * MB)
     mid = scale_conf(1024**4)
     assert mid["spark.sql.shuffle.partitions"] == str(4096)
+
+
+def test_profiles_take_names_literally(spark):
+    df = spark.createDataFrame([(1, None), (1, "x")], "`a.b` INT, `Unregistered Vehicle?` STRING")
+    prof = {r.column_name: r.n_null for r in null_profile(df).collect()}
+    assert prof == {"a.b": 0, "Unregistered Vehicle?": 1}
+    rep = duplicate_report(df).collect()[0]
+    assert (rep.n_rows, rep.distinct_rows) == (2, 2)
+    assert drop_empty_columns(df).columns == ["a.b", "Unregistered Vehicle?"]
+    ex = {r.column_name: r.example for r in schema_profile(df, examples=True).collect()}
+    assert ex == {"a.b": "1", "Unregistered Vehicle?": "x"}

@@ -8,18 +8,48 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def schema_profile(df: DataFrame) -> DataFrame:
-    """Names, types and nullability of ``df``'s columns (like ``str(df)``)."""
+def _c(name: str) -> Column:
+    """Column by exact name (dots and spaces are not paths)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _long_form(wide: DataFrame, names: Sequence[str], keep: Sequence[str], value_name: str) -> DataFrame:
+    """Unpivot one-row ``wide`` (value columns aliased ``_0``, ``_1``, ...)
+    into ``(column_name, value)`` rows, mapping the aliases back to names."""
+    aliases = [f"_{i}" for i in range(len(names))]
+    long = wide.unpivot(list(keep), aliases, "_alias", value_name)
+    mapping = F.create_map(*[F.lit(x) for pair in zip(aliases, names) for x in pair])
+    return long.withColumn("column_name", mapping[F.col("_alias")]).drop("_alias")
+
+
+def schema_profile(df: DataFrame, examples: bool = False) -> DataFrame:
+    """Names, types and nullability of ``df``'s columns (like ``str(df)``).
+
+    ``examples=True`` adds ``example``: the column's smallest value as text,
+    from one aggregation pass (deterministic, unlike "the first rows")."""
     rows = [
         (i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)
     ]
-    return df.sparkSession.createDataFrame(
+    meta = df.sparkSession.createDataFrame(
         rows, "position INT, column_name STRING, data_type STRING, nullable BOOLEAN"
     )
+    if not examples:
+        return meta
+    names = df.columns
+
+    def example(i: int, f) -> Column:
+        if isinstance(f.dataType, T.MapType):  # maps have no order
+            return F.lit(None).cast("string").alias(f"_{i}")
+        return F.min(_c(f.name)).cast("string").alias(f"_{i}")
+
+    wide = df.agg(*[example(i, f) for i, f in enumerate(df.schema.fields)])
+    ex = _long_form(wide, names, [], "example")
+    return meta.join(ex, "column_name", "left").orderBy("position")
 
 
 def schema_diff(frames: Mapping[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
@@ -47,7 +77,7 @@ def duplicate_report(df: DataFrame, subset: Sequence[str] | None = None) -> Data
     a row repeated a billion times ships one row per task.
     """
     cols = list(subset) if subset else df.columns
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    groups = df.groupBy(*[_c(c) for c in cols]).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(
         F.sum("_n").cast("long").alias("n_rows"),
         F.count(F.lit(1)).alias("distinct_rows"),
@@ -61,9 +91,9 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     cols = list(columns) if columns else df.columns
     wide = df.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in cols],
+        *[F.count_if(_c(c).isNull()).alias(f"_{i}") for i, c in enumerate(cols)],
     )
-    long = wide.unpivot(["__rows"], cols, "column_name", "n_null")
+    long = _long_form(wide, cols, ["__rows"], "n_null")
     return long.select("column_name", F.col("n_null").cast("long").alias("n_null"), F.col("__rows").alias("n_rows"))
 
 
@@ -77,7 +107,7 @@ def empty_columns(df: DataFrame, profile: DataFrame | None = None) -> list[str]:
 
 def drop_empty_columns(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
     empty = set(empty_columns(df, profile))
-    return df.select([c for c in df.columns if c not in empty])
+    return df.select([_c(c) for c in df.columns if c not in empty])
 
 
 def month_histogram(df: DataFrame, date: str, year_name: str = "year", month_name: str = "month") -> DataFrame:
@@ -91,7 +121,7 @@ def month_histogram(df: DataFrame, date: str, year_name: str = "year", month_nam
 
 
 def missing_count(df: DataFrame, column: str, name: str = "n_missing") -> DataFrame:
-    return df.agg(F.count_if(F.col(column).isNull()).cast("long").alias(name))
+    return df.agg(F.count_if(_c(column).isNull()).cast("long").alias(name))
 
 
 def sample_rows(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
