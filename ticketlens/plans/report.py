@@ -60,15 +60,28 @@ def case_study(
     years: Sequence[int] | None = None,
     mode: str = CLOCK,
     exclude_precincts: Sequence[int] | None = None,
+    shared_scan: bool = False,
 ) -> dict[str, DataFrame]:
     """Every question over the cleaned table ``t``.
 
     ``times`` is the table the clock questions use (the case study uses the
     same ticket table; default ``t``).  Revenue questions need ``fines``.
     ``exclude_precincts`` keeps placeholder precincts (e.g. 0) out of the
-    precinct rankings.
+    precinct rankings.  ``shared_scan=True`` answers them all from two
+    grouping-sets aggregates (one scan of each table, see ``shared.py``)
+    instead of one scan per question; the answers are the same.  The two
+    aggregates are computed and written (under the checkpoint folder) when
+    this is called; the questions stay lazy.
     """
     tt = t if times is None else times
+    if shared_scan:
+        from ticketlens.plans import shared
+
+        cube = shared.ticket_cube(t, r).materialize("ticket_cube")
+        tcube = shared.time_cube(tt, r, mode).materialize("time_cube")
+        out = shared.ticket_questions(cube, r, fines, fines_rows, given_precincts, years, exclude_precincts)
+        out.update(shared.time_questions(tcube, r, given_codes))
+        return out
     ex = list(exclude_precincts) if exclude_precincts else None
     out: dict[str, DataFrame] = {
         "tickets_per_year": q.tickets_per_year(t, r),
