@@ -125,6 +125,18 @@ def _average_fine(spark: SparkSession, sf: str) -> DataFrame:
     return _money(joined.drop("code")).withColumn("fine_known", known)
 
 
+def _ticket_cube(spark: SparkSession, sf: str) -> DataFrame:
+    from ticketlens.plans.shared import ticket_cube
+
+    return ticket_cube(tickets(spark, sf)).df.withColumnRenamed("_gid", "set_id")
+
+
+def _time_cube(spark: SparkSession, sf: str) -> DataFrame:
+    from ticketlens.plans.shared import time_cube
+
+    return time_cube(ticket_times(spark, sf)).df.withColumnRenamed("_gid", "set_id")
+
+
 def _tt(spark: SparkSession, sf: str) -> DataFrame:
     return ticket_times(spark, sf)
 
@@ -239,6 +251,9 @@ QUERIES: dict[str, QueryFn] = {
     "rank_list_bin": lambda s, d: q.rank_list_bin(_tt(s, d), 3),
     "rank_list_code": lambda s, d: q.rank_list_code(_tt(s, d), 5, 3),
     "common_codes_bins": lambda s, d: q.common_codes_bins(_tt(s, d), 3),
+    # shared scan: every count from one GROUPING SETS aggregate per table
+    "ticket_cube": _ticket_cube,
+    "time_cube": _time_cube,
     # rows-only (no oracle)
     "sample_rows": lambda s, d: profile.sample_rows(T(s, d), 0.01, seed=42),
     "schema_profile": lambda s, d: profile.schema_profile(T(s, d)),
@@ -617,6 +632,33 @@ ORACLE: dict[str, str] = {
     "common_codes_bins": XW + _common_sql(_TOP3_PER_BIN, "time_of_day"),
 }
 
+ORACLE["ticket_cube"] = TW + (
+    "SELECT fiscal_year, registration_state, violation_code, vehicle_body_type, vehicle_make, violation_precinct, "
+    "issuer_precinct, season, count(*) AS n_rows, count(summons_number) AS n_summons, "
+    "count(*) FILTER (WHERE house_number IS NULL AND street_name IS NULL AND intersecting_street IS NULL) AS n_missing_3, "
+    "count(*) FILTER (WHERE house_number IS NULL AND street_name IS NULL) AS n_missing_2, "
+    "CAST(GROUPING(fiscal_year, registration_state, violation_code, vehicle_body_type, vehicle_make, "
+    "violation_precinct, issuer_precinct, season) AS BIGINT) AS set_id "
+    f"FROM (SELECT *, {_SEASON} AS season FROM tickets) t GROUP BY GROUPING SETS ("
+    "(fiscal_year), (fiscal_year, registration_state), (fiscal_year, violation_code), "
+    "(fiscal_year, vehicle_body_type), (fiscal_year, vehicle_make), (fiscal_year, violation_precinct), "
+    "(fiscal_year, issuer_precinct), (issuer_precinct), (fiscal_year, issuer_precinct, violation_code), "
+    "(fiscal_year, season, violation_code))"
+)
+ORACLE["time_cube"] = XW + (
+    "SELECT violation_code, fiscal_year, time_of_day, count(*) FILTER (WHERE minute_of_day IS NOT NULL) AS n_rows, "
+    "count(*) FILTER (WHERE minute_of_day IS NULL) AS n_missing_time, "
+    "CAST(GROUPING(violation_code, fiscal_year, time_of_day) AS BIGINT) AS set_id FROM ("
+    "SELECT *, CASE WHEN minute_of_day IS NULL THEN NULL "
+    "WHEN floor(minute_of_day / 60) >= 2 AND floor(minute_of_day / 60) < 6 THEN 'Early Morning' "
+    "WHEN floor(minute_of_day / 60) >= 6 AND floor(minute_of_day / 60) < 10 THEN 'Morning' "
+    "WHEN floor(minute_of_day / 60) >= 10 AND floor(minute_of_day / 60) < 14 THEN 'Afternoon' "
+    "WHEN floor(minute_of_day / 60) >= 14 AND floor(minute_of_day / 60) < 18 THEN 'Evening' "
+    "WHEN floor(minute_of_day / 60) >= 18 AND floor(minute_of_day / 60) < 22 THEN 'Night' "
+    "ELSE 'Late Night' END AS time_of_day FROM clocked) c "
+    "GROUP BY GROUPING SETS ((), (violation_code), (fiscal_year, time_of_day, violation_code))"
+)
+
 ROWS_ONLY = ("sample_rows", "schema_profile", "schema_diff")
 
 # --------------------------------------------------------------------------
@@ -643,6 +685,8 @@ NULLABLE_INT_COLUMNS = {
     "yoy_tickets": ["prev_n_tickets", "change_n_tickets"],
     "parse_clock_time": ["minute_of_day"],
     "parse_clock_time_additive": ["minute_of_day"],
+    "ticket_cube": ["fiscal_year", "violation_code", "violation_precinct", "issuer_precinct"],
+    "time_cube": ["fiscal_year"],
 }
 
 
