@@ -15,7 +15,7 @@ def test_ingest_stream_matches_batch_cleaning(spark, tmp_dir):
     table = os.path.join(tmp_dir, "table")
     ckpt = os.path.join(tmp_dir, "ckpt")
     write_csv(
-        os.path.join(src, "Parking_Violations_Issued_-_Fiscal_Year_2015.csv"),
+        os.path.join(src, "violations_Fiscal_Year_2015.csv"),
         HEADER,
         [
             _record(51, 1, "07/01/2014", 21, 19, "0752A"),
@@ -34,7 +34,7 @@ def test_ingest_stream_matches_batch_cleaning(spark, tmp_dir):
 
     # a new year lands later: only that file is read in the next run
     write_csv(
-        os.path.join(src, "Parking_Violations_Issued_-_Fiscal_Year_2016.csv"),
+        os.path.join(src, "violations_Fiscal_Year_2016.csv"),
         HEADER,
         [_record(51, 7, "01/02/2016", 36, 0, "1100A"), _record(51, 7, "01/02/2016", 36, 0, "1100A")],
     )
