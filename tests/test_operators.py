@@ -4,7 +4,6 @@ profiles, joins, comparisons and revenue."""
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from ticketlens.operators import (
