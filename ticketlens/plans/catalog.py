@@ -137,6 +137,49 @@ def _time_cube(spark: SparkSession, sf: str) -> DataFrame:
     return time_cube(ticket_times(spark, sf)).df.withColumnRenamed("_gid", "set_id")
 
 
+def _scratch_path(spark: SparkSession, kind: str) -> str:
+    import os
+
+    from ticketlens.session import ensure_checkpoint_dir
+
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{kind}-{uuid.uuid4().hex[:12]}")
+
+
+# Ticket columns written into the raw 51-column CSV layout by ``csv_scan``.
+CSV_COLUMNS = (
+    "summons_number registration_state issue_date violation_code vehicle_body_type vehicle_make "
+    "violation_precinct issuer_precinct house_number street_name intersecting_street"
+).split()
+
+
+def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The CSV reader on data derived from the driver's tables: the tickets
+    view is written in the raw 51-column layout (header row, dates as
+    ``MM/dd/yyyy`` text, empty fields for the columns it lacks) and read back
+    with the explicit schema and snake_case names."""
+    from ticketlens.sources.csv import RAW_COLUMNS, read_year, snake_case
+
+    t = tickets(spark, sf).withColumn("issue_date", F.date_format("issue_date", "MM/dd/yyyy"))
+    raw = t.select(
+        *[
+            (F.col(snake_case(n)).cast("string") if snake_case(n) in CSV_COLUMNS else F.lit(None).cast("string")).alias(n)
+            for n, _ in RAW_COLUMNS
+        ]
+    )
+    path = _scratch_path(spark, "csv")
+    raw.write.option("header", "true").csv(path)
+    return read_year(spark, path).select(*CSV_COLUMNS)
+
+
+def _clean_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """The Parquet sink partitioned by fiscal year, read back."""
+    from ticketlens.sources.sink import read_clean, write_clean
+
+    path = _scratch_path(spark, "clean")
+    write_clean(tickets(spark, sf), path, "fiscal_year")
+    return read_clean(spark, path)
+
+
 def _tt(spark: SparkSession, sf: str) -> DataFrame:
     return ticket_times(spark, sf)
 
@@ -176,6 +219,8 @@ QUERIES: dict[str, QueryFn] = {
         keep=["summons_number", "registration_state", "plate_type", "issue_date", "street_name"],
     ),
     "combine_years": lambda s, d: clean.combine_years(_years(s, d)),
+    "csv_scan": _csv_scan,
+    "clean_sink": _clean_sink,
     "view_sql": _sql_view,
     "month_histogram_sql": _month_histogram_sql,
     # examine the data
@@ -659,6 +704,13 @@ ORACLE["time_cube"] = XW + (
     "GROUP BY GROUPING SETS ((), (violation_code), (fiscal_year, time_of_day, violation_code))"
 )
 
+ORACLE["csv_scan"] = TW + (
+    "SELECT summons_number, registration_state, strftime(issue_date, '%m/%d/%Y') AS issue_date, violation_code, "
+    "vehicle_body_type, vehicle_make, CAST(violation_precinct AS INT) AS violation_precinct, "
+    "CAST(issuer_precinct AS INT) AS issuer_precinct, house_number, street_name, intersecting_street FROM tickets"
+)
+ORACLE["clean_sink"] = TW + "SELECT * FROM tickets"
+
 ROWS_ONLY = ("sample_rows", "schema_profile", "schema_diff")
 
 # --------------------------------------------------------------------------
@@ -679,6 +731,7 @@ DATE_COLUMNS = {
     "clean_year": ["issue_date"],
     "combine_years": ["issue_date"],
     "season_label": ["issue_date"],
+    "clean_sink": ["issue_date"],
 }
 NULLABLE_INT_COLUMNS = {
     "revenue_rollup": ["fiscal_year", "violation_code"],
