@@ -49,6 +49,12 @@ def parse_args(argv: Sequence[str]) -> argparse.Namespace:
     p.add_argument("--codes", default="14,21,38", help="given violation code list")
     p.add_argument("--clock", choices=[CLOCK, ADDITIVE], default=CLOCK)
     p.add_argument("--exclude-precinct", action="append", type=int, default=[])
+    p.add_argument(
+        "--skip-profile",
+        action="store_true",
+        help="skip the raw-file profile (its duplicate report shuffles every raw column once more)",
+    )
+    p.add_argument("--shared-scan", action="store_true", help="answer all questions from one scan per table")
     return p.parse_args(list(argv))
 
 
@@ -62,10 +68,11 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         if not paths:
             raise SystemExit("give --year FY=PATH at least once, or --clean PATH")
         headers = {k: (v or "detect") for k, v in _pairs(args.header, "header").items()}
-        for name, df in profile_files(read_years(spark, paths, headers)).items():
-            path = os.path.join(args.out, "profile", name)
-            df.write.mode("overwrite").parquet(path)
-            written[f"profile/{name}"] = path
+        if not args.skip_profile:
+            for name, df in profile_files(read_years(spark, paths, headers)).items():
+                path = os.path.join(args.out, "profile", name)
+                df.write.mode("overwrite").parquet(path)
+                written[f"profile/{name}"] = path
         t = clean_files(spark, paths, os.path.join(args.out, "clean"), headers)
         written["clean"] = os.path.join(args.out, "clean")
     averages = {k: (float(v) if v else None) for k, v in _pairs(args.fine, "fine").items()}
@@ -78,6 +85,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         given_codes=[int(x) for x in args.codes.split(",") if x],
         mode=args.clock,
         exclude_precincts=args.exclude_precinct or None,
+        shared_scan=args.shared_scan,
     )
     for name, df in plans.items():
         path = os.path.join(args.out, "results", name)
