@@ -286,3 +286,10 @@ def test_profiles_take_names_literally(spark):
     assert drop_empty_columns(df).columns == ["a.b", "Unregistered Vehicle?"]
     ex = {r.column_name: r.example for r in schema_profile(df, examples=True).collect()}
     assert ex == {"a.b": "1", "Unregistered Vehicle?": "x"}
+
+
+def test_rank_list_pads_numbers_only_and_never_truncates(spark):
+    nums = spark.createDataFrame([(1, 7, 1), (1, 100, 2), (1, 21, 3)], "g INT, code INT, rnk INT")
+    assert rank_list(nums, "g", "code", pad=2).collect()[0].rank_list == "07,100,21"
+    text = spark.createDataFrame([(1, "view", 1), (1, "a", 2)], "g INT, code STRING, rnk INT")
+    assert rank_list(text, "g", "code", pad=2).collect()[0].rank_list == "view,a"

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DENSE = "dense"
 RANK = "rank"
@@ -110,12 +111,16 @@ def rank_list(
 ) -> DataFrame:
     """One text per group listing its items in rank order (``36,07,21``).
 
-    Items of equal rank are listed by their text.  Input is a top-N result,
-    so each group holds at most the rows of ``n`` distinct ranks.
+    Items of equal rank are listed by their text.  ``pad`` zero-pads numeric
+    items to that width (never shortening a longer one); text items are
+    listed as they are.  Input is a top-N result, so each group holds the
+    rows of ``n`` distinct ranks.
     """
-    label = (F.col(item) if isinstance(item, str) else item).cast("string")
-    if pad:
-        label = F.lpad(label, pad, "0")
+    col = F.col(item) if isinstance(item, str) else item
+    label = col.cast("string")
+    numeric = isinstance(item, str) and isinstance(ranked.schema[item].dataType, T.NumericType)
+    if pad and numeric:
+        label = F.when(F.length(label) < pad, F.lpad(label, pad, "0")).otherwise(label)
     pairs = F.sort_array(F.collect_list(F.struct(F.col(rank_col).alias("r"), label.alias("x"))))
     return ranked.groupBy(*_names(by)).agg(
         F.array_join(F.transform(pairs, lambda s: s["x"]), sep).alias(name)

@@ -598,7 +598,7 @@ ORACLE: dict[str, str] = {
     f"WHERE f.issuer_precinct IN ({_TOP3_PRECINCTS})",
     "rank_list_precinct": TW
     + _rank_list_sql(
-        _TOP5_PER_PRECINCT, "fiscal_year, issuer_precinct", "lpad(CAST(violation_code AS VARCHAR), 2, '0')"
+        _TOP5_PER_PRECINCT, "fiscal_year, issuer_precinct", "CASE WHEN length(CAST(violation_code AS VARCHAR)) < 2 THEN lpad(CAST(violation_code AS VARCHAR), 2, '0') ELSE CAST(violation_code AS VARCHAR) END"
     ),
     "season_label": TW + f"SELECT summons_number, issue_date, {_SEASON} AS season FROM tickets",
     "tickets_per_season": TW
@@ -607,7 +607,7 @@ ORACLE: dict[str, str] = {
     "freq_season_code": TW + _SEASON_FREQ,
     "top3_code_per_season": TW + _TOP3_PER_SEASON,
     "rank_list_season": TW
-    + _rank_list_sql(_TOP3_PER_SEASON, "fiscal_year, season", "lpad(CAST(violation_code AS VARCHAR), 2, '0')"),
+    + _rank_list_sql(_TOP3_PER_SEASON, "fiscal_year, season", "CASE WHEN length(CAST(violation_code AS VARCHAR)) < 2 THEN lpad(CAST(violation_code AS VARCHAR), 2, '0') ELSE CAST(violation_code AS VARCHAR) END"),
     "common_codes_seasons": TW + _common_sql(_TOP3_PER_SEASON, "season"),
     "fines_table": RW
     + "SELECT c.violation_code, CAST(f.fine_high AS DOUBLE) AS fine_high, CAST(f.fine_low AS DOUBLE) AS fine_low "

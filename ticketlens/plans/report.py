@@ -103,7 +103,7 @@ def case_study(
         "top3_code_per_bin": q.top_codes_per_bin(tt, 3, r, mode),
         "bins_for_codes": q.bins_for_codes(tt, given_codes, r, mode),
         "top5_bin_per_code": q.top_bins_per_code(tt, 5, 3, r, mode),
-        "rank_list_bin": q.rank_list_bin(tt, 3, r, mode),
+        "rank_list_bin": q.rank_list_bin(tt, 3, r, mode, pad=2),
         "rank_list_code": q.rank_list_code(tt, 5, 3, r, mode),
         "common_codes_bins": q.common_codes_bins(tt, 3, r, mode),
         "tickets_per_season": q.tickets_per_season(t, r),

@@ -245,7 +245,7 @@ def time_questions(
         "top3_code_per_bin": top_bin,
         "bins_for_codes": by_code.where(F.col(r.code).isin(list(given_codes))),
         "top5_bin_per_code": top_bins,
-        "rank_list_bin": rank_list(top_bin, [y, tod], r.code),
+        "rank_list_bin": rank_list(top_bin, [y, tod], r.code, pad=2),
         "rank_list_code": rank_list(top_bins, [y, r.code], bin_initials(tod)),
         "common_codes_bins": common_items(top_bin, y, r.code, tod),
     }
