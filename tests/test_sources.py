@@ -134,3 +134,15 @@ def test_pad_columns_uses_raw_types(spark):
     df = spark.createDataFrame([(1,)], "summons_number BIGINT")
     padded = pad_columns(df, ["summons_number", "violation_code", "house_number"])
     assert dict(padded.dtypes) == {"summons_number": "bigint", "violation_code": "int", "house_number": "string"}
+
+
+def test_detected_header_maps_reordered_columns_by_name(spark, tmp_dir):
+    """A file whose columns come in another order is still read by name."""
+    path = os.path.join(tmp_dir, "reordered.csv")
+    with open(path, "w") as f:
+        f.write("Violation Code,Summons Number,Issue Date\n")
+        f.write("21,1001,07/01/2014\n")
+    df = read_year(spark, path)
+    assert df.columns == ["violation_code", "summons_number", "issue_date"]
+    r = df.collect()[0]
+    assert (r.violation_code, r.summons_number, r.issue_date) == (21, 1001, "07/01/2014")

@@ -114,16 +114,17 @@ def pad_columns(df: DataFrame, names: list[str]) -> DataFrame:
 def read_year(
     spark: SparkSession,
     path: str,
-    header: list[str] | str | None = None,
+    header: list[str] | str | None = "detect",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One yearly CSV (any Hadoop path: local, hdfs://, s3a://, ...).
 
-    ``header`` lists the file's columns when it is not the full 51-column
-    layout (for example the 43-column year); ``"detect"`` reads them from
-    the file's first line.  Columns are taken by position, as the header
-    names in the published files carry stray blanks.  Empty fields read as
-    NULL.
+    With an explicit schema Spark maps fields by position, so the schema
+    must follow the file's own column order.  ``"detect"`` (default) reads
+    the header line (one short read) and types each named column; a list
+    gives the columns directly; ``None`` assumes the full 51-column layout.
+    Header names are matched after trimming stray blanks.  Empty fields
+    read as NULL.
     """
     if header == "detect":
         header = detect_header(spark, path)
@@ -151,8 +152,9 @@ def detect_header(spark: SparkSession, path: str) -> list[str]:
 def read_years(
     spark: SparkSession,
     paths: Mapping[int, str],
-    headers: Mapping[int, list[str] | str] | None = None,
+    headers: Mapping[int, list[str] | str | None] | None = None,
 ) -> dict[int, DataFrame]:
-    """``{fiscal_year: path}`` to ``{fiscal_year: DataFrame}``."""
+    """``{fiscal_year: path}`` to ``{fiscal_year: DataFrame}`` (headers
+    detected unless given per year)."""
     headers = headers or {}
-    return {year: read_year(spark, path, headers.get(year)) for year, path in paths.items()}
+    return {year: read_year(spark, path, headers.get(year, "detect")) for year, path in paths.items()}
