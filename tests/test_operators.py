@@ -293,3 +293,17 @@ def test_rank_list_pads_numbers_only_and_never_truncates(spark):
     assert rank_list(nums, "g", "code", pad=2).collect()[0].rank_list == "07,100,21"
     text = spark.createDataFrame([(1, "view", 1), (1, "a", 2)], "g INT, code STRING, rnk INT")
     assert rank_list(text, "g", "code", pad=2).collect()[0].rank_list == "view,a"
+
+
+def test_apply_scale_sets_session_values(spark):
+    from ticketlens.session import apply_scale
+
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    try:
+        apply_scale(spark, 1024**4)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4096"
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

@@ -9,6 +9,14 @@ Layout:
 """
 
 from ticketlens.roles import DEFAULT_ROLES, Roles
-from ticketlens.session import build_session, checkpoint_root, ensure_checkpoint_dir
+from ticketlens.session import apply_scale, build_session, checkpoint_root, ensure_checkpoint_dir, scale_conf
 
-__all__ = ["DEFAULT_ROLES", "Roles", "build_session", "checkpoint_root", "ensure_checkpoint_dir"]
+__all__ = [
+    "DEFAULT_ROLES",
+    "Roles",
+    "apply_scale",
+    "build_session",
+    "checkpoint_root",
+    "ensure_checkpoint_dir",
+    "scale_conf",
+]

@@ -23,7 +23,7 @@ from pyspark.sql import SparkSession
 from ticketlens.functions.clock import ADDITIVE, CLOCK
 from ticketlens.operators.revenue import fines_from_averages
 from ticketlens.plans.report import case_study, clean_files, profile_files
-from ticketlens.session import build_session
+from ticketlens.session import apply_scale, build_session
 from ticketlens.sources.csv import read_years
 from ticketlens.sources.sink import read_clean
 
@@ -55,12 +55,15 @@ def parse_args(argv: Sequence[str]) -> argparse.Namespace:
         help="skip the raw-file profile (its duplicate report shuffles every raw column once more)",
     )
     p.add_argument("--shared-scan", action="store_true", help="answer all questions from one scan per table")
+    p.add_argument("--input-gb", type=float, help="raw input size; sizes shuffle partitions and input splits")
     return p.parse_args(list(argv))
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     """Run the analysis; return ``{name: output path}``."""
     written: dict[str, str] = {}
+    if args.input_gb:
+        apply_scale(spark, int(args.input_gb * 1024**3))
     if args.clean:
         t = read_clean(spark, args.clean)
     else:

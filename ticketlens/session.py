@@ -93,7 +93,15 @@ def build_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local"):
+        ensure_checkpoint_dir(spark)  # a scratch folder only if none is configured
+    return spark
+
+
+def apply_scale(spark: SparkSession, input_bytes: int, **kwargs) -> SparkSession:
+    """Set the ``scale_conf`` sizes on a running session (all are SQL settings)."""
+    for key, value in scale_conf(input_bytes, **kwargs).items():
+        spark.conf.set(key, value)
     return spark
 
 
