@@ -86,3 +86,68 @@ def test_hot_key_with_a_third_of_rows(spark):
     assert top == {(2015, 0): 5000, (2016, 0): 5000}
     plan = freq._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def _py_date(text):
+    import datetime as dt
+
+    try:
+        m, d, y = text.split("/")
+        if not (m.isdigit() and d.isdigit() and y.isdigit()) or len(y) != 4 or not (1 <= len(m) <= 2 and 1 <= len(d) <= 2):
+            return None
+        return dt.date(int(y), int(m), int(d))
+    except (ValueError, AttributeError):
+        return None
+
+
+date_texts = st.one_of(
+    st.builds(
+        lambda y, m, d, padded: (f"{m:02d}/{d:02d}/{y}" if padded else f"{m}/{d}/{y}"),
+        st.integers(2013, 2017),
+        st.integers(1, 12),
+        st.integers(1, 31),
+        st.booleans(),
+    ),
+    st.sampled_from(["", "13/45/2016", "2016-01-02", "garbage"]),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 6), date_texts, st.sampled_from(["a", "b", None])), min_size=1, max_size=40))
+def test_clean_year_matches_brute_force(spark, records):
+    from ticketlens.operators import clean_year
+
+    doubled = records + records[: len(records) // 2]  # exact copies
+    df = spark.createDataFrame(doubled, "summons_number INT, issue_date STRING, plate_type STRING")
+    got = sorted(map(tuple, clean_year(df, 2015, keep=3).select("summons_number", "issue_date", "plate_type").collect()), key=repr)
+    import datetime as dt
+
+    want = set()
+    for s, text, p in set(doubled):
+        d = _py_date(text)
+        if d is not None and dt.date(2014, 7, 1) <= d < dt.date(2015, 7, 1):
+            want.add((s, d, p))
+    assert got == sorted(want, key=repr)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 2), st.sampled_from("ABC"), st.integers(1, 6)), min_size=1, max_size=40))
+def test_common_items_and_rank_list_match_brute_force(spark, records):
+    from ticketlens.operators import common_items, rank_list
+
+    rows = sorted(set(records))
+    df = spark.createDataFrame(rows, "g INT, facet STRING, item INT")
+    got = sorted((r.g, r.item) for r in common_items(df, "g", "item", "facet").collect())
+    want = []
+    for g in {r[0] for r in rows}:
+        facets = {f for gg, f, _ in rows if gg == g}
+        for item in {i for gg, _, i in rows if gg == g}:
+            if {f for gg, f, i in rows if gg == g and i == item} == facets:
+                want.append((g, item))
+    assert got == sorted(want)
+
+    ranked = spark.createDataFrame([(g, i, i % 3) for g, _, i in rows], "g INT, item INT, rnk INT").distinct()
+    lists = {r.g: r.rank_list for r in rank_list(ranked, "g", "item", pad=2).collect()}
+    for g in {r[0] for r in rows}:
+        items = sorted({(i % 3, f"{i:02d}") for gg, _, i in rows if gg == g})
+        assert lists[g] == ",".join(x for _, x in items)
