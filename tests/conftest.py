@@ -32,3 +32,14 @@ def rows(df, *cols):
     """Collected rows as sorted tuples (for order-insensitive asserts)."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+
+
+def plan_text(df, mode: str = "simple") -> str:
+    """The plan text ``df.explain(mode)`` prints (public API, captured)."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

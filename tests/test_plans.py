@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL_SF
+from conftest import SMALL_SF, plan_text
 from ticketlens.plans import questions as q
 from ticketlens.plans.catalog import QUERIES
 from ticketlens.sources.sink import materialize
@@ -10,8 +10,8 @@ from ticketlens.sources.tables import tickets
 
 
 def plan_of(df) -> str:
-    df.collect()  # final adaptive plan
-    return df._jdf.queryExecution().executedPlan().toString()
+    df.collect()  # afterwards explain() shows the final adaptive plan
+    return plan_text(df)
 
 
 @pytest.fixture(scope="module")
@@ -29,13 +29,13 @@ def test_year_filter_prunes_partitions_and_pushes_date_range(clean):
     from ticketlens.operators import fiscal_filter
 
     df = fiscal_filter(clean.where("fiscal_year = 1997"), "issue_date", 1997).groupBy("violation_code").count()
-    text = df._jdf.queryExecution().executedPlan().toString()
+    text = plan_text(df)
     assert "PartitionFilters: [isnotnull(fiscal_year" in text and "= 1997" in text
     assert "GreaterThanOrEqual(issue_date" in text and "LessThan(issue_date" in text
 
 
 def test_scan_reads_only_needed_columns(clean):
-    text = q.unique_states(clean)._jdf.queryExecution().executedPlan().toString()
+    text = plan_text(q.unique_states(clean))
     assert "ReadSchema: struct<registration_state:string>" in text
 
 
@@ -101,7 +101,8 @@ def test_fiscal_filter_runs_before_the_dedupe_shuffle(spark, tmp_dir):
     from ticketlens.sources.csv import kept_names, read_year
 
     raw = read_year(spark, make_files(tmp_dir)[2015])
-    plan = clean_year(raw, 2015, keep=kept_names())._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan_text(clean_year(raw, 2015, keep=kept_names()), "extended")
+    plan = plan.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     lines = plan.splitlines()
     agg = next(i for i, line in enumerate(lines) if "Aggregate" in line)
     filt = next(i for i, line in enumerate(lines) if "Filter" in line and "try_to_date" in line)

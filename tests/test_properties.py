@@ -84,8 +84,9 @@ def test_hot_key_with_a_third_of_rows(spark):
     freq = frequency(df, "fy", "p")
     top = {(r.fy, r.p): r.frequency for r in top_n_per_group(freq, "fy", "frequency", 1).collect()}
     assert top == {(2015, 0): 5000, (2016, 0): 5000}
-    plan = freq._jdf.queryExecution().executedPlan().toString()
-    assert "partial_count" in plan
+    from conftest import plan_text
+
+    assert "partial_count" in plan_text(freq)
 
 
 def _py_date(text):

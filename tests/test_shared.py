@@ -51,6 +51,8 @@ def test_shared_scan_reads_each_table_once(spark):
     from ticketlens.plans.shared import ticket_cube
 
     t = tickets(spark, SMALL_SF)
-    plan = ticket_cube(t).df._jdf.queryExecution().executedPlan().toString()
+    from conftest import plan_text
+
+    plan = plan_text(ticket_cube(t).df)
     assert plan.count("lineitem.parquet") == 1
     assert "Expand" in plan

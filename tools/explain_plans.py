@@ -34,8 +34,14 @@ NOTES = {
 
 
 def final_plan(df) -> str:
+    import contextlib
+    import io
+
     df.collect()  # every result here is small; collecting runs this DataFrame's own (adaptive) plan
-    text = df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()  # after execution: the final adaptive plan
+    text = buf.getvalue()
     text = re.sub(r"#\d+L?", "", text)
     text = re.sub(r"file:/\S+", "<path>", text)
     return text
