@@ -120,3 +120,94 @@ def test_rank_lists_from_recorded_bin_table(spark):
     lists = rank_list(ranked, ["fiscal_year", "violation_code"], initials)
     got = {(r.fiscal_year, r.violation_code): r.rank_list for r in lists.collect()}
     assert got == {(y, c): RECORDED_BIN_LISTS[c] for y in (2015, 2016, 2017) for c in (14, 21, 38)}
+
+
+# Recorded top-3 codes per time-of-day bin
+# (fiscal year, bin, code, frequency).
+RECORDED_CODES_PER_BIN = [
+    (2017, "Early Morning", 40, 50460), (2017, "Early Morning", 21, 32248), (2017, "Early Morning", 14, 26719),
+    (2017, "Late Night", 36, 204242), (2017, "Late Night", 21, 186348), (2017, "Late Night", 38, 110884),
+    (2017, "Evening", 38, 379239), (2017, "Evening", 37, 284663), (2017, "Evening", 14, 235729),
+    (2017, "Morning", 21, 844285), (2017, "Morning", 36, 353910), (2017, "Morning", 14, 273567),
+    (2015, "Night", 7, 101896), (2015, "Night", 38, 100776), (2015, "Night", 14, 49055),
+    (2015, "Early Morning", 40, 40851), (2015, "Early Morning", 14, 26663), (2015, "Early Morning", 21, 24944),
+    (2017, "Afternoon", 36, 594090), (2017, "Afternoon", 21, 436648), (2017, "Afternoon", 38, 330862),
+    (2016, "Late Night", 21, 172421), (2016, "Late Night", 36, 164171), (2016, "Late Night", 38, 124295),
+    (2016, "Evening", 38, 384862), (2016, "Evening", 37, 314841), (2016, "Evening", 36, 256624),
+    (2016, "Early Morning", 40, 40224), (2016, "Early Morning", 14, 28674), (2016, "Early Morning", 21, 26697),
+    (2016, "Night", 38, 86443), (2016, "Night", 7, 82456), (2016, "Night", 14, 46568),
+    (2015, "Evening", 38, 445972), (2015, "Evening", 37, 340951), (2015, "Evening", 14, 237059),
+    (2015, "Late Night", 21, 168867), (2015, "Late Night", 38, 141099), (2015, "Late Night", 36, 100871),
+    (2016, "Afternoon", 36, 475441), (2016, "Afternoon", 21, 453488), (2016, "Afternoon", 38, 358220),
+    (2015, "Morning", 21, 817539), (2015, "Morning", 14, 280973), (2015, "Morning", 36, 215373),
+    (2016, "Morning", 21, 843694), (2016, "Morning", 36, 336379), (2016, "Morning", 14, 271737),
+    (2017, "Night", 7, 84112), (2017, "Night", 38, 73387), (2017, "Night", 14, 48595),
+    (2015, "Afternoon", 21, 456602), (2015, "Afternoon", 38, 411271), (2015, "Afternoon", 36, 289998),
+]
+# The recorded summary lists of that table.
+RECORDED_BIN_CODE_LISTS = {
+    (2017, "Morning"): "21,36,14", (2017, "Afternoon"): "36,21,38", (2017, "Evening"): "38,37,14",
+    (2017, "Night"): "07,38,14", (2017, "Late Night"): "36,21,38", (2017, "Early Morning"): "40,21,14",
+    (2016, "Morning"): "21,36,14", (2016, "Afternoon"): "36,21,38", (2016, "Evening"): "38,37,36",
+    (2016, "Night"): "38,07,14", (2016, "Late Night"): "21,36,38", (2016, "Early Morning"): "40,14,21",
+    (2015, "Morning"): "21,14,36", (2015, "Afternoon"): "21,38,36", (2015, "Evening"): "38,37,14",
+    (2015, "Night"): "07,38,14", (2015, "Late Night"): "21,38,36", (2015, "Early Morning"): "40,14,21",
+}
+
+
+def test_rank_lists_and_common_codes_from_recorded_bin_table(spark):
+    from ticketlens.operators import common_items
+
+    df = spark.createDataFrame(
+        RECORDED_CODES_PER_BIN, "fiscal_year INT, time_of_day STRING, violation_code INT, frequency BIGINT"
+    )
+    ranked = top_n_per_group(df, ["fiscal_year", "time_of_day"], "frequency", 3)
+    lists = rank_list(ranked, ["fiscal_year", "time_of_day"], "violation_code", pad=2)
+    got = {(r.fiscal_year, r.time_of_day): r.rank_list for r in lists.collect()}
+    assert got == RECORDED_BIN_CODE_LISTS
+    # no code is in the top 3 of every time bin in any year (e.g. 2017 Night
+    # is 07,38,14 and 2017 Late Night is 36,21,38)
+    assert common_items(ranked, "fiscal_year", "violation_code", "time_of_day").count() == 0
+
+
+def test_common_codes_from_recorded_precinct_table(spark):
+    from ticketlens.operators import common_items
+
+    df = spark.createDataFrame(
+        RECORDED_PRECINCT_CODES, "fiscal_year INT, issuer_precinct INT, violation_code INT, frequency BIGINT"
+    )
+    ranked = top_n_per_group(df, ["fiscal_year", "issuer_precinct"], "frequency", 5)
+    # the three busiest precincts share no top-5 code in any year
+    assert common_items(ranked, "fiscal_year", "violation_code", "issuer_precinct").count() == 0
+    # but codes 14 and 21 are in the top 5 of two of them every year
+    two = ranked.groupBy("fiscal_year", "violation_code").count().where("count = 2")
+    pairs = {(r.fiscal_year, r.violation_code) for r in two.collect()}
+    assert {(y, c) for y in (2015, 2016, 2017) for c in (14, 21)} <= pairs
+
+
+# Recorded tickets per fiscal year and per season.
+RECORDED_TICKETS = {2015: 10598036, 2016: 10396894, 2017: 10539563}
+RECORDED_SEASONS = [
+    (2017, "Summer", 2353920), (2017, "Autumn", 2829224), (2017, "Winter", 2483036), (2017, "Spring", 2873383),
+    (2016, "Summer", 2214536), (2016, "Autumn", 2971672), (2016, "Winter", 2421620), (2016, "Spring", 2789066),
+    (2015, "Summer", 2838306), (2015, "Autumn", 2718502), (2015, "Winter", 2180241), (2015, "Spring", 2860987),
+]
+
+
+def test_law_seasons_add_up_to_recorded_years(spark):
+    seasons = spark.createDataFrame(RECORDED_SEASONS, "fiscal_year INT, season STRING, frequency BIGINT")
+    totals = {r.fiscal_year: r.n for r in seasons.groupBy("fiscal_year").agg(F.sum("frequency").alias("n")).collect()}
+    assert totals == RECORDED_TICKETS
+
+
+def test_law_bin_tables_agree_on_shared_cells(spark):
+    by_bin = spark.createDataFrame(
+        RECORDED_CODES_PER_BIN, "fiscal_year INT, time_of_day STRING, violation_code INT, frequency BIGINT"
+    )
+    by_code = spark.createDataFrame(
+        RECORDED_BINS_PER_CODE, "fiscal_year INT, violation_code INT, time_of_day STRING, frequency BIGINT"
+    )
+    keys = ["fiscal_year", "time_of_day", "violation_code"]
+    shared = by_bin.alias("a").join(by_code.alias("b"), keys)
+    assert shared.count() == 32
+    assert shared.where(F.col("a.frequency") != F.col("b.frequency")).count() == 0
