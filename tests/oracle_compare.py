@@ -4,7 +4,7 @@ Comparison: same column names, same row count, same multiset of rows
 (columns sorted by name, rows sorted, floats compared exactly).  Also
 reports the dtypes of both sides.
 
-Usage: python tests/oracle_compare.py [sf_dir] [name ...]
+Usage: python tests/oracle_compare.py [sf_dir] [name ...] [--md out.md]
 """
 
 from __future__ import annotations
@@ -101,8 +101,23 @@ def main(argv: list[str]) -> int:
     from ticketlens.plans.catalog import QUERIES
     from ticketlens.session import build_session
 
+    md = None
+    if "--md" in argv:
+        i = argv.index("--md")
+        md = argv[i + 1]
+        argv = argv[:i] + argv[i + 2 :]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or list(QUERIES)
+    lines = [
+        "# Oracle comparison",
+        "",
+        f"Every registered query run in Spark and its oracle SQL in DuckDB on `{sf_dir}`",
+        "(`tests/oracle_compare.py`): same column names, same row count, same multiset",
+        "of rows with floats compared exactly.  `rows-only` = no oracle SQL.",
+        "",
+        "| query | Spark rows | DuckDB rows | result | Spark s |",
+        "|---|---:|---:|---|---:|",
+    ]
     spark = build_session("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
@@ -118,7 +133,14 @@ def main(argv: list[str]) -> int:
               f"{r.get('spark_sec', '-')!s:>6}s  {r['status'] if not ok else ''}")
         if not ok and "types" in r:
             print("     types:", r["types"])
+        lines.append(
+            f"| `{n}` | {r.get('spark_rows', '-')} | {r.get('oracle_rows', '-')} | {r['status']} | {r.get('spark_sec', '-')} |"
+        )
     print(f"{len(names) - bad}/{len(names)} ok")
+    if md:
+        lines += ["", f"{len(names) - bad} of {len(names)} ok.", ""]
+        with open(md, "w") as f:
+            f.write("\n".join(lines))
     spark.stop()
     return 1 if bad else 0
 
