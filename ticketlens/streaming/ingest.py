@@ -2,10 +2,17 @@
 
 The batch path (``plans.report.clean_files``) reads known files once.  This
 is the same cleaning for a folder that keeps receiving files: a file stream
-with the explicit raw schema, one whole file per micro-batch (so "duplicate"
-means a copy inside the same yearly file, as in the batch path), the fiscal
-year taken from the file name, and each micro-batch written with
-``foreachBatch`` to its own ``batch_id=N`` folder under the table.
+with the explicit raw schema, the fiscal year taken from the file name, and
+each micro-batch written with ``foreachBatch`` to its own ``batch_id=N``
+folder under the table.
+
+Duplicates are removed within a micro-batch.  With one yearly file per
+batch (``files_per_batch=1``, the default) that is exactly the batch path's
+"copy inside the same yearly file".  A year that lands as many part files
+is deduplicated per batch only; copies spread over different batches stay
+until the year is cleaned again with the batch path (``clean_files`` over
+the year's files).  Keeping every row of every year as streaming state to
+catch them would grow without bound.
 
 Exactly once: the stream's checkpoint records which files were taken in
 which batch; a batch that is re-run after a failure overwrites its own
@@ -67,6 +74,7 @@ def ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     year_pattern: str = FILE_YEAR_PATTERN,
+    files_per_batch: int = 1,
 ) -> StreamingQuery:
     """Start the ingest stream and return the running query.
 
@@ -85,7 +93,7 @@ def ingest(
         write_clean(cleaned, os.path.join(table_path, f"batch_id={batch_id}"), "fiscal_year", mode="overwrite")
 
     writer = (
-        raw_stream(spark, source_dir, header, 1, year_pattern)
+        raw_stream(spark, source_dir, header, files_per_batch, year_pattern)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", location)
     )
