@@ -301,7 +301,7 @@ QUERIES: dict[str, QueryFn] = {
     "time_cube": _time_cube,
     # rows-only (no oracle)
     "sample_rows": lambda s, d: profile.sample_rows(T(s, d), 0.01, seed=42),
-    "schema_profile": lambda s, d: profile.schema_profile(T(s, d)),
+    "schema_profile": lambda s, d: profile.schema_profile(T(s, d), examples=True),
     "schema_diff": lambda s, d: profile.schema_diff(_years(s, d)),
 }
 
