@@ -52,9 +52,16 @@ def schema_profile(df: DataFrame, examples: bool = False) -> DataFrame:
     return meta.join(ex, "column_name", "left").orderBy("position")
 
 
-def schema_diff(frames: Mapping[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
+def schema_diff(
+    frames: Mapping[str, DataFrame], spark: SparkSession | None = None, with_counts: bool = False
+) -> DataFrame:
     """Which columns each frame has: one row per column name seen anywhere,
-    one boolean ``in_<name>`` per frame, in first-seen order."""
+    one boolean ``in_<name>`` per frame, in first-seen order.
+
+    ``with_counts=True`` adds ``n_<name>``: the number of values (non-NULL)
+    the frame holds in that column, NULL where it has no such column - a
+    column that exists but is empty shows 0.  One aggregation pass per frame.
+    """
     names: list[str] = []
     for df in frames.values():
         names.extend(c for c in df.columns if c not in names)
@@ -62,7 +69,15 @@ def schema_diff(frames: Mapping[str, DataFrame], spark: SparkSession | None = No
     rows = [(i + 1, n, *[n in frames[k].columns for k in labels]) for i, n in enumerate(names)]
     session = spark or next(iter(frames.values())).sparkSession
     schema = "position INT, column_name STRING, " + ", ".join(f"in_{k} BOOLEAN" for k in labels)
-    return session.createDataFrame(rows, schema)
+    out = session.createDataFrame(rows, schema)
+    if not with_counts:
+        return out
+    for k in labels:
+        df = frames[k]
+        wide = df.agg(*[F.count(_c(c)).alias(f"_{i}") for i, c in enumerate(df.columns)])
+        counts = _long_form(wide, df.columns, [], f"n_{k}")
+        out = out.join(counts, "column_name", "left")
+    return out.select("position", "column_name", *[f"in_{k}" for k in labels], *[f"n_{k}" for k in labels])
 
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:

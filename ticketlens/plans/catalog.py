@@ -302,7 +302,7 @@ QUERIES: dict[str, QueryFn] = {
     # rows-only (no oracle)
     "sample_rows": lambda s, d: profile.sample_rows(T(s, d), 0.01, seed=42),
     "schema_profile": lambda s, d: profile.schema_profile(T(s, d), examples=True),
-    "schema_diff": lambda s, d: profile.schema_diff(_years(s, d)),
+    "schema_diff": lambda s, d: profile.schema_diff(_years(s, d), with_counts=True),
 }
 
 
@@ -711,7 +711,24 @@ ORACLE["csv_scan"] = TW + (
 )
 ORACLE["clean_sink"] = TW + "SELECT * FROM tickets"
 
-ROWS_ONLY = ("sample_rows", "schema_profile", "schema_diff")
+_TICKET_COLUMNS = (
+    "summons_number issue_date fiscal_year violation_code issuer_precinct violation_precinct "
+    "vehicle_body_type vehicle_make registration_state house_number street_name intersecting_street amount"
+).split()
+_YEAR_FRAMES = {"a": "fiscal_year <= 1997", "b": "fiscal_year >= 1998 AND fiscal_year <= 1999", "c": "fiscal_year >= 2000"}
+ORACLE["schema_diff"] = TW + " UNION ALL ".join(
+    f"SELECT CAST({i + 1} AS INT) AS position, '{c}' AS column_name, "
+    + ", ".join(f"{'false' if (k == 'c' and c == 'amount') else 'true'} AS in_{k}" for k in _YEAR_FRAMES)
+    + ", "
+    + ", ".join(
+        (f"CAST(NULL AS BIGINT) AS n_{k}" if (k == "c" and c == "amount") else f"count({c}) FILTER (WHERE {cond}) AS n_{k}")
+        for k, cond in _YEAR_FRAMES.items()
+    )
+    + " FROM tickets"
+    for i, c in enumerate(_TICKET_COLUMNS)
+)
+
+ROWS_ONLY = ("sample_rows", "schema_profile")
 
 # --------------------------------------------------------------------------
 # Portable output columns
@@ -740,6 +757,7 @@ NULLABLE_INT_COLUMNS = {
     "parse_clock_time_additive": ["minute_of_day"],
     "ticket_cube": ["fiscal_year", "violation_code", "violation_precinct", "issuer_precinct"],
     "time_cube": ["fiscal_year"],
+    "schema_diff": ["n_c"],
 }
 
 
