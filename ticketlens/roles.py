@@ -7,7 +7,7 @@ the same roles.  ``Roles`` bundles the names the questions need.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,6 @@ class Roles:
     minute_of_day: str = "minute_of_day"
     time_of_day: str = "time_of_day"
     season: str = "season"
-    extra: dict[str, str] = field(default_factory=dict)
 
 
 DEFAULT_ROLES = Roles()
