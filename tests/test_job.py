@@ -21,7 +21,7 @@ def test_job_writes_clean_profile_and_results(spark, tmp_dir):
     )
     written = run(spark, args)
     assert "clean" in written and "profile/duplicates_2015" in written
-    assert {"results/top5_code", "results/revenue_rollup", "results/rank_list_bin"} <= set(written)
+    assert {"results/top5_code", "results/revenue_rollup", "results/rank_list_bin", "charts/revenue"} <= set(written)
     per_year = {r.fiscal_year: r.n_tickets for r in spark.read.parquet(written["results/tickets_per_year"]).collect()}
     assert per_year == {2015: 2, 2017: 2}
     busiest = [r.issuer_precinct for r in spark.read.parquet(written["results/global_top_precincts"]).collect()]

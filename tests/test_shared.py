@@ -56,3 +56,16 @@ def test_shared_scan_reads_each_table_once(spark):
     plan = plan_text(ticket_cube(t).df)
     assert plan.count("lineitem.parquet") == 1
     assert "Expand" in plan
+
+
+def test_chart_tables_cover_every_chart(both):
+    from ticketlens.plans.report import chart_tables
+
+    direct, _ = both
+    charts = chart_tables(direct)
+    assert len(charts) == 11
+    for name, df in charts.items():
+        assert {"x", "y", "fill", "facet_col"} <= set(df.columns), name
+        assert dict(df.dtypes)["x"] == "string"
+    row = charts["codes_per_bin"].collect()[0]
+    assert row.facet_row is not None and row.facet_col is not None

@@ -7,7 +7,8 @@
 
 Writes ``<out>/clean`` (Parquet partitioned by fiscal year), ``<out>/profile/<name>``
 (duplicates, NULL counts, schema difference per raw year) and
-``<out>/results/<question>`` for every question.  ``--clean <path>`` skips the
+``<out>/results/<question>`` for every question and ``<out>/charts/<chart>``
+for the data behind each chart.  ``--clean <path>`` skips the
 cleaning and runs the questions on an existing cleaned table.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import SparkSession
 
 from ticketlens.functions.clock import ADDITIVE, CLOCK
 from ticketlens.operators.revenue import fines_from_averages
-from ticketlens.plans.report import case_study, clean_files, profile_files
+from ticketlens.plans.report import case_study, chart_tables, clean_files, profile_files
 from ticketlens.session import apply_scale, build_session
 from ticketlens.sources.csv import read_years
 from ticketlens.sources.sink import read_clean
@@ -94,6 +95,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         path = os.path.join(args.out, "results", name)
         df.write.mode("overwrite").parquet(path)
         written[f"results/{name}"] = path
+    for name, df in chart_tables(plans).items():
+        path = os.path.join(args.out, "charts", name)
+        df.write.mode("overwrite").parquet(path)
+        written[f"charts/{name}"] = path
     return written
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ticketlens.functions.clock import CLOCK
 from ticketlens.operators.clean import clean_year, combine_years
+from ticketlens.operators.compare import facet_frame
 from ticketlens.operators.profile import duplicate_report, null_profile, schema_diff
 from ticketlens.plans import questions as q
 from ticketlens.roles import DEFAULT_ROLES, Roles
@@ -126,3 +127,28 @@ def case_study(
             }
         )
     return out
+
+
+def chart_tables(results: Mapping[str, DataFrame], r: Roles = DEFAULT_ROLES) -> dict[str, DataFrame]:
+    """Long, chart-ready tables for the eleven bar charts of the analysis
+    (x as text, y, fill, facet row / column), from ``case_study`` results.
+    Drawing is left to the client; these are the data behind each chart."""
+    y = r.year
+    specs = {
+        "codes": ("top5_code", r.code, "frequency", None),
+        "body_types": ("top5_body", r.body, "frequency", None),
+        "makes": ("top5_make", r.make, "frequency", None),
+        "violation_precincts": ("top5_viol_precinct", r.violation_precinct, "frequency", None),
+        "issuer_precincts": ("top5_issuer_precinct", r.issuer_precinct, "frequency", None),
+        "codes_per_precinct": ("top5_code_per_precinct", r.code, "frequency", r.issuer_precinct),
+        "codes_per_bin": ("top3_code_per_bin", r.code, "frequency", r.time_of_day),
+        "bins_per_code": ("top5_bin_per_code", r.time_of_day, "frequency", r.code),
+        "seasons": ("tickets_per_season", r.season, "frequency", None),
+        "codes_per_season": ("top3_code_per_season", r.code, "frequency", r.season),
+        "revenue": ("revenue", r.code, "revenue", None),
+    }
+    return {
+        name: facet_frame(results[key], x=x, y=value, fill=x, facet_row=row, facet_col=y)
+        for name, (key, x, value, row) in specs.items()
+        if key in results
+    }
