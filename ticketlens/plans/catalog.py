@@ -180,6 +180,18 @@ def _clean_sink(spark: SparkSession, sf: str) -> DataFrame:
     return read_clean(spark, path)
 
 
+def _month_histogram_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The check the histogram exists for: months of the parsed issue dates
+    per raw file year, before the fiscal filter, so months outside each
+    file's fiscal year show up."""
+    raw = raw_tickets(spark, sf).select("file_year", parse_date("issue_date").alias("issue_date"))
+    return (
+        raw.groupBy("file_year", F.year("issue_date").alias("year"), F.month("issue_date").alias("month"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy("file_year", "year", "month")
+    )
+
+
 def _tt(spark: SparkSession, sf: str) -> DataFrame:
     return ticket_times(spark, sf)
 
@@ -223,6 +235,7 @@ QUERIES: dict[str, QueryFn] = {
     "clean_sink": _clean_sink,
     "view_sql": _sql_view,
     "month_histogram_sql": _month_histogram_sql,
+    "month_histogram_raw": _month_histogram_raw,
     # examine the data
     "tickets_per_year": lambda s, d: q.tickets_per_year(T(s, d)),
     "unique_states": lambda s, d: q.unique_states(T(s, d)),
@@ -704,6 +717,11 @@ ORACLE["time_cube"] = XW + (
     "GROUP BY GROUPING SETS ((), (violation_code), (fiscal_year, time_of_day, violation_code))"
 )
 
+ORACLE["month_histogram_raw"] = _with(RAW_CTE) + (
+    "SELECT file_year, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, count(*) AS n FROM "
+    "(SELECT file_year, CAST(try_strptime(issue_date, '%m/%d/%Y') AS DATE) AS d FROM raw) x "
+    "GROUP BY 1, 2, 3 ORDER BY 1, 2, 3"
+)
 ORACLE["csv_scan"] = TW + (
     "SELECT summons_number, registration_state, strftime(issue_date, '%m/%d/%Y') AS issue_date, violation_code, "
     "vehicle_body_type, vehicle_make, CAST(violation_precinct AS INT) AS violation_precinct, "
