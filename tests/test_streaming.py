@@ -59,3 +59,21 @@ def test_file_without_year_in_name_keeps_its_rows(spark, tmp_dir):
     ingest(spark, src, table, checkpoint_location=os.path.join(tmp_dir, "ckpt")).awaitTermination(120)
     got = rows(spark.read.parquet(table), "fiscal_year", "summons_number")
     assert got == [(2015, 1), (2016, 2)]
+
+
+def test_short_year_layout_lands_with_missing_columns_null(spark, tmp_dir):
+    """A 43-column year (the last eight columns absent) read by the stream's
+    51-column schema: the absent columns are NULL, the rows are kept."""
+    from test_sources import SHORT_HEADER
+
+    src = os.path.join(tmp_dir, "landing")
+    os.makedirs(src)
+    table = os.path.join(tmp_dir, "table")
+    write_csv(
+        os.path.join(src, "violations_Fiscal_Year_2017.csv"),
+        SHORT_HEADER,
+        [_record(43, 10, "07/01/2016", 21, 0, "1203A"), _record(43, 11, "1/15/2017", 36, 0, "0100P")],
+    )
+    ingest(spark, src, table, checkpoint_location=os.path.join(tmp_dir, "ckpt")).awaitTermination(120)
+    got = rows(spark.read.parquet(table), "fiscal_year", "summons_number", "violation_code", "violation_time")
+    assert got == [(2017, 10, 21, "1203A"), (2017, 11, 36, "0100P")]
