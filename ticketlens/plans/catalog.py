@@ -746,7 +746,21 @@ ORACLE["schema_diff"] = TW + " UNION ALL ".join(
     for i, c in enumerate(_TICKET_COLUMNS)
 )
 
-ROWS_ONLY = ("sample_rows", "schema_profile")
+# Spark type names of the tickets view's columns (what ``schema_profile``
+# must report); the example is each column's smallest value as text.
+_TICKET_TYPES = dict(
+    summons_number="bigint", issue_date="date", fiscal_year="int", violation_code="int",
+    issuer_precinct="bigint", violation_precinct="bigint", vehicle_body_type="string", vehicle_make="string",
+    registration_state="string", house_number="string", street_name="string", intersecting_street="string",
+    amount="double",
+)
+ORACLE["schema_profile"] = TW + " UNION ALL ".join(
+    f"SELECT CAST({i + 1} AS INT) AS position, '{c}' AS column_name, '{_TICKET_TYPES[c]}' AS data_type, "
+    f"true AS nullable, CAST(min({c}) AS VARCHAR) AS example FROM tickets"
+    for i, c in enumerate(_TICKET_COLUMNS)
+)
+
+ROWS_ONLY = ("sample_rows",)
 
 # --------------------------------------------------------------------------
 # Portable output columns
