@@ -42,7 +42,7 @@ SEED_FLOOR = 10
 SEED_SHARE = 0.0005
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, 1, 1
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 400_000
 FILTER_BITS = 22
 BROADCAST_SEEDS = 500_000
 BROADCAST_CHARS = 16_000_000

@@ -38,7 +38,7 @@ from ticketlens.llm.common import ready_workers, slices
 ORDER = 4
 SAMPLE = 500
 SAMPLE_CHARS = 20_000
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 400_000
 UNDETERMINED = "und"
 RESULT_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")

@@ -49,7 +49,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 40
 ROWS = 6
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 400_000
 SIGNATURE_SCHEMA = "doc_id long, digest binary, weight double, bands array<long>"
 
 _U = np.uint64

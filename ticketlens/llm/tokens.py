@@ -35,8 +35,8 @@ from ticketlens.llm.words import span_hashes, spans
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 SEGMENT_TOKENS = 4_000_000
-BLOCK_BYTES = 2_000_000
-CACHE_WORDS = 1_000_000
+BLOCK_BYTES = 400_000
+CACHE_WORDS = 300_000
 
 MANIFEST_SCHEMA = "file string, part int, seq int, n_docs long, n_tokens long"
 DOCS_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long"

@@ -70,3 +70,7 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     for j in range(size):
         out = out * np.uint64(0x9E6C63D0876A9A47) + words[j : n - size + 1 + j]
     return mix64(out)
+
+
+NOT_ALNUM = np.ones(256, dtype=bool)
+NOT_ALNUM[0x30:0x3A] = NOT_ALNUM[0x41:0x5B] = NOT_ALNUM[0x61:0x7B] = NOT_ALNUM[0x80:] = False
