@@ -1,12 +1,17 @@
-"""Registered queries of the operators: production parameters over whole tables."""
+"""Registered queries of the operators: production parameters over whole tables.
+
+``ORACLE`` has DuckDB SQL where SQL can express the result; the other queries
+are held against brute force in the tests.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketlens.llm import decontaminate, language, mixing, neardup, tokens
+from ticketlens.llm import decontaminate, language, licenses, mixing, neardup, pages, personal, tokens, topk, toxicity
 from ticketlens.llm.common import table
 
 
@@ -30,12 +35,63 @@ def op4_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
 
+def op5_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return personal.personal_data(docs, personal.train(docs))
+
+
+def op6_tiled_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity and flag of every document; ``labels.toxic`` gives the grades."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), F.col("toxic"))
+    return toxicity.grade_documents(docs, model)
+
+
+def op8_page_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op9_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in the documents."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a benchmark item."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_dart_minhash, op2_token_codes, op3_ppm_language, op4_budget_mix, op10_seed_alignment)
+    f.__name__: f
+    for f in (
+        op1_dart_minhash, op2_token_codes, op3_ppm_language, op4_budget_mix, op5_bilstm_crf,
+        op6_tiled_topk, op7_ordinal_toxicity, op8_page_difference, op9_patience_licenses, op10_seed_alignment,
+    )
+}
+
+ORACLE: dict[str, str] = {
+    "op6_tiled_topk": """
+        WITH fit AS (
+            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+            FROM fit q JOIN fit c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
 }
-ORACLE: dict[str, str] = {}
