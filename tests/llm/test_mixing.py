@@ -1,0 +1,85 @@
+"""Mixing: subset sums against brute force, targets against the stepwise rule, edge rows."""
+
+import itertools
+
+import numpy as np
+from llm_fixtures import SMALL_SF, edge_docs, edge_rows, no_docs  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ticketlens.llm.mixing import fit_budget, mix_table, mixed_rows
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 12), st.integers(1, 3), min_size=1, max_size=5), st.integers(0, 60))
+def test_budget_is_fitted_as_well_as_any_choice(counted, budget):
+    lengths, counts = np.array(list(counted)), np.array(list(counted.values()))
+    take = fit_budget(lengths, counts, budget, 1)
+    assert (take >= 0).all() and (take <= counts).all()
+    start = [int(c) * budget // int((lengths * counts).sum()) for c in counts]
+    if budget >= (lengths * counts).sum():
+        start = counts.tolist()
+    # the best over the choices that keep the proportional part
+    options = itertools.product(*[range(s, c + 1) for s, c in zip(start, counts)])
+    best = max(s for o in options if (s := int((lengths * np.array(o)).sum())) <= budget or o == tuple(start))
+    assert int((lengths * take).sum()) == best
+
+
+def test_large_budgets_go_through_the_seeded_part():
+    rs = np.random.RandomState(0)
+    lengths, counts = np.unique(rs.randint(1, 20_000, 3000), return_counts=True)
+    budget = int((lengths * counts).sum() * 0.37)
+    take = fit_budget(lengths, counts, budget, 3, dp_words=2000)
+    assert 0 <= budget - int((take * lengths).sum()) <= 2
+    assert (take == fit_budget(lengths, counts, budget, 3, dp_words=2000)).all()
+
+
+def stepwise(sizes: list[int], weights=(5, 2, 1), cap=3) -> list[float]:
+    w = [weights[i % 3] for i in range(len(sizes))]
+    stopped: dict[int, float] = {}
+    while True:
+        left = sum(sizes) - sum(stopped.values())
+        free = [i for i in range(len(sizes)) if i not in stopped]
+        share = {i: left * w[i] / sum(w[j] for j in free) for i in free}
+        over = [i for i in free if share[i] > cap * sizes[i]]
+        if not over:
+            return [stopped.get(i, share.get(i)) for i in range(len(sizes))]
+        stopped |= {i: float(cap * sizes[i]) for i in over}
+
+
+def _check(rows, texts):
+    sources = sorted({texts[r["doc_id"]][1] for r in rows}, key=lambda s: (s is None, s or ""))
+    totals = [sum(r["size"] for r in rows if texts[r["doc_id"]][1] == s) for s in sources]
+    for s, total, target in zip(sources, totals, stepwise(totals)):
+        own = [r for r in rows if texts[r["doc_id"]][1] == s]
+        assert {r["source_size"] for r in own} == {total}
+        assert all(abs(r["target"] - target) <= 1e-6 * max(1, target) for r in own)
+        assert abs(sum(r["taken"] for r in own) - target) <= max([r["size"] for r in own] + [1])
+        assert all(r["taken"] <= 3 * r["size"] and (r["size"] == 0 or r["taken"] % r["size"] == 0) for r in own)
+
+
+def test_mix_of_the_documents(spark):
+    docs = spark.read.parquet(f"{SMALL_SF}/documents.parquet")
+    texts = {r["doc_id"]: (r["text"], r["source"]) for r in docs.collect()}
+    rows = mix_table(docs).collect()
+    assert all(r["size"] == len(texts[r["doc_id"]][0].split()) for r in rows)
+    _check(rows, texts)
+    again = mix_table(docs.repartition(7)).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
+
+
+def test_a_capped_source(spark):
+    rows = [(1, "a " * 1000, "s1"), (2, "b", "s0"), (3, "c " * 10, "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    _check(mix_table(docs).collect(), {r[0]: r[1:] for r in rows})
+
+
+def test_edge_rows(edge_docs, edge_rows, no_docs):
+    rows = mix_table(edge_docs).collect()
+    assert len(rows) == len(edge_rows)
+    assert all(r["taken"] == 0 for r in rows if r["size"] == 0)
+    _check(rows, {r[0]: (r[1], r[3]) for r in edge_rows})
+    mixed = mixed_rows(edge_docs)
+    assert mixed.columns == edge_docs.columns
+    assert mixed.count() == sum(r["taken"] // r["size"] for r in rows if r["size"])
+    assert mix_table(no_docs).collect() == [] and mixed_rows(no_docs).collect() == []

@@ -1,0 +1,120 @@
+"""DartMinHash: the estimate, independence of the rank limit, classes against brute force, edge rows."""
+
+import itertools
+
+import numpy as np
+import pytest
+from llm_fixtures import SMALL_SF, edge_docs, edge_rows, no_docs, prose  # noqa: F401
+from pyspark.sql import functions as F
+
+from ticketlens.llm import neardup
+from ticketlens.llm.graph import components
+from ticketlens.llm.neardup import keep_one_each, near_duplicates, signature, similarity
+from ticketlens.llm.words import word_hashes
+
+
+def _set(rs, n, common):
+    e = np.concatenate([common, rs.randint(1, 2**62, n).astype(np.uint64)])
+    w = rs.choice([0.25, 0.5, 1.0, 2.0, 3.5], len(e))
+    order = np.argsort(e)
+    return e[order], w[order]
+
+
+def test_signatures_agree_as_often_as_the_sets_are_similar():
+    rs = np.random.RandomState(0)
+    common = rs.randint(1, 2**62, 120).astype(np.uint64)
+    a, b = _set(rs, 40, common), _set(rs, 60, common)
+    agree = np.mean([(signature(*a, 128, s) == signature(*b, 128, s)).mean() for s in range(30)])
+    assert abs(agree - similarity(a, b)) < 0.03
+
+
+def test_signature_does_not_depend_on_how_far_darts_are_thrown(monkeypatch):
+    rs = np.random.RandomState(1)
+    e, w = _set(rs, 50, np.zeros(0, np.uint64))
+    want = signature(e, w, 64)
+    real = neardup.darts
+    monkeypatch.setattr(neardup, "darts", lambda e, w, rank, seed=0: real(e, w, 3.7 * rank, seed))
+    assert (signature(e, w, 64) == want).all()
+    order = rs.permutation(len(e))
+    assert (signature(e[order], w[order], 64) == want).all()
+    with pytest.raises(ValueError):
+        signature(e, np.zeros(len(e)), 64)
+
+
+def test_word_hashes_split_as_the_definition_says():
+    texts = ["", "  A b\tc\x0bd ", "é x y", "a B C D", "b"]
+    h, at = word_hashes(texts)
+    assert np.diff(at).tolist() == [0, 4, 3, 4, 1]
+    assert h[at[1] : at[2]].tolist() == h[at[3] : at[4]].tolist()
+    assert h[at[4]] == h[at[1] + 1]
+
+
+def classes(texts: dict, threshold=0.8) -> dict:
+    sets = {}
+    for i, t in texts.items():
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    parent = {i: i for i in texts}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and both >= threshold * (len(sets[a]) + len(sets[b]) - both) - 1e-12:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {i: root(i) for i in texts}
+
+
+def test_classes_of_the_documents(spark):
+    docs = spark.read.parquet(f"{SMALL_SF}/documents.parquet")
+    want = classes({r["doc_id"]: r["text"] for r in docs.collect()})
+    assert {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()} == want
+
+
+def test_chains_and_stars_of_near_copies(spark):
+    base = prose(5, 120).split()
+    rows = [(1000, " ".join(base))]
+    for i in range(40):  # each changes one word of the base; pairs of them are less alike
+        w = list(base)
+        w[(3 * i) % 120] = f"star{i}"
+        rows.append((i, " ".join(w)))
+    chain = prose(6, 100).split()
+    for i in range(12):  # each changes one word of the one before
+        chain = list(chain)
+        chain[8 * i] = f"link{i}"
+        rows.append((200 + i, " ".join(chain)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()} == classes(dict(rows))
+
+
+def test_count_weights(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f " * 30)], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs, weights="count").collect()}
+    assert got == {1: 1, 2: 2}
+
+
+def test_components_of_a_path_and_a_star(spark):
+    pairs = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(30)}}
+
+
+def test_edge_rows(edge_docs, edge_rows, no_docs):
+    got = [(r["doc_id"], r["class_id"]) for r in near_duplicates(edge_docs).collect()]
+    assert len(got) == len(edge_rows)
+    want = classes({r[0]: r[1] for r in edge_rows if r[0] is not None})
+    assert all(c == (None if d is None else want[d]) for d, c in got)
+    kept = keep_one_each(edge_docs)
+    assert kept.columns == edge_docs.columns
+    ids = sorted((r["doc_id"] for r in kept.select("doc_id").collect()), key=lambda d: (d is not None, d))
+    assert ids == [None] + sorted(d for d, c in want.items() if d == c)
+    assert near_duplicates(no_docs).collect() == [] and keep_one_each(no_docs).collect() == []
+
+
+def test_result_does_not_depend_on_partitions(edge_docs):
+    a, b = (sorted(map(str, near_duplicates(d).collect())) for d in (edge_docs, edge_docs.repartition(5, F.rand(1))))
+    assert a == b

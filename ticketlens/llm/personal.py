@@ -54,7 +54,8 @@ RESULT_SCHEMA = (
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+DIGITS = re.compile(r"[0-9]+")
+IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ANCHOR = re.compile(r"[0-9@]|[(\[]at[)\]]")
@@ -85,6 +86,15 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, end))
 
 
+def _ips(text: str) -> Iterator[tuple[int, int]]:
+    """As the pattern finds them; a run of digits is tried from its beginning only."""
+    end = 0
+    for run in DIGITS.finditer(text):
+        if run.start() >= end and (found := IP.match(text, run.start())):
+            yield found.span()
+            end = found.end()
+
+
 def _octet(part: str) -> bool:
     part = part.lstrip("0")
     return len(part) < 4 and int(part or 0) <= 255
@@ -94,7 +104,7 @@ def base_spans(text: str) -> list[Span]:
     """Base spans in order of start, then kind."""
     out: list[tuple[int, int, int]] = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
     if DIGIT.search(text):
-        out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(map(_octet, m.group().split(".")))]
+        out += [(a, 1, b) for a, b in _ips(text) if all(map(_octet, text[a:b].split(".")))]
         for m in CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")
             if 14 <= len(digits) <= 19 and luhn(digits):
