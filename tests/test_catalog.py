@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB oracle, and the driver contract."""
 
+import re
 import pytest
 
 from conftest import SMALL_SF
@@ -24,8 +25,9 @@ def test_contract_keys():
     qs = entry_mod.queries()
     oracle = entry_mod.oracle_sql()
     assert set(oracle) <= set(qs)
-    assert set(qs) - set(oracle) == set(ROWS_ONLY)
-    assert set(ORACLE) == set(oracle)
+    ours = {k for k in qs if not re.match(r"op[0-9]+_|pipeline$", k)}
+    assert ours - set(oracle) == set(ROWS_ONLY)
+    assert set(ORACLE) == {k for k in oracle if k in ours}
 
 
 def test_entry_runs(spark):

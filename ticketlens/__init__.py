@@ -5,7 +5,6 @@ Layout:
   functions/  column expressions: dates, fiscal years, clock text, labels
   operators/  profiling, cleaning, frequencies, top-N, comparison, revenue
   plans/      the case-study questions and the registered query catalog
-  streaming/  incremental ingest of newly arriving yearly files
 """
 
 from ticketlens.roles import DEFAULT_ROLES, Roles

@@ -7,7 +7,7 @@ date, label the fiscal year, keep only rows dated inside it.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,9 +62,13 @@ def clean_year(
     date_text: str = "issue_date",
     date_format: str = "M/d/yyyy",
     year_name: str = "fiscal_year",
+    cast: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Raw yearly records to clean ones.
 
+    ``cast`` types the columns of a text frame after the copies are removed,
+    so two records that differ only in text their types cannot hold stay two.
+
     ``fiscal_year`` is the file's year: an int for one file, or a column
     name/expression when several files are cleaned in one pass (the file
     year then takes part in the dedupe key, so copies are only looked for
@@ -77,6 +81,8 @@ def clean_year(
         expr = F.col(fiscal_year) if isinstance(fiscal_year, str) else fiscal_year
         out = out.withColumn("__file_year", expr)
     out = dedupe(out)
+    if cast is not None:
+        out = cast(out)
     if keep is not None:
         cols = raw.columns[:keep] if isinstance(keep, int) else list(keep)
         out = out.select(*cols, *(["__file_year"] if per_row else []))

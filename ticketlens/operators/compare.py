@@ -25,20 +25,26 @@ def pivot_years(
     """One row per item, one column per year (``fy_2015``, ...).
 
     Without ``value`` the cells are row counts (0 where a year has none);
-    with ``value`` they are sums of that column (NULL where absent).  Give
-    ``years`` to skip the extra job Spark runs to find the distinct years.
+    with ``value`` they are sums of that column (NULL where absent).  Without
+    ``years`` the years are those of the data (Spark runs a job to find
+    them); with ``years`` there is no such job, and rows of any other year
+    (NULL included) go to one more column, ``<prefix>other``.
     """
-    grouped = df.groupBy(*_names(item)).pivot(year, list(years) if years is not None else None)
-    if value is None:
-        wide = grouped.agg(F.count(F.lit(1)))
-    else:
-        wide = grouped.agg(F.sum(value))
+    keys = _names(item)
+    cell = F.count(F.lit(1)) if value is None else F.sum(value)
+    if years is not None:
+        inside = F.coalesce(F.col(year).isin(list(years)), F.lit(False))
+        cells = [(str(y), F.col(year) == y) for y in years] + [("other", ~inside)]
+        one = F.lit(1) if value is None else F.col(value)
+        each = [(F.count if value is None else F.sum)(F.when(where, one)).alias(f"{prefix}{n}") for n, where in cells]
+        return df.groupBy(*keys).agg(*each)
+    wide = df.groupBy(*keys).pivot(year).agg(cell)
     out = wide
     for c in wide.columns:
-        if c in _names(item):
+        if c in keys:
             continue
-        cell = F.coalesce(F.col(f"`{c}`"), F.lit(0)) if value is None else F.col(f"`{c}`")
-        out = out.withColumn(f"{prefix}{c}", cell).drop(c)
+        filled = F.coalesce(F.col(f"`{c}`"), F.lit(0)) if value is None else F.col(f"`{c}`")
+        out = out.withColumn(f"{prefix}{c}", filled).drop(c)
     return out
 
 
@@ -49,14 +55,15 @@ def yoy(
     partition: str | Sequence[str] | None = None,
     prefix: str = "",
 ) -> DataFrame:
-    """Change on the previous year: ``prev_<value>``, ``change_<value>`` and
-    ``pct_change_<value>`` (DOUBLE, percent, 6 decimals).
+    """Change on the year before: ``prev_<value>``, ``change_<value>`` and
+    ``pct_change_<value>`` (DOUBLE, percent, 6 decimals); NULL where the year
+    before has no row.
 
     Meant for yearly totals; without ``partition`` the window sees every row
     in one task, which is a handful of years.
     """
     w = Window.partitionBy(*_names(partition)).orderBy(year)
-    prev = F.lag(value).over(w)
+    prev = F.when(F.lag(year).over(w) == F.col(year) - 1, F.lag(value).over(w))
     name = prefix or value
     return (
         df.withColumn(f"prev_{name}", prev)
@@ -80,7 +87,8 @@ def common_items(
     """Items present in every facet of their group (an N-way INTERSECT).
 
     ``ranked`` is typically a top-N table with one row per
-    (group, facet, item); the facets counted are those the group has.
+    (group, facet, item); the facets counted are those the group has.  Rows
+    without a facet (NULL) are in no facet and are left out.
     One exchange on the group keys: the facet count per group comes from a
     dense rank over facets (no self-join, no collected sets), and the
     per-item count reuses that partitioning.
@@ -88,7 +96,7 @@ def common_items(
     keys = _names(by)
     w_order = Window.partitionBy(*keys).orderBy(F.col(facet))
     w_all = Window.partitionBy(*keys)
-    counted = ranked.select(*keys, item, facet).withColumn(
+    counted = ranked.where(F.col(facet).isNotNull()).select(*keys, item, facet).withColumn(
         "_facet_no", F.dense_rank().over(w_order)
     ).withColumn("_n_facets", F.max("_facet_no").over(w_all))
     per_item = counted.groupBy(*keys, item).agg(

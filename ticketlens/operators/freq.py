@@ -27,6 +27,13 @@ def _names(cols: str | Sequence[str] | None) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _none_null(cols: Sequence[str]) -> Column:
+    cond = F.col(cols[0]).isNotNull()
+    for c in cols[1:]:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
 def frequency(
     df: DataFrame,
     by: str | Sequence[str] | None,
@@ -37,9 +44,9 @@ def frequency(
 ) -> DataFrame:
     """Count per ``by + item`` group.
 
-    ``count_nulls=False`` counts the item column itself, so the NULL item
-    group gets frequency 0 (``count(col)``); ``True`` counts rows
-    (``count(*)``) and the NULL group gets its real size.  ``exclude``
+    ``count_nulls=False`` counts the item columns themselves, so a group with
+    a NULL item gets frequency 0 (``count(col)``); ``True`` counts rows
+    (``count(*)``) and such a group gets its real size.  ``exclude``
     drops placeholder item values (e.g. precinct 0) before counting; the
     filter sits under the aggregate, so it reaches the scan.
     """
@@ -47,10 +54,7 @@ def frequency(
     keys = _names(by) + items
     if exclude:
         df = df.where(~F.col(items[0]).isin(list(exclude)) | F.col(items[0]).isNull())
-    if count_nulls or len(items) != 1:
-        counter = F.count(F.lit(1))
-    else:
-        counter = F.count(F.col(items[0]))
+    counter = F.count(F.lit(1)) if count_nulls else F.count_if(_none_null(items)).cast("long")
     return df.groupBy(*keys).agg(counter.alias(name))
 
 

@@ -1,7 +1,8 @@
 """Join helpers with an explicit rule for when a side may be broadcast.
 
 A side is hinted for broadcast only when its row count has a bound known
-from how it was built (a literal table, a ``limit(k)`` result).  Any other
+from how it was built (a literal table, a ``limit(k)`` result) or counted
+(``counted_small_side``).  Any other
 side is left to the planner: it broadcasts from the measured size below
 ``spark.sql.autoBroadcastJoinThreshold`` (re-checked at run time by AQE) and
 falls back to a shuffle join above it.
@@ -27,6 +28,14 @@ def small_side(df: DataFrame, row_bound: int | None) -> DataFrame:
     return df
 
 
+def counted_small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if counting says it has at most ``max_rows`` rows, else ``df``.
+
+    The count reads at most one row more than the bound.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def restrict_to(
     facts: DataFrame,
     keys: DataFrame,

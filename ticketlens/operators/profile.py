@@ -139,6 +139,16 @@ def missing_count(df: DataFrame, column: str, name: str = "n_missing") -> DataFr
     return df.agg(F.count_if(_c(column).isNull()).cast("long").alias(name))
 
 
-def sample_rows(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
-    """Bernoulli sample without replacement (seeded, so re-runs agree)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float = 0.01, seed: int = 42, key: str | Sequence[str] | None = None) -> DataFrame:
+    """Rows whose key's seeded hash falls into the first ``fraction`` of all hashes.
+
+    The choice depends on the key (default: the whole row) and the seed only,
+    so it is the same however the rows are partitioned; rows with equal keys
+    are taken or left together.
+    """
+    keys = [key] if isinstance(key, str) else list(key or df.columns)
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(_c(k).cast("string"), F.lit("")) for k in keys])
+    if fraction >= 1:
+        return df
+    bound = format(max(0, int(fraction * 2**32)), "08x")
+    return df.where(F.substring(F.md5(text), 1, 8) < bound)

@@ -82,10 +82,10 @@ def revenue(
     fines_rows: int | None = None,
     name: str = "revenue",
 ) -> DataFrame:
-    """Frequency x average fine, as DOUBLE (unknown fine -> 0)."""
+    """Frequency x average fine, as DECIMAL(38,2) (unknown fine -> 0)."""
     joined = fines_join(freq, fines, code, fines_rows)
     money = (F.col(count) * F.coalesce(F.col("average_fine"), F.lit(Decimal("0.00")))).cast("decimal(38,2)")
-    return joined.withColumn(name, money.cast("double"))
+    return joined.withColumn(name, money)
 
 
 def revenue_rollup(

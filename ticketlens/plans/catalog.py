@@ -17,10 +17,18 @@ from pyspark.sql import functions as F
 from ticketlens.functions.clock import ADDITIVE, CLOCK, clock_string, clock_timestamp, hour_of
 from ticketlens.functions.dates import parse_date
 from ticketlens.operators import clean, profile
+from ticketlens.operators.compare import facet_frame
 from ticketlens.operators.revenue import average_fine, fines_frame
 from ticketlens.operators.joins import lookup
 from ticketlens.plans import questions as q
-from ticketlens.sources.tables import raw_tickets, read_table, ticket_times, tickets
+from ticketlens.sources.tables import (
+    LINE_COLUMNS,
+    TICKET_COLUMNS,
+    raw_tickets,
+    read_table,
+    ticket_times,
+    tickets,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +37,11 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # view the given list is three of its event types.
 GIVEN_PRECINCTS = (0, 19, 14)
 GIVEN_EVENT_CODES = ("click", "error", "view")
-PIVOT_YEARS = tuple(range(1995, 2003))
+PIVOT_YEARS = tuple(range(1995, 2001))  # tickets of other years are counted in fy_other
+GIVEN_FISCAL_YEAR = 1997
+# large enough that some code is common to all seasons (bins) of a year
+COMMON_CODES_N = 20
+COMMON_TYPES_N = 4
 # Fines for the test mapping, built from a rule over codes 1..50:
 # high = 2*code + 10, low = 2*code (average 2*code + 5); code 36 has no
 # published fine; code 99 has a fine but never occurs.
@@ -47,11 +59,13 @@ def mapping_fines(spark: SparkSession) -> tuple[DataFrame, int]:
 
 
 def _money(df: DataFrame) -> DataFrame:
-    return df.withColumn("average_fine", F.col("average_fine").cast("double"))
+    """DECIMAL columns as DOUBLE, the last step of every money answer."""
+    decimals = [f.name for f in df.schema.fields if f.dataType.typeName() == "decimal"]
+    return df.withColumns({c: F.col(c).cast("double") for c in decimals})
 
 
 def _years(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    t = tickets(spark, sf)
+    t = tickets(spark, sf, LINE_COLUMNS)
     fy = F.col("fiscal_year")
     return {
         "a": t.where(fy <= 1997),
@@ -60,10 +74,6 @@ def _years(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def _dup_input(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag")
-
-
 def _date_text(spark: SparkSession, sf: str) -> DataFrame:
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     text = (
@@ -145,30 +155,37 @@ def _scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{kind}-{uuid.uuid4().hex[:12]}")
 
 
-# Ticket columns written into the raw 51-column CSV layout by ``csv_scan``.
+# Ticket columns written into the raw CSV layouts by ``csv_scan``; every other
+# column is filled from the summons number by a rule.
 CSV_COLUMNS = (
     "summons_number registration_state issue_date violation_code vehicle_body_type vehicle_make "
     "violation_precinct issuer_precinct house_number street_name intersecting_street"
 ).split()
+SHORT_LAYOUT = 43
 
 
 def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """The CSV reader on data derived from the driver's tables: the tickets
-    view is written in the raw 51-column layout (header row, dates as
-    ``MM/dd/yyyy`` text, empty fields for the columns it lacks) and read back
-    with the explicit schema and snake_case names."""
-    from ticketlens.sources.csv import RAW_COLUMNS, read_year, snake_case
+    """The CSV reader on data derived from the driver's tables: tickets of
+    even fiscal years are written with all 51 raw columns, those of odd years
+    with 43 in another order (header rows, dates as ``MM/dd/yyyy`` text), and
+    both are read in one go, each file by its own header."""
+    from ticketlens.sources.csv import RAW_COLUMNS, column_type, read_year, snake_case
 
     t = tickets(spark, sf).withColumn("issue_date", F.date_format("issue_date", "MM/dd/yyyy"))
-    raw = t.select(
-        *[
-            (F.col(snake_case(n)).cast("string") if snake_case(n) in CSV_COLUMNS else F.lit(None).cast("string")).alias(n)
-            for n, _ in RAW_COLUMNS
-        ]
-    )
+
+    def field(i: int, name: str):
+        own = snake_case(name)
+        if own in CSV_COLUMNS:
+            return F.col(own).cast("string").alias(name)
+        rest = (F.col("summons_number") % (i + 2)).cast("string")
+        return (rest if column_type(own).typeName() == "integer" else F.concat(F.lit("v"), rest)).alias(name)
+
+    full = [field(i, name) for i, (name, _) in enumerate(RAW_COLUMNS)]
     path = _scratch_path(spark, "csv")
-    raw.write.option("header", "true").csv(path)
-    return read_year(spark, path).select(*CSV_COLUMNS)
+    t.where(F.col("fiscal_year") % 2 == 0).select(*full).write.option("header", "true").csv(f"{path}/even")
+    short = full[:SHORT_LAYOUT][::-1]
+    t.where(F.col("fiscal_year") % 2 == 1).select(*short).write.option("header", "true").csv(f"{path}/odd")
+    return read_year(spark, [f"{path}/even", f"{path}/odd"]).select(*[snake_case(name) for name, _ in RAW_COLUMNS])
 
 
 def _clean_sink(spark: SparkSession, sf: str) -> DataFrame:
@@ -192,23 +209,48 @@ def _month_histogram_raw(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _late(spark: SparkSession, sf: str) -> DataFrame:
+    """The event view with some clock texts in 24-hour form (hours above 12,
+    with and without the letter), which only the additive arithmetic reads."""
+    t = ticket_times(spark, sf)
+    hour24 = F.date_format("ts", "HHmm")
+    return t.withColumn(
+        "violation_time",
+        F.when(F.col("event_id") % 11 == 0, hour24)
+        .when(F.col("event_id") % 13 == 0, F.concat(hour24, F.lit("A")))
+        .otherwise(F.col("violation_time")),
+    )
+
+
 def _tt(spark: SparkSession, sf: str) -> DataFrame:
     return ticket_times(spark, sf)
 
 
 T = tickets
 
+
+def _lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The tickets view's columns that lineitem alone holds: one scan, no join."""
+    return tickets(spark, sf, LINE_COLUMNS)
+
+
+def _with_column(name: str):
+    return lambda s, d: tickets(s, d, (*LINE_COLUMNS, name))
+
+
+L = _lines
+
 QUERIES: dict[str, QueryFn] = {
     # profiling
-    "row_count": lambda s, d: profile.row_count(T(s, d)),
-    "duplicate_report": lambda s, d: profile.duplicate_report(_dup_input(s, d)),
-    "dedupe": lambda s, d: clean.dedupe(_dup_input(s, d)),
+    "row_count": lambda s, d: profile.row_count(L(s, d)),
+    "duplicate_report": lambda s, d: profile.duplicate_report(raw_tickets(s, d)),
+    "dedupe": lambda s, d: clean.dedupe(raw_tickets(s, d)),
     "null_profile": lambda s, d: profile.null_profile(T(s, d)),
     "drop_empty_columns": lambda s, d: profile.drop_empty_columns(
         T(s, d).withColumn("no_standing_or_stopping_violation", F.lit(None).cast("string"))
     ),
-    "first_columns": lambda s, d: clean.first_columns(T(s, d), 5),
-    "month_histogram": lambda s, d: profile.month_histogram(T(s, d), "issue_date"),
+    "first_columns": lambda s, d: clean.first_columns(L(s, d), 5),
+    "month_histogram": lambda s, d: profile.month_histogram(L(s, d), "issue_date"),
     "parse_issue_date": lambda s, d: _date_text(s, d).withColumn(
         "issue_date", parse_date("issue_date_text")
     ),
@@ -225,6 +267,13 @@ QUERIES: dict[str, QueryFn] = {
             parse_date("issue_date").alias("issue_date"),
         )
     ),
+    "fiscal_filter_range": lambda s, d: clean.fiscal_filter(
+        read_table(s, d, "lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("summons_number"),
+            F.col("l_shipdate").cast("date").alias("issue_date"),
+        ),
+        year=GIVEN_FISCAL_YEAR,
+    ),
     "clean_year": lambda s, d: clean.clean_year(
         raw_tickets(s, d),
         "file_year",
@@ -237,49 +286,49 @@ QUERIES: dict[str, QueryFn] = {
     "month_histogram_sql": _month_histogram_sql,
     "month_histogram_raw": _month_histogram_raw,
     # examine the data
-    "tickets_per_year": lambda s, d: q.tickets_per_year(T(s, d)),
-    "unique_states": lambda s, d: q.unique_states(T(s, d)),
-    "missing_address_3": lambda s, d: q.missing_address(T(s, d)),
-    "missing_address_2": lambda s, d: q.missing_address(T(s, d), columns=q.R.street_address),
+    "tickets_per_year": lambda s, d: q.tickets_per_year(L(s, d)),
+    "unique_states": lambda s, d: q.unique_states(_with_column("registration_state")(s, d)),
+    "missing_address_3": lambda s, d: q.missing_address(_with_column("intersecting_street")(s, d)),
+    "missing_address_2": lambda s, d: q.missing_address(L(s, d), columns=q.R.street_address),
     # frequencies
-    "freq_code": lambda s, d: q.item_frequency(T(s, d), "violation_code"),
-    "freq_body": lambda s, d: q.item_frequency(T(s, d), "vehicle_body_type"),
-    "freq_make": lambda s, d: q.item_frequency(T(s, d), "vehicle_make"),
-    "freq_viol_precinct": lambda s, d: q.item_frequency(T(s, d), "violation_precinct"),
-    "freq_issuer_precinct": lambda s, d: q.item_frequency(T(s, d), "issuer_precinct"),
-    "freq_code_star": lambda s, d: q.item_frequency(T(s, d), "violation_code", count_nulls=True),
-    "top5_code": lambda s, d: q.top_items_per_year(T(s, d), "violation_code", 5),
-    "top5_body": lambda s, d: q.top_items_per_year(T(s, d), "vehicle_body_type", 5),
-    "top5_make": lambda s, d: q.top_items_per_year(T(s, d), "vehicle_make", 5),
-    "top5_viol_precinct": lambda s, d: q.top_items_per_year(T(s, d), "violation_precinct", 5),
-    "top5_issuer_precinct": lambda s, d: q.top_items_per_year(T(s, d), "issuer_precinct", 5),
-    "top4_code": lambda s, d: q.top_codes_by_tickets(T(s, d), 4),
+    "freq_code": lambda s, d: q.item_frequency(L(s, d), "violation_code"),
+    "freq_body": lambda s, d: q.item_frequency(_with_column("vehicle_body_type")(s, d), "vehicle_body_type"),
+    "freq_make": lambda s, d: q.item_frequency(_with_column("vehicle_make")(s, d), "vehicle_make"),
+    "freq_viol_precinct": lambda s, d: q.item_frequency(L(s, d), "violation_precinct"),
+    "freq_issuer_precinct": lambda s, d: q.item_frequency(L(s, d), "issuer_precinct"),
+    "freq_code_star": lambda s, d: q.item_frequency(L(s, d), "violation_code", count_nulls=True),
+    "top5_code": lambda s, d: q.top_items_per_year(L(s, d), "violation_code", 5),
+    "top5_body": lambda s, d: q.top_items_per_year(_with_column("vehicle_body_type")(s, d), "vehicle_body_type", 5),
+    "top5_make": lambda s, d: q.top_items_per_year(_with_column("vehicle_make")(s, d), "vehicle_make", 5),
+    "top5_viol_precinct": lambda s, d: q.top_items_per_year(L(s, d), "violation_precinct", 5),
+    "top5_issuer_precinct": lambda s, d: q.top_items_per_year(L(s, d), "issuer_precinct", 5),
+    "top4_code": lambda s, d: q.top_codes_by_tickets(L(s, d), 4),
     # busy precincts
-    "global_top_precincts": lambda s, d: q.busiest_precincts(T(s, d), 3),
-    "precinct_code_freq": lambda s, d: q.precinct_code_freq(T(s, d), GIVEN_PRECINCTS),
-    "precinct_code_freq_derived": lambda s, d: q.precinct_code_freq_derived(T(s, d), 3),
-    "top5_code_per_precinct": lambda s, d: q.top_codes_per_precinct(T(s, d), 5, 3),
-    "common_codes": lambda s, d: q.common_codes_precincts(T(s, d), 5, 3),
-    "precinct_code_lift": lambda s, d: q.precinct_code_lift(T(s, d), 3),
-    "rank_list_precinct": lambda s, d: q.rank_list_precinct(T(s, d), 5, 3),
+    "global_top_precincts": lambda s, d: q.busiest_precincts(L(s, d), 3),
+    "precinct_code_freq": lambda s, d: q.precinct_code_freq(L(s, d), GIVEN_PRECINCTS),
+    "precinct_code_freq_derived": lambda s, d: q.precinct_code_freq_derived(L(s, d), 3),
+    "top5_code_per_precinct": lambda s, d: q.top_codes_per_precinct(L(s, d), 5, 3),
+    "common_codes": lambda s, d: q.common_codes_precincts(L(s, d), 5, 3),
+    "precinct_code_lift": lambda s, d: q.precinct_code_lift(L(s, d), 3),
+    "rank_list_precinct": lambda s, d: q.rank_list_precinct(L(s, d), 5, 3),
     # seasons
-    "season_label": lambda s, d: q.with_season(T(s, d)).select("summons_number", "issue_date", "season"),
-    "tickets_per_season": lambda s, d: q.tickets_per_season(T(s, d)),
-    "freq_season_code": lambda s, d: q.freq_season_code(T(s, d)),
-    "top3_code_per_season": lambda s, d: q.top_codes_per_season(T(s, d), 3),
-    "rank_list_season": lambda s, d: q.rank_list_season(T(s, d), 3),
-    "common_codes_seasons": lambda s, d: q.common_codes_seasons(T(s, d), 3),
+    "season_label": lambda s, d: q.with_season(L(s, d)).select("summons_number", "issue_date", "season"),
+    "tickets_per_season": lambda s, d: q.tickets_per_season(L(s, d)),
+    "freq_season_code": lambda s, d: q.freq_season_code(L(s, d)),
+    "top3_code_per_season": lambda s, d: q.top_codes_per_season(L(s, d), 3),
+    "rank_list_season": lambda s, d: q.rank_list_season(L(s, d), 3),
+    "common_codes_seasons": lambda s, d: q.common_codes_seasons(L(s, d), COMMON_CODES_N),
     # fines and revenue
     "fines_table": _fines_table,
     "average_fine": lambda s, d: _average_fine(s, d),
-    "fines_join": lambda s, d: _money(q.code_fines(T(s, d), *_fines_args(s))),
-    "revenue": lambda s, d: _money(q.code_revenue(T(s, d), *_fines_args(s))),
-    "revenue_rollup": lambda s, d: q.revenue_by_year(T(s, d), *_fines_args(s)),
-    "top_revenue_code": lambda s, d: q.best_revenue_code(T(s, d), *_fines_args(s)),
-    "yoy_revenue": lambda s, d: q.revenue_change(T(s, d), *_fines_args(s)),
-    "yoy_tickets": lambda s, d: q.tickets_change(T(s, d)),
-    "pivot_years": lambda s, d: q.codes_by_year(T(s, d), PIVOT_YEARS),
-    "facet_frame": lambda s, d: q.chart_top_codes(T(s, d), 5),
+    "fines_join": lambda s, d: _money(q.code_fines(L(s, d), *_fines_args(s))),
+    "revenue": lambda s, d: _money(q.code_revenue(L(s, d), *_fines_args(s))),
+    "revenue_rollup": lambda s, d: _money(q.revenue_by_year(L(s, d), *_fines_args(s))),
+    "top_revenue_code": lambda s, d: _money(q.best_revenue_code(L(s, d), *_fines_args(s))),
+    "yoy_revenue": lambda s, d: _money(q.revenue_change(L(s, d), *_fines_args(s))),
+    "yoy_tickets": lambda s, d: q.tickets_change(L(s, d)),
+    "pivot_years": lambda s, d: q.codes_by_year(L(s, d), PIVOT_YEARS),
+    "facet_frame": lambda s, d: q.chart_top_codes(L(s, d), 5),
     # clock time (event view)
     "fill_time": lambda s, d: q.with_clock(_tt(s, d)).select("event_id", "violation_time"),
     "parse_clock_time": lambda s, d: q.with_clock(_tt(s, d), mode=CLOCK).select(
@@ -308,12 +357,21 @@ QUERIES: dict[str, QueryFn] = {
     "top5_bin_per_code": lambda s, d: q.top_bins_per_code(_tt(s, d), 5, 3),
     "rank_list_bin": lambda s, d: q.rank_list_bin(_tt(s, d), 3),
     "rank_list_code": lambda s, d: q.rank_list_code(_tt(s, d), 5, 3),
-    "common_codes_bins": lambda s, d: q.common_codes_bins(_tt(s, d), 3),
+    "common_codes_bins": lambda s, d: q.common_codes_bins(_tt(s, d), COMMON_TYPES_N),
+    # the same questions with the additive clock arithmetic (hours above 12 kept)
+    "missing_time_count_additive": lambda s, d: q.missing_time_count(_late(s, d), mode=ADDITIVE),
+    "time_bin_additive": lambda s, d: q.binned(_late(s, d), mode=ADDITIVE).select(
+        "event_id", hour_of("minute_of_day").alias("hour"), "time_of_day"
+    ),
+    "freq_bin_code_additive": lambda s, d: q.freq_bin_code(_late(s, d), mode=ADDITIVE),
+    "top3_code_per_bin_additive": lambda s, d: q.top_codes_per_bin(_late(s, d), 3, mode=ADDITIVE),
+    "top5_bin_per_code_additive": lambda s, d: q.top_bins_per_code(_late(s, d), 5, 3, mode=ADDITIVE),
+    "rank_list_bin_additive": lambda s, d: q.rank_list_bin(_late(s, d), 3, mode=ADDITIVE),
+    "rank_list_code_additive": lambda s, d: q.rank_list_code(_late(s, d), 5, 3, mode=ADDITIVE),
     # shared scan: every count from one GROUPING SETS aggregate per table
     "ticket_cube": _ticket_cube,
     "time_cube": _time_cube,
-    # rows-only (no oracle)
-    "sample_rows": lambda s, d: profile.sample_rows(T(s, d), 0.01, seed=42),
+    "sample_rows": lambda s, d: profile.sample_rows(L(s, d), 0.01, key="summons_number"),
     "schema_profile": lambda s, d: profile.schema_profile(T(s, d), examples=True),
     "schema_diff": lambda s, d: profile.schema_diff(_years(s, d), with_counts=True),
 }
@@ -351,9 +409,33 @@ TICKETS_CTE = f"""tickets AS (
   JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
-TIMES_CTE = """raw_times AS (
+_BIN_SQL = " ".join(
+    ["CASE"]
+    + [
+        f"WHEN floor(minute_of_day / 60) >= {lo} AND floor(minute_of_day / 60) < {lo + 4} THEN '{label}'"
+        for lo, label in ((2, "Early Morning"), (6, "Morning"), (10, "Afternoon"), (14, "Evening"), (18, "Night"))
+    ]
+    + ["ELSE 'Late Night' END"]
+)
+
+_CLOCK_MINUTES = (
+    "CASE WHEN regexp_full_match(violation_time, '[0-9]{4}[AP]') AND hh <= 12 AND mm <= 59 "
+    "THEN CAST(((hh % 12) + CASE WHEN ap = 'P' THEN 12 ELSE 0 END) * 60 + mm AS INT) END"
+)
+_ADDITIVE_MINUTES = (
+    "CASE WHEN regexp_full_match(violation_time, '[0-9]{4}[AP]?') AND hh <= 23 AND mm <= 59 "
+    "THEN CAST(((hh + CASE WHEN ap = 'P' THEN 12 ELSE 0 END) % 24) * 60 + mm AS INT) END"
+)
+_LATE_TEXT = (
+    "WHEN event_id % 11 = 0 THEN strftime(ts, '%H%M') "
+    "WHEN event_id % 13 = 0 THEN concat(strftime(ts, '%H%M'), 'A') "
+)
+
+
+def _times_cte(minutes: str, late: str = "") -> str:
+    return f"""raw_times AS (
   SELECT event_id, CAST(2015 + user_id % 3 AS INT) AS fiscal_year, event_type AS violation_code, ts,
-         CASE WHEN event_id % 97 = 0 THEN NULL
+         CASE {late}WHEN event_id % 97 = 0 THEN NULL
               WHEN event_id % 89 = 0 THEN '8752A'
               ELSE concat(strftime(ts, '%I%M'), substr(strftime(ts, '%p'), 1, 1)) END AS violation_time,
          CASE WHEN event_id % 2 = 0 THEN 'ALL' ELSE '0800A' END AS from_hours_in_effect
@@ -372,23 +454,19 @@ pieces AS (
 ),
 clocked AS (
   SELECT event_id, fiscal_year, violation_code, ts, violation_time, from_hours_in_effect,
-         CASE WHEN regexp_full_match(violation_time, '[0-9]{4}[AP]') AND hh <= 12 AND mm <= 59
-              THEN CAST(((hh % 12) + CASE WHEN ap = 'P' THEN 12 ELSE 0 END) * 60 + mm AS INT) END AS minute_of_day,
-         CASE WHEN regexp_full_match(violation_time, '[0-9]{4}[AP]?') AND hh <= 23 AND mm <= 59
-              THEN CAST(((hh + CASE WHEN ap = 'P' THEN 12 ELSE 0 END) % 24) * 60 + mm AS INT) END AS minute_of_day_additive
+         {minutes} AS minute_of_day, {_ADDITIVE_MINUTES} AS minute_of_day_additive
   FROM pieces
 ),
 binned AS (
   SELECT *, CAST(floor(minute_of_day / 60) AS INT) AS hour,
-         CASE WHEN floor(minute_of_day / 60) >= 2 AND floor(minute_of_day / 60) < 6 THEN 'Early Morning'
-              WHEN floor(minute_of_day / 60) >= 6 AND floor(minute_of_day / 60) < 10 THEN 'Morning'
-              WHEN floor(minute_of_day / 60) >= 10 AND floor(minute_of_day / 60) < 14 THEN 'Afternoon'
-              WHEN floor(minute_of_day / 60) >= 14 AND floor(minute_of_day / 60) < 18 THEN 'Evening'
-              WHEN floor(minute_of_day / 60) >= 18 AND floor(minute_of_day / 60) < 22 THEN 'Night'
-              ELSE 'Late Night' END AS time_of_day
+         {_BIN_SQL} AS time_of_day
   FROM clocked WHERE minute_of_day IS NOT NULL
 )"""
 
+
+TIMES_CTE = _times_cte(_CLOCK_MINUTES)
+LATE_CTE = _times_cte(_ADDITIVE_MINUTES, _LATE_TEXT)
+
 RAW_CTE = f"""raw AS (
   SELECT {_FY.format(d='l.l_shipdate')} AS file_year,
          o.o_orderkey AS summons_number,
@@ -423,6 +501,7 @@ def _with(*ctes: str) -> str:
 
 TW = _with(TICKETS_CTE)
 XW = _with(TIMES_CTE)
+AW = _with(LATE_CTE)
 
 
 def _freq_sql(item: str, star: bool = False, where: str = "") -> str:
@@ -510,23 +589,18 @@ def _rank_list_sql(top: str, by: str, label: str) -> str:
     )
 
 
-_NULL_PROFILE_COLS = (
-    "summons_number issue_date fiscal_year violation_code issuer_precinct violation_precinct "
-    "vehicle_body_type vehicle_make registration_state house_number street_name intersecting_street amount"
-).split()
-
 ORACLE: dict[str, str] = {
     "row_count": TW + "SELECT count(*) AS n_rows FROM tickets",
-    "duplicate_report": (
-        "SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS distinct_rows, "
-        "CAST(sum(n) - count(*) AS BIGINT) AS duplicates FROM "
-        "(SELECT l_suppkey, l_linenumber, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL) g"
-    ),
-    "dedupe": "SELECT DISTINCT l_suppkey, l_linenumber, l_returnflag FROM lineitem",
+    "duplicate_report": _with(RAW_CTE)
+    + "SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS distinct_rows, "
+    "CAST(sum(n) - count(*) AS BIGINT) AS duplicates FROM "
+    "(SELECT file_year, summons_number, registration_state, plate_type, issue_date, street_name, "
+    "no_standing_or_stopping_violation, count(*) AS n FROM raw GROUP BY ALL) g",
+    "dedupe": _with(RAW_CTE) + "SELECT DISTINCT * FROM raw",
     "null_profile": TW
     + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_null, count(*) AS n_rows FROM tickets"
-        for c in _NULL_PROFILE_COLS
+        for c in TICKET_COLUMNS
     ),
     "drop_empty_columns": TW + "SELECT * FROM tickets",
     "first_columns": TW
@@ -549,6 +623,10 @@ ORACLE: dict[str, str] = {
     + "SELECT fiscal_year, summons_number, issue_date FROM (SELECT file_year AS fiscal_year, summons_number, "
     "CAST(try_strptime(issue_date, '%m/%d/%Y') AS DATE) AS issue_date FROM raw) x "
     "WHERE issue_date >= make_date(fiscal_year - 1, 7, 1) AND issue_date < make_date(fiscal_year, 7, 1)",
+    "fiscal_filter_range": (
+        "SELECT l_orderkey * 10 + l_linenumber AS summons_number, CAST(l_shipdate AS DATE) AS issue_date FROM lineitem "
+        f"WHERE l_shipdate >= DATE '{GIVEN_FISCAL_YEAR - 1}-07-01' AND l_shipdate < DATE '{GIVEN_FISCAL_YEAR}-07-01'"
+    ),
     "clean_year": _with(RAW_CTE)
     + "SELECT summons_number, registration_state, plate_type, issue_date, street_name, fiscal_year FROM ("
     "SELECT summons_number, registration_state, plate_type, "
@@ -556,7 +634,7 @@ ORACLE: dict[str, str] = {
     "FROM (SELECT DISTINCT * FROM raw) d) x "
     "WHERE issue_date >= make_date(fiscal_year - 1, 7, 1) AND issue_date < make_date(fiscal_year, 7, 1)",
     "combine_years": TW
-    + "SELECT * REPLACE (CASE WHEN fiscal_year >= 2000 THEN NULL ELSE amount END AS amount) FROM tickets",
+    + f"SELECT {', '.join(LINE_COLUMNS[:-1])}, CASE WHEN fiscal_year >= 2000 THEN NULL ELSE amount END AS amount FROM tickets",
     "view_sql": TW
     + "SELECT fiscal_year, count(summons_number) AS n_tickets FROM tickets GROUP BY fiscal_year",
     "month_histogram_sql": TW
@@ -621,7 +699,7 @@ ORACLE: dict[str, str] = {
     "top3_code_per_season": TW + _TOP3_PER_SEASON,
     "rank_list_season": TW
     + _rank_list_sql(_TOP3_PER_SEASON, "fiscal_year, season", "CASE WHEN length(CAST(violation_code AS VARCHAR)) < 2 THEN lpad(CAST(violation_code AS VARCHAR), 2, '0') ELSE CAST(violation_code AS VARCHAR) END"),
-    "common_codes_seasons": TW + _common_sql(_TOP3_PER_SEASON, "season"),
+    "common_codes_seasons": TW + _common_sql(_top_sql(_SEASON_FREQ, "fiscal_year, season", COMMON_CODES_N), "season"),
     "fines_table": RW
     + "SELECT c.violation_code, CAST(f.fine_high AS DOUBLE) AS fine_high, CAST(f.fine_low AS DOUBLE) AS fine_low "
     "FROM (SELECT DISTINCT violation_code FROM tickets) c LEFT JOIN fines f ON c.violation_code = f.code",
@@ -643,16 +721,17 @@ ORACLE: dict[str, str] = {
     "yoy_revenue": RW
     + "SELECT fiscal_year, total_revenue, prev_total_revenue, total_revenue - prev_total_revenue AS change_total_revenue, "
     "round((total_revenue - prev_total_revenue) * 100.0 / prev_total_revenue, 6) AS pct_change_total_revenue FROM ("
-    "SELECT fiscal_year, total_revenue, lag(total_revenue) OVER (ORDER BY fiscal_year) AS prev_total_revenue FROM ("
+    "SELECT fiscal_year, total_revenue, CASE WHEN lag(fiscal_year) OVER (ORDER BY fiscal_year) = fiscal_year - 1 THEN lag(total_revenue) OVER (ORDER BY fiscal_year) END AS prev_total_revenue FROM ("
     f"SELECT fiscal_year, sum(revenue) AS total_revenue FROM ({_REVENUE}) r GROUP BY fiscal_year) y) z",
     "yoy_tickets": TW
     + "SELECT fiscal_year, n_tickets, prev_n_tickets, n_tickets - prev_n_tickets AS change_n_tickets, "
     "round(CAST(n_tickets - prev_n_tickets AS DOUBLE) * 100.0 / CAST(prev_n_tickets AS DOUBLE), 6) AS pct_change_n_tickets FROM ("
-    "SELECT fiscal_year, n_tickets, lag(n_tickets) OVER (ORDER BY fiscal_year) AS prev_n_tickets FROM ("
+    "SELECT fiscal_year, n_tickets, CASE WHEN lag(fiscal_year) OVER (ORDER BY fiscal_year) = fiscal_year - 1 THEN lag(n_tickets) OVER (ORDER BY fiscal_year) END AS prev_n_tickets FROM ("
     "SELECT fiscal_year, count(summons_number) AS n_tickets FROM tickets GROUP BY fiscal_year) y) z",
     "pivot_years": TW
     + "SELECT violation_code, "
     + ", ".join(f"count(*) FILTER (WHERE fiscal_year = {y}) AS fy_{y}" for y in PIVOT_YEARS)
+    + f", count(*) FILTER (WHERE fiscal_year IS NULL OR fiscal_year NOT IN ({', '.join(map(str, PIVOT_YEARS))})) AS fy_other"
     + " FROM tickets GROUP BY violation_code",
     "facet_frame": TW
     + "SELECT CAST(violation_code AS VARCHAR) AS x, frequency AS y, CAST(violation_code AS VARCHAR) AS fill, "
@@ -687,9 +766,25 @@ ORACLE: dict[str, str] = {
     + _rank_list_sql(
         f"SELECT *, {_INITIALS} AS initials FROM ({_TOP5_BIN_PER_CODE}) b", "fiscal_year, violation_code", "initials"
     ),
-    "common_codes_bins": XW + _common_sql(_TOP3_PER_BIN, "time_of_day"),
+    "common_codes_bins": XW + _common_sql(_top_sql(_BIN_FREQ, "fiscal_year, time_of_day", COMMON_TYPES_N), "time_of_day"),
 }
 
+for _name, _sql in {
+    "missing_time_count_additive": ORACLE["missing_time_count"],
+    "time_bin_additive": ORACLE["time_bin"],
+    "freq_bin_code_additive": ORACLE["freq_bin_code"],
+    "top3_code_per_bin_additive": ORACLE["top3_code_per_bin"],
+    "top5_bin_per_code_additive": ORACLE["top5_bin_per_code"],
+    "rank_list_bin_additive": ORACLE["rank_list_bin"],
+    "rank_list_code_additive": ORACLE["rank_list_code"],
+}.items():
+    ORACLE[_name] = AW + _sql.removeprefix(XW)
+
+ORACLE["sample_rows"] = TW + (
+    f"SELECT {', '.join(LINE_COLUMNS)} FROM tickets "
+    f"WHERE substr(md5('42|' || CAST(summons_number AS VARCHAR)), 1, 8) < '{int(0.01 * 2**32):08x}'"
+)
+
 ORACLE["ticket_cube"] = TW + (
     "SELECT fiscal_year, registration_state, violation_code, vehicle_body_type, vehicle_make, violation_precinct, "
     "issuer_precinct, season, count(*) AS n_rows, count(summons_number) AS n_summons, "
@@ -707,13 +802,7 @@ ORACLE["time_cube"] = XW + (
     "SELECT violation_code, fiscal_year, time_of_day, count(*) FILTER (WHERE minute_of_day IS NOT NULL) AS n_rows, "
     "count(*) FILTER (WHERE minute_of_day IS NULL) AS n_missing_time, "
     "CAST(GROUPING(violation_code, fiscal_year, time_of_day) AS BIGINT) AS set_id FROM ("
-    "SELECT *, CASE WHEN minute_of_day IS NULL THEN NULL "
-    "WHEN floor(minute_of_day / 60) >= 2 AND floor(minute_of_day / 60) < 6 THEN 'Early Morning' "
-    "WHEN floor(minute_of_day / 60) >= 6 AND floor(minute_of_day / 60) < 10 THEN 'Morning' "
-    "WHEN floor(minute_of_day / 60) >= 10 AND floor(minute_of_day / 60) < 14 THEN 'Afternoon' "
-    "WHEN floor(minute_of_day / 60) >= 14 AND floor(minute_of_day / 60) < 18 THEN 'Evening' "
-    "WHEN floor(minute_of_day / 60) >= 18 AND floor(minute_of_day / 60) < 22 THEN 'Night' "
-    "ELSE 'Late Night' END AS time_of_day FROM clocked) c "
+    f"SELECT *, CASE WHEN minute_of_day IS NOT NULL THEN {_BIN_SQL} END AS time_of_day FROM clocked) c "
     "GROUP BY GROUPING SETS ((), (violation_code), (fiscal_year, time_of_day, violation_code))"
 )
 
@@ -722,17 +811,30 @@ ORACLE["month_histogram_raw"] = _with(RAW_CTE) + (
     "(SELECT file_year, CAST(try_strptime(issue_date, '%m/%d/%Y') AS DATE) AS d FROM raw) x "
     "GROUP BY 1, 2, 3 ORDER BY 1, 2, 3"
 )
-ORACLE["csv_scan"] = TW + (
-    "SELECT summons_number, registration_state, strftime(issue_date, '%m/%d/%Y') AS issue_date, violation_code, "
-    "vehicle_body_type, vehicle_make, CAST(violation_precinct AS INT) AS violation_precinct, "
-    "CAST(issuer_precinct AS INT) AS issuer_precinct, house_number, street_name, intersecting_street FROM tickets"
-)
+
+
+def _csv_sql() -> str:
+    from ticketlens.sources.csv import RAW_COLUMNS, column_type, snake_case
+
+    cells = []
+    for i, (name, _) in enumerate(RAW_COLUMNS):
+        own = snake_case(name)
+        integer = column_type(own).typeName() == "integer"
+        if own == "issue_date":
+            value = "strftime(issue_date, '%m/%d/%Y')"
+        elif own in CSV_COLUMNS:
+            value = f"CAST({own} AS INT)" if integer else own
+        else:
+            value = f"CAST(summons_number % {i + 2} AS INT)" if integer else f"concat('v', summons_number % {i + 2})"
+        if i >= SHORT_LAYOUT:
+            value = f"CASE WHEN fiscal_year % 2 = 0 THEN {value} END"
+        cells.append(f"{value} AS {own}")
+    return TW + f"SELECT {', '.join(cells)} FROM tickets"
+
+
+ORACLE["csv_scan"] = _csv_sql()
 ORACLE["clean_sink"] = TW + "SELECT * FROM tickets"
 
-_TICKET_COLUMNS = (
-    "summons_number issue_date fiscal_year violation_code issuer_precinct violation_precinct "
-    "vehicle_body_type vehicle_make registration_state house_number street_name intersecting_street amount"
-).split()
 _YEAR_FRAMES = {"a": "fiscal_year <= 1997", "b": "fiscal_year >= 1998 AND fiscal_year <= 1999", "c": "fiscal_year >= 2000"}
 ORACLE["schema_diff"] = TW + " UNION ALL ".join(
     f"SELECT CAST({i + 1} AS INT) AS position, '{c}' AS column_name, "
@@ -743,7 +845,7 @@ ORACLE["schema_diff"] = TW + " UNION ALL ".join(
         for k, cond in _YEAR_FRAMES.items()
     )
     + " FROM tickets"
-    for i, c in enumerate(_TICKET_COLUMNS)
+    for i, c in enumerate(LINE_COLUMNS)
 )
 
 # Spark type names of the tickets view's columns (what ``schema_profile``
@@ -757,10 +859,43 @@ _TICKET_TYPES = dict(
 ORACLE["schema_profile"] = TW + " UNION ALL ".join(
     f"SELECT CAST({i + 1} AS INT) AS position, '{c}' AS column_name, '{_TICKET_TYPES[c]}' AS data_type, "
     f"true AS nullable, CAST(min({c}) AS VARCHAR) AS example FROM tickets"
-    for i, c in enumerate(_TICKET_COLUMNS)
+    for i, c in enumerate(TICKET_COLUMNS)
 )
 
-ROWS_ONLY = ("sample_rows",)
+ROWS_ONLY: tuple[str, ...] = ()
+
+# The data behind the eleven charts: (question, x, y, facet row).
+CHARTS = {
+    "chart_codes": ("top5_code", "violation_code", "frequency", None),
+    "chart_body_types": ("top5_body", "vehicle_body_type", "frequency", None),
+    "chart_makes": ("top5_make", "vehicle_make", "frequency", None),
+    "chart_violation_precincts": ("top5_viol_precinct", "violation_precinct", "frequency", None),
+    "chart_issuer_precincts": ("top5_issuer_precinct", "issuer_precinct", "frequency", None),
+    "chart_codes_per_precinct": ("top5_code_per_precinct", "violation_code", "frequency", "issuer_precinct"),
+    "chart_codes_per_bin": ("top3_code_per_bin", "violation_code", "frequency", "time_of_day"),
+    "chart_bins_per_code": ("top5_bin_per_code", "time_of_day", "frequency", "violation_code"),
+    "chart_seasons": ("tickets_per_season", "season", "frequency", None),
+    "chart_codes_per_season": ("top3_code_per_season", "violation_code", "frequency", "season"),
+    "chart_revenue": ("revenue", "violation_code", "revenue", None),
+}
+
+
+def _chart(question: str, x: str, y: str, row: str | None) -> QueryFn:
+    fn = QUERIES[question]
+    return lambda s, d: facet_frame(fn(s, d), x=x, y=y, fill=x, facet_row=row, facet_col="fiscal_year")
+
+
+def _chart_sql(question: str, x: str, y: str, row: str | None) -> str:
+    facet = f"{row} AS facet_row, " if row else ""
+    return (
+        f"SELECT CAST({x} AS VARCHAR) AS x, {y} AS y, CAST({x} AS VARCHAR) AS fill, {facet}fiscal_year AS facet_col "
+        f"FROM (\n{ORACLE[question]}\n) t"
+    )
+
+
+for _name, _spec in CHARTS.items():
+    QUERIES[_name] = _chart(*_spec)
+    ORACLE[_name] = _chart_sql(*_spec)
 
 # --------------------------------------------------------------------------
 # Portable output columns
@@ -780,6 +915,8 @@ DATE_COLUMNS = {
     "clean_year": ["issue_date"],
     "combine_years": ["issue_date"],
     "season_label": ["issue_date"],
+    "fiscal_filter_range": ["issue_date"],
+    "sample_rows": ["issue_date"],
     "clean_sink": ["issue_date"],
 }
 NULLABLE_INT_COLUMNS = {

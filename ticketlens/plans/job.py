@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 from ticketlens.functions.clock import ADDITIVE, CLOCK
 from ticketlens.operators.revenue import fines_from_averages
 from ticketlens.plans.report import case_study, chart_tables, clean_files, profile_files
-from ticketlens.session import apply_scale, build_session
+from ticketlens.session import apply_scale, build_session, input_bytes
 from ticketlens.sources.csv import read_years
 from ticketlens.sources.sink import read_clean
 
@@ -56,24 +56,23 @@ def parse_args(argv: Sequence[str]) -> argparse.Namespace:
         help="skip the raw-file profile (its duplicate report shuffles every raw column once more)",
     )
     p.add_argument("--shared-scan", action="store_true", help="answer all questions from one scan per table")
-    p.add_argument("--input-gb", type=float, help="raw input size; sizes shuffle partitions and input splits")
+    p.add_argument("--input-gb", type=float, help="raw input size, if it should not be measured; sizes shuffle partitions")
     return p.parse_args(list(argv))
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
     """Run the analysis; return ``{name: output path}``."""
     written: dict[str, str] = {}
-    if args.input_gb:
-        apply_scale(spark, int(args.input_gb * 1024**3))
     if args.clean:
         t = read_clean(spark, args.clean)
     else:
         paths = _pairs(args.year, "year")
         if not paths:
             raise SystemExit("give --year FY=PATH at least once, or --clean PATH")
+        apply_scale(spark, int(args.input_gb * 1024**3) if args.input_gb else input_bytes(spark, paths.values()))
         headers = {k: (v or "detect") for k, v in _pairs(args.header, "header").items()}
         if not args.skip_profile:
-            for name, df in profile_files(read_years(spark, paths, headers)).items():
+            for name, df in profile_files(read_years(spark, paths, headers, as_text=True)).items():
                 path = os.path.join(args.out, "profile", name)
                 df.write.mode("overwrite").parquet(path)
                 written[f"profile/{name}"] = path
@@ -95,7 +94,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
         path = os.path.join(args.out, "results", name)
         df.write.mode("overwrite").parquet(path)
         written[f"results/{name}"] = path
-    for name, df in chart_tables(plans).items():
+    answers = {name: spark.read.parquet(written[f"results/{name}"]) for name in plans}
+    for name, df in chart_tables(answers).items():
         path = os.path.join(args.out, "charts", name)
         df.write.mode("overwrite").parquet(path)
         written[f"charts/{name}"] = path

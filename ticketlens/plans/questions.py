@@ -11,14 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions.clock import CLOCK, fill_time, hour_of, minute_of_day
 from ticketlens.functions.labels import bin_initials, season_label, time_bin
 from ticketlens.operators.compare import common_items, facet_frame, pivot_years, share_lift, yoy
 from ticketlens.operators.freq import frequency, rank_list, top_n, top_n_per_group
-from ticketlens.operators.joins import restrict_to
+from ticketlens.operators.joins import lookup, restrict_to
 from ticketlens.operators.profile import missing_count
 from ticketlens.operators.revenue import (
     fines_join,
@@ -100,9 +100,33 @@ def precinct_code_freq_derived(
 ) -> DataFrame:
     """Same, for the ``n_precincts`` busiest precincts found in the data
     (``exclude`` keeps placeholder precincts out of that ranking)."""
-    keys = busiest_precincts(t, n_precincts, r, exclude).select(r.issuer_precinct)
-    sub = restrict_to(t, keys, r.issuer_precinct, row_bound=n_precincts)
-    return frequency(sub, [r.year, r.issuer_precinct], r.code)
+    counts = _precinct_code_counts(t.where(F.col(r.issuer_precinct).isNotNull()), r)
+    keys = _busiest_of(counts, n_precincts, r, exclude)
+    kept = lookup(counts, keys, r.issuer_precinct, row_bound=n_precincts)
+    return kept.select(r.year, r.issuer_precinct, r.code, _item_count(r.code).alias("frequency"))
+
+
+def _precinct_code_counts(t: DataFrame, r: Roles) -> DataFrame:
+    """The one aggregate behind the precinct questions: their ranking and
+    their counts both come from it, so the tickets are read once (the two uses
+    have the same plan and share one exchange)."""
+    return t.groupBy(r.year, r.issuer_precinct, r.code).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _item_count(item: str) -> Column:
+    """``count(item)`` of a group that has the item among its keys."""
+    return F.when(F.col(item).isNull(), F.lit(0)).otherwise(F.col("n_rows")).cast("long")
+
+
+def _busiest_of(counts: DataFrame, n: int, r: Roles, exclude: Sequence | None) -> DataFrame:
+    """``busiest_precincts`` from the aggregate instead of the tickets."""
+    p = F.col(r.issuer_precinct)
+    if exclude:
+        counts = counts.where(~p.isin(list(exclude)) | p.isNull())
+    totals = counts.groupBy(r.issuer_precinct).agg(
+        F.sum(_item_count(r.issuer_precinct)).alias("total")
+    )
+    return top_n(totals, "total", n, tiebreak=[r.issuer_precinct]).select(r.issuer_precinct)
 
 
 def top_codes_per_precinct(
@@ -124,9 +148,10 @@ def precinct_code_lift(
 ) -> DataFrame:
     """Share of each code inside each busy precinct against the code's
     share of all tickets that year."""
-    freq = frequency(t, [r.year, r.issuer_precinct], r.code)
+    counts = _precinct_code_counts(t, r)
+    freq = counts.select(r.year, r.issuer_precinct, r.code, _item_count(r.code).alias("frequency"))
     lift = share_lift(freq, r.year, r.issuer_precinct, r.code)
-    keys = busiest_precincts(t, n_precincts, r, exclude).select(r.issuer_precinct)
+    keys = _busiest_of(counts, n_precincts, r, exclude)
     return restrict_to(lift, keys, r.issuer_precinct, row_bound=n_precincts)
 
 
@@ -175,15 +200,16 @@ def bins_for_codes(t: DataFrame, codes: Sequence, r: Roles = R, mode: str = CLOC
 
 
 def top_codes_overall(t: DataFrame, n: int = 3, r: Roles = R) -> DataFrame:
-    """The ``n`` most frequent codes over all years (ties: smaller code)."""
-    return top_n(frequency(t, None, r.code, count_nulls=True), "frequency", n, tiebreak=[r.code])
+    """The ``n`` most frequent codes over all years (ties: smaller code; NULL is no code)."""
+    return top_n(frequency(t.where(F.col(r.code).isNotNull()), None, r.code, count_nulls=True), "frequency", n, tiebreak=[r.code])
 
 
 def bins_for_top_codes(t: DataFrame, n_codes: int = 3, r: Roles = R, mode: str = CLOCK) -> DataFrame:
-    b = binned(t, r, mode)
-    keys = top_codes_overall(b, n_codes, r).select(r.code)
-    sub = restrict_to(b, keys, r.code, row_bound=n_codes)
-    return frequency(sub, [r.year, r.code], r.time_of_day, count_nulls=True)
+    known = binned(t, r, mode).where(F.col(r.code).isNotNull())
+    counts = frequency(known, [r.year, r.code], r.time_of_day, count_nulls=True)
+    totals = counts.groupBy(r.code).agg(F.sum("frequency").alias("total"))
+    keys = top_n(totals, "total", n_codes, tiebreak=[r.code]).select(r.code)
+    return lookup(counts, keys, r.code, row_bound=n_codes).select(r.year, r.code, r.time_of_day, "frequency")
 
 
 def top_bins_per_code(t: DataFrame, n: int = 5, n_codes: int = 3, r: Roles = R, mode: str = CLOCK) -> DataFrame:

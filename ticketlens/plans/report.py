@@ -19,16 +19,17 @@ from ticketlens.operators.compare import facet_frame
 from ticketlens.operators.profile import duplicate_report, null_profile, schema_diff
 from ticketlens.plans import questions as q
 from ticketlens.roles import DEFAULT_ROLES, Roles
-from ticketlens.sources.csv import KEPT_COLUMNS, kept_names, pad_columns, read_years
+from ticketlens.sources.csv import KEPT_COLUMNS, cast_columns, kept_names, pad_columns, read_years, unparsed_counts
 from ticketlens.sources.sink import read_clean, write_clean
 
 
 def profile_files(raw: Mapping[int, DataFrame]) -> dict[str, DataFrame]:
-    """Structure difference, duplicates and NULL counts of the raw years."""
+    """Structure difference, duplicates, NULL counts and values that do not parse, of the raw years as text."""
     out: dict[str, DataFrame] = {"schema_diff": schema_diff({str(y): df for y, df in raw.items()})}
     for year, df in raw.items():
         out[f"duplicates_{year}"] = duplicate_report(df)
         out[f"nulls_{year}"] = null_profile(df)
+        out[f"unparsed_{year}"] = unparsed_counts(df)
     return out
 
 
@@ -41,11 +42,13 @@ def clean_files(
 ) -> DataFrame:
     """Raw yearly CSVs -> cleaned Parquet at ``out_path`` (partitioned by
     fiscal year) -> the table read back from Parquet."""
-    raw = read_years(spark, paths, headers)
+    raw = read_years(spark, paths, headers, as_text=True)
     names = kept_names(keep) if isinstance(keep, int) else list(keep)
-    cleaned = combine_years(
-        {year: clean_year(pad_columns(df, names), year, keep=names) for year, df in raw.items()}
-    )
+
+    def typed(df: DataFrame) -> DataFrame:
+        return pad_columns(cast_columns(df), names)
+
+    cleaned = combine_years({year: clean_year(df, year, keep=names, cast=typed) for year, df in raw.items()})
     write_clean(cleaned, out_path, "fiscal_year")
     return read_clean(spark, out_path)
 

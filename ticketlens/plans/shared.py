@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.functions.clock import CLOCK, hour_of
 from ticketlens.functions.labels import bin_initials, season_label, time_bin
-from ticketlens.operators.compare import common_items, facet_frame, share_lift, yoy
+from ticketlens.operators.compare import common_items, facet_frame, pivot_years, share_lift, yoy
 from ticketlens.operators.freq import rank_list, top_n, top_n_per_group
 from ticketlens.operators.joins import restrict_to
 from ticketlens.operators.revenue import fines_join, revenue, revenue_rollup, top_revenue_code, yearly_revenue
@@ -194,10 +194,9 @@ def ticket_questions(
     top4 = top_n_per_group(code_star, y, "frequency", 4)
     out["top4_code"] = top4
     out["yoy_tickets"] = yoy(out["tickets_per_year"], "n_tickets", y)
-    pivot_src = code_star.groupBy(r.code).pivot(y, list(years) if years is not None else None).agg(
-        F.sum("frequency")
-    )
-    out["pivot_years"] = _pivot_names(pivot_src, r.code)
+    wide = pivot_years(code_star, r.code, y, years, value="frequency")
+    cells = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in wide.columns if c != r.code]
+    out["pivot_years"] = wide.select(r.code, *cells)
     out["facet_frame"] = facet_frame(out["top5_code"], x=r.code, y="frequency", fill=r.code, facet_col=y)
     if fines is not None:
         rev = revenue(top4, fines, r.code, fines_rows=fines_rows)
@@ -215,14 +214,6 @@ def _missing(year: DataFrame, y: str, col: str) -> DataFrame:
     return year.where(F.col(col) > 0).select(y, value.cast("long").alias("n_missing")).orderBy(y)
 
 
-def _pivot_names(wide: DataFrame, item: str, prefix: str = "fy_") -> DataFrame:
-    out = wide
-    for c in wide.columns:
-        if c != item:
-            out = out.withColumn(f"{prefix}{c}", F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long")).drop(c)
-    return out
-
-
 def time_questions(
     cube: Cube, r: Roles = R, given_codes: Sequence = (14, 21, 38)
 ) -> dict[str, DataFrame]:
@@ -232,7 +223,7 @@ def time_questions(
     top_bin = top_n_per_group(freq, [y, tod], "frequency", 3)
     by_code = freq.select(y, r.code, tod, "frequency")
     codes_overall = (
-        cube.set("code").where(F.col("n_rows") > 0).select(r.code, F.col("n_rows").cast("long").alias("frequency"))
+        cube.set("code").where((F.col("n_rows") > 0) & F.col(r.code).isNotNull()).select(r.code, F.col("n_rows").cast("long").alias("frequency"))
     )
     top_codes = top_n(codes_overall, "frequency", 3, tiebreak=[r.code]).select(r.code)
     for_top = restrict_to(by_code, top_codes, r.code, row_bound=3)

@@ -16,8 +16,10 @@ from __future__ import annotations
 import math
 import os
 import tempfile
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,30 +51,43 @@ MB = 1024 * 1024
 def scale_conf(
     input_bytes: int,
     target_partition_bytes: int = 256 * MB,
-    max_partitions: int = 100_000,
     min_partitions: int = 8,
 ) -> dict[str, str]:
-    """Shuffle and split sizes for a run over ``input_bytes`` of raw input.
+    """Shuffle sizes for a run over ``input_bytes`` of raw input.
 
     The only shuffle that carries whole tickets is the whole-row dedupe of
     the raw files (and the joins of the test mapping); every question after
     cleaning shuffles partial aggregates.  So the start partition count is
     sized for the dedupe: no reduce partition above ``target_partition_bytes``
-    (which keeps its hash table and sort within one executor's memory),
-    capped so the map x reduce block count stays manageable, with AQE
-    coalescing the small shuffles of the questions back down.  Input splits
-    grow with the input for the same reason (fewer map tasks).
+    at any input size (which keeps its hash table and sort within one
+    executor's memory), with AQE coalescing the small shuffles of the
+    questions back down.
     """
-    n = int(min(max(math.ceil(input_bytes / target_partition_bytes), min_partitions), max_partitions))
-    split = 128 * MB if input_bytes < 10 * 1024 * 1024 * MB else 512 * MB
+    n = max(math.ceil(input_bytes / target_partition_bytes), min_partitions)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
     }
 
 
+def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Size of the files under ``paths`` (a listing; no content is read)."""
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths)).select("length")
+    return int(sizes.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def isolated(spark: SparkSession) -> SparkSession:
+    """A session of its own on the same context, with the caller's SQL
+    settings and the library's defaults on top; the caller's stay as they are."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return apply_sql_defaults(own)
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "ticketlens",

@@ -8,8 +8,10 @@ snake_case on load so that later SQL needs no back-quotes.
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,50 +113,109 @@ def pad_columns(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(column_type(n)).alias(n) for n in missing])
 
 
+def read_year_text(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    header: list[str] | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The CSV files under ``path`` with every field as text, snake_case names.
+
+    Spark maps fields by position, so files are grouped by their own header
+    line and each group is read in its own column order; the groups are put
+    together by name (a column that a file lacks is NULL there).  ``header``
+    gives the columns of all files instead.  Empty fields read as NULL.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    groups = [(header, paths)] if header is not None else file_layouts(spark, paths)
+    frames = []
+    for names, files in groups:
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
+        for key, value in (options or {}).items():
+            reader = reader.option(key, value)
+        df = reader.csv(files)
+        frames.append(df.select([F.col(f"`{c}`").alias(snake_case(c)) for c in df.columns]))
+    if not frames:
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in kept_names(len(RAW_COLUMNS))]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def file_layouts(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(column names, files) of every distinct header line among the files.
+
+    One short read per file; only header lines reach the driver.  Names are
+    matched to the known header after trimming blanks, which the published
+    files carry in a few names.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    files = sorted(r["path"] for r in listed.where("length > 0").select("path").collect())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    known = {n.lower(): n for n, _ in RAW_COLUMNS}
+    for file in files:
+        first = spark.read.text(file).limit(1).collect()
+        names = [c.strip() for c in next(csv.reader([first[0][0].lstrip("\ufeff")]))] if first else []
+        if names:
+            groups.setdefault(tuple(known.get(n.lower(), n) for n in names), []).append(file)
+    return [(list(names), found) for names, found in groups.items()]
+
+
+def cast_columns(df: DataFrame) -> DataFrame:
+    """Known columns in their types; text that does not parse becomes NULL
+    (``unparsed_counts`` tells how many)."""
+    return df.select([F.col(c).try_cast(column_type(c)).alias(c) for c in df.columns])
+
+
+def unparsed_counts(text: DataFrame) -> DataFrame:
+    """(column_name, n_unparsed): values of a text frame that their type cannot hold."""
+    typed = [c for c in text.columns if column_type(c) != T.StringType()]
+    if not typed:
+        return text.sparkSession.createDataFrame([], "column_name string, n_unparsed long")
+    bad = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(column_type(c)).isNull()).alias(c) for c in typed]
+    return text.agg(*bad).unpivot([], typed, "column_name", "n_unparsed")
+
+
 def read_year(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     header: list[str] | str | None = "detect",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One yearly CSV (any Hadoop path: local, hdfs://, s3a://, ...).
-
-    With an explicit schema Spark maps fields by position, so the schema
-    must follow the file's own column order.  ``"detect"`` (default) reads
-    the header line (one short read) and types each named column; a list
-    gives the columns directly; ``None`` assumes the full 51-column layout.
-    Header names are matched after trimming stray blanks.  Empty fields
-    read as NULL.
+    """One yearly CSV or folder of part files (any Hadoop path), typed.
+
+    ``"detect"`` (default) follows every file's own header line; a list gives
+    the columns directly; ``None`` assumes the full 51-column layout.  To
+    remove copies of whole records, do so on ``read_year_text`` and type the
+    columns afterwards: two different texts may type to the same NULL.
     """
-    if header == "detect":
-        header = detect_header(spark, path)
-    reader = spark.read.schema(raw_schema(header)).option("header", "true").option("mode", "PERMISSIVE")
-    for key, value in (options or {}).items():
-        reader = reader.option(key, value)
-    df = reader.csv(path)
-    return df.select([F.col(f"`{c}`").alias(snake_case(c)) for c in df.columns])
+    if header is None:
+        header = [n for n, _ in RAW_COLUMNS]
+    return cast_columns(read_year_text(spark, path, None if header == "detect" else header, options))
 
 
 def detect_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the first line of a CSV file (one short read).
-
-    Names are matched to the known header after trimming blanks, which the
-    published files carry in a few names.
-    """
-    first = spark.read.text(path).limit(1).collect()
-    if not first:
-        return [n for n, _ in RAW_COLUMNS]
-    known = {n.lower(): n for n, _ in RAW_COLUMNS}
-    names = [c.strip().strip('"') for c in first[0][0].split(",")]
-    return [known.get(n.lower(), n) for n in names]
+    """Column names of the (first) file under ``path``; all 51 if it has none."""
+    layouts = file_layouts(spark, [path])
+    return layouts[0][0] if layouts else [n for n, _ in RAW_COLUMNS]
 
 
 def read_years(
     spark: SparkSession,
     paths: Mapping[int, str],
     headers: Mapping[int, list[str] | str | None] | None = None,
+    as_text: bool = False,
 ) -> dict[int, DataFrame]:
     """``{fiscal_year: path}`` to ``{fiscal_year: DataFrame}`` (headers
-    detected unless given per year)."""
+    detected unless given per year); ``as_text`` leaves the fields untyped."""
     headers = headers or {}
-    return {year: read_year(spark, path, headers.get(year, "detect")) for year, path in paths.items()}
+    out = {}
+    for year, path in paths.items():
+        df = read_year_text(spark, path, _given(headers.get(year, "detect")))
+        out[year] = df if as_text else cast_columns(df)
+    return out
+
+
+def _given(header: list[str] | str | None) -> list[str] | None:
+    if header == "detect":
+        return None
+    return [n for n, _ in RAW_COLUMNS] if header is None else list(header)

@@ -19,11 +19,13 @@ those (``ReadSchema`` in the plan).
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.functions.dates import fiscal_year_of
+from ticketlens.operators.joins import counted_small_side
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -39,20 +41,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def _orders_with_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders -> (o_orderkey, o_orderdate, o_orderstatus, n_name).
+def _orders(spark: SparkSession, sf_dir: str, with_state: bool = True) -> DataFrame:
+    """orders -> (o_orderkey, o_orderdate, o_orderstatus[, n_name]).
 
     customer and nation are joined to orders first: the result is
-    orders-sized, so lineitem is shuffled only once per join key.  Small
-    sides (nation always, the others at small scale) become broadcast joins
-    at run time once AQE has measured their shuffle stage; large ones stay
+    orders-sized, so lineitem is shuffled only once per join key.  nation is
+    broadcast if its counted rows are few; the other sides become broadcast
+    joins at run time once AQE has measured their shuffle stage, or stay
     sort-merge joins.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
     )
+    if not with_state:
+        return orders.drop("o_custkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nation = counted_small_side(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     cust_state = customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         "c_custkey", "n_name"
     )
@@ -61,40 +65,65 @@ def _orders_with_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticket-shaped view over lineitem, orders, customer, nation and part."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_returnflag",
-        "l_linestatus",
-        "l_shipdate",
-    )
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
-    orders = _orders_with_state(spark, sf_dir)
-    joined = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        part, li.l_partkey == part.p_partkey
-    )
+# Columns of the tickets view by the table they come from.
+LINE_COLUMNS = (
+    "summons_number",
+    "issue_date",
+    "fiscal_year",
+    "violation_code",
+    "issuer_precinct",
+    "violation_precinct",
+    "house_number",
+    "street_name",
+    "amount",
+)
+PART_COLUMNS = ("vehicle_body_type", "vehicle_make")
+STATE_COLUMNS = ("registration_state",)
+ORDER_COLUMNS = ("intersecting_street",)
+TICKET_COLUMNS = (
+    *LINE_COLUMNS[:6],
+    *PART_COLUMNS,
+    *STATE_COLUMNS,
+    "house_number",
+    "street_name",
+    *ORDER_COLUMNS,
+    "amount",
+)
+
+
+def tickets(spark: SparkSession, sf_dir: str, columns: Sequence[str] = TICKET_COLUMNS) -> DataFrame:
+    """Ticket-shaped view over lineitem, orders, customer, nation and part.
+
+    Only the tables that ``columns`` need are joined.  Every line has its
+    order, customer, nation and part (the keys are complete), so a join left
+    out changes no row.
+    """
+    wanted = set(columns)
     issue_date = F.col("l_shipdate").cast("date")
-    return joined.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("summons_number"),
-        issue_date.alias("issue_date"),
-        fiscal_year_of(issue_date).alias("fiscal_year"),
-        F.col("l_quantity").cast("int").alias("violation_code"),
-        (F.col("l_suppkey") % 25).alias("issuer_precinct"),
-        (F.col("l_partkey") % 78).alias("violation_precinct"),
-        F.nullif(F.col("p_type"), F.lit("STANDARD")).alias("vehicle_body_type"),
-        F.col("p_brand").alias("vehicle_make"),
-        F.col("n_name").alias("registration_state"),
-        F.nullif(F.col("l_returnflag"), F.lit("R")).alias("house_number"),
-        F.nullif(F.col("l_linestatus"), F.lit("O")).alias("street_name"),
-        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("intersecting_street"),
-        F.col("l_extendedprice").alias("amount"),
-    )
+    value = {
+        "summons_number": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
+        "issue_date": issue_date,
+        "fiscal_year": fiscal_year_of(issue_date),
+        "violation_code": F.col("l_quantity").cast("int"),
+        "issuer_precinct": F.col("l_suppkey") % 25,
+        "violation_precinct": F.col("l_partkey") % 78,
+        "vehicle_body_type": F.nullif(F.col("p_type"), F.lit("STANDARD")),
+        "vehicle_make": F.col("p_brand"),
+        "registration_state": F.col("n_name"),
+        "house_number": F.nullif(F.col("l_returnflag"), F.lit("R")),
+        "street_name": F.nullif(F.col("l_linestatus"), F.lit("O")),
+        "intersecting_street": F.nullif(F.col("o_orderstatus"), F.lit("P")),
+        "amount": F.col("l_extendedprice"),
+    }
+    joined = read_table(spark, sf_dir, "lineitem")
+    with_state = bool(wanted.intersection(STATE_COLUMNS))
+    if with_state or wanted.intersection(ORDER_COLUMNS):
+        orders = _orders(spark, sf_dir, with_state)
+        joined = joined.join(orders, joined.l_orderkey == orders.o_orderkey)
+    if wanted.intersection(PART_COLUMNS):
+        part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
+        joined = joined.join(part, joined.l_partkey == part.p_partkey)
+    return joined.select(*[value[c].alias(c) for c in columns])
 
 
 def ticket_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +154,7 @@ def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``issue_date`` is the order date as ``MM/dd/yyyy`` text, which may fall
     before that fiscal year (those rows are cut by the fiscal filter)."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", "l_shipdate")
-    orders = _orders_with_state(spark, sf_dir)
+    orders = _orders(spark, sf_dir)
     joined = li.join(orders, li.l_orderkey == orders.o_orderkey)
     return joined.select(
         fiscal_year_of(F.col("l_shipdate").cast("date")).alias("file_year"),
