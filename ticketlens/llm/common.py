@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketlens.session import ensure_checkpoint_dir
 
@@ -46,6 +47,21 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_IDS = 500_000
+
+
+def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` whose id is (``left_semi``) or is not (``left_anti``) in the one column of ``ids``.
+
+    Give a saved table of ids: they are counted, and at most
+    ``BROADCAST_IDS`` of them (some 12 MB) are broadcast, so the texts stay
+    where they are; more are joined by a shuffle.
+    """
+    wanted = ids.select(F.col(ids.columns[0]).cast("long").alias("__id")).distinct()
+    side = F.broadcast(wanted) if ids.count() <= BROADCAST_IDS else wanted
+    return df.join(side, df[id_col].cast("long") == F.col("__id"), how)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """The column as Python strings, NULL as the empty text."""
     return [x or "" for x in column.to_pylist()]

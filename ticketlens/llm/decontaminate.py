@@ -6,7 +6,8 @@
    ``SEED_WINDOW`` consecutive n-grams of an item the rarest, however often it
    occurs: so a passage copied into a third of all documents keeps its seeds.
 2. Documents' n-grams that pass a bit table of the seeds (fixed size) are
-   joined with the seeds: (document, item, places).
+   joined with the seeds: (document, item, places).  ``MIN_PLACES`` places of
+   one item make a candidate.
 3. The text around each run of places is aligned with the item by a
    Smith-Waterman local alignment over words (match 2, mismatch -1, gap -1);
    the score is the alignment's points over those of a whole copy, so edited
@@ -33,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketlens.llm.common import ready_workers, save, slices
+from ticketlens.llm.common import by_ids, ready_workers, save, slices
 from ticketlens.llm.words import shingle_hashes, word_hashes
 
 SEED_WORDS = 3
 SEED_WINDOW = 8
 SEED_FLOOR = 10
 SEED_SHARE = 0.0005
+MIN_PLACES = 2
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, 1, 1
 BLOCK_CHARS = 400_000
@@ -201,8 +203,9 @@ def contaminated(
     n_chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     few_seeds, few_items = seeds.count() <= BROADCAST_SEEDS, n_chars <= BROADCAST_CHARS
     hits = _places(given, table, n).join(F.broadcast(seeds) if few_seeds else seeds, "gram")
-    hits = save(hits.groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("place")).alias("places")), "decontaminate-hits")
-    found = given.join(hits, "doc_id")
+    hits = hits.groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    hits = save(hits.where(F.size("places") >= MIN_PLACES), "decontaminate-hits")
+    found = by_ids(given, hits.select("doc_id"), "doc_id").join(hits, "doc_id")
     item_texts = items.withColumnRenamed("text", "item")
     pairs = found.join(F.broadcast(item_texts) if few_items else item_texts, "item_id")
 
@@ -237,4 +240,4 @@ def contaminated(
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Rows of ``docs`` that hold no copy of a test item (columns unchanged; NULL ids stay)."""
     found = save(contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("found")).distinct(), "contaminated")
-    return docs.join(found, docs[id_col].cast("long") == F.col("found"), "left_anti")
+    return by_ids(docs, found, id_col, "left_anti")
