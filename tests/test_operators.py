@@ -271,8 +271,8 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(64 * MB)
     assert small["spark.sql.shuffle.partitions"] == "8"
     huge = scale_conf(100 * 1024**4)
-    assert huge["spark.sql.shuffle.partitions"] == "100000"
-    assert huge["spark.sql.files.maxPartitionBytes"] == str(512 * MB)
+    assert huge["spark.sql.shuffle.partitions"] == "409600"  # 256 MB each at any size
+    assert huge["spark.sql.files.maxPartitionBytes"] == small["spark.sql.files.maxPartitionBytes"]
     mid = scale_conf(1024**4)
     assert mid["spark.sql.shuffle.partitions"] == str(4096)
 
@@ -307,3 +307,38 @@ def test_apply_scale_sets_session_values(spark):
             spark.conf.set(k, v)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_yoy_needs_the_year_before(spark):
+    df = spark.createDataFrame([(2013, 10), (2015, 20), (2016, 30)], "fiscal_year INT, n INT")
+    got = {r["fiscal_year"]: (r["prev_n"], r["pct_change_n"]) for r in yoy(df, "n").collect()}
+    assert got == {2013: (None, None), 2015: (None, None), 2016: (20, 50.0)}
+
+
+def test_common_items_leaves_out_rows_without_a_facet(spark):
+    rows = [(1, "a", 21), (1, "b", 21), (1, None, 7), (1, "a", 5)]
+    df = spark.createDataFrame(rows, "g INT, facet STRING, code INT")
+    assert [r["code"] for r in common_items(df, "g", "code", "facet").collect()] == [21]
+
+
+def test_pivot_counts_years_outside_the_list(spark):
+    rows = [(2, 2018), (2, 2018), (2, None), (1, 2015)]
+    df = spark.createDataFrame(rows, "code INT, fiscal_year INT")
+    got = {r["code"]: (r["fy_2015"], r["fy_2016"], r["fy_other"]) for r in pivot_years(df, "code", years=[2015, 2016]).collect()}
+    assert got == {1: (1, 0, 0), 2: (0, 0, 3)}
+
+
+def test_frequency_of_two_items_scores_a_null_item_zero(spark):
+    df = spark.createDataFrame([(1, "x"), (None, "x"), (None, "x")], "a INT, b STRING")
+    assert {r["a"]: r["frequency"] for r in frequency(df, None, ["a", "b"]).collect()} == {1: 1, None: 0}
+    assert {r["a"]: r["frequency"] for r in frequency(df, None, ["a", "b"], count_nulls=True).collect()} == {1: 1, None: 2}
+
+
+def test_sample_does_not_depend_on_partitions(spark):
+    from ticketlens.operators.profile import sample_rows
+
+    df = spark.range(5000)
+    one, many = ({r["id"] for r in sample_rows(d, 0.1, key="id").collect()} for d in (df.coalesce(1), df.repartition(13)))
+    assert one == many and 400 < len(one) < 600
+    assert {r["id"] for r in sample_rows(df, 0.1, seed=1, key="id").collect()} != one
+    assert sample_rows(df, 0.0).count() == 0 and sample_rows(df, 1.0).count() == 5000

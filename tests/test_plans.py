@@ -76,16 +76,29 @@ def test_static_estimate_broadcast_would_be_caught(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     try:
-        text = plan_of(QUERIES["row_count"](spark, SMALL_SF))
+        text = plan_of(QUERIES["unique_states"](spark, SMALL_SF))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert not all(_measured_or_bounded(sub) for sub in broadcast_subtrees(text))
 
 
-def test_derived_keys_are_a_bounded_semi_join(clean):
-    text = plan_of(q.precinct_code_freq_derived(clean, 3))
-    assert "LeftSemi" in text
-    assert "TakeOrderedAndProject" in text and "limit=3" in text
+def test_derived_keys_and_counts_share_one_scan(clean, spark):
+    """The key list and the counts come from one aggregate: the second use is a reused exchange."""
+    for df in (
+        q.precinct_code_freq_derived(clean, 3),
+        q.precinct_code_lift(clean, 3),
+        QUERIES["top5_bin_per_code"](spark, SMALL_SF),
+    ):
+        final = plan_of(df).split("== Initial Plan ==")[0]
+        assert "TakeOrderedAndProject" in final and "limit=3" in final
+        assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_ticket_queries_join_only_what_they_read(spark):
+    for name in ("tickets_per_year", "top5_code", "top5_viol_precinct", "revenue"):
+        text = plan_of(QUERIES[name](spark, SMALL_SF)).split("== Initial Plan ==")[0]
+        assert text.count("Scan parquet") == 1 and "SortMergeJoin" not in text
+    assert "orders" in plan_of(QUERIES["missing_address_3"](spark, SMALL_SF))
 
 
 def test_fines_join_broadcasts_the_literal_table(spark):

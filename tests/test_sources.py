@@ -146,3 +146,24 @@ def test_detected_header_maps_reordered_columns_by_name(spark, tmp_dir):
     assert df.columns == ["violation_code", "summons_number", "issue_date"]
     r = df.collect()[0]
     assert (r.violation_code, r.summons_number, r.issue_date) == (21, 1001, "07/01/2014")
+
+
+def test_part_files_are_read_by_their_own_headers(spark, tmp_dir):
+    import os
+
+    folder = os.path.join(tmp_dir, "parts")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.csv"), "w") as f:
+        f.write('Summons Number,Plate ID,"Law, Section",Violation Code\n1,NJ1,"x, y",21\n2,NY2,z,12ft\n2,NY2,z,9in\n')
+    with open(os.path.join(folder, "b.csv"), "w") as f:
+        f.write(" Violation Code,Plate ID,Summons Number\n38,BBB,3\n")
+    from ticketlens.operators.clean import dedupe
+    from ticketlens.sources.csv import cast_columns, read_year, read_year_text, unparsed_counts
+
+    text = read_year_text(spark, folder)
+    got = {(r["summons_number"], r["plate_id"], r["law_section"], r["violation_code"]) for r in text.collect()}
+    assert got == {("1", "NJ1", "x, y", "21"), ("2", "NY2", "z", "12ft"), ("2", "NY2", "z", "9in"), ("3", "BBB", None, "38")}
+    assert {r["column_name"]: r["n_unparsed"] for r in unparsed_counts(text).collect()} == {"summons_number": 0, "violation_code": 2}
+    # copies are removed on the text: two texts that type to the same NULL stay two records
+    assert cast_columns(dedupe(text)).count() == 4
+    assert sorted((r["summons_number"], r["violation_code"]) for r in read_year(spark, folder).where("violation_code > 0").collect()) == [(1, 21), (3, 38)]
