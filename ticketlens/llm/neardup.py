@@ -17,12 +17,17 @@ Grouping, without listing the pairs of a group:
 
 1. documents with the same weighted shingle set are one class at once; the
    smallest id stands for them (aggregated before the shuffle);
-2. bands of ``rows`` coordinates are hashed; of every bucket two leaders are
-   aggregated (the smallest id and the one of smallest hash) and each member
-   is compared with them by exact similarity;
-3. components of the links found are labelled; members of one bucket that
-   are still in different components are then compared pair by pair, so a
-   link that no leader showed is not lost.
+2. bands of ``rows`` coordinates are hashed; of every bucket the member that
+   meets most others over all its buckets is the hub (in a group of copies,
+   the text they come from), and each member is compared with it by exact
+   similarity;
+3. components of the links found are labelled; documents of a bucket that
+   still holds several components get finer bands, which texts that only
+   share a passage hardly meet in, and the members of a fine bucket outside
+   its largest component are compared with all members of other components
+   whose sketch (two bits per coordinate) could be that similar.
+   So a link that no hub showed is not lost, and the pairs of a large group
+   of copies are never listed.
 
 Defined results: a text without words (NULL, empty, blank) is alone in its
 class; texts of fewer than five words are one shingle; rows with a NULL id
@@ -33,24 +38,28 @@ read.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlens.llm.common import mix64, ready_workers, save, slices
+from ticketlens.llm.common import by_ids, mix64, ready_workers, save, slices
 from ticketlens.llm.graph import components
 from ticketlens.llm.words import shingle_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS = 40
+BANDS = 40  # a pair of similarity 0.8 shares none of them with a chance of 5e-6
 ROWS = 6
+FINE_BANDS = 96  # the same for the finer bands: 2e-5
+FINE_ROWS = 10
 BLOCK_CHARS = 400_000
-SIGNATURE_SCHEMA = "doc_id long, digest binary, weight double, bands array<long>"
+SKETCH_SIGMAS = 4.5
+SIGNATURE_SCHEMA = "doc_id long, digest binary, weight double, bands array<long>, sketch array<long>"
 
 _U = np.uint64
 # cumulative Poisson(1) probabilities: how many darts a cell of area 1 gets
@@ -122,6 +131,28 @@ def band_hashes(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """Two bits of every coordinate, 32 coordinates in an int64."""
+    two = np.zeros(-(-len(sig) // 32) * 32, dtype=_U)
+    two[: len(sig)] = (sig >> _U(40)) & _U(3)
+    return (two.reshape(-1, 32) << (_U(2) * np.arange(32, dtype=_U))).sum(axis=1, dtype=_U).view(np.int64)
+
+
+def _unlike(a: str, b: str, k: int) -> Column:
+    """In how many of ``k`` coordinates two sketches differ."""
+    parts = []
+    for i in range(-(-k // 32)):
+        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
+        parts.append(F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))))
+    return functools.reduce(lambda x, y: x + y, parts)
+
+
+def most_unlike(threshold: float, k: int) -> int:
+    """In how many of ``k`` sketch coordinates a pair of the similarity may differ, but for a chance of 4e-6."""
+    p = threshold + (1 - threshold) / 4
+    return math.ceil((1 - p + SKETCH_SIGMAS * math.sqrt(p * (1 - p) / k)) * k)
+
+
 def weighted_shingles(words: np.ndarray, size: int, weights: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes and their weights."""
     if weights == "count":
@@ -153,15 +184,16 @@ def signatures(
     bands: int = BANDS,
     rows: int = ROWS,
     weights: str = "binary",
+    sketches: bool = False,
 ) -> DataFrame:
-    """doc_id, digest of the weighted shingle set, its weight, and the band hashes (NULL id or no word: no row)."""
+    """doc_id, digest of the weighted shingle set, its weight, band hashes, sketch (NULL id or no word: no row)."""
     ready_workers(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             texts = batch.column(1).to_pylist()
-            keep, digest, weight, hashes = [], [], [], []
+            keep, digest, weight, hashes, sketched = [], [], [], [], []
             for i, (elements, w) in enumerate(_sets(texts, size, weights)):
                 if not len(elements):
                     continue
@@ -169,12 +201,14 @@ def signatures(
                 keep.append(ids[i])
                 digest.append(mixed.sum().tobytes() + mix64(mixed).sum().tobytes())
                 weight.append(float(w.sum()))
-                hashes.append(band_hashes(signature(elements, w, bands * rows), bands, rows))
+                sig = signature(elements, w, bands * rows)
+                hashes.append(band_hashes(sig, bands, rows))
+                sketched.append(sketch(sig).tolist() if sketches else None)
             flat = pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * bands), flat)
             yield pa.record_batch(
-                [pa.array(keep, pa.int64()), pa.array(digest, pa.binary()), pa.array(weight, pa.float64()), lists],
-                ["doc_id", "digest", "weight", "bands"],
+                [pa.array(keep, pa.int64()), pa.array(digest, pa.binary()), pa.array(weight, pa.float64()), lists, pa.array(sketched, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "weight", "bands", "sketch"],
             )
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -205,15 +239,35 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, weights: str, thresh
             ]
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(nodes, "id", "left_semi").select("id", "text")
-    sets = save(texts.mapInArrow(shingled, "id long, elements binary, counts binary").dropDuplicates(["id"]), "neardup-sets")
+    nodes = save(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "neardup-nodes")
+    texts = by_ids(docs, nodes, "id").select("id", "text")
+    # texts that share an id are one document: the smallest of their sets, so that reruns agree
+    sets = texts.mapInArrow(shingled, "id long, elements binary, counts binary")
+    sets = sets.groupBy("id").agg(F.min(F.struct("elements", "counts")).alias("s")).select("id", "s.elements", "s.counts")
+    sets = save(sets, "neardup-sets")
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ea", "ca", "eb", "cb")
     return both.mapInArrow(compare, "a long, b long")
 
 
+def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
+    """``members(bucket, rep, ..)`` with their component (themselves, if they have no link)."""
+    named = components.withColumnRenamed("node", "rep")
+    return members.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members of buckets with more than one component, with the bucket's largest one as ``main``."""
+    held = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    mains = held.groupBy("bucket").agg(
+        F.max(F.struct("n", (-F.col("component")).alias("first"), F.col("component").alias("main"))).alias("top"),
+        F.count(F.lit(1)).alias("n_components"),
+    )
+    mains = mains.where("n_components > 1").select("bucket", "top.main")
+    return members.join(mains, "bucket")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -228,37 +282,39 @@ def near_duplicates(
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marks = save(signatures(docs, id_col, text_col, size, bands, rows, weights), "neardup-signatures")
     # 1. equal shingle sets: one representative each
-    same = save(marks.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("weight").alias("weight"), F.first("bands").alias("bands")), "neardup-reps")
-    # 2. buckets of more than one representative, with two leaders each
+    same = save(marks.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("weight").alias("weight"), F.min("bands").alias("bands")), "neardup-reps")
+    # 2. buckets of more than one representative; their hub is the member that meets most others in all its buckets
     members = same.select(F.explode("bands").alias("bucket"), "rep", "weight")
-    hashed = F.struct(F.xxhash64("rep", "bucket").alias("h"), F.col("rep"), F.col("weight"))
-    leaders = members.groupBy("bucket").agg(
-        F.min(F.struct("rep", "weight")).alias("low"), F.min(hashed).alias("any"), F.max("rep").alias("top")
-    )
-    leaders = leaders.where(F.col("low.rep") < F.col("top")).select("bucket", "low", "any")
-    crowded = save(members.join(leaders, "bucket"), "neardup-buckets")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowded = save(members.join(sizes, "bucket"), "neardup-buckets")
+    degree = crowded.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("degree"))
+    crowded = save(crowded.drop("n").join(degree, "rep"), "neardup-members")
+    hub_key = F.struct("degree", (-F.col("rep")).alias("first"), "rep", "weight")
+    hubs = crowded.groupBy("bucket").agg(F.max(hub_key).alias("hub"))
     close = F.least("w1", "w2") >= threshold * F.greatest("w1", "w2") - 1e-9  # else the similarity is below the threshold
-    ends = F.explode(F.array(F.struct("low.rep", "low.weight"), F.struct("any.rep", "any.weight"))).alias("lead")
-    pairs = crowded.select("rep", F.col("weight").alias("w1"), ends).select(
-        F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b"), "w1", F.col("lead.weight").alias("w2")
-    )
-    pairs = save(pairs.where((F.col("a") < F.col("b")) & close).select("a", "b").distinct(), "neardup-leader-pairs")
-    links = save(_verified(pairs, given, size, weights, threshold), "neardup-leader-links")
+    pairs = crowded.join(hubs, "bucket").select(
+        F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
+        F.col("weight").alias("w1"), F.col("hub.weight").alias("w2"),
+    )
+    pairs = save(pairs.where((F.col("a") < F.col("b")) & close).select("a", "b").distinct(), "neardup-hub-pairs")
+    links = save(_verified(pairs, given, size, weights, threshold), "neardup-hub-links")
     found = components(links)
-    # 3. bucket members still in different components
-    labelled = (
-        crowded.select("bucket", "rep", "weight")
-        .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("bucket", "rep", "weight", F.coalesce("component", "rep").alias("component"))
-    )
-    split = labelled.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-    split = split.where(F.col("c1") < F.col("c2")).select("bucket")
-    open_members = save(labelled.join(split, "bucket", "left_semi"), "neardup-open")
-    x = open_members.select("bucket", F.col("rep").alias("a"), F.col("weight").alias("w1"), F.col("component").alias("c1"))
-    y = open_members.select("bucket", F.col("rep").alias("b"), F.col("weight").alias("w2"), F.col("component").alias("c2"))
-    apart = (F.col("a") < F.col("b")) & (F.col("c1") != F.col("c2")) & close
-    rest = x.join(y, "bucket").where(apart).select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    rest = save(rest, "neardup-rest-pairs")
+    # 3. members of one bucket still in different components: looked for once more by finer bands
+    labelled = _labelled(crowded.select("bucket", "rep", "weight"), found)
+    open_ids = save(_open(labelled).select("rep").distinct(), "neardup-open")
+    fine = signatures(by_ids(given, open_ids, "id"), "id", "text", size, FINE_BANDS, FINE_ROWS, weights, sketches=True)
+    fine = fine.groupBy(F.col("doc_id").alias("rep")).agg(F.min(F.struct("weight", "bands", "sketch")).alias("s"))
+    fine = fine.select("rep", "s.weight", "s.bands", "s.sketch")
+    fine = save(_labelled(fine, found), "neardup-fine")
+    members = _open(fine.select(F.explode("bands").alias("bucket"), "rep", "weight", "sketch", "component"))
+    members = save(members, "neardup-fine-members")
+    x = members.where("component != main").select("bucket", F.col("rep").alias("x"), F.col("weight").alias("w1"), F.col("component").alias("c1"), F.col("sketch").alias("s1"))
+    y = members.select("bucket", F.col("rep").alias("y"), F.col("weight").alias("w2"), F.col("component").alias("c2"), F.col("sketch").alias("s2"), "main")
+    k = FINE_BANDS * FINE_ROWS
+    apart = (F.col("c1") != F.col("c2")) & ((F.col("c2") == F.col("main")) | (F.col("x") < F.col("y"))) & close
+    apart = apart & (_unlike("s1", "s2", k) <= most_unlike(threshold, k))
+    rest = x.join(y, "bucket").where(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = save(rest.join(pairs, ["a", "b"], "left_anti"), "neardup-rest-pairs")
     more = save(_verified(rest, given, size, weights, threshold), "neardup-rest-links")
     final = components(links.unionByName(more))
     class_of = (
@@ -278,8 +334,8 @@ def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows with a NULL id stay.
     """
     classes = save(near_duplicates(docs, id_col, text_col, **options), "neardup-classes")
-    gone = classes.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(gone, docs[id_col].cast("long") == F.col("gone"), "left_anti")
+    gone = save(classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct(), "neardup-gone")
+    kept = by_ids(docs, gone, id_col, "left_anti")
     repeated = classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
     if not repeated.take(1):
         return kept
