@@ -99,7 +99,8 @@ def top_k(
     queries = _tiles(rows.where(is_query), lanes, "lane").select("vec_id", "v", F.size("v").alias("dim"), "lane", each_shard)
     candidates = _tiles(rows, shards, "shard").select("vec_id", "v", F.size("v").alias("dim"), "shard", each_lane)
 
-    def product(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def product(cell: pd.DataFrame) -> pd.DataFrame:
+        left, right = cell[cell["is_query"]], cell[~cell["is_query"]]
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype=np.int64)
         q, v = np.stack(left["v"].to_list()), np.stack(right["v"].to_list())
@@ -107,7 +108,8 @@ def top_k(
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), got)))
 
     key = ["dim", "lane", "shard"]
-    partial = queries.groupBy(*key).cogroup(candidates.groupBy(*key)).applyInPandas(product, RESULT_SCHEMA)
+    both = queries.withColumn("is_query", F.lit(True)).unionByName(candidates.withColumn("is_query", F.lit(False)))
+    partial = both.groupBy(*key).applyInPandas(product, RESULT_SCHEMA)
     order = [F.col("score").desc(), F.col("vec_id").asc()]
     group = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, shards // MERGE_GROUP)))
     if shards > MERGE_GROUP:  # a first level of the merge, in groups of tiles
