@@ -44,6 +44,11 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def _source_key(source: Column) -> Column:
+    """The source as a key that is never NULL."""
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], repeat_cap: int) -> DataFrame:
     """(source, source_size) -> the same with ``target``; one row per source.
 
@@ -70,7 +75,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], repeat_cap: int
 def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int, dp_words: int = DP_WORDS) -> np.ndarray:
     """How many documents of each length to take so that their words come nearest to ``budget``.
 
-    Never above it.  The proportional part of every length leaves less than
+    Equally near sums go to the smaller one.  The proportional part of every length leaves less than
     one document of each; seeded lengths fill that down to ``dp_words``, and
     the dynamic program (one bit per reachable sum) fits what is left exactly
     if any choice does.
@@ -91,10 +96,10 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int,
             take[i] += 1
             left -= int(lengths[i])
     # bounded knapsack: a length's spare documents go in as 1, 2, 4, ... of them
-    reach, mask, steps = 1, (1 << (left + 1)) - 1, []
+    reach, mask, steps = 1, (1 << (2 * left + 1)) - 1, []
     for i in order:
         n = int(lengths[i])
-        spare = min(int(counts[i] - take[i]), left // n) if n > 0 else 0
+        spare = min(int(counts[i] - take[i]), 2 * left // n) if n > 0 else 0
         group = 1
         while spare > 0:
             k = min(group, spare)
@@ -105,7 +110,10 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int,
             spare, group = spare - k, group * 2
         if reach >> left & 1:
             break
-    best = reach.bit_length() - 1
+    below = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
+    above = reach >> (left + 1)
+    over = left + (above & -above).bit_length() if above else None
+    best = over if over is not None and over - left < left - below else below
     for i, k, without in reversed(steps):
         if not without >> best & 1:
             take[i] += k
@@ -147,6 +155,7 @@ def mix(
     rows = docs.select(
         F.struct(*docs.columns).alias("row"),
         F.col(source_col).cast("string").alias("source"),
+        _source_key(F.col(source_col).cast("string")).alias("key"),
         size.alias("size"),
         rank.alias("rank"),
         F.pmod(F.xxhash64(F.lit(seed + 1), rank), F.lit(BUCKETS)).cast("int").alias("bucket"),
@@ -166,16 +175,16 @@ def mix(
         .join(fitted.alias("f"), F.col("c.source").eqNullSafe(F.col("f.source")) & (F.col("c.size") == F.col("f.size")))
         .join(targets.alias("t"), F.col("c.source").eqNullSafe(F.col("t.source")))
         .select(
-            "c.source", "c.size", "c.bucket", "f.whole", "t.source_size", "t.target",
+            _source_key(F.col("c.source")).alias("key"), "c.size", "c.bucket", "f.whole", "t.source_size", "t.target",
             F.least(F.greatest(F.col("f.extra") - F.col("c.before"), F.lit(0)), F.col("c.n")).alias("quota"),
         )
     )
     quota = save(quota, "mix-quota")
-    key = [F.col(f"r.{k}").eqNullSafe(F.col(f"q.{k}")) for k in ("source", "size", "bucket")]
-    joined = rows.alias("r").join(quota.alias("q"), key[0] & key[1] & key[2])
-    place = F.row_number().over(Window.partitionBy("r.source", "r.size", "r.bucket").orderBy("r.rank", "r.tie"))
-    copies = F.col("q.whole") + (place <= F.col("q.quota")).cast("int")
-    return joined.select("r.row", "r.source", "r.size", "q.source_size", "q.target", copies.alias("copies"))
+    # one shuffle of the rows serves the join and the ranking
+    joined = rows.join(quota, ["key", "size", "bucket"])
+    place = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("rank", "tie"))
+    copies = F.when(F.col("size") > 0, F.col("whole") + (place <= F.col("quota")).cast("int")).otherwise(0)
+    return joined.select("row", "source", "size", "source_size", "target", copies.alias("copies"))
 
 
 def mix_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
