@@ -21,7 +21,8 @@ two pages at the ends of each range meet their neighbours in a second step.
 
 Defined results: a NULL or empty html gives an empty text; a NULL url is a host
 of its own with an empty path; pages that share a URL are neighbours by id;
-rows that share an id are each a page.  An empty table gives an empty result.
+rows that share an
+id are each a page, rows that also share URL and html get one text.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -225,28 +226,29 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, hashes, texts = [], [], []
+            kinds, hashes = [], []
             for page in batch.column(2).to_pylist():
                 found = blocks(page or "")
                 kinds.append("".join(k[0] for k, _ in found).encode())
                 hashes.append(_hashes(found).tobytes())
-                texts.append([t for k, t in found if k != "furniture"])
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(kinds, pa.binary()), pa.array(hashes, pa.binary()), pa.array(texts, pa.list_(pa.string()))],
-                ["page_id", "url", "kinds", "hashes", "texts"],
+                [batch.column(0), batch.column(1), pa.array(kinds, pa.binary()), pa.array(hashes, pa.binary()), batch.column(3), batch.column(4)],
+                ["page_id", "url", "kinds", "hashes", "key", "key2"],
             )
 
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
-    cut_pages = given.mapInArrow(cut, "page_id long, url string, kinds binary, hashes binary, texts array<string>")
+    # rows that agree in id, url and html are one page; texts are cut again at the end rather than kept twice
+    given = given.withColumn("key", F.xxhash64("page_id", "url", "html")).withColumn("key2", F.xxhash64(F.lit(8), "html", "url", "page_id"))
+    cut_pages = given.mapInArrow(cut, "page_id long, url string, kinds binary, hashes binary, key long, key2 long")
     bare = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
     table = save(
-        cut_pages.withColumn("row", F.monotonically_increasing_id())
-        .withColumn("host", F.lower(F.regexp_extract(bare, r"^([^/]*)", 1)))
-        .withColumn("path", F.regexp_replace(F.regexp_extract(bare, r"^[^/]*(.*)$", 1), r"/+$", "")),
+        cut_pages.withColumn("host", F.lower(F.regexp_extract(bare, r"^([^/]*)", 1)))
+        .withColumn("path", F.regexp_replace(F.regexp_extract(bare, r"^[^/]*(.*)$", 1), r"/+$", ""))
+        .drop("url"),
         "pages-blocks",
     )
     # ranges of the (host, path) order; neighbours inside a range, then across the ranges' ends
-    key = ["host", "path", "page_id", "row"]
+    key = ["host", "path", "page_id", "key", "key2"]
     ranged = table.select(*key, "kinds", "hashes").repartitionByRange(*key).withColumn("range", F.spark_partition_id())
     ranged = save(ranged, "pages-order")
     near = F.struct("host", "hashes")
@@ -263,18 +265,30 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     def difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, n_shared = [], []
-            for kinds, own, *others in zip(*[batch.column(i).to_pylist() for i in range(1, 5)]):
+            for kinds, own, *others in zip(*[batch.column(i).to_pylist() for i in range(2, 6)]):
                 near_by = [np.frombuffer(x, np.uint64) for x in others if x is not None]
                 kept, n = kept_blocks(kinds, np.frombuffer(own, np.uint64), near_by)
                 keep.append(kept)
                 n_shared.append(n)
-            yield pa.record_batch([batch.column(0), pa.array(keep, pa.list_(pa.bool_())), pa.array(n_shared, pa.int64())], ["row", "keep", "n_shared"])
-
-    decided = whole.select("row", "kinds", "hashes", *same_host).mapInArrow(difference, "row long, keep array<boolean>, n_shared long")
-    kept = F.filter("texts", lambda _, i: F.get("keep", i))
-    return (
-        table.select("row", "page_id", "url", "texts")
-        .join(decided, "row")
-        .withColumn("text", F.concat_ws("\n", kept))
-        .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_shared")
-    )
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(keep, pa.list_(pa.bool_())), pa.array(n_shared, pa.int64())],
+                ["key", "key2", "keep", "n_shared"],
+            )
+
+    def assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for page, keep in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                visible = [t for k, t in blocks(page or "") if k != "furniture"]
+                texts.append("\n".join([t for t, stays in zip(visible, keep, strict=True) if stays]))
+            n_chars = pa.array([len(t) for t in texts], pa.int64())
+            yield pa.record_batch(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), n_chars, batch.column(4)],
+                ["page_id", "url", "text", "n_chars", "n_shared"],
+            )
+
+    decided = whole.select("key", "key2", "kinds", "hashes", *same_host)
+    decided = decided.mapInArrow(difference, "key long, key2 long, keep array<boolean>, n_shared long")
+    decided = decided.groupBy("key", "key2").agg(F.min(F.struct("keep", "n_shared")).alias("d"))
+    joined = given.join(decided, ["key", "key2"]).select("page_id", "url", "html", "d.keep", "d.n_shared")
+    return joined.mapInArrow(assemble, "page_id long, url string, text string, n_chars long, n_shared long")
