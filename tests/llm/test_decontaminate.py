@@ -3,11 +3,13 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import edge_docs, edge_rows, no_docs, prose  # noqa: F401
 
 from ticketlens.llm.decontaminate import GAP, MATCH, MISMATCH, align, contaminated, keep_clean
+from ticketlens.llm.words import word_hashes
 
 
 def textbook(a, b):
@@ -66,6 +68,29 @@ def test_a_passage_in_every_document_is_found(spark):
     assert contaminated(docs, items).count() == 300
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_edited_copies_of_a_passage_in_most_documents_are_found(spark, monkeypatch, broadcast):
+    from ticketlens.llm import decontaminate
+
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", -1)
+    # every 4th to 6th word of the passage replaced: from any word on, and in all copies the same ones
+    passages = {i: prose(900 + i, n) for i, n in enumerate((20, 30, 45, 20))}
+    rs = random.Random(3)
+    rows, want = [], set()
+    for i in range(3000 if broadcast else 400):
+        item = i % 4
+        step, first = (4, 1) if item == 3 else (rs.choice((4, 5, 6)), rs.randint(0, 5))
+        copy = [f"edit{rs.randint(0, 9999)}" if k % step == first % step else w for k, w in enumerate(passages[item].split())]
+        rows.append((i, f"{prose(i, 20)} {' '.join(copy)} {prose(5000 + i, 20)}"))
+        want.add((i, item))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame(list(passages.items()), "item_id long, text string")
+    for i, text in rows:
+        assert align(word_hashes([passages[i % 4]])[0], word_hashes([text])[0])[0] >= 0.5
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()} == want
+
+
 def test_joins_without_broadcast_give_the_same(spark, monkeypatch):
     from ticketlens.llm import decontaminate
 

@@ -1,23 +1,26 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 1. Every word n-gram of a test item is counted over the whole corpus (in how
-   many documents it occurs).  Seeds are the n-grams in at most
+   many documents it occurs).  Rare seeds are the n-grams in at most
    ``SEED_FLOOR + SEED_SHARE * documents`` documents, and of every
-   ``SEED_WINDOW`` consecutive n-grams of an item the rarest, however often it
-   occurs: so a passage copied into a third of all documents keeps its seeds.
-2. Documents' n-grams that pass a bit table of the seeds (fixed size) are
-   joined with the seeds: (document, item, places).  ``MIN_PLACES`` places of
-   one item make a candidate.
+   ``SEED_WINDOW`` consecutive n-grams of an item the rarest.  The item's other
+   n-grams are common seeds: the n-grams of a passage copied into many documents
+   are common too, and those of its words that the copies leave out are the rare
+   ones, so rare seeds alone would lose edited copies.
+2. Documents' n-grams that pass a bit table of the seeds (fixed size) are looked
+   up among the seeds.  One place of an item makes a candidate.
 3. The text around each run of places is aligned with the item by a
    Smith-Waterman local alignment over words (match 2, mismatch -1, gap -1);
    the score is the alignment's points over those of a whole copy, so edited
-   and paraphrased copies keep a graded score.
+   and paraphrased copies keep a graded score.  A run of common seeds only is
+   aligned if the text around it holds at least the share ``threshold`` of the
+   item's words; with fewer no alignment can score ``threshold``.
 
-Scale: documents are read three times (counts, places, texts of documents with
-places) and only hits are shuffled; a task holds one block of texts.  The seed
-and item tables are broadcast only if the measured number of seeds and item
+Scale: documents are read twice (counts, then places and alignment in one task)
+and only gram counts and results are shuffled; a task holds one block of texts.
+Seeds and items are broadcast only if the measured number of seeds and item
 characters is within ``BROADCAST_SEEDS`` and ``BROADCAST_CHARS``; otherwise
-the same joins shuffle.
+joins find the (document, item, places) and shuffle the texts of these documents.
 
 Defined results: NULL and empty texts hit nothing; items of fewer than
 ``SEED_WORDS`` words take no part; rows that share an id are searched each and
@@ -41,7 +44,6 @@ SEED_WORDS = 3
 SEED_WINDOW = 8
 SEED_FLOOR = 10
 SEED_SHARE = 0.0005
-MIN_PLACES = 2
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, 1, 1
 BLOCK_CHARS = 400_000
@@ -124,12 +126,13 @@ def _may_hold(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return hit[table[((grams[hit] >> np.uint64(32)) & mask).astype(np.int64)]]
 
 
-def _doc_grams(texts: list[str], n: int) -> Iterator[tuple[int, np.ndarray]]:
+def _doc_grams(texts: list[str], n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(number, n-grams, words) of every text."""
     for a, b in slices([len(t) for t in texts], BLOCK_CHARS):
         words, at = word_hashes(texts[a:b])
         grams = shingle_hashes(words, n) if len(words) >= n else np.zeros(0, np.uint64)
         for i in range(b - a):
-            yield a + i, grams[at[i] : max(at[i], at[i + 1] - n + 1)]
+            yield a + i, grams[at[i] : max(at[i], at[i + 1] - n + 1)], words[at[i] : at[i + 1]]
 
 
 def _document_counts(docs: DataFrame, table, n: int) -> DataFrame:
@@ -138,7 +141,7 @@ def _document_counts(docs: DataFrame, table, n: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [np.zeros(0, np.uint64)]
-            for _, grams in _doc_grams(batch.column(0).to_pylist(), n):
+            for _, grams, _ in _doc_grams(batch.column(0).to_pylist(), n):
                 held.append(np.unique(grams[_may_hold(table.value, grams)]))
             gram, number = np.unique(np.concatenate(held), return_counts=True)
             yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(number)], ["gram", "docs"])
@@ -153,7 +156,7 @@ def _places(docs: DataFrame, table, n: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             doc, place, gram = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-            for i, grams in _doc_grams(batch.column(1).to_pylist(), n):
+            for i, grams, _ in _doc_grams(batch.column(1).to_pylist(), n):
                 hit = _may_hold(table.value, grams)
                 if len(hit):
                     doc.append(np.full(len(hit), ids[i]))
@@ -166,7 +169,7 @@ def _places(docs: DataFrame, table, n: int) -> DataFrame:
 
 
 def seeds_of(items: DataFrame, docs: DataFrame, n: int = SEED_WORDS) -> DataFrame:
-    """(item_id, gram) of the seeds; ``items(item_id, text)``, ``docs(doc_id, text)``."""
+    """(item_id, gram, rare) of the seeds; ``items(item_id, text)``, ``docs(doc_id, text)``."""
     spark = docs.sparkSession
     grams = save(_item_grams(items, n), "decontaminate-grams")
     table = spark.sparkContext.broadcast(_bit_table(grams))
@@ -175,9 +178,90 @@ def seeds_of(items: DataFrame, docs: DataFrame, n: int = SEED_WORDS) -> DataFram
     known = grams.join(counts, "gram", "left").select("item_id", "place", "gram", F.coalesce("docs", F.lit(0)).alias("docs"))
     onward = Window.partitionBy("item_id").orderBy("place").rowsBetween(0, SEED_WINDOW - 1)
     rarest = F.min(F.struct("docs", "gram")).over(onward)["gram"]
-    local = known.select("item_id", rarest.alias("gram"))
-    rare = known.where(F.col("docs") <= SEED_FLOOR + SEED_SHARE * total).select("item_id", "gram")
-    return local.unionByName(rare).distinct()
+    local = known.select("item_id", rarest.alias("gram"), F.lit(True).alias("rare"))
+    every = known.select("item_id", "gram", (F.col("docs") <= SEED_FLOOR + SEED_SHARE * total).alias("rare"))
+    return local.unionByName(every).groupBy("item_id", "gram").agg(F.max("rare").alias("rare"))
+
+
+def _best(wanted: np.ndarray, words: np.ndarray, places: np.ndarray, rare: np.ndarray, n: int, threshold: float) -> tuple[float, int, int]:
+    """(score, first word, word after the last) of the item's best alignment around its places, in order, in a text."""
+    reach = len(wanted)
+    best = (0.0, 0, 0)
+    cuts = np.flatnonzero(np.diff(places) > 2 * reach) + 1
+    for run, known in zip(np.split(places, cuts), np.split(rare, cuts)):
+        low = max(0, int(run[0]) - 2 * reach)
+        passage = words[low : int(run[-1]) + n + 2 * reach]
+        if not known.any() and np.isin(wanted, passage).sum() < threshold * reach:
+            continue  # each point comes from one of these words
+        value, a, b = align(wanted, passage)
+        if value > best[0]:
+            best = (value, low + a, low + b)
+    return best
+
+
+def _record(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+    names = ["doc_id", "item_id", "score", "start_word", "end_word"]
+    return pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
+
+
+def _scored_in_place(given: DataFrame, seeds: DataFrame, items: DataFrame, table, n: int, threshold: float) -> DataFrame:
+    """Scores of all candidates, found and aligned in the task that reads the text; seeds and items are broadcast."""
+    found = seeds.select("gram", "item_id", "rare").toArrow()
+    gram = found.column("gram").to_numpy().view(np.uint64)
+    order = np.argsort(gram, kind="stable")
+    texts: dict[int, list[np.ndarray]] = {}
+    for item_id, text in {(r["item_id"], r["text"]) for r in items.collect()}:
+        texts.setdefault(item_id, []).append(word_hashes([text])[0])
+    own = (gram[order], found.column("item_id").to_numpy()[order], found.column("rare").to_numpy()[order], texts)
+    held = given.sparkSession.sparkContext.broadcast(own)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gram, item, rare, texts = held.value
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            out = []
+            for i, grams, words in _doc_grams(batch.column(1).to_pylist(), n):
+                hit = _may_hold(table.value, grams)
+                if not len(hit):
+                    continue
+                low = np.searchsorted(gram, grams[hit])
+                number = np.searchsorted(gram, grams[hit], "right") - low
+                at = np.repeat(low - np.cumsum(number) + number, number) + np.arange(number.sum())
+                places = np.repeat(hit, number)
+                by_item = np.argsort(item[at], kind="stable")  # places stay in order
+                at, places = at[by_item], places[by_item]
+                cuts = np.flatnonzero(np.diff(item[at])) + 1
+                for some, where in zip(np.split(at, cuts), np.split(places, cuts)):
+                    if not len(some):
+                        continue
+                    for wanted in texts[int(item[some[0]])]:
+                        best = _best(wanted, words, where, rare[some], n, threshold)
+                        if best[0] >= threshold:
+                            out.append((ids[i], int(item[some[0]]), *best))
+            yield _record(out)
+
+    return given.mapInArrow(run, RESULT_SCHEMA)
+
+
+def _scored_by_joins(given: DataFrame, seeds: DataFrame, items: DataFrame, table, n: int, threshold: float) -> DataFrame:
+    """The same scores where seeds or items are too many to broadcast."""
+    hits = _places(given, table, n).join(seeds, "gram").groupBy("doc_id", "item_id")
+    hits = save(hits.agg(F.sort_array(F.collect_set(F.struct("place", "rare"))).alias("places")), "decontaminate-hits")
+    found = by_ids(given, hits.select("doc_id"), "doc_id").join(hits, "doc_id")
+    pairs = found.join(items.withColumnRenamed("text", "item"), "item_id")
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, item_id, text, places, rare, item in zip(*[batch.column(i).to_pylist() for i in range(6)]):
+                wanted, words = word_hashes([item])[0], word_hashes([text])[0]
+                best = _best(wanted, words, np.array(places), np.array(rare), n, threshold)
+                if best[0] >= threshold:
+                    out.append((doc, item_id, *best))
+            yield _record(out)
+
+    return pairs.select("doc_id", "item_id", "text", "places.place", "places.rare", "item").mapInArrow(score, RESULT_SCHEMA)
 
 
 def contaminated(
@@ -201,36 +285,8 @@ def contaminated(
     seeds = save(seeds_of(items, given, n), "decontaminate-seeds")
     table = spark.sparkContext.broadcast(_bit_table(seeds))
     n_chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    few_seeds, few_items = seeds.count() <= BROADCAST_SEEDS, n_chars <= BROADCAST_CHARS
-    hits = _places(given, table, n).join(F.broadcast(seeds) if few_seeds else seeds, "gram")
-    hits = hits.groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    hits = save(hits.where(F.size("places") >= MIN_PLACES), "decontaminate-hits")
-    found = by_ids(given, hits.select("doc_id"), "doc_id").join(hits, "doc_id")
-    item_texts = items.withColumnRenamed("text", "item")
-    pairs = found.join(F.broadcast(item_texts) if few_items else item_texts, "item_id")
-
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: dict[str, list] = {"doc_id": [], "item_id": [], "score": [], "start_word": [], "end_word": []}
-            rows = zip(*[batch.column(i).to_pylist() for i in range(5)])
-            for doc, item_id, text, places, item in rows:
-                words, _ = word_hashes([text])
-                wanted, _ = word_hashes([item])
-                reach = len(wanted)
-                best = (0.0, 0, 0)
-                at = np.array(places)
-                for run in np.split(at, np.flatnonzero(np.diff(at) > 2 * reach) + 1):
-                    low = max(0, int(run[0]) - 2 * reach)
-                    value, a, b = align(wanted, words[low : int(run[-1]) + n + 2 * reach])
-                    if value > best[0]:
-                        best = (value, low + a, low + b)
-                if best[0] >= threshold:
-                    for name, x in zip(out, (doc, item_id, *best)):
-                        out[name].append(x)
-            types = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            yield pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
-
-    scored = pairs.select("doc_id", "item_id", "text", "places", "item").mapInArrow(score, RESULT_SCHEMA)
+    few = seeds.count() <= BROADCAST_SEEDS and n_chars <= BROADCAST_CHARS
+    scored = (_scored_in_place if few else _scored_by_joins)(given, seeds, items, table, n, threshold)
     best = F.max(F.struct("score", (-F.col("start_word")).alias("first"), "end_word")).alias("best")
     return scored.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "best.score", (-F.col("best.first")).alias("start_word"), "best.end_word"
