@@ -69,6 +69,16 @@ def test_copies_of_a_page_and_marked_articles_keep_their_text(spark):
     assert {got[10 + i] for i in range(3)} == {f"{prose(2, 20)}\n{prose(3, 20)}"}
 
 
+def test_articles_lose_what_the_site_repeats_in_them(spark):
+    page = "<nav>m%d</nav><article><h1>%s</h1><p>%s</p><p>%s</p><p>Share this with friends</p><p>Read more</p></article>"
+    own = {i: [prose(i, 5), prose(20 + i, 12), prose(40 + i, 9)] for i in range(6)}
+    own[2] = own[1]  # the same article at two URLs
+    own[4] = [own[4][0], own[3][1], own[4][2]]  # a paragraph that only one neighbour has
+    rows = [(i, f"https://h.example/{i}", page % (i, *own[i])) for i in range(6)]
+    got = texts(main_texts(frame(spark, rows)))
+    assert got == {i: "\n".join(own[i]) for i in range(6)}
+
+
 def test_many_ranges_give_the_same(spark):
     site = "<p>shared</p>%s"
     rows = [(i, f"https://h.example/{i:03d}", site % f"<p>{prose(i, 8)}</p>") for i in range(60)]

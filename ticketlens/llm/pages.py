@@ -5,19 +5,21 @@
    furniture, or in the open) and the path of elements around them.
 2. The pages of a host are put in the order of their URL path, and every page
    is compared with its neighbours in that order, the pages with the nearest
-   paths (one before, one after).  The two block lists are aligned by a longest
+   paths (one before, one after, and a second one each in reserve).  The two block lists are aligned by a longest
    common subsequence, and the blocks in it are shared: they belong to the
-   site.  Shared blocks outside the article element are deleted.
+   site and are deleted.  In a marked article a block must be shared by two
+   neighbours.  A neighbour that is a copy (for the article: one that shares most
+   of its blocks) tells nothing, and the next page on its side takes its place;
+   at the ends of a host the article's two are on one side.
 3. An exact check follows on what the page itself says: blocks inside menus,
    headers, footers, sidebars, notices, adverts, forms, comments, scripts and
    styles are deleted even where no neighbour shares them (menus and adverts
    that differ from page to page), and if the page marks its article, blocks
-   outside it go too.  Blocks of the marked article are kept although a
-   neighbour has them, since articles are repeated at several URLs.
+   outside it go too.
 
 Scale: only block hashes travel for the comparison.  The (host, path) order is
 cut into ranges of like size, so a host with a third of all pages is split; the
-two pages at the ends of each range meet their neighbours in a second step.
+four pages at the ends of each range meet their neighbours in a second step.
 
 Defined results: a NULL or empty html gives an empty text; a NULL url is a host
 of its own with an empty path; pages that share a URL are neighbours by id;
@@ -203,20 +205,25 @@ def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def kept_blocks(kinds: bytes, own: np.ndarray, neighbours: list[np.ndarray]) -> tuple[list[bool], int]:
-    """Which of the blocks that are no furniture stay, and how many of them a neighbour shares.
+def kept_blocks(kinds: bytes, own: np.ndarray, before: list[np.ndarray], after: list[np.ndarray]) -> tuple[list[bool], int]:
+    """Which of the blocks that are no furniture stay, and how many of them a neighbour shares; nearest neighbours first.
 
-    A neighbour that has all of them is a copy of the page and tells nothing.
+    A neighbour that has all of them is a copy of the page and tells nothing;
+    one that has more than half of a marked article's blocks tells nothing of it.
     """
     visible = np.frombuffer(kinds, np.uint8) != ord("f")
+    article = np.frombuffer(kinds, np.uint8) == ord("a")
+    sides = [[shared_lines(own, other) for other in side] for side in (before, after)]
     shared = np.zeros(len(own), dtype=bool)
-    for other in neighbours:
-        common = shared_lines(own, other)
-        if not common[visible].all():
+    for side in sides:
+        for common in [x for x in side if not x[visible].all()][:1]:
             shared |= common
-    marked = b"a" in kinds
-    keep = [k == ord("a") if marked else not s for k, s in zip(kinds, shared) if k != ord("f")]
-    return keep, int(shared[visible].sum())
+    deleted = shared
+    if article.any():
+        told = [[x for x in side if 2 * x[article].sum() <= article.sum()] for side in sides]
+        two = told[0][:1] + told[1][:1] if all(told) else told[0] + told[1]
+        deleted = ~article | (two[0] & two[1] if len(two) == 2 else False)
+    return (~deleted[visible]).tolist(), int(shared[visible].sum())
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -253,21 +260,22 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     ranged = save(ranged, "pages-order")
     near = F.struct("host", "hashes")
     inside = Window.partitionBy("range").orderBy(*key)
-    linked = ranged.withColumn("before", F.lag(near).over(inside)).withColumn("after", F.lead(near).over(inside))
-    linked = save(linked, "pages-neighbours")
-    ends = linked.where(F.col("before").isNull() | F.col("after").isNull())
-    across = Window.orderBy("range", *key)  # two rows per range
-    ends = ends.withColumn("b", F.coalesce("before", F.lag(near).over(across))).withColumn("a", F.coalesce("after", F.lead(near).over(across)))
-    whole = linked.where(F.col("before").isNotNull() & F.col("after").isNotNull())
-    whole = whole.unionByName(ends.drop("before", "after").withColumnsRenamed({"b": "before", "a": "after"}))
-    same_host = [F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.hashes")).alias(c) for c in ("before", "after")]
+    away = {"before": F.lag, "before2": F.lag, "after": F.lead, "after2": F.lead}
+    steps = {c: f(near, 2 if c.endswith("2") else 1) for c, f in away.items()}
+    linked = save(ranged.withColumns({c: x.over(inside) for c, x in steps.items()}), "pages-neighbours")
+    at_end = F.greatest(*[F.col(c).isNull() for c in steps])
+    across = Window.orderBy("range", *key)  # four rows per range
+    ends = linked.where(at_end).withColumns({f"{c}_": F.coalesce(c, x.over(across)) for c, x in steps.items()})
+    ends = ends.drop(*steps).withColumnsRenamed({f"{c}_": c for c in steps})
+    whole = linked.where(~at_end).unionByName(ends)
+    same_host = [F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.hashes")).alias(c) for c in steps]
 
     def difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, n_shared = [], []
-            for kinds, own, *others in zip(*[batch.column(i).to_pylist() for i in range(2, 6)]):
-                near_by = [np.frombuffer(x, np.uint64) for x in others if x is not None]
-                kept, n = kept_blocks(kinds, np.frombuffer(own, np.uint64), near_by)
+            for kinds, own, *others in zip(*[batch.column(i).to_pylist() for i in range(2, 8)]):
+                sides = [[np.frombuffer(x, np.uint64) for x in side if x is not None] for side in (others[:2], others[2:])]
+                kept, n = kept_blocks(kinds, np.frombuffer(own, np.uint64), *sides)
                 keep.append(kept)
                 n_shared.append(n)
             yield pa.record_batch(
