@@ -79,6 +79,18 @@ def test_articles_lose_what_the_site_repeats_in_them(spark):
     assert got == {i: "\n".join(own[i]) for i in range(6)}
 
 
+def test_every_copy_of_a_page_is_compared_with_the_nearest_other_page(spark):
+    site = "<nav>n%d</nav><p>Site of things</p><p>%s</p><p>All about us</p>"
+    rows = [(i, f"https://h.example/{i:02d}", site % (0, prose(i, 12))) for i in (0, 1, 30, 31)]
+    # one page under many addresses, its menu not always the same
+    rows += [(2 + i, f"https://h.example/02?{i}", site % (i % 3, prose(2, 12))) for i in range(20)]
+    rows += [(25, "https://h.example/02?same", site % (0, prose(2, 12)))] * 2
+    got = main_texts(frame(spark, rows)).collect()
+    assert len(got) == 26
+    want = {i: prose(i, 12) for i in (0, 1, 30, 31)}
+    assert all(r["text"] == want.get(r["page_id"], prose(2, 12)) and r["n_shared"] == 2 for r in got)
+
+
 def test_many_ranges_give_the_same(spark):
     site = "<p>shared</p>%s"
     rows = [(i, f"https://h.example/{i:03d}", site % f"<p>{prose(i, 8)}</p>") for i in range(60)]

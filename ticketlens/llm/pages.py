@@ -3,7 +3,9 @@
 1. Every page is cut into blocks: runs of inline content between block
    elements, with their place (inside the article element, inside page
    furniture, or in the open) and the path of elements around them.
-2. The pages of a host are put in the order of their URL path, and every page
+2. Pages of a host with equal blocks outside furniture are one page, at the first
+   of their paths, and share one result.  The pages of a host are put in the order
+   of their URL path, and every page
    is compared with its neighbours in that order, the pages with the nearest
    paths (one before, one after, and a second one each in reserve).  The two block lists are aligned by a longest
    common subsequence, and the blocks in it are shared: they belong to the
@@ -29,6 +31,7 @@ id are each a page, rows that also share URL and html get one text.  An empty ta
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterable, Iterator
@@ -233,20 +236,24 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, hashes = [], []
+            kinds, hashes, same = [], [], []
             for page in batch.column(2).to_pylist():
                 found = blocks(page or "")
                 kinds.append("".join(k[0] for k, _ in found).encode())
-                hashes.append(_hashes(found).tobytes())
+                own = _hashes(found)
+                hashes.append(own.tobytes())
+                visible = np.frombuffer(kinds[-1], np.uint8) != ord("f")
+                same.append(hashlib.blake2b(kinds[-1].replace(b"f", b"") + b" " + own[visible].tobytes(), digest_size=16).digest())
+            arrays = [pa.array(x, pa.binary()) for x in (kinds, hashes, same)]
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(kinds, pa.binary()), pa.array(hashes, pa.binary()), batch.column(3), batch.column(4)],
-                ["page_id", "url", "kinds", "hashes", "key", "key2"],
+                [batch.column(0), batch.column(1), *arrays, batch.column(3), batch.column(4)],
+                ["page_id", "url", "kinds", "hashes", "same", "key", "key2"],
             )
 
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
     # rows that agree in id, url and html are one page; texts are cut again at the end rather than kept twice
     given = given.withColumn("key", F.xxhash64("page_id", "url", "html")).withColumn("key2", F.xxhash64(F.lit(8), "html", "url", "page_id"))
-    cut_pages = given.mapInArrow(cut, "page_id long, url string, kinds binary, hashes binary, key long, key2 long")
+    cut_pages = given.mapInArrow(cut, "page_id long, url string, kinds binary, hashes binary, same binary, key long, key2 long")
     bare = F.regexp_replace(F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), r"[?#].*$", "")
     table = save(
         cut_pages.withColumn("host", F.lower(F.regexp_extract(bare, r"^([^/]*)", 1)))
@@ -256,13 +263,15 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     )
     # ranges of the (host, path) order; neighbours inside a range, then across the ranges' ends
     key = ["host", "path", "page_id", "key", "key2"]
-    ranged = table.select(*key, "kinds", "hashes").repartitionByRange(*key).withColumn("range", F.spark_partition_id())
+    first = F.min(F.struct("path", "page_id", "key", "key2", "kinds", "hashes")).alias("first")
+    pages_once = table.groupBy("host", "same").agg(first).select("host", "same", "first.*")
+    ranged = pages_once.repartitionByRange(*key).withColumn("range", F.spark_partition_id())
     ranged = save(ranged, "pages-order")
     near = F.struct("host", "hashes")
     inside = Window.partitionBy("range").orderBy(*key)
     away = {"before": F.lag, "before2": F.lag, "after": F.lead, "after2": F.lead}
     steps = {c: f(near, 2 if c.endswith("2") else 1) for c, f in away.items()}
-    linked = save(ranged.withColumns({c: x.over(inside) for c, x in steps.items()}), "pages-neighbours")
+    linked = ranged.withColumns({c: x.over(inside) for c, x in steps.items()})  # not written: four neighbours a page
     at_end = F.greatest(*[F.col(c).isNull() for c in steps])
     across = Window.orderBy("range", *key)  # four rows per range
     ends = linked.where(at_end).withColumns({f"{c}_": F.coalesce(c, x.over(across)) for c, x in steps.items()})
@@ -280,7 +289,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 n_shared.append(n)
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(keep, pa.list_(pa.bool_())), pa.array(n_shared, pa.int64())],
-                ["key", "key2", "keep", "n_shared"],
+                ["host", "same", "keep", "n_shared"],
             )
 
     def assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,8 +304,9 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 ["page_id", "url", "text", "n_chars", "n_shared"],
             )
 
-    decided = whole.select("key", "key2", "kinds", "hashes", *same_host)
-    decided = decided.mapInArrow(difference, "key long, key2 long, keep array<boolean>, n_shared long")
+    decided = whole.select("host", "same", "kinds", "hashes", *same_host)
+    decided = decided.mapInArrow(difference, "host string, same binary, keep array<boolean>, n_shared long")
+    decided = table.select("key", "key2", "host", "same").join(decided, ["host", "same"])
     decided = decided.groupBy("key", "key2").agg(F.min(F.struct("keep", "n_shared")).alias("d"))
     joined = given.join(decided, ["key", "key2"]).select("page_id", "url", "html", "d.keep", "d.n_shared")
     return joined.mapInArrow(assemble, "page_id long, url string, text string, n_chars long, n_shared long")
