@@ -50,6 +50,33 @@ def test_every_template_is_found_whole_and_edited():
             assert scanner.names[best[0]] == (license, name) and 0.8 < best[1] < 1
 
 
+def test_siblings_are_told_apart():
+    scanner = Scanner(TEMPLATES, 0.8)
+
+    def licenses(text):
+        return [scanner.names[x[0]][0] for x in scanner.scan(f"{prose(1, 20)} {text} {prose(2, 20)}")]
+
+    nothing = (
+        "Licensed under the BSD License", "Released under the Zlib License", "Licensed under CC BY-SA 3.0", "Licensed under CC BY 3.0",
+        "Licensed under CC BY-ND 4.0", "Licensed under CC BY-NC-SA 4.0", "Licensed under the Apache License, Version 1.1",
+        "This work is licensed under the GNU Free Documentation License, version 3",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    )
+    for text in nothing:
+        assert licenses(text) == [], text
+    assert licenses("Licensed under the BSD License. Licensed under the MIT License") == ["MIT"]
+    gpl = next(text for license, name, text in TEMPLATES if (license, name) == ("GPL-3.0", "header"))
+    assert licenses(gpl.replace("software:", "software;").replace("version 3", "version 2")) == ["GPL-2.0"]
+    assert licenses(gpl.replace("GNU General", "GNU Lesser General")) == ["LGPL-3.0"]
+    assert licenses(gpl.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0"]
+    assert licenses(gpl.replace("program", "library").replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1")) == ["LGPL-2.1"]
+    for license, name, text in TEMPLATES:
+        assert licenses(text) == [license], (license, name)
+        if license.startswith(("BSD", "ISC")) and name == "text":
+            found = scanner.scan(text)
+            assert [x[3:] for x in found] == [(0, len(text.rstrip(".")))], license
+
+
 def test_repeated_notices_and_clean_texts():
     scanner = Scanner(TEMPLATES, 0.8)
     line = "Released under the MIT License. "

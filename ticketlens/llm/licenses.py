@@ -8,8 +8,10 @@ covered).  The words around each such run are aligned with the template by
 patience: words that occur once in both are anchors if they are in the longest
 increasing run of places, and the gaps between anchors are aligned the same way
 after common beginnings and ends are taken off.  Coverage is the share of the
-template's words that are aligned.  Of overlapping finds the one with more
-aligned words stays.
+template's words that are aligned.  The words that tell a license from its
+siblings (``KEYS``: name and version) must be among the aligned ones wherever the
+template has them, and no word of a sibling (``SIBLINGS``) may stand between
+them.  Of overlapping finds the one with more aligned words stays.
 
 Defined results: NULL and empty texts hold nothing; equal finds go to the
 license first in name order; rows that share an id are each scanned; a NULL id
@@ -34,6 +36,48 @@ BLOCK_CHARS = 400_000
 RESULT_SCHEMA = "doc_id long, license string, template string, coverage double, words long, start_char long, end_char long"
 
 # fixed values: wording of public license notices (license, template name, text)
+_GNU = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} Public "
+    "License as published by the Free Software Foundation, either version {2} of the License, or (at your option) any "
+    "later version. This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+    "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} Public "
+    "License for more details."
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies."
+)
+_ISC_WARRANTY = (
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, "
+    "INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN "
+    "ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+    "THIS SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+_BSD_ADVERTS = (
+    "All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+    "This product includes software developed by the organization."
+)
+_BSD_NAMES = (
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_BSD_WARRANTY = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, "
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("Apache-2.0", "line", "Licensed under the Apache License, Version 2.0"),
     (
@@ -59,14 +103,7 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
         "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     ("GPL-3.0", "line", "This work is licensed under the GNU General Public License, version 3"),
-    (
-        "GPL-3.0", "header",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
-        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
-        "License for more details.",
-    ),
+    ("GPL-3.0", "header", _GNU.format("program", "General", "3")),
     ("CC-BY-NC-4.0", "line", "Licensed under CC BY-NC 4.0"),
     ("CC-BY-4.0", "line", "Licensed under CC BY 4.0"),
     ("CC-BY-SA-4.0", "line", "Licensed under CC BY-SA 4.0"),
@@ -80,22 +117,35 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     ),
-    (
-        "ISC", "text",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
-        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    ),
-    (
-        "BSD-2-Clause", "text",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: Redistributions of source code must retain the above copyright notice, this list of "
-        "conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, "
-        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
-        "distribution.",
-    ),
+    ("ISC", "permission", _ISC),
+    ("ISC", "text", f"{_ISC} {_ISC_WARRANTY}"),
+    ("BSD-2-Clause", "conditions", _BSD),
+    ("BSD-2-Clause", "text", f"{_BSD} {_BSD_WARRANTY}"),
+    ("BSD-3-Clause", "conditions", f"{_BSD} {_BSD_NAMES}"),
+    ("BSD-3-Clause", "text", f"{_BSD} {_BSD_NAMES} {_BSD_WARRANTY}"),
+    ("BSD-4-Clause", "text", f"{_BSD} {_BSD_ADVERTS} {_BSD_NAMES} {_BSD_WARRANTY}"),
+    ("GPL-2.0", "line", "This work is licensed under the GNU General Public License, version 2"),
+    ("GPL-2.0", "header", _GNU.format("program", "General", "2")),
+    ("LGPL-2.1", "header", _GNU.format("library", "Lesser General", "2.1")),
+    ("LGPL-3.0", "header", _GNU.format("library", "Lesser General", "3")),
+    ("AGPL-3.0", "header", _GNU.format("program", "Affero General", "3")),
     ("All-rights-reserved", "line", "All rights reserved"),
 )
 
+# fixed values: words that tell a license from its siblings, and words that only its siblings have
+KEYS = {
+    "Apache-2.0": "apache 2 0", "MIT": "mit", "MPL-2.0": "mozilla public 2 0", "ISC": "notice appear",
+    "GPL-2.0": "gnu general public 2", "GPL-3.0": "gnu general public 3", "LGPL-2.1": "gnu lesser general public 2 1",
+    "LGPL-3.0": "gnu lesser general public 3", "AGPL-3.0": "gnu affero general public 3",
+    "CC-BY-4.0": "cc by attribution 4 0", "CC-BY-NC-4.0": "cc by nc attribution noncommercial 4 0",
+    "CC-BY-SA-4.0": "cc by sa attribution sharealike 4 0", "BSD-3-Clause": "endorse", "BSD-4-Clause": "endorse advertising",
+}
+SIBLINGS = {
+    "GPL-2.0": "lesser affero library", "GPL-3.0": "lesser affero library", "CC-BY-4.0": "nc noncommercial sa sharealike nd noderivatives noderivs",
+    "CC-BY-NC-4.0": "sa sharealike nd noderivatives noderivs", "CC-BY-SA-4.0": "nc noncommercial nd noderivatives noderivs",
+    "BSD-2-Clause": "endorse advertising", "BSD-3-Clause": "advertising",
+}
+
 
 def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     """(word hashes, starts, ends in bytes, the lower-cased bytes)."""
@@ -165,6 +215,9 @@ class Scanner:
         self.vocabulary = np.unique(np.concatenate(self.words)) if templates else np.zeros(0, np.uint64)
         self.filter = np.zeros(1 << 16, dtype=bool)
         self.filter[(self.vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
+        keys = [words_of(KEYS.get(license, ""))[0] for license, _ in self.names]
+        self.keys = [np.searchsorted(self.vocabulary, np.intersect1d(k, w)).tolist() for k, w in zip(keys, self.words)]
+        self.siblings = [frozenset(words_of(SIBLINGS.get(license, ""))[0].tolist()) for license, _ in self.names]
         self.member = [np.isin(self.vocabulary, w) for w in self.words]
         self.sequence = [np.searchsorted(self.vocabulary, w).tolist() for w in self.words]
 
@@ -199,6 +252,17 @@ class Scanner:
                 out.append((t, share, n, len(raw[: starts[a]].decode("utf-8", "replace")), len(raw[: ends[b - 1]].decode("utf-8", "replace"))))
         return sorted(out, key=lambda x: (x[3], x[0]))
 
+    def _told(self, t: int, pairs: list[tuple[int, int]], hashes: np.ndarray) -> bool:
+        """Whether the template's own words are aligned and no sibling's word stands among the aligned ones."""
+        aligned = {self.sequence[t][i] for i, _ in pairs}
+        if not aligned.issuperset(self.keys[t]):
+            return False
+        if not self.siblings[t]:
+            return True
+        here = {j for _, j in pairs}
+        between = hashes[pairs[0][1] : pairs[-1][1]].tolist()
+        return not any(w in self.siblings[t] and pairs[0][1] + j not in here for j, w in enumerate(between))
+
     def _align(self, t: int, hashes, place, word, low: int, high: int, need: int, window: int) -> list[tuple[int, float, int, int, int]]:
         """Finds of template t between two words: one alignment after the other until one covers too little."""
         sequence, out = self.sequence[t], []
@@ -210,7 +274,7 @@ class Scanner:
             # step by step through a long run, each step one window with the next copy's beginning in it
             some = at[begin : begin + window].tolist()
             pairs = patience(sequence, [x if x >= 0 else -2 - i for i, x in enumerate(some)])
-            if len(pairs) >= need:
+            if len(pairs) >= need and self._told(t, pairs, hashes[low + begin :]):
                 a, b = begin + pairs[0][1], begin + pairs[-1][1] + 1
                 out.append((len(pairs), len(pairs) / len(sequence), t, low + a, low + b))
                 begin = b
