@@ -128,6 +128,35 @@ def test_added_spans_never_touch_base_spans_and_long_texts_are_covered(tagger):
     assert all(b <= x or a >= y for _, a, b in added for _, x, y in base)
 
 
+class CapitalTagger:
+    """Tags runs of capitals, dots and brackets as addresses, as far as the window shows them."""
+
+    def decode(self, x):
+        inside = ((x >= ord("A") - 32) & (x <= ord("Z") - 32)) | np.isin(x, [ord(c) - 32 for c in ".()"])
+        first = inside.copy()
+        first[:, 1:] &= ~inside[:, :-1]
+        first[:, 0] = False  # goes on from the window before
+        return np.where(first, 1, np.where(inside, 2, 0)), np.where(inside, 0.95, 1.0)
+
+
+def test_long_spans_are_found_wherever_they_stand():
+    plain = "lorem ipsum " * 20
+    for length in (12, 31, 40, 50, 60, 64, 80, 130, 200):
+        for left in (length // 2, 3, length - 9):
+            span = f"{'N' * left}(AT){'H' * max(2, length - left - 8)}.ORG"
+            texts = [f"{plain[:i]} {span} {plain}" for i in range(80, 80 + 32)]
+            for i, (base, added) in zip(range(80, 80 + 32), Finder(CapitalTagger()).find(texts)):
+                assert not base and added == [("email", i + 1, i + 1 + len(span))], (length, left, i)
+
+
+def test_implausible_and_base_overlapping_spans_do_not_displace_good_ones(monkeypatch):
+    text = "call (217) 555-7713 or write to x@y.example.com now"
+    phone, mail = (text.index("("), text.index(" or")), (text.index("x@"), text.index(" now"))
+    found = [(phone[0] - 5, phone[1], 3, 0.99), (*phone, 3, 0.95), (phone[0], mail[1], 0, 0.999)]
+    monkeypatch.setattr(personal, "joined_pieces", lambda pieces, n: [found])
+    assert Finder(None).find([text]) == [([("email", *mail)], [("phone", *phone)])]
+
+
 def test_edge_rows(edge_docs, edge_rows, no_docs):
     rows = personal_data(edge_docs, None).collect()
     assert len(rows) == len(edge_rows)

@@ -9,13 +9,14 @@ together with numbers that are no personal data.
 
 Every document is cut into windows of ``WINDOW`` characters with half a window
 of overlap.  A span must hold an anchor (a digit, ``@``, ``(at)`` or
-``[at]``), so windows without one cannot give a span and are not run.  The
-decoded spans of all windows are reconciled over the whole document: spans cut
-by a window's edge are left to the window that holds them whole, and of the
-rest the set of spans without overlap that has the greatest sum of marginals
-is taken (weighted interval scheduling).  An exact check follows: an added span
-must have the digits of its kind (Luhn for cards) and may not overlap a base
-span; base spans always stay.
+``[at]`` in any case), so the windows around anchors are run, and the next ones
+as long as a span goes on over their edge.  The decoded spans of all windows are
+reconciled over the whole document: a span cut by a window's edge is joined with
+its part in the next window (up to ``LONGEST`` characters).  An exact check
+leaves out spans without the digits of their kind (Luhn for cards) and spans
+that overlap a base span; of the rest the set of spans without overlap that has
+the greatest sum of marginals is taken (weighted interval scheduling).  Base
+spans always stay.
 
 Defined results: NULL and empty texts have no span; offsets are code points;
 a NULL id is returned as it is; rows that share an id are each searched.
@@ -47,6 +48,7 @@ SAMPLE = 300
 SAMPLE_CHARS = 20_000
 EXAMPLES = 6000
 MIN_MARGINAL = 0.9
+LONGEST = 320
 DECODE_BATCH = 256
 RESULT_SCHEMA = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
@@ -58,7 +60,7 @@ DIGITS = re.compile(r"[0-9]+")
 IP = re.compile(r"[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-ANCHOR = re.compile(r"[0-9@]|[(\[]at[)\]]")
+ANCHOR = re.compile(r"[0-9@]|[(\[](?:at|AT|At|aT)[)\]]")
 DIGIT = re.compile(r"[0-9]")
 Span = tuple[str, int, int]
 
@@ -244,7 +246,7 @@ def plausible(kind: str, text: str) -> bool:
     """The exact check of an added span."""
     digits = "".join(DIGIT.findall(text))
     if kind == "email":
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+\s?(?:@|[(\[]at[)\]])\s?[A-Za-z0-9-]+(?:(?:\.|\s?dot\s|\(dot\))[A-Za-z0-9-]+)+", text))
+        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+\s?(?:@|[(\[]at[)\]])\s?[A-Za-z0-9-]+(?:(?:\.|\s?dot\s|\(dot\))[A-Za-z0-9-]+)+", text, re.I | re.A))
     if kind == "ip":
         parts = re.split(r"\s?\[?\.\]?\s?", text)
         return len(parts) == 4 and all(p.isdigit() and p.isascii() and _octet(p) for p in parts)
@@ -274,6 +276,38 @@ def reconciled(found: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
     return out[::-1]
 
 
+# first character, character after the last, kind, marginals, cut on the left, cut on the right
+Piece = tuple[int, int, int, np.ndarray, bool, bool]
+
+
+def joined_pieces(pieces: dict[tuple[int, int], list[Piece]], n: int) -> list[list[tuple[int, int, int, float]]]:
+    """(start, end, kind, weight) of the whole spans of each text; ``pieces`` by (text, window).
+
+    A piece cut on the right goes on in the next window's piece of its kind
+    that overlaps it; of two marginals of a character the greater one counts.
+    """
+    found: list[list[tuple[int, int, int, float]]] = [[] for _ in range(n)]
+    going_on: list[Piece] = []
+    previous = (-1, 0)
+    for i, w in sorted(pieces):
+        if previous != (i, w - 1):
+            going_on = []
+        whole = [p for p in pieces[i, w] if not p[4]]
+        for first, end, kind, held, _, _ in going_on:
+            for a, b, k, own, _, cut in pieces[i, w]:
+                if k == kind and first <= a < end <= b and b - first <= LONGEST:
+                    both = np.concatenate([held, own[end - a :]])
+                    both[a - first : end - first] = np.maximum(held[a - first :], own[: end - a])
+                    whole.append((first, b, kind, both, False, cut))
+        going_on = [p for p in whole if p[5]]
+        for a, b, k, weights, _, cut in whole:
+            weight = float(weights.mean())
+            if not cut and weight >= MIN_MARGINAL:
+                found[i].append((a, b, k, weight))
+        previous = (i, w)
+    return found
+
+
 class Finder:
     """Base and added spans of texts, the windows of many texts decoded together."""
 
@@ -283,40 +317,42 @@ class Finder:
     def find(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """(base, added) of each text."""
         base = [base_spans(t) for t in texts]
-        found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
+        pieces: dict[tuple[int, int], list[Piece]] = {}
         if self.tagger is not None:
             half = WINDOW // 2
-            todo: list[tuple[int, int]] = []
-            for i, t in enumerate(texts):
-                starts = set()
-                for m in ANCHOR.finditer(t):
-                    w = m.start() // half
-                    starts.update((w - 1, w))
-                todo += [(i, half * w) for w in sorted(starts)]
-            for a in range(0, len(todo), DECODE_BATCH):
-                self._decode(texts, todo[a : a + DECODE_BATCH], found)
+            todo = {(i, w) for i, t in enumerate(texts) for m in ANCHOR.finditer(t) for w in (m.start() // half - 1, m.start() // half)}
+            for _ in range(1 + LONGEST // half):
+                new = sorted(todo - pieces.keys())
+                for a in range(0, len(new), DECODE_BATCH):
+                    self._decode(texts, new[a : a + DECODE_BATCH], pieces)
+                todo = {(i, w + step) for i, w in new for p in pieces[i, w] for step, cut in ((-1, p[4]), (1, p[5])) if cut}
+        found = joined_pieces(pieces, len(texts))
         out = []
         for t, own, more in zip(texts, base, found):
-            spans = [(KINDS[k], a, b) for a, b, k in reconciled(more)]
-            added = [s for s in spans if all(s[2] <= a or s[1] >= b for _, a, b in own) and plausible(s[0], t[s[1] : s[2]])]
-            out.append((own, added))
+            starts, ends = (np.array([s[i] for s in own], dtype=np.int64) for i in (1, 2))
+            fit = [
+                (a, b, k, w)
+                for a, b, k, w in more
+                if ANCHOR.search(t, a, b) and not ((starts < b) & (ends > a)).any() and plausible(KINDS[k], t[a:b])
+            ]
+            out.append((own, [(KINDS[k], a, b) for a, b, k in reconciled(fit)]))
         return out
 
-    def _decode(self, texts: list[str], windows: list[tuple[int, int]], found: list[list]) -> None:
+    def _decode(self, texts: list[str], windows: list[tuple[int, int]], pieces: dict[tuple[int, int], list[Piece]]) -> None:
         x = np.full((len(windows), WINDOW), PAD)
-        for row, (i, low) in enumerate(windows):
+        for row, (i, w) in enumerate(windows):
+            low = w * (WINDOW // 2)
             a, b = max(0, low), min(len(texts[i]), low + WINDOW)
             x[row, a - low : b - low] = symbols(texts[i][a:b])
+            pieces[i, w] = []
         tags, marginal = self.tagger.decode(x)
         for row in np.flatnonzero(tags.any(axis=1)).tolist():
-            i, low = windows[row]
-            size = len(texts[i])
+            i, w = windows[row]
+            low, size = w * (WINDOW // 2), len(texts[i])
             for k, a, b in _spans_of(tags[row]):
-                cut = (a == 0 and low > 0) or (b == WINDOW and low + WINDOW < size)
-                weight = float(marginal[row, a:b].mean())
                 first, last = low + a, low + b
-                if not cut and first >= 0 and last <= size and weight >= MIN_MARGINAL and ANCHOR.search(texts[i], first, last):
-                    found[i].append((first, last, k, weight))
+                if first >= 0 and last <= size:
+                    pieces[i, w].append((first, last, k, marginal[row, a:b], a == 0 and low > 0, b == WINDOW and low + WINDOW < size))
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Tagger | None:
