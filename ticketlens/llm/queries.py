@@ -11,7 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import decontaminate, language, licenses, mixing, neardup, pages, personal, tokens, topk, toxicity
+from ticketlens.llm import (
+    decontaminate,
+    language,
+    licenses,
+    mixing,
+    neardup,
+    pages,
+    personal,
+    quality,
+    tokens,
+    topk,
+    toxicity,
+)
 from ticketlens.llm.common import table
 
 
@@ -68,11 +80,17 @@ def op10_seed_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality metrics and verdict of every document."""
+    return quality.quality_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_dart_minhash, op2_token_codes, op3_ppm_language, op4_budget_mix, op5_bilstm_crf,
         op6_tiled_topk, op7_ordinal_toxicity, op8_page_difference, op9_patience_licenses, op10_seed_alignment,
+        op11_rule_cascade,
     )
 }
 
@@ -94,4 +112,37 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_rule_cascade": r"""
+        WITH docs AS (
+            SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+        ), cut AS (
+            SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+                   [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+            FROM docs
+        ), windows AS (
+            SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS times
+            FROM (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(w[:-3]) AS a, unnest(w[2:-2]) AS b, unnest(w[3:]) AS c
+                  FROM cut WHERE len(w) > 2)
+        ), covered AS (
+            SELECT r, count(DISTINCT p) AS n
+            FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE times > 1) GROUP BY r
+        ), metrics AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+                   CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+                   len(lines) AS n_lines,
+                   len([x FOR x IN w IF regexp_matches(x, '\p{L}')]) AS n_letter_words,
+                   len(regexp_extract_all(text, '\p{Lu}{2,}')) AS n_shouted
+            FROM cut LEFT JOIN covered USING (r)
+        ), judged AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM metrics
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
+                    OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+                    OR 100 * n_letter_words < 80 * n_words OR 2 * n_shouted > n_words) AS kept
+        FROM judged
+    """,
 }
