@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlens.llm import (
+    conversations,
     decontaminate,
+    fim,
     language,
     licenses,
     mixing,
@@ -85,12 +87,22 @@ def op11_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_table(table(spark, sf_dir, "documents"))
 
 
+def op12_swar_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-middle form of every document, with hashes of the output and of the restored text."""
+    return fim.fill_in_middle_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_edit_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired by its cheapest edits."""
+    return conversations.repair_table(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_dart_minhash, op2_token_codes, op3_ppm_language, op4_budget_mix, op5_bilstm_crf,
         op6_tiled_topk, op7_ordinal_toxicity, op8_page_difference, op9_patience_licenses, op10_seed_alignment,
-        op11_rule_cascade,
+        op11_rule_cascade, op12_swar_fim, op13_edit_lattice,
     )
 }
 
@@ -145,4 +157,104 @@ ORACLE: dict[str, str] = {
                     OR 100 * n_letter_words < 80 * n_words OR 2 * n_shouted > n_words) AS kept
         FROM judged
     """,
+    "op12_swar_fim": r"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS unit,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT doc_id, text, unit, CAST(len(unit) AS BIGINT) AS n,
+                   CAST(('0x' || h[1:8]) AS BIGINT) % (len(unit) + 1) AS c1,
+                   CAST(('0x' || h[9:16]) AS BIGINT) % (len(unit) + 1) AS c2,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                             OR CAST(('0x' || h[17:24]) AS BIGINT) % 100 >= 90 THEN 'plain'
+                        WHEN CAST(('0x' || h[25:32]) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM docs
+        ), parts AS (
+            SELECT doc_id, text, n, form,
+                   array_to_string(unit[1:least(c1, c2)], '') AS prefix,
+                   array_to_string(unit[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+                   array_to_string(unit[greatest(c1, c2) + 1:], '') AS suffix
+            FROM drawn
+        )
+        SELECT doc_id, n, form,
+               -- whole numbers with NULLs reach pandas as DOUBLE from either engine
+               CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS DOUBLE) AS prefix_chars,
+               CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS DOUBLE) AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                                WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+        FROM parts
+    """,
+    "op13_edit_lattice": r"""
+        WITH RECURSIVE given AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+            FROM conversations
+        ), hit AS (  -- CRC-32: per byte one xor and eight shifts
+            SELECT *, xor(list_reduce(
+                       flatten([[CAST(ord(key[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(1, length(key) + 1)]),
+                       lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END,
+                       4294967295), 4294967295) % 20 AS kind
+            FROM given
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM hit)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS initial
+            FROM damaged
+        ), judged AS (
+            SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+                   NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS open_end,
+                   lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS step,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen
+            FROM placed
+        ), faults AS (
+            SELECT *, NOT blank AND seen > 1 AS duplicate, NOT blank AND seen = 1 AND open_end AS truncated FROM judged
+        ), sums AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   sum(CAST(blank AS INT)) AS blank, sum(CAST(duplicate AS INT)) AS duplicate,
+                   sum(CAST(truncated AS INT)) AS truncated,
+                   sum(CASE WHEN step NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END) AS illegal, max(i) AS n
+            FROM faults GROUP BY conv_id
+        ), walk AS (  -- per row the best way to each state: cost, audit, lines
+            SELECT conv_id, CAST(0 AS BIGINT) AS i,
+                   {'c': CAST(0 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS w0,
+                   {'c': CAST(1e15 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS ws,
+                   {'c': CAST(1e15 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS wu,
+                   {'c': CAST(1e15 AS BIGINT), 'a': '', 't': CAST([] AS VARCHAR[])} AS wa
+            FROM (SELECT DISTINCT conv_id FROM faults)
+            UNION ALL
+            SELECT conv_id, i,
+                   {'c': w0.c + 4, 'a': w0.a || 'D', 't': w0.t} AS w0,
+                   list_min([{'c': ws.c + 4, 'a': ws.a || 'D', 't': ws.t},
+                             {'c': w0.c + keep + CASE WHEN initial = 's' THEN 0 ELSE 1e15::BIGINT END, 'a': w0.a || 'K', 't': w0.t || [line]}]) AS ws,
+                   list_min([{'c': iu.c + 4, 'a': iu.a || 'D', 't': iu.t}]
+                            || flatten([[{'c': x.c + keep + CASE WHEN initial = 'u' THEN 0 ELSE 1e15::BIGINT END, 'a': x.a || 'K', 't': x.t || [line]},
+                                         {'c': x.c + keep + 3, 'a': x.a || 'R', 't': x.t || ['user:' || text]}] FOR x IN [w0, ws, ia]])) AS wu,
+                   list_min([{'c': ia.c + 4, 'a': ia.a || 'D', 't': ia.t},
+                             {'c': iu.c + keep + CASE WHEN initial = 'a' THEN 0 ELSE 1e15::BIGINT END, 'a': iu.a || 'K', 't': iu.t || [line]},
+                             {'c': iu.c + keep + 3, 'a': iu.a || 'R', 't': iu.t || ['assistant:' || text]}]) AS wa
+            FROM (
+                SELECT w.conv_id, f.i, f.initial, f.text, f.role || ':' || f.text AS line, w0, ws,
+                       CASE WHEN blank OR duplicate THEN 1e15::BIGINT WHEN truncated THEN 3 ELSE 0 END AS keep,
+                       list_min([wu] || [{'c': x.c + 3, 'a': x.a || 'I', 't': x.t || ['user:']} FOR x IN [w0, ws, wa]]) AS iu,
+                       list_min([wa, {'c': wu.c + 3, 'a': wu.a || 'I', 't': wu.t || ['assistant:']}]
+                                || [{'c': x.c + 6, 'a': x.a || 'II', 't': x.t || ['user:', 'assistant:']} FOR x IN [w0, ws]]) AS ia
+                FROM walk w JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+            )
+        ), ended AS (
+            SELECT s.*, list_min([w0, wa, {'c': wu.c + 3, 'a': wu.a || 'I', 't': wu.t || ['assistant:']},
+                                  {'c': ws.c + 6, 'a': ws.a || 'II', 't': ws.t || ['user:', 'assistant:']}]) AS best
+            FROM walk w JOIN sums s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.i
+        )
+        SELECT g.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+               CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+               CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+               coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM g.conv_id
+    """,
 }
