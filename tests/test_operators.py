@@ -4,6 +4,8 @@ profiles, joins, comparisons and revenue."""
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+
 
 from conftest import rows
 from ticketlens.operators import (
@@ -342,3 +344,22 @@ def test_sample_does_not_depend_on_partitions(spark):
     assert one == many and 400 < len(one) < 600
     assert {r["id"] for r in sample_rows(df, 0.1, seed=1, key="id").collect()} != one
     assert sample_rows(df, 0.0).count() == 0 and sample_rows(df, 1.0).count() == 5000
+
+
+def test_lookup_table_with_a_repeated_key_fails(spark):
+    from pyspark.errors import PySparkException
+
+    from ticketlens.operators import fines_frame, fines_join, lookup, with_unique_key
+
+    facts = spark.createDataFrame([(21, 10), (38, 5)], "violation_code int, frequency long")
+    twice = spark.createDataFrame([(21, 65.0, 45.0), (21, 75.0, 55.0), (None, 1.0, 1.0), (None, 2.0, 2.0)], "code int, fine_high double, fine_low double")
+    with pytest.raises(PySparkException, match="several rows for code = 21"):
+        fines_join(facts, twice).collect()
+    with pytest.raises(PySparkException, match="code/fine_low"):
+        with_unique_key(twice.union(twice), ["code", "fine_low"]).collect()
+    with pytest.raises(ValueError, match=r"\[21\]"):
+        fines_frame(spark, [(21, 1, 1), (38, 2, 2), (21, 3, 3)])
+    # NULL keys join nothing and may repeat; unique keys join as before
+    once = twice.where("code IS NULL OR fine_high = 65")
+    joined = lookup(facts, once, facts["violation_code"] == once["code"], "left", unique_key="code")
+    assert rows(joined, "violation_code", "fine_high") == [(21, 65.0), (38, None)]

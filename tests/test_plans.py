@@ -120,3 +120,14 @@ def test_fiscal_filter_runs_before_the_dedupe_shuffle(spark, tmp_dir):
     agg = next(i for i, line in enumerate(lines) if "Aggregate" in line)
     filt = next(i for i, line in enumerate(lines) if "Filter" in line and "try_to_date" in line)
     assert filt > agg  # the filter sits below (after, in tree order) the aggregate
+
+
+@pytest.mark.parametrize(("name", "scans"), [("view_sql", 1), ("month_histogram_sql", 1), ("fines_table", 1), ("average_fine", 1)])
+def test_line_questions_scan_lineitem_alone(spark, name, scans):
+    text = plan_of(QUERIES[name](spark, SMALL_SF)).split("== Initial Plan ==")[0]
+    assert text.count("Scan parquet") == scans and "SortMergeJoin" not in text
+
+
+def test_dropping_empty_columns_runs_the_joins_once(spark):
+    text = plan_of(QUERIES["drop_empty_columns"](spark, SMALL_SF))
+    assert text.count("Scan parquet") == 1 and "Join" not in text

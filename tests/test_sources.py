@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from conftest import rows
 from ticketlens.operators import schema_diff
 from ticketlens.plans.report import case_study, clean_files, profile_files
@@ -167,3 +169,121 @@ def test_part_files_are_read_by_their_own_headers(spark, tmp_dir):
     # copies are removed on the text: two texts that type to the same NULL stay two records
     assert cast_columns(dedupe(text)).count() == 4
     assert sorted((r["summons_number"], r["violation_code"]) for r in read_year(spark, folder).where("violation_code > 0").collect()) == [(1, 21), (3, 38)]
+
+
+def _jobs(spark, group, fn):
+    """(result, number of Spark jobs) of ``fn``."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        out = fn()
+        return out, len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _part_files(folder, n):
+    """n part files in three layouts, one of them in two spellings; the last file is empty."""
+    os.makedirs(folder)
+    headers = ["Summons Number,Violation Code,Plate ID", "Plate ID,Summons Number", " summons number ,Violation Code,Plate ID", '"Issue Date",Summons Number']
+    rows = ["{i},21,P{i}", "P{i},{i}", "{i},38,Q{i}", "07/01/2014,{i}"]
+    for i in range(n):
+        with open(os.path.join(folder, f"part {i:03d}%.csv"), "w") as f:
+            f.write(headers[i % 4] + "\n" + rows[i % 4].format(i=i) + "\n" + rows[i % 4].format(i=i + n) + "\n")
+    open(os.path.join(folder, "empty.csv"), "w").close()
+    return folder
+
+
+def test_headers_of_many_files_take_as_many_jobs_as_of_few(spark, tmp_dir):
+    from ticketlens.sources.csv import file_layouts
+
+    few, jobs_few = _jobs(spark, "few", lambda: file_layouts(spark, [_part_files(os.path.join(tmp_dir, "few"), 8)]))
+    many, jobs_many = _jobs(spark, "many", lambda: file_layouts(spark, [_part_files(os.path.join(tmp_dir, "many"), 120)]))
+    assert len(few) == len(many) == 3
+    assert sum(len(files) for _, files in many) == 120
+    # Spark lists more than 32 paths in a job of its own
+    assert jobs_few <= 3 and jobs_many <= jobs_few + 1
+
+
+def test_many_part_files_read_right(spark, tmp_dir):
+    n = 40
+    df = read_year(spark, _part_files(os.path.join(tmp_dir, "parts"), n))
+    got = sorted((r["summons_number"], r["violation_code"], r["plate_id"], r["issue_date"]) for r in df.collect())
+    shapes = [lambda i: (21, f"P{i}", None), lambda i: (None, f"P{i}", None), lambda i: (38, f"Q{i}", None), lambda i: (None, None, "07/01/2014")]
+    assert got == sorted((i + k, *[x.replace(str(i), str(i + k)) if isinstance(x, str) and x[0] in "PQ" else x for x in shapes[i % 4](i)]) for i in range(n) for k in (0, n))
+
+
+def test_uniform_layout_is_checked_by_the_scan(spark, tmp_dir):
+    """One line per path is read ahead; a file of another layout fails the scan."""
+
+    from ticketlens.sources.csv import read_year_text
+
+    folder = os.path.join(tmp_dir, "uniform")
+    os.makedirs(folder)
+    for i in range(60):
+        with open(os.path.join(folder, f"{i}.csv"), "w") as f:
+            f.write(f" Violation Code,Summons Number\n21,{i}\n")
+    df, jobs = _jobs(spark, "uniform", lambda: read_year(spark, folder, header="uniform"))
+    assert jobs <= 2
+    assert rows(df, "summons_number", "violation_code") == sorted(((i, 21) for i in range(60)), key=repr)
+    with open(os.path.join(folder, "other.csv"), "w") as f:
+        f.write("Summons Number,Violation Code\n7,38\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_year_text(spark, folder, "uniform").collect()
+    assert read_year(spark, folder).where("violation_code = 38 AND summons_number = 7").count() == 1  # "detect" reads both
+    assert read_years(spark, {2015: folder}, headers={2015: "detect"})[2015].count() == 61
+
+
+def test_sink_files_follow_the_size_not_the_tasks(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from ticketlens.sources.sink import read_clean, write_clean
+
+    rows = spark.range(0, 40_000, 1, 64).select(
+        F.col("id"), F.expr("2010 + CAST(IF(id % 3 = 0, 0, id % 8) AS INT)").alias("fiscal_year"), F.sha2(F.col("id").cast("string"), 256).alias("payload")
+    )
+
+    def files(path):
+        return {d: sum(f.endswith(".parquet") for f in os.listdir(os.path.join(path, d))) for d in os.listdir(path) if "=" in d}
+
+    plain = write_clean(rows, os.path.join(tmp_dir, "plain"), target_bytes=None)
+    assert sum(files(plain).values()) > 400  # 64 tasks x 8 years
+    balanced = write_clean(rows, os.path.join(tmp_dir, "balanced"))
+    assert len(files(balanced)) == 8 and sum(files(balanced).values()) <= 16
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    # a hot year is cut into several files by size
+    cut = write_clean(rows, os.path.join(tmp_dir, "cut"), target_bytes=200_000)
+    assert files(cut)["fiscal_year=2010"] > 2
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+    for path in (plain, balanced, cut):
+        assert read_clean(spark, path).agg(F.count("*"), F.sum("id"), F.countDistinct("payload")).first() == (40_000, 799_980_000, 40_000)
+
+
+def test_write_profiled_counts_while_writing(spark, tmp_dir):
+    from ticketlens.operators import drop_empty_columns, empty_columns
+    from ticketlens.sources.sink import write_profiled
+
+    df = spark.createDataFrame([(1, None, "x", None), (2, None, None, None), (None, None, "y", None)], "a int, `b.c` string, d string, e array<int>")
+    path = os.path.join(tmp_dir, "profiled")
+    found, jobs = _jobs(spark, "profiled", lambda: write_profiled(df, path))
+    assert found == {"a": (1, 3), "b.c": (3, 3), "d": (1, 3), "e": (3, 3)}
+    assert jobs == 1
+    stored = spark.read.schema(df.schema).parquet(path)
+    kept, jobs = _jobs(spark, "dropped", lambda: drop_empty_columns(stored, found))
+    assert kept.columns == ["a", "d"] and jobs == 0
+    assert empty_columns(df, {"a": (0, 0)}) == []  # an empty table has no empty column
+
+
+def test_stored_profile_reads_footers_only(spark, tmp_dir):
+    from conftest import plan_text
+
+    from ticketlens.operators import null_profile
+    from ticketlens.operators.profile import stored_profile
+    from ticketlens.sources.sink import write_clean
+
+    df = spark.sql("SELECT id, IF(id % 3 = 0, NULL, CAST(id AS STRING)) AS s, CAST(NULL AS DATE) AS d, array(id) AS l, id % 2 AS y FROM range(1000)")
+    path = write_clean(df, os.path.join(tmp_dir, "stored"), "y")
+    got = stored_profile(spark, path)
+    assert rows(got, "column_name", "n_null", "n_rows") == [("d", 1000, 1000), ("id", 0, 1000), ("s", 334, 1000)]
+    assert rows(got) == rows(null_profile(spark.read.parquet(path), ["d", "id", "s"]))
+    assert "PushedAggregation: [COUNT(*), COUNT(id)" in plan_text(got, "formatted")

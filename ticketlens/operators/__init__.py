@@ -10,7 +10,7 @@ from ticketlens.operators.clean import (
 )
 from ticketlens.operators.compare import common_items, facet_frame, pivot_years, share_lift, yoy
 from ticketlens.operators.freq import frequency, rank_list, top_n, top_n_per_group
-from ticketlens.operators.joins import lookup, restrict_to, small_side
+from ticketlens.operators.joins import lookup, restrict_to, small_side, with_unique_key
 from ticketlens.operators.profile import (
     drop_empty_columns,
     duplicate_report,
@@ -22,6 +22,7 @@ from ticketlens.operators.profile import (
     sample_rows,
     schema_diff,
     schema_profile,
+    stored_profile,
 )
 from ticketlens.operators.revenue import (
     average_fine,
@@ -66,6 +67,7 @@ __all__ = [
     "schema_profile",
     "share_lift",
     "small_side",
+    "stored_profile",
     "top_n",
     "top_n_per_group",
     "top_revenue_code",

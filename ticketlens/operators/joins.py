@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest row bound for which a broadcast hint is given.  Key lists and
@@ -50,12 +50,36 @@ def restrict_to(
     return facts.join(small_side(keys, row_bound), on, "left_semi")
 
 
+def with_unique_key(table: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """``table``, failing at run time with the key's name if two rows share a key.
+
+    One window over the (small) table's own keys; NULL keys join nothing and
+    may repeat.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    several = F.count(F.lit(1)).over(Window.partitionBy(*keys)) > 1
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    message = F.concat(F.lit(f"lookup table holds several rows for {'/'.join(keys)} = "), shown)
+    checked = table.select("*", F.when(several & known, F.raise_error(message).cast("boolean")).alias("__repeats"))
+    return checked.where(F.col("__repeats").isNull()).drop("__repeats")
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,
     on: Column | str | Sequence[str],
     how: str = "inner",
     row_bound: int | None = None,
+    unique_key: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """Many-to-one join of a fact table to a small dimension."""
-    return facts.join(small_side(table, row_bound), on, how)
+    """Many-to-one join of a fact table to a small dimension.
+
+    A dimension that lists a key twice would repeat the facts and double
+    their totals; ``unique_key`` names the dimension's key columns and makes
+    such a table fail instead.
+    """
+    side = table if unique_key is None else with_unique_key(table, unique_key)
+    return facts.join(small_side(side, row_bound), on, how)

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketlens.session import isolated
+
 
 def _c(name: str) -> Column:
     """Column by exact name (dots and spaces are not paths)."""
@@ -112,15 +114,49 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return long.select("column_name", F.col("n_null").cast("long").alias("n_null"), F.col("__rows").alias("n_rows"))
 
 
-def empty_columns(df: DataFrame, profile: DataFrame | None = None) -> list[str]:
-    """Columns with no value at all.  Collects the profile: one small row
-    per column, never data rows."""
-    prof = profile if profile is not None else null_profile(df)
-    rows = prof.collect()
+def stored_profile(spark: SparkSession, path: str) -> DataFrame:
+    """``null_profile`` of a stored Parquet table, from the files' footers.
+
+    ``count(*)`` and ``count(column)`` are pushed into the scan, which adds up
+    the row and NULL counts that every footer holds: no column is read,
+    whatever the size of the table.  Partition columns live in no footer and
+    are left out, as are columns of nested types.
+    """
+    own = isolated(spark)
+    own.conf.set("spark.sql.sources.useV1SourceList", "")  # aggregates are pushed to the V2 reader only
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    stored = own.read.parquet(path)
+    folders = set(partition_columns(stored))
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    names = [f.name for f in stored.schema.fields if f.name not in folders and not isinstance(f.dataType, nested)]
+    wide = stored.agg(F.count(F.lit(1)).alias("__rows"), *[F.count(_c(c)).alias(f"_{i}") for i, c in enumerate(names)])
+    long = _long_form(wide, names, ["__rows"], "n_values")
+    return long.select("column_name", (F.col("__rows") - F.col("n_values")).alias("n_null"), F.col("__rows").alias("n_rows"))
+
+
+def partition_columns(stored: DataFrame) -> list[str]:
+    """Columns whose values stand in the folder names of a stored table."""
+    names = stored.columns
+    folders = {part.split("=", 1)[0] for file in stored.inputFiles()[:1] for part in file.split("/")[:-1] if "=" in part}
+    return [c for c in names if c in folders]
+
+
+def empty_columns(df: DataFrame, profile: DataFrame | Mapping[str, tuple[int, int]] | None = None) -> list[str]:
+    """Columns with no value at all.
+
+    ``profile`` is what a write or a stored table already knows
+    (``sink.write_profiled``: no job; ``stored_profile``: footers only).
+    Without one the frame is profiled, a full pass over it.  Collects one small
+    row per column, never data rows.
+    """
+    if isinstance(profile, Mapping):
+        return [c for c in df.columns if c in profile and profile[c][1] > 0 and profile[c][0] == profile[c][1]]
+    rows = (profile if profile is not None else null_profile(df)).collect()
     return [r["column_name"] for r in rows if r["n_rows"] > 0 and r["n_null"] == r["n_rows"]]
 
 
-def drop_empty_columns(df: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+def drop_empty_columns(df: DataFrame, profile: DataFrame | Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
+    """``df`` without its empty columns; for ``profile`` see ``empty_columns``."""
     empty = set(empty_columns(df, profile))
     return df.select([_c(c) for c in df.columns if c not in empty])
 

@@ -6,6 +6,7 @@ revenue of such a code counts as 0 so totals stay sums of known money.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 from decimal import Decimal
 
@@ -35,8 +36,12 @@ def fines_frame(spark: SparkSession, rows: Iterable[tuple[int, object, object]])
 
     Built as a SQL ``VALUES`` list, so Spark holds it as a local relation
     whose exact size the planner knows (a parallelized Python list would be
-    an RDD of unknown size)."""
+    an RDD of unknown size).  A code listed twice is refused: it would count
+    that code's revenue twice."""
     data = [(int(c), _money_sql(h), _money_sql(lo)) for c, h, lo in rows]
+    twice = sorted(c for c, n in Counter(c for c, _, _ in data).items() if n > 1)
+    if twice:
+        raise ValueError(f"fines table lists codes more than once: {twice}")
     if not data:
         return spark.createDataFrame([], FINES_SCHEMA)
     values = ", ".join(f"({c}, {h}, {lo})" for c, h, lo in data)
@@ -68,10 +73,12 @@ def fines_join(
     fines_rows: int | None = None,
 ) -> DataFrame:
     """Inner many-to-one join of code counts to average fines; codes
-    without a fines row drop out.  ``fines_rows`` (the literal table's
-    length) allows the broadcast hint."""
+    without a fines row drop out.  ``fines_rows`` (the length of a table built
+    by ``fines_frame``) allows the broadcast hint; a fines table from elsewhere
+    is checked for repeated codes while it is joined."""
     avg = average_fine(fines)
-    return lookup(freq, avg, freq[code] == avg["code"], "inner", row_bound=fines_rows).drop("code")
+    key = "code" if fines_rows is None else None
+    return lookup(freq, avg, freq[code] == avg["code"], "inner", row_bound=fines_rows, unique_key=key).drop("code")
 
 
 def revenue(

@@ -9,7 +9,7 @@ counts, DOUBLE money and ratios).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from ticketlens.sources.tables import (
     TICKET_COLUMNS,
     raw_tickets,
     read_table,
+    table_path,
     ticket_times,
     tickets,
 )
@@ -39,6 +40,10 @@ GIVEN_PRECINCTS = (0, 19, 14)
 GIVEN_EVENT_CODES = ("click", "error", "view")
 PIVOT_YEARS = tuple(range(1995, 2001))  # tickets of other years are counted in fy_other
 GIVEN_FISCAL_YEAR = 1997
+LINEITEM_COLUMNS = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+    "l_returnflag l_linestatus l_shipdate"
+).split()
 # large enough that some code is common to all seasons (bins) of a year
 COMMON_CODES_N = 20
 COMMON_TYPES_N = 4
@@ -87,16 +92,17 @@ def _date_text(spark: SparkSession, sf: str) -> DataFrame:
     return li.select("l_orderkey", "l_linenumber", text.alias("issue_date_text"))
 
 
-def _view(spark: SparkSession, sf: str) -> str:
+def _view(spark: SparkSession, sf: str, columns: Sequence[str] = TICKET_COLUMNS) -> str:
     """Register the tickets view under a name of its own (concurrent
-    queries in one session must not replace each other's view)."""
+    queries in one session must not replace each other's view).  Catalyst
+    prunes columns, not joins, so a view names the columns its readers need."""
     name = f"tickets_{uuid.uuid4().hex[:12]}"
-    tickets(spark, sf).createOrReplaceTempView(name)
+    tickets(spark, sf, columns).createOrReplaceTempView(name)
     return name
 
 
 def _sql_view(spark: SparkSession, sf: str) -> DataFrame:
-    view = _view(spark, sf)
+    view = _view(spark, sf, ("fiscal_year", "summons_number"))
     return spark.sql(
         f"SELECT fiscal_year, count(summons_number) AS n_tickets FROM {view} GROUP BY fiscal_year"
     )
@@ -104,7 +110,7 @@ def _sql_view(spark: SparkSession, sf: str) -> DataFrame:
 
 def _month_histogram_sql(spark: SparkSession, sf: str) -> DataFrame:
     """The histogram in SQL text, grouping by the SELECT aliases."""
-    view = _view(spark, sf)
+    view = _view(spark, sf, ("issue_date",))
     return spark.sql(
         "SELECT year(issue_date) AS year, month(issue_date) AS month, count(*) AS n "
         f"FROM {view} GROUP BY year, month ORDER BY year, month"
@@ -115,7 +121,7 @@ def _fines_table(spark: SparkSession, sf: str) -> DataFrame:
     """Every code seen in the tickets with its fines row (NULL where the
     table has none): which codes the revenue estimate can price."""
     fines, n_rows = mapping_fines(spark)
-    codes = tickets(spark, sf).select("violation_code").distinct()
+    codes = tickets(spark, sf, ("violation_code",)).distinct()
     joined = lookup(codes, fines, codes["violation_code"] == fines["code"], "left", row_bound=n_rows)
     return joined.select(
         "violation_code",
@@ -129,7 +135,7 @@ def _average_fine(spark: SparkSession, sf: str) -> DataFrame:
     a NULL fine (LEFT join), an unknown fine shows ``fine_known`` false."""
     fines, n_rows = mapping_fines(spark)
     avg = average_fine(fines)
-    top = q.top_codes_by_tickets(tickets(spark, sf), 4)
+    top = q.top_codes_by_tickets(_lines(spark, sf), 4)
     joined = lookup(top, avg, top["violation_code"] == avg["code"], "left", row_bound=n_rows)
     known = F.coalesce(F.col("fine_known"), F.lit(False)).alias("fine_known")
     return _money(joined.drop("code")).withColumn("fine_known", known)
@@ -188,6 +194,15 @@ def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_year(spark, [f"{path}/even", f"{path}/odd"]).select(*[snake_case(name) for name, _ in RAW_COLUMNS])
 
 
+def _drop_empty_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """The joins run once: the write counts each column's values, the table is read back without the empty ones."""
+    from ticketlens.sources.sink import read_clean, write_profiled
+
+    path = _scratch_path(spark, "profiled")
+    profile_of = write_profiled(tickets(spark, sf).withColumn("no_standing_or_stopping_violation", F.lit(None).cast("string")), path)
+    return profile.drop_empty_columns(read_clean(spark, path), profile_of)
+
+
 def _clean_sink(spark: SparkSession, sf: str) -> DataFrame:
     """The Parquet sink partitioned by fiscal year, read back."""
     from ticketlens.sources.sink import read_clean, write_clean
@@ -240,15 +255,23 @@ def _with_column(name: str):
 
 L = _lines
 
+
+def _gapped(spark: SparkSession, sf: str) -> DataFrame:
+    """The line columns with codes and dates missing in some rows, as in real ticket files."""
+    missing = lambda column, every: F.when(F.col("summons_number") % every != 0, F.col(column))
+    return _lines(spark, sf).withColumns({"violation_code": missing("violation_code", 7), "issue_date": missing("issue_date", 11)})
+
+
+G = _gapped
+
 QUERIES: dict[str, QueryFn] = {
     # profiling
     "row_count": lambda s, d: profile.row_count(L(s, d)),
     "duplicate_report": lambda s, d: profile.duplicate_report(raw_tickets(s, d)),
     "dedupe": lambda s, d: clean.dedupe(raw_tickets(s, d)),
     "null_profile": lambda s, d: profile.null_profile(T(s, d)),
-    "drop_empty_columns": lambda s, d: profile.drop_empty_columns(
-        T(s, d).withColumn("no_standing_or_stopping_violation", F.lit(None).cast("string"))
-    ),
+    "stored_profile": lambda s, d: profile.stored_profile(s, table_path(d, "lineitem")),
+    "drop_empty_columns": _drop_empty_columns,
     "first_columns": lambda s, d: clean.first_columns(L(s, d), 5),
     "month_histogram": lambda s, d: profile.month_histogram(L(s, d), "issue_date"),
     "parse_issue_date": lambda s, d: _date_text(s, d).withColumn(
@@ -292,6 +315,10 @@ QUERIES: dict[str, QueryFn] = {
     "missing_address_2": lambda s, d: q.missing_address(L(s, d), columns=q.R.street_address),
     # frequencies
     "freq_code": lambda s, d: q.item_frequency(L(s, d), "violation_code"),
+    # a NULL item scores 0 where items are counted and its rows where rows are
+    "freq_code_gaps": lambda s, d: q.item_frequency(G(s, d), "violation_code"),
+    "freq_code_star_gaps": lambda s, d: q.item_frequency(G(s, d), "violation_code", count_nulls=True),
+    "top5_code_gaps": lambda s, d: q.top_items_per_year(G(s, d), "violation_code", 5),
     "freq_body": lambda s, d: q.item_frequency(_with_column("vehicle_body_type")(s, d), "vehicle_body_type"),
     "freq_make": lambda s, d: q.item_frequency(_with_column("vehicle_make")(s, d), "vehicle_make"),
     "freq_viol_precinct": lambda s, d: q.item_frequency(L(s, d), "violation_precinct"),
@@ -314,6 +341,8 @@ QUERIES: dict[str, QueryFn] = {
     # seasons
     "season_label": lambda s, d: q.with_season(L(s, d)).select("summons_number", "issue_date", "season"),
     "tickets_per_season": lambda s, d: q.tickets_per_season(L(s, d)),
+    "tickets_per_season_gaps": lambda s, d: q.tickets_per_season(G(s, d)),
+    "fiscal_filter_gaps": lambda s, d: clean.fiscal_filter(G(s, d).select("fiscal_year", "summons_number", "issue_date")),
     "freq_season_code": lambda s, d: q.freq_season_code(L(s, d)),
     "top3_code_per_season": lambda s, d: q.top_codes_per_season(L(s, d), 3),
     "rank_list_season": lambda s, d: q.rank_list_season(L(s, d), 3),
@@ -512,6 +541,17 @@ def _freq_sql(item: str, star: bool = False, where: str = "") -> str:
     )
 
 
+GAPS_CTE = (
+    "gapped AS (SELECT * REPLACE (CASE WHEN summons_number % 7 <> 0 THEN violation_code END AS violation_code, "
+    "CASE WHEN summons_number % 11 <> 0 THEN issue_date END AS issue_date) FROM tickets)"
+)
+GW = _with(TICKETS_CTE, GAPS_CTE)
+
+
+def _on_gaps(sql: str) -> str:
+    return GW + sql.replace("FROM tickets", "FROM gapped")
+
+
 def _top_sql(inner: str, by: str, n: int) -> str:
     return (
         f"SELECT * FROM (SELECT *, CAST(dense_rank() OVER (PARTITION BY {by} ORDER BY frequency DESC) AS INT) AS rnk "
@@ -602,6 +642,10 @@ ORACLE: dict[str, str] = {
         f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_null, count(*) AS n_rows FROM tickets"
         for c in TICKET_COLUMNS
     ),
+    "stored_profile": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_null, count(*) AS n_rows FROM lineitem"
+        for c in LINEITEM_COLUMNS
+    ),
     "drop_empty_columns": TW + "SELECT * FROM tickets",
     "first_columns": TW
     + "SELECT summons_number, issue_date, fiscal_year, violation_code, issuer_precinct FROM tickets",
@@ -656,6 +700,18 @@ ORACLE: dict[str, str] = {
     "freq_viol_precinct": TW + _freq_sql("violation_precinct"),
     "freq_issuer_precinct": TW + _freq_sql("issuer_precinct"),
     "freq_code_star": TW + _freq_sql("violation_code", star=True),
+    "freq_code_gaps": _on_gaps(_freq_sql("violation_code")),
+    "freq_code_star_gaps": _on_gaps(_freq_sql("violation_code", star=True)),
+    "top5_code_gaps": _on_gaps(_top_sql(_freq_sql("violation_code"), "fiscal_year", 5)),
+    "tickets_per_season_gaps": _on_gaps(
+        "SELECT fiscal_year, season, count(*) AS frequency FROM "
+        f"(SELECT *, CASE WHEN issue_date IS NOT NULL THEN {_SEASON} END AS season FROM tickets) "
+        "GROUP BY fiscal_year, season ORDER BY frequency DESC"
+    ),
+    "fiscal_filter_gaps": _on_gaps(
+        "SELECT fiscal_year, summons_number, issue_date FROM tickets WHERE issue_date IS NOT NULL "
+        "AND year(issue_date) + CASE WHEN month(issue_date) >= 7 THEN 1 ELSE 0 END = fiscal_year"
+    ),
     "top5_code": TW + _top_sql(_freq_sql("violation_code"), "fiscal_year", 5),
     "top5_body": TW + _top_sql(_freq_sql("vehicle_body_type"), "fiscal_year", 5),
     "top5_make": TW + _top_sql(_freq_sql("vehicle_make"), "fiscal_year", 5),
@@ -918,8 +974,12 @@ DATE_COLUMNS = {
     "fiscal_filter_range": ["issue_date"],
     "sample_rows": ["issue_date"],
     "clean_sink": ["issue_date"],
+    "fiscal_filter_gaps": ["issue_date"],
 }
 NULLABLE_INT_COLUMNS = {
+    "freq_code_gaps": ["violation_code"],
+    "freq_code_star_gaps": ["violation_code"],
+    "top5_code_gaps": ["violation_code"],
     "revenue_rollup": ["fiscal_year", "violation_code"],
     "yoy_tickets": ["prev_n_tickets", "change_n_tickets"],
     "parse_clock_time": ["minute_of_day"],

@@ -12,11 +12,15 @@ import csv
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Header setting: every path holds files of one layout.
+UNIFORM = "uniform"
+
 # Header of the yearly ticket files, in file order, with the
 # type chosen for each column.  Columns 41-51 are empty or missing in some
 # years.  "Issue Date" stays text here and is parsed during cleaning.
@@ -116,48 +120,90 @@ def pad_columns(df: DataFrame, names: list[str]) -> DataFrame:
 def read_year_text(
     spark: SparkSession,
     path: str | Sequence[str],
-    header: list[str] | None = None,
+    header: list[str] | str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The CSV files under ``path`` with every field as text, snake_case names.
 
     Spark maps fields by position, so files are grouped by their own header
     line and each group is read in its own column order; the groups are put
-    together by name (a column that a file lacks is NULL there).  ``header``
-    gives the columns of all files instead.  Empty fields read as NULL.
+    together by name (a column that a file lacks is NULL there).  Finding the
+    headers reads the text once more.  ``header="uniform"`` spares that where
+    every path (file or folder) holds files of one layout: it reads one line
+    per path, and a file with another header fails the scan instead of being
+    misread.  A list gives the columns of all files.  Empty fields read as NULL.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    groups = [(header, paths)] if header is not None else file_layouts(spark, paths)
-    frames = []
-    for names, files in groups:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        reader = spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE")
-        for key, value in (options or {}).items():
-            reader = reader.option(key, value)
-        df = reader.csv(files)
-        frames.append(df.select([F.col(f"`{c}`").alias(snake_case(c)) for c in df.columns]))
+    more = {"mode": "PERMISSIVE", **(options or {})}
+    if header == UNIFORM:
+        frames = [df for df in (_uniform(spark, p, more) for p in paths) if df is not None]
+    else:
+        frames = []
+        for names, files in [(header, paths)] if header is not None else file_layouts(spark, paths):
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            df = spark.read.schema(schema).option("header", "true").options(**more).csv(files)
+            frames.append(df.select([F.col(f"`{c}`").alias(snake_case(c)) for c in df.columns]))
     if not frames:
         return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in kept_names(len(RAW_COLUMNS))]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, line): the first line of every file under ``paths``, in one job.
+
+    A plain text scan: blocks that do not start a file are filtered out and
+    each task keeps one line per file.  Spark has no per-file limit, so the
+    text is read through once, unparsed; where all files of a path share one
+    layout, ``header="uniform"`` (see ``read_year_text``) reads one line only.
+    """
+    text = spark.read.option("recursiveFileLookup", "true").text(list(paths))
+    lines = text.where("_metadata.file_block_start = 0").select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("at")
+    )
+    return lines.groupBy("path").agg(F.min_by("line", "at").alias("line"))
+
+
 def file_layouts(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """(column names, files) of every distinct header line among the files.
+    """(column names, files) of every distinct header among the files.
 
-    One short read per file; only header lines reach the driver.  Names are
-    matched to the known header after trimming blanks, which the published
-    files carry in a few names.
+    As many jobs as for one file: ``first_lines``, grouped by the line in
+    Spark; the driver gets one row per distinct line, with the paths it hands
+    to the reader.  Names are matched to the known header after trimming
+    blanks, which the published files carry in a few names; lines that differ
+    in blanks, quotes or case only are one header.  Empty files have none.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    files = sorted(r["path"] for r in listed.where("length > 0").select("path").collect())
+    grouped = first_lines(spark, paths).groupBy("line").agg(F.array_sort(F.collect_list("path")).alias("paths"))
     groups: dict[tuple[str, ...], list[str]] = {}
-    known = {n.lower(): n for n, _ in RAW_COLUMNS}
-    for file in files:
-        first = spark.read.text(file).limit(1).collect()
-        names = [c.strip() for c in next(csv.reader([first[0][0].lstrip("\ufeff")]))] if first else []
+    for row in sorted(grouped.collect(), key=lambda r: r["paths"][0]):
+        names = [_known_name(c) for c in header_names(row["line"])]
         if names:
-            groups.setdefault(tuple(known.get(n.lower(), n) for n in names), []).append(file)
-    return [(list(names), found) for names, found in groups.items()]
+            files = [unquote(p) for p in row["paths"]]  # the metadata column is URL-encoded
+            groups.setdefault(tuple(names), []).extend(files)
+    return [(list(names), sorted(files)) for names, files in groups.items()]
+
+
+def header_names(line: str) -> list[str]:
+    """Fields of a header line as they stand."""
+    return next(csv.reader([line.lstrip("\ufeff")]), [])
+
+
+def _known_name(field: str) -> str:
+    name = field.strip()
+    return {n.lower(): n for n, _ in RAW_COLUMNS}.get(name.lower(), name)
+
+
+def _uniform(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame | None:
+    """The files under ``path`` read by the first one's header, which Spark
+    compares with the header of every other file while it scans it."""
+    text = spark.read.option("recursiveFileLookup", "true").text(path).where("value <> ''")
+    first = text.limit(1).collect()
+    if not first:
+        return None
+    fields = header_names(first[0][0])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in fields])
+    reader = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").options(**options)
+    df = reader.option("recursiveFileLookup", "true").csv(path)
+    return df.select([F.col("`" + c.replace("`", "``") + "`").alias(snake_case(_known_name(c))) for c in df.columns])
 
 
 def cast_columns(df: DataFrame) -> DataFrame:
@@ -183,8 +229,9 @@ def read_year(
 ) -> DataFrame:
     """One yearly CSV or folder of part files (any Hadoop path), typed.
 
-    ``"detect"`` (default) follows every file's own header line; a list gives
-    the columns directly; ``None`` assumes the full 51-column layout.  To
+    ``"detect"`` (default) follows every file's own header line; ``"uniform"``
+    follows the first one and has Spark check the others; a list gives the
+    columns directly; ``None`` assumes the full 51-column layout.  To
     remove copies of whole records, do so on ``read_year_text`` and type the
     columns afterwards: two different texts may type to the same NULL.
     """
@@ -215,7 +262,9 @@ def read_years(
     return out
 
 
-def _given(header: list[str] | str | None) -> list[str] | None:
+def _given(header: list[str] | str | None) -> list[str] | str | None:
     if header == "detect":
         return None
+    if header == UNIFORM:
+        return header
     return [n for n, _ in RAW_COLUMNS] if header is None else list(header)

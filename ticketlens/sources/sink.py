@@ -11,10 +11,30 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ticketlens.session import ensure_checkpoint_dir
+from ticketlens.session import MB, ensure_checkpoint_dir
+
+
+TARGET_FILE_BYTES = 256 * MB
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """``key`` set for the block, then back as it was."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def write_clean(
@@ -23,24 +43,44 @@ def write_clean(
     partition_by: str | list[str] | None = "fiscal_year",
     mode: str = "overwrite",
     max_records_per_file: int | None = 5_000_000,
+    target_bytes: int | None = TARGET_FILE_BYTES,
 ) -> str:
     """Write ``df`` as Parquet at ``path`` and return the path.
 
-    No shuffle before the write: each task sorts its own rows by partition
-    value and writes one file per year it holds.  With a handful of years
-    that is a handful of files per task, whereas hash-repartitioning by year
-    would leave only as many writer tasks as there are years.
+    The rows are rebalanced on the partition columns first: AQE measures the
+    shuffled bytes, puts small years together into few tasks and cuts a large
+    year into tasks of about ``target_bytes``, so a year has as many files as
+    its size asks for, however many tasks the cleaning ran with and however
+    unequal the years are.  ``target_bytes=None`` leaves the shuffle out (each
+    task then writes one file per year it holds), for scratch tables; so does
+    a session without AQE, where rebalancing would put a year into one task.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-    writer = df.write.mode(mode)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    if cols:
-        writer = writer.partitionBy(*cols)
-    writer.parquet(path)
+    spark = df.sparkSession
+    rebalance = bool(cols and target_bytes) and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    with _setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)) if rebalance else nullcontext():
+        writer = (df.hint("rebalance", *cols) if rebalance else df).write.mode(mode)
+        if max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", max_records_per_file)
+        if cols:
+            writer = writer.partitionBy(*cols)
+        writer.parquet(path)
     return path
 
 
+def write_profiled(df: DataFrame, path: str, mode: str = "overwrite") -> dict[str, tuple[int, int]]:
+    """Write ``df`` as Parquet and return ``{column: (n_null, n_rows)}``.
+
+    The counts are observed by the writing tasks themselves: one pass, no
+    second evaluation of ``df`` and no job besides the write.
+    """
+    seen = Observation()
+    counts = [F.count(F.col("`" + c.replace("`", "``") + "`")).alias(f"_{i}") for i, c in enumerate(df.columns)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode(mode).parquet(path)
+    found = seen.get
+    return {c: (found["rows"] - found[f"_{i}"], found["rows"]) for i, c in enumerate(df.columns)}
+
+
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -55,7 +95,7 @@ def materialize(df: DataFrame, name: str, partition_by: str | list[str] | None =
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     if partition_by:
-        write_clean(df, path, partition_by)
+        write_clean(df, path, partition_by, target_bytes=None)
     else:
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
