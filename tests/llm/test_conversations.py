@@ -6,6 +6,7 @@ import re
 import zlib
 from itertools import product
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_fixtures import prose
@@ -161,8 +162,10 @@ def test_whole_table_with_nulls_ties_and_repeated_rows(spark):
     assert result(spark, rows) == plain(rows)
 
 
-def test_a_conversation_over_many_files(spark):
-    """A hot conversation, a row that stands very often, one text at many turns."""
+@pytest.mark.parametrize("bound", [c.BROADCAST_AGAIN, 0])
+def test_a_conversation_over_many_files(spark, monkeypatch, bound):
+    """A hot conversation, a row that stands very often, one text at many turns; joined by broadcast and by a shuffle."""
+    monkeypatch.setattr(c, "BROADCAST_AGAIN", bound)
     rs = random.Random(7)
     rows = odd_rows(2, 10, 6)
     rows += [(5_000, t, rs.choice(["user", "assistant"]), f"Turn {t}{rs.choice(['.', ''])}") for t in range(900)]

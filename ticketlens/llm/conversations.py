@@ -42,6 +42,7 @@ from ticketlens.llm.common import ready_workers, save
 BLANK, DUPLICATE, TRUNCATED, SOUND = "blank", "duplicate", "truncated", "sound"
 LEGAL = ("su", "ua", "au")
 GAP = "\\x20\\x09-\\x0D"
+BROADCAST_AGAIN = 100_000  # texts that stand at several turns: some 15 MB
 RANGE_CHARS = 32  # of a text that take part in dealing the rows; sorting reads whole texts
 SOLVED_SCHEMA = "conv_id long, place long, k long, role string, text string, audit string, cost long, illegal long"
 DIGEST_SCHEMA = "conv_id long, repaired_sha256 string"
@@ -81,7 +82,9 @@ def placed_rows(rows: DataFrame) -> DataFrame:
     digest = F.sha2(F.col("text").cast("binary"), 256)
     # what stands at several turns: the first one is no duplicate; sound tables have few of them
     again = counted.where(~blank).groupBy(F.col("conv_id").alias("c"), F.col("role").alias("r"), digest.alias("d"))
-    again = again.agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    again = save(again.agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "conversations-again")
+    if again.count() <= BROADCAST_AGAIN:
+        again = F.broadcast(again)  # the texts stay where they are; beyond the bound the join shuffles
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (digest == F.col("d"))
     fault = (
         F.when(F.col("blank"), BLANK)
