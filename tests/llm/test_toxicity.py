@@ -1,9 +1,11 @@
 """Toxicity: held-out recall and precision, ordered grades, edge rows."""
 
 import numpy as np
+from conftest import plan_text
 from llm_fixtures import edge_docs, edge_rows, no_docs, prose  # noqa: F401
 from pyspark.sql import functions as F
 
+from ticketlens.llm import toxicity
 from ticketlens.llm.toxicity import fit, grade_documents, predict, split_top_grade, train
 
 MILD, SEVERE = "vexbad vexsad".split(), "vexawful vexvile".split()
@@ -67,3 +69,65 @@ def test_edge_rows(spark, edge_docs, edge_rows, no_docs):
     assert none is None
     assert {(r["severity"], r["toxic"]) for r in grade_documents(edge_docs, none).collect()} == {(0.0, False)}
     assert grade_documents(no_docs, model).collect() == []
+
+
+def test_gradient_of_the_objective():
+    rs = np.random.RandomState(2)
+    n, d, k = 30, 7, 4
+    cells = rs.randint(0, n, 90), rs.randint(0, d, 90), rs.rand(90)
+    share = rs.rand(n)
+    grades = rs.randint(0, k, n)
+    target = np.stack([grades >= j for j in range(1, k)]).astype(float)
+    w, theta = rs.randn(d), np.sort(rs.randn(k - 1))
+    _, gradient = toxicity.objective(w, theta, cells, share, target)
+    point = np.concatenate([w, theta])
+    for i in range(d + k - 1):
+        step = np.zeros(d + k - 1)
+        step[i] = 1e-5
+        up, down = (toxicity.objective((point + s)[:d], (point + s)[d:], cells, share, target)[0] for s in (step, -step))
+        assert abs((up - down) / 2e-5 - gradient[i]) < 1e-6
+
+
+def test_steps_lower_the_objective():
+    """The fitted weights beat the base rate alone."""
+    texts, grades = made(200)
+    fitted, start = fit(texts, grades, np.ones(len(texts))), fit(texts, grades, np.ones(len(texts)), steps=0)
+    truth = np.stack([grades >= 1, grades >= 2], axis=1)
+    loss = [-np.log(np.where(truth, p, 1 - p)).mean() for p in (predict(fitted, texts), predict(start, texts))]
+    assert loss[0] < 0.3 * loss[1]
+
+
+def test_labelled_texts_are_picked_without_a_shuffle_of_texts(spark, monkeypatch):
+    """The chosen ids are broadcast; texts leave their partition only when they are among the bounded sample."""
+    texts, grades = made(200)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(grades)], "doc_id long, toxic int")
+    frame = type(docs)
+    plans, real = [], frame.collect
+
+    def collect(self):
+        plans.append(plan_text(self))
+        return real(self)
+
+    monkeypatch.setattr(frame, "collect", collect)
+    train(docs, labels, F.col("toxic"))
+    picking = [p for p in plans if "text" in p]
+    assert len(picking) == 1 and "BroadcastHashJoin" in picking[0] and "TakeOrderedAndProject" in picking[0]
+    assert "SortMergeJoin" not in picking[0] and "Exchange hashpartitioning" not in picking[0]
+
+
+def test_sample_is_bounded_and_the_same_each_time(spark):
+    """A hot label id and many repeated documents can't grow the sample, and reruns draw the same rows."""
+    texts, grades = made(120)
+    docs = spark.createDataFrame([(i % 40, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(grades[:40])] + [(3, int(grades[3]))] * 300, "doc_id long, toxic int")
+    a, b = (train(d, labels, F.col("toxic"), sample=10) for d in (docs, docs.repartition(7)))
+    assert (a.features == b.features).all() and (a.weights == b.weights).all()
+
+
+def test_dirty_grades_do_not_reach_the_driver(spark, monkeypatch):
+    texts, _ = made(60)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i) for i in range(60)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "MAX_GRADES", 5)
+    assert len(train(docs, labels, F.col("toxic")).thresholds) == 4

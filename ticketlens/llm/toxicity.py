@@ -12,10 +12,12 @@ to the grade (likelihood ratio of presence against grade >= 1) are kept, if
 it is more than chance gives the best of as many features, and
 the weights are fitted by Adam steps, each followed by a shrinkage towards 0.
 
-Training reads at most about ``SAMPLE`` labelled documents of each grade (an
-expected number, by a hash of the id; twice that is the bound), each text
-once, texts of over ``SAMPLE_CHARS`` characters left out; grades weigh as they
-occur in all labels.  Labels of only two levels get a third grade: the upper
+Training reads at most about ``SAMPLE`` labelled documents of each of the
+``MAX_GRADES`` most frequent grades (an expected number, by a hash of the id;
+twice that is the bound, cut in the order of the hash, so reruns agree), each
+text once, texts of over ``SAMPLE_CHARS`` characters left out; grades weigh as
+they occur in all labels.  The chosen ids are broadcast to the documents, so
+no text is shuffled.  Labels of only two levels get a third grade: the upper
 half of the higher one by the amount of evidence.  Prediction covers every whole text.
 
 Defined results: NULL and empty texts have no feature and get the base rate's
@@ -35,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlens.llm.common import ready_workers, slices
+from ticketlens.llm.common import ready_workers, save, slices
 from ticketlens.llm.words import NOT_ALNUM, span_hashes, spans
 
 SAMPLE = 2000
 SAMPLE_CHARS = 20_000
+MAX_GRADES = 16  # of a dirty grade column the most frequent ones teach
 FEATURES = 4096
 PREFIXES = (4, 5, 6, 7)
 L1 = 0.002
@@ -110,6 +113,25 @@ def select_features(texts: list[str], positive: np.ndarray, size: int) -> np.nda
     return np.sort(names[best[gain[best] > 2 * np.log(len(names) + 1.0) + 2]])
 
 
+def objective(
+    w: np.ndarray, theta: np.ndarray, cells: tuple[np.ndarray, np.ndarray, np.ndarray], share: np.ndarray, target: np.ndarray
+) -> tuple[float, np.ndarray]:
+    """Loss and its gradient by (w, theta): minus the weighted log-likelihood of every threshold's answer.
+
+    ``cells`` are (text number, feature number, value), ``target`` has a row
+    per threshold telling which texts lie above it.
+    """
+    doc, col, val = cells
+    n, d = len(share), len(w)
+    score = np.bincount(doc, val * w[col], n) if d else np.zeros(n)
+    z = np.clip(score[None, :] - theta[:, None], -60, 60)
+    p = 1 / (1 + np.exp(-z))
+    error = share * (p - target)
+    on_w = np.bincount(col, val * error.sum(axis=0)[doc], d) if d else np.zeros(0)
+    loss = float((share * (np.logaddexp(0, z) - target * z)).sum())
+    return loss, np.concatenate([on_w, -error.sum(axis=1)])
+
+
 def fit(texts: list[str], grades: np.ndarray, weight: np.ndarray, size: int = FEATURES, l1: float = L1, steps: int = STEPS) -> Model:
     """Weights and thresholds from texts, their grades 0..K-1 and sample weights."""
     k = int(grades.max()) + 1
@@ -125,11 +147,7 @@ def fit(texts: list[str], grades: np.ndarray, weight: np.ndarray, size: int = FE
     target = np.stack([grades >= j for j in range(1, k)]).astype(float)
     m, v = np.zeros(d + k - 1), np.zeros(d + k - 1)
     for t in range(1, steps + 1):
-        score = np.bincount(doc, val * w[col], n) if d else np.zeros(n)
-        p = 1 / (1 + np.exp(-np.clip(score[None, :] - theta[:, None], -60, 60)))
-        error = share * (p - target)
-        on_w = np.bincount(col, val * error.sum(axis=0)[doc], d) if d else np.zeros(0)
-        gradient = np.concatenate([on_w, -error.sum(axis=1)])
+        _, gradient = objective(w, theta, (doc, col, val), share, target)
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         rate = RATE * min(1.0, 2 * (1 - t / (steps + 1)))
         move = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
@@ -179,17 +197,22 @@ def train(
     sample_chars: int = SAMPLE_CHARS,
 ) -> Model | None:
     """Fit on a bounded sample of labelled documents; ``grade`` is a whole number over ``labels``."""
-    known = labels.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade"))
+    known = labels.select(F.col(id_col).cast("long").alias("id"), grade.cast("int").alias("grade"))
     known = known.where(F.col("id").isNotNull() & (F.col("grade") >= 0))
-    sizes = {r["grade"]: r["count"] for r in known.groupBy("grade").count().collect()}
+    counted = known.groupBy("grade").count().orderBy(F.desc("count"), "grade").limit(MAX_GRADES).collect()
+    sizes = {r["grade"]: r["count"] for r in counted}
     if len(sizes) < 2:
         return None
+    bound = 2 * sample * len(sizes)
     rank = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 30))
     chosen = F.lit(False)
     for g, n in sorted(sizes.items()):
         chosen = chosen | ((F.col("grade") == g) & (rank < int(min(1.0, sample / n) * (1 << 30)) + 1))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, sample_chars))
-    rows = texts.join(known.where(chosen), "id").limit(2 * sample * len(sizes)).collect()
+    # the ids go to the texts, at most ``bound`` of them; what a bound cuts is last in rank
+    picked = known.where(chosen).distinct().withColumn("rank", rank).orderBy("rank", "id", "grade").limit(bound)
+    picked = F.broadcast(save(picked, "toxicity-sample"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where(F.length("text").between(1, sample_chars))
+    rows = texts.join(picked, "id").orderBy("rank", "id", F.xxhash64("text"), "grade").limit(bound).collect()
     once = {}
     for r in sorted(rows, key=lambda r: (r["id"], r["text"], r["grade"])):
         once.setdefault(r["text"], r["grade"])
