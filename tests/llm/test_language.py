@@ -92,3 +92,23 @@ def test_nothing_labelled_and_empty(edge_docs, no_docs):
     assert {r["lang_pred"] for r in language.identify(unlabelled).collect()} == {"und"}
     assert language.identify(no_docs).collect() == []
     assert language.keep_identified(no_docs).collect() == []
+
+
+def test_texts_that_no_tree_explains_are_rejected(spark):
+    """Letters without a language and languages never learned go, documents stay."""
+    rs = np.random.RandomState(4)
+    docs = spark.read.parquet(f"{SMALL_SF}/documents.parquet").select("doc_id", "text", "lang")
+    odd = [" ".join("".join(rs.choice(list("bcdfghjklmnpqrstvwxz"), rs.randint(2, 9))) for _ in range(60)) for _ in range(20)]
+    odd += ["Это русский текст, который не входит в число изученных языков.", "这是一个没有学习过的中文句子", "これは学習されていない日本語の文です"]
+    rows = docs.unionByName(spark.createDataFrame([(10_000_000 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string"))
+    kept = {r["doc_id"] for r in language.keep_identified(rows).collect()}
+    assert max(kept) < 10_000_000
+    assert kept == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"])}
+
+
+def test_dirty_labels_are_bounded_and_reruns_agree(spark, monkeypatch):
+    rows = [(i, f"text number {i} of words", f"l{i % 30:02d}") for i in range(300)] + [(7, "a hot row", "l07")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    a, b = (language.train(d, sample=4) for d in (docs, docs.repartition(6)))
+    assert a.languages == b.languages and 1 <= len(a.languages) <= 3

@@ -12,9 +12,10 @@ The tree is laid out as one table per order: for every context and byte seen
 in any language, the finished code length in each language.  So scoring a byte
 is one lookup, and only bytes unseen in all languages go on to a shorter one.
 
-Training reads a sample of the labelled rows: about ``SAMPLE`` rows of each
-language (an expected number, by a hash of the id; the bound on rows held is
-twice that), rows of over ``SAMPLE_CHARS`` characters left out.  Prediction
+Training reads a sample of the labelled rows: about ``SAMPLE`` rows of each of
+the ``MAX_LANGUAGES`` most frequent languages (an expected number, by a hash of
+the id; the bound on rows held is twice that, cut in the order of the hash),
+rows of over ``SAMPLE_CHARS`` characters left out.  Prediction
 covers every whole text.
 
 Defined results: NULL texts and texts without a letter are ``und`` with score
@@ -38,7 +39,9 @@ from ticketlens.llm.common import ready_workers, slices
 ORDER = 4
 SAMPLE = 500
 SAMPLE_CHARS = 20_000
+MAX_LANGUAGES = 64  # of a dirty label column the most frequent ones are learned
 BLOCK_BYTES = 400_000
+PLAIN_RATE = 8.0  # bits a byte of a text that is not coded at all
 UNDETERMINED = "und"
 RESULT_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
@@ -225,12 +228,14 @@ def train(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
     rows = rows.where(F.length("text").between(1, sample_chars))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = {r["lang"]: r["count"] for r in counted}
     rank = F.pmod(F.xxhash64(F.lit(3), "id", "text"), F.lit(1 << 30))
     chosen = F.lit(False)
     for lang, n in sorted(sizes.items()):
         chosen = chosen | ((F.col("lang") == lang) & (rank < int(min(1.0, sample / n) * (1 << 30)) + 1))
-    picked = rows.where(chosen).withColumn("rank", rank).limit(2 * sample * max(1, len(sizes))).collect()
+    picked = rows.where(chosen).withColumn("rank", rank).orderBy("rank", "id", F.xxhash64("text"), "lang")
+    picked = picked.limit(2 * sample * max(1, len(sizes))).collect()  # what the bound cuts is last in rank
     samples: dict[str, list[str]] = {}
     for r in sorted(picked, key=lambda r: (r["rank"], r["text"])):
         samples.setdefault(r["lang"], []).append(r["text"])
@@ -275,18 +280,26 @@ def keep_identified(
     docs: DataFrame,
     model: Model | None = None,
     min_score: float = 0.5,
+    max_rate: float = PLAIN_RATE,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> DataFrame:
-    """Rows of ``docs`` whose language is identified with at least ``min_score`` (columns unchanged)."""
+    """Rows of ``docs`` whose language is identified (columns unchanged).
+
+    The language must be likelier than all others together (``min_score``)
+    and its tree must explain the text: a code of ``max_rate`` and more bits a
+    byte is no shorter than the text itself, which is what letters without a
+    language or in a script or language that was never learned come to.
+    """
     model = model or train(docs, id_col, text_col, lang_col)
     predict = _predictor(docs.sparkSession, model)
 
     @F.arrow_udf("boolean")
     def accepted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            names, score, _ = predict([t or "" for t in batch.to_pylist()])
-            yield pa.array((np.array(names, dtype=object) != UNDETERMINED) & (score >= min_score), pa.bool_())
+            names, score, rate = predict([t or "" for t in batch.to_pylist()])
+            known = np.array(names, dtype=object) != UNDETERMINED
+            yield pa.array(known & (score >= min_score) & (rate < max_rate), pa.bool_())
 
     return docs.where(accepted(F.col(text_col)))

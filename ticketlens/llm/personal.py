@@ -364,7 +364,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     chosen = F.lit(False)
     for marked, n in sorted(sizes.items()):
         chosen = chosen | ((F.col("marked") == F.lit(marked)) & (rank < int(min(1.0, sample / 2 / n) * (1 << 30)) + 1))
-    picked = rows.where(chosen).withColumn("rank", rank).limit(2 * sample).collect()
+    picked = rows.where(chosen).withColumn("rank", rank).orderBy("rank", "id", F.xxhash64("text")).limit(2 * sample).collect()
     return train_tagger([r["text"] for r in sorted(picked, key=lambda r: (r["rank"], r["text"]))])
 
 
