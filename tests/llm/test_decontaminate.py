@@ -91,6 +91,78 @@ def test_edited_copies_of_a_passage_in_most_documents_are_found(spark, monkeypat
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()} == want
 
 
+def _edited(words, kind, step, first):
+    """Every ``step``-th word replaced, left out, or followed by a new one."""
+    out = []
+    for k, w in enumerate(words):
+        hit = k % step == first % step
+        if kind == "replaced":
+            out.append(f"new{k}" if hit else w)
+        elif kind == "left out":
+            out += [] if hit else [w]
+        else:
+            out += [w, f"new{k}"] if hit else [w]
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_no_copy_at_the_threshold_is_lost(spark, monkeypatch, broadcast):
+    """Against the alignment of every document with every item: edits of every first to sixth word of all kinds."""
+    from ticketlens.llm import decontaminate
+
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", -1)
+    items = {i: prose(3000 + i, n) for i, n in enumerate((3, 4, 5, 8, 20, 30, 45))}
+    rows = []
+    for i, item in items.items():
+        for kind in ("replaced", "left out", "added"):
+            for step in range(1, 7):
+                for first in range(step):
+                    copy = _edited(item.split(), kind, step, first)
+                    rows.append((len(rows), f"{prose(len(rows), 15)} {' '.join(copy)} {prose(9000 + len(rows), 15)}"))
+    rs = random.Random(8)
+    vocabulary = " ".join(items.values()).split()  # texts full of the items' words, most in no order
+    rows += [(len(rows) + k, " ".join(rs.choice(vocabulary) for _ in range(400))) for k in range(30)]
+    hashed = {i: word_hashes([t])[0] for i, t in items.items()}
+    want = {(d, i): align(w, h)[0] for d, t in rows for h in [word_hashes([t])[0]] for i, w in hashed.items()}
+    want = {k: v for k, v in want.items() if v >= 0.5}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = contaminated(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == want
+    thirds = [d for d, i in want if want[d, i] < 0.55]
+    assert len(thirds) > 40  # copies close to the threshold are among them
+
+
+def test_pairs_needed_is_a_lower_bound():
+    """Against all alignments of short items: the least number of pair seeds among those that score the threshold."""
+    from ticketlens.llm.decontaminate import pairs_needed
+
+    for n in range(3, 9):
+        least = n
+        # steps between matched words: words skipped in the item and in the document
+        def walk(at, points, seeds, pairs_at_three):
+            nonlocal least
+            if points >= n:  # threshold one half: n of 2 n points
+                least = min(least, seeds + pairs_at_three)
+            for skip in range(n - at - 1):
+                for between in range(4):
+                    cost = max(skip, between)
+                    is_pair = skip == 0 and between <= 1
+                    outer = n == 3 and skip == 1 and between <= 1
+                    walk(at + skip + 1, points - cost + 2, seeds + is_pair, pairs_at_three + outer)
+
+        for first in range(n):
+            walk(first, 2, 0, 0)
+        assert pairs_needed(n, 0.5) <= max(1, least)
+        assert least >= 1
+
+
+def test_items_that_share_an_id_are_searched_each(spark):
+    items = spark.createDataFrame([(1, prose(1, 30)), (1, prose(2, 30)), (1, prose(2, 30))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, prose(1, 30)), (2, f"{prose(2, 30)} {prose(5, 10)}"), (3, prose(3, 60))], "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()} == {(1, 1), (2, 1)}
+
+
 def test_joins_without_broadcast_give_the_same(spark, monkeypatch):
     from ticketlens.llm import decontaminate
 
