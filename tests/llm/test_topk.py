@@ -1,11 +1,14 @@
 """Top-k: against a sort of all scores, ties, big numbers, edge rows."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
+from conftest import plan_text
 from pyspark.sql import functions as F
 
-from ticketlens.llm.topk import best_of_tile, top_k
+from ticketlens.llm import topk
+from ticketlens.llm.topk import Lists, top_k
 
 SCHEMA = "vec_id long, embedding array<double>, rank int, score long, shard string, v string"
 
@@ -15,13 +18,16 @@ def brute(rows, is_query, k=5):
     for i, x, *_ in rows:
         if i is None or not x or any(c is None or not math.isfinite(c) for c in x):
             continue
-        fit.append((i, [math.floor(256 * c) for c in x]))
+        fit.append((i, [math.floor(256 * Fraction(c)) for c in x]))
     out = []
     for q in sorted({i for i, _ in fit if is_query(i)}):
-        scored = sorted(
-            (-sum(a * b for a, b in zip(x, y)), j) for i, x in fit if i == q for j, y in fit if j != q and len(x) == len(y)
-        )
-        out += [(q, r + 1, j, -s) for r, (s, j) in enumerate(scored[:k])]
+        own = [x for i, x in fit if i == q]
+        scored = []
+        for j, y in fit:  # a candidate row counts once, with its best score
+            found = [sum(a * b for a, b in zip(x, y)) for x in own if len(x) == len(y)]
+            if j != q and found:
+                scored.append((-min(max(max(found), -(2**63)), 2**63 - 1), j))
+        out += [(q, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scored)[:k])]
     return out
 
 
@@ -47,9 +53,41 @@ def test_unfit_vectors_other_lengths_and_few_candidates(spark):
 
 
 def test_numbers_too_large_for_floating_point():
-    q, v = np.array([[2**40, 1]]), np.array([[2**20 + 1, 5], [2**20 + 1, 6]])
-    _, ids, scores = best_of_tile(np.array([0]), q, np.array([1, 2]), v, 1)
-    assert ids.tolist() == [2] and scores.tolist() == [2**40 * (2**20 + 1) + 6]
+    q, v = np.array([[2.0**40, 1.0]]), np.array([[2.0**20 + 1, 5.0], [2.0**20 + 1, 6.0]])
+    found = Lists(np.array([0]), q, 1)
+    found.add(np.array([1, 2]), np.array([1, 2]), v, 10)
+    assert found.vec.tolist() == [2] and found.score.tolist() == [2**40 * (2**20 + 1) + 6]
+
+
+def test_huge_components_and_scores_beyond_a_long(spark):
+    rows = [(0, [3e9, 1.0]), (10, [-3e9, 2.0]), (20, [1e300, -1e300]), (30, [1.7e308, 1.0]), (1, [3e9, 5.0]), (2, [4e9, 0.0]), (3, [1e18, 1e18])]
+    rows += [(4, [5e-324, -5e-324]), (5, [-1e308, 7.0]), (6, [0.1, 0.1]), (7, [2.0**53, 1.0])]
+    got = top_k(frame(spark, rows), F.col("vec_id") % 10 == 0).collect()
+    assert sorted(map(tuple, got)) == brute(rows, lambda i: i % 10 == 0)
+
+
+def test_rows_that_share_an_id(spark):
+    rs = np.random.RandomState(3)
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [0.0, 1.0])] + [(i, [float(x) for x in rs.randint(-3, 4, 2)]) for i in (1, 2, 3, 4, 5, 6, 2, 2)]
+    got = top_k(frame(spark, rows), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, got.collect())) == brute(rows, lambda i: i % 50 == 0)
+    assert len({r["vec_id"] for r in got.collect()}) >= 3
+
+
+def test_blocks_tiles_and_groups_of_tasks_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(topk, "MERGE_GROUP", 2)
+    rs = np.random.RandomState(5)
+    rows = [(i, [float(x) for x in rs.randint(-9, 9, 3)]) for i in range(300)] + [(i, [1.0, float(i % 7)]) for i in range(300, 360)]
+    vectors = frame(spark, rows).repartition(9)
+    got = top_k(vectors, F.col("vec_id") % 3 == 0, query_tile=7, vector_tile=16, block_bytes=900)
+    assert sorted(map(tuple, got.collect())) == brute(rows, lambda i: i % 3 == 0)
+
+
+def test_candidates_are_not_shuffled(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(100)]
+    plan = plan_text(top_k(frame(spark, rows), F.col("vec_id") % 10 == 0))
+    below = plan[plan.index("MapInArrow") :]
+    assert "Exchange" not in below and "WindowGroupLimit" in plan
 
 
 def test_empty_and_no_query(spark):

@@ -109,14 +109,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op6_tiled_topk": """
         WITH fit AS (
-            SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+            SELECT row_number() OVER () AS place, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
               AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
-                   CAST(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]) AS BIGINT) AS score
+            -- query rows that share an id share a list, in which a candidate row stands once
+            SELECT q.vec_id AS query_id, c.vec_id, c.place,
+                   CAST(max(least(greatest(list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)]),
+                                           -9223372036854775808), 9223372036854775807)) AS BIGINT) AS score
             FROM fit q JOIN fit c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+            GROUP BY q.vec_id, c.vec_id, c.place
         ), ranked AS (
             SELECT query_id, vec_id, score,
                    CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
