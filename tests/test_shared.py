@@ -69,3 +69,21 @@ def test_chart_tables_cover_every_chart(both):
         assert dict(df.dtypes)["x"] == "string"
     row = charts["codes_per_bin"].collect()[0]
     assert row.facet_row is not None and row.facet_col is not None
+
+
+def test_rows_enter_the_ticket_cube_six_times(spark):
+    """Ten sets, four of them summed from finer ones: one scan, six copies of a row before the partial aggregate."""
+    from conftest import SMALL_SF, plan_text
+
+    from ticketlens.plans.shared import ticket_cube
+    from ticketlens.sources.sink import materialize
+    from ticketlens.sources.tables import tickets
+
+    clean = materialize(tickets(spark, SMALL_SF), "tickets_cube_plan")
+    cube = ticket_cube(clean).df
+    cube.collect()
+    final = plan_text(cube).split("== Initial Plan ==")[0]
+    assert final.count("Scan parquet") == 1
+    projections = next(line for line in plan_text(cube, "extended").splitlines() if "Expand [" in line)
+    assert projections.count("], [") == 6  # six lists and the output
+    assert spark.createDataFrame([], clean.schema).transform(lambda e: ticket_cube(e).df).collect() == []

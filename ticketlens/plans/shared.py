@@ -2,8 +2,9 @@
 
 Asked one by one, the questions scan the cleaned table about thirty times,
 each time decoding the same few columns.  Here one aggregation with
-``GROUPING SETS`` reads every needed column once, aggregates partially in
-each task (one row per task and group, so hot keys cost nothing extra) and
+``GROUPING SETS`` reads every needed column once (each row enters once per
+set, so sets that are coarser than another one are summed from it), aggregates
+partially in each task (one row per task and group, so hot keys cost nothing extra) and
 shuffles only those partial counts.  Its result - one row per group of each
 set, bounded by the dimensions, not by the tickets - is small; every
 question is then a filter, rank or join on it.
@@ -61,13 +62,37 @@ class Cube:
         return self
 
 
-def _cube(df: DataFrame, sets: Mapping[str, Sequence[str]], aggs: Sequence[Column]) -> Cube:
+def _cube(
+    df: DataFrame, sets: Mapping[str, Sequence[str]], aggs: Mapping[str, Column], coarser: Mapping[str, str] | None = None
+) -> Cube:
+    """The grouping-sets aggregate of ``sets``.
+
+    Every row goes into the aggregate once per set, so a set that is coarser
+    than another one (``coarser``: name -> name of a finer set) is summed from
+    that set's groups instead; all ``aggs`` are counts.
+    """
+    coarser = coarser or {}
     cols: list[str] = []
     for keys in sets.values():
         cols.extend(k for k in keys if k not in cols)
-    grouped = df.groupingSets([tuple(k) for k in sets.values()], *cols)
-    out = grouped.agg(*aggs, F.grouping_id().alias("_gid"))
-    return Cube(out, sets, cols)
+    base = {name: keys for name, keys in sets.items() if name not in coarser}
+    grouped = df.groupingSets([tuple(k) for k in base.values()], *cols)
+    out = grouped.agg(*[c.alias(name) for name, c in aggs.items()], F.grouping_id().alias("_gid"))
+    if not coarser:
+        return Cube(out, sets, cols)
+    # every group is itself and a part of the groups of the coarser sets: one more aggregate, over groups
+    types = dict(out.dtypes)
+
+    def place(keys: Sequence[str], gid: Column) -> Column:
+        held = [(F.col(c) if c in keys else F.lit(None).cast(types[c])).alias(c) for c in cols]
+        return F.struct(*held, gid.cast(types["_gid"]).alias("_gid"))
+
+    parts = [
+        F.when(F.col("_gid") == _gid(sets[source], cols), place(sets[name], F.lit(_gid(sets[name], cols)))) for name, source in coarser.items()
+    ]
+    placed = out.select(F.explode(F.array_compact(F.array(place(cols, F.col("_gid")), *parts))).alias("at"), *aggs)
+    whole = placed.select("at.*", *aggs).groupBy(*cols, "_gid").agg(*[F.sum(a).cast(types[a]).alias(a) for a in aggs])
+    return Cube(whole.select(*cols, *aggs, "_gid"), sets, cols)
 
 
 def _all_null(cols: Sequence[str]) -> Column:
@@ -93,13 +118,14 @@ def ticket_cube(t: DataFrame, r: Roles = R) -> Cube:
         "year_season_code": [y, r.season, r.code],
     }
     keyed = t.withColumn(r.season, season_label(F.month(r.date)))
-    aggs = [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(r.summons).alias("n_summons"),
-        F.count_if(_all_null(list(r.address))).alias("n_missing_3"),
-        F.count_if(_all_null(list(r.street_address))).alias("n_missing_2"),
-    ]
-    return _cube(keyed, sets, aggs)
+    aggs = {
+        "n_rows": F.count(F.lit(1)),
+        "n_summons": F.count(r.summons),
+        "n_missing_3": F.count_if(_all_null(list(r.address))),
+        "n_missing_2": F.count_if(_all_null(list(r.street_address))),
+    }
+    coarser = {"year": "year_vprec", "year_code": "year_season_code", "year_iprec": "year_iprec_code", "iprec": "year_iprec_code"}
+    return _cube(keyed, sets, aggs, coarser)
 
 
 def time_cube(t: DataFrame, r: Roles = R, mode: str = CLOCK) -> Cube:
@@ -112,11 +138,8 @@ def time_cube(t: DataFrame, r: Roles = R, mode: str = CLOCK) -> Cube:
         "year_bin_code": [r.year, r.time_of_day, r.code],
     }
     valid = F.col(r.minute_of_day).isNotNull()
-    aggs = [
-        F.count_if(valid).alias("n_rows"),
-        F.count_if(~valid).alias("n_missing_time"),
-    ]
-    return _cube(clocked, sets, aggs)
+    aggs = {"n_rows": F.count_if(valid), "n_missing_time": F.count_if(~valid)}
+    return _cube(clocked, sets, aggs, {"code": "year_bin_code"})
 
 
 # --- reading questions back -----------------------------------------------------
