@@ -6,7 +6,7 @@ cleaned-table sink).  Step 2 ("shared.*") answers every question from one
 grouping-sets scan per table (``case_study(shared_scan=True)``); step 3
 (plain names) asks every question on its own, one scan each.  Each question
 runs to completion with the ``noop`` sink (all rows produced, nothing
-collected).
+collected), three times; the median counts (BENCH_RUNS).
 
 Prints one JSON line:
 {"metric": "case_study_total", "value": <build + shared pass>, "unit": "sec",
@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
@@ -42,10 +43,23 @@ from ticketlens.sources.tables import ticket_times, tickets  # noqa: E402
 WARMUP_SF_DIR = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
 
 
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+
+
 def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _timed(df) -> float:
+    """Median seconds of ``RUNS`` runs of the whole plan."""
+    took = []
+    for _ in range(RUNS):
+        s = time.perf_counter()
+        _run(df)
+        took.append(time.perf_counter() - s)
+    return round(statistics.median(took), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -85,15 +99,11 @@ def main() -> None:
     shared_plans = case_study(t, shared_scan=True, **common)
     timings["shared.build_cubes"] = round(time.perf_counter() - s, 3)
     for name, df in shared_plans.items():
-        s = time.perf_counter()
-        _run(df)
-        timings[f"shared.{name}"] = round(time.perf_counter() - s, 3)
+        timings[f"shared.{name}"] = _timed(df)
 
     # 2. every question on its own (one scan each), as a user asking one
     for name, df in case_study(t, **common).items():
-        s = time.perf_counter()
-        _run(df)
-        timings[name] = round(time.perf_counter() - s, 3)
+        timings[name] = _timed(df)
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     direct_total = round(sum(v for k, v in timings.items() if not k.startswith("shared.")), 3)
