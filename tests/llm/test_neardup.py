@@ -115,6 +115,55 @@ def test_edge_rows(edge_docs, edge_rows, no_docs):
     assert near_duplicates(no_docs).collect() == [] and keep_one_each(no_docs).collect() == []
 
 
+def _shared_rows():
+    """Texts that share ids: A and B of id 1, a near copy of B under 2, copies of other texts across shared ids."""
+    a, b, other = prose(41, 100), prose(42, 100), prose(43, 100)
+    near = " ".join("changed" if k == 50 else w for k, w in enumerate(b.split()))
+    return [(1, a), (1, b), (2, near), (3, other), (3, prose(44, 90)), (4, other), (4, prose(45, 90)), (5, prose(45, 90)), (6, prose(46, 90)), (6, prose(46, 90)), (7, ""), (7, None), (7, " "), (0, prose(47, 90))]
+
+
+def test_an_id_with_several_texts_keeps_their_links(spark):
+    rows = _shared_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["class_id"]) for r in near_duplicates(docs).collect())
+    # one document per id: 1 and 2 by text B, 3, 4 and 5 by the texts they share
+    want = {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 6, 7: 7, 0: 0}
+    assert got == sorted((i, want[i]) for i, _ in rows)
+
+
+def test_no_text_of_a_shared_id_is_lost(spark):
+    rows = _shared_rows()
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, digest string, component string")
+    kept = keep_one_each(docs)
+    assert kept.columns == docs.columns
+    found = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    texts = [t for _, t in found if t and t.strip()]
+    assert len(texts) == len(set(texts))
+    # every given text is kept or has a near copy that is
+    for i, t in rows:
+        if t and t.strip():
+            assert any(len(classes({0: t, 1: k}).values()) and classes({0: t, 1: k})[1] == 0 for k in texts), (i, t[:20])
+    assert sorted(i for i, t in found if t and t.strip()) == [0, 1, 1, 3, 3, 4, 6]
+    assert sum(i == 7 for i, _ in found) == 1
+    again = [(r["doc_id"], r["text"]) for r in keep_one_each(docs.repartition(5)).collect()]
+    assert sorted(found, key=repr) == sorted(again, key=repr)
+
+
+def test_hot_keys_are_joined_in_place(spark, monkeypatch):
+    """With every key hot, and with none, the classes are the same."""
+    from ticketlens.llm import common
+
+    rows = [(i, t) for i, t in enumerate([prose(50, 80)] * 30 + [prose(51, 80).replace(" ", f" w{k} ", 1) for k in range(40)] + [prose(100 + k, 40) for k in range(20)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = classes(dict(rows))
+    for floor in (0, 1, 10**9):
+        monkeypatch.setattr(common, "HOT_ROWS", max(1, floor))
+        bound = (lambda total, floor=floor: floor)
+        monkeypatch.setattr(neardup, "hot_bound", bound)
+        monkeypatch.setattr("ticketlens.llm.graph.hot_bound", bound)
+        assert {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()} == want
+
+
 def test_result_does_not_depend_on_partitions(edge_docs):
     a, b = (sorted(map(str, near_duplicates(d).collect())) for d in (edge_docs, edge_docs.repartition(5, F.rand(1))))
     assert a == b

@@ -62,6 +62,27 @@ def by_ids(df: DataFrame, ids: DataFrame, id_col: str, how: str = "left_semi") -
     return df.join(side, df[id_col].cast("long") == F.col("__id"), how)
 
 
+HOT_ROWS = 1000
+
+
+def hot_bound(total: int) -> int:
+    """More rows than this make a key hot; of ``total`` rows at most ``HOT_ROWS`` keys can be."""
+    return max(HOT_ROWS, total // HOT_ROWS)
+
+
+def join_hot(left: DataFrame, right: DataFrame, on: str | list[str], weight: str, bound: int) -> DataFrame:
+    """``left`` joined with ``right``, which has one row per key and in ``weight`` the number of left rows of it.
+
+    Keys with more than ``bound`` rows (see ``hot_bound``: a bounded number)
+    are broadcast, so the rows of a hot key stay where they are instead of
+    meeting in one task; the others are joined by a shuffle.
+    """
+    keys = [on] if isinstance(on, str) else on
+    hot, cold = (right.where(c).drop(weight) for c in (F.col(weight) > bound, F.col(weight) <= bound))
+    few = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return left.join(F.broadcast(hot), keys).unionByName(few)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[str]:
     """The column as Python strings, NULL as the empty text."""
     return [x or "" for x in column.to_pylist()]

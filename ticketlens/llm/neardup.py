@@ -29,10 +29,14 @@ Grouping, without listing the pairs of a group:
    So a link that no hub showed is not lost, and the pairs of a large group
    of copies are never listed.
 
+Hot keys (a bucket, hub or digest with more than a thousandth of all rows) are
+joined where their rows are, against a broadcast of bounded size.
+
 Defined results: a text without words (NULL, empty, blank) is alone in its
 class; texts of fewer than five words are one shingle; rows with a NULL id
-get a NULL class and take no part; rows that share an id are one document and
-share a class.  An empty table gives an empty result.  Other columns are not
+get a NULL class and take no part.  Rows that share an id are one document and
+share a class, each of its texts with its own links; ``keep_one_each`` groups
+the texts themselves and loses none of them.  An empty table gives an empty result.  Other columns are not
 read.
 """
 
@@ -40,14 +44,15 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
-from ticketlens.llm.common import by_ids, mix64, ready_workers, save, slices
+from ticketlens.llm.common import BROADCAST_IDS, by_ids, hot_bound, join_hot, mix64, ready_workers, save, slices
 from ticketlens.llm.graph import components
 from ticketlens.llm.words import shingle_hashes, word_hashes
 
@@ -58,6 +63,7 @@ ROWS = 6
 FINE_BANDS = 96  # the same for the finer bands: 2e-5
 FINE_ROWS = 10
 BLOCK_CHARS = 400_000
+HUB_BYTES = 1 << 15  # of a broadcast shingle set
 SKETCH_SIGMAS = 4.5
 SIGNATURE_SCHEMA = "doc_id long, digest binary, weight double, bands array<long>, sketch array<long>"
 
@@ -162,6 +168,12 @@ def weighted_shingles(words: np.ndarray, size: int, weights: str) -> tuple[np.nd
     return elements, np.ones(len(elements))
 
 
+def digest(elements: np.ndarray, weights: np.ndarray) -> bytes:
+    """128 bits of a weighted shingle set, whatever its order."""
+    mixed = mix64(elements ^ mix64(weights.view(np.uint64)))
+    return mixed.sum().tobytes() + mix64(mixed).sum().tobytes()
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard of two shingle sets."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -193,13 +205,12 @@ def signatures(
         for batch in batches:
             ids = batch.column(0).to_pylist()
             texts = batch.column(1).to_pylist()
-            keep, digest, weight, hashes, sketched = [], [], [], [], []
+            keep, digests, weight, hashes, sketched = [], [], [], [], []
             for i, (elements, w) in enumerate(_sets(texts, size, weights)):
                 if not len(elements):
                     continue
-                mixed = mix64(elements ^ mix64(w.view(np.uint64)))
                 keep.append(ids[i])
-                digest.append(mixed.sum().tobytes() + mix64(mixed).sum().tobytes())
+                digests.append(digest(elements, w))
                 weight.append(float(w.sum()))
                 sig = signature(elements, w, bands * rows)
                 hashes.append(band_hashes(sig, bands, rows))
@@ -207,7 +218,7 @@ def signatures(
             flat = pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * bands), flat)
             yield pa.record_batch(
-                [pa.array(keep, pa.int64()), pa.array(digest, pa.binary()), pa.array(weight, pa.float64()), lists, pa.array(sketched, pa.list_(pa.int64()))],
+                [pa.array(keep, pa.int64()), pa.array(digests, pa.binary()), pa.array(weight, pa.float64()), lists, pa.array(sketched, pa.list_(pa.int64()))],
                 ["doc_id", "digest", "weight", "bands", "sketch"],
             )
 
@@ -215,8 +226,13 @@ def signatures(
     return given.where(F.col("doc_id").isNotNull()).mapInArrow(run, SIGNATURE_SCHEMA)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, weights: str, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts have the similarity; shingle sets travel, not texts."""
+def _verified(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], size: int, weights: str, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose texts have the similarity; shingle sets travel, not texts.
+
+    A node of very many pairs (a hub) is the second one to be looked up, and
+    its set is broadcast if it is of at most ``HUB_BYTES``: it is not copied
+    into a row of the shuffle per pair.
+    """
 
     def shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,15 +255,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, weights: str, thresh
             ]
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    nodes = save(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "neardup-nodes")
-    texts = by_ids(docs, nodes, "id").select("id", "text")
-    # texts that share an id are one document: the smallest of their sets, so that reruns agree
-    sets = texts.mapInArrow(shingled, "id long, elements binary, counts binary")
+    n_pairs = pairs.count()
+    nodes = save(pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n")), "neardup-nodes")
+    # rows that repeat a text give equal sets
+    sets = texts_of(nodes.select("node")).mapInArrow(shingled, "id long, elements binary, counts binary")
     sets = sets.groupBy("id").agg(F.min(F.struct("elements", "counts")).alias("s")).select("id", "s.elements", "s.counts")
     sets = save(sets, "neardup-sets")
-    left = sets.select(F.col("id").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
-    right = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ea", "ca", "eb", "cb")
+    hot = nodes.where(F.col("n") > hot_bound(2 * n_pairs)).select(F.col("node").alias("id"))
+    hubs = sets.where(F.length("elements") <= HUB_BYTES).join(F.broadcast(hot), "id")  # a bounded number of bounded sets
+    hubs = save(hubs, "neardup-hubs")
+
+    def named(some: DataFrame, name: str) -> DataFrame:
+        return some.select(F.col("id").alias(name), F.col("elements").alias(f"e{name}"), F.col("counts").alias(f"c{name}"))
+
+    is_hub = hubs.select(F.col("id").alias("b"), F.lit(True).alias("hub"))
+    turned = pairs.join(F.broadcast(is_hub), "b", "left")
+    turned = turned.select(
+        F.when(F.col("hub"), F.col("b")).otherwise(F.col("a")).alias("x"), F.when(F.col("hub"), F.col("a")).otherwise(F.col("b")).alias("y")
+    )
+    # the pairs of a hub x meet the other set by a shuffle on y and the hub's where they are
+    of_hub = turned.join(F.broadcast(hubs.select(F.col("id").alias("x"))), "x", "left_semi")
+    others = turned.join(F.broadcast(hubs.select(F.col("id").alias("x"))), "x", "left_anti")
+    both = of_hub.join(named(sets, "y"), "y").join(F.broadcast(named(hubs, "x")), "x")
+    both = both.unionByName(others.join(named(sets, "y"), "y").join(named(sets, "x"), "x"))
+    both = both.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "ex", "cx", "ey", "cy")
     return both.mapInArrow(compare, "a long, b long")
 
 
@@ -257,18 +288,27 @@ def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
     return members.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def _open(members: DataFrame) -> DataFrame:
+def _open(members: DataFrame, bound: int) -> DataFrame:
     """Members of buckets with more than one component, with the bucket's largest one as ``main``."""
     held = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     mains = held.groupBy("bucket").agg(
         F.max(F.struct("n", (-F.col("component")).alias("first"), F.col("component").alias("main"))).alias("top"),
-        F.count(F.lit(1)).alias("n_components"),
-    )
-    mains = mains.where("n_components > 1").select("bucket", "top.main")
-    return members.join(mains, "bucket")
+        F.count(F.lit(1)).alias("n_components"), F.sum("n").alias("n"),
+    )
+    mains = mains.where("n_components > 1").select("bucket", "top.main", "n")
+    return join_hot(members, mains, "bucket", "n", bound)
+
+
+@F.arrow_udf(BinaryType())
+def _digest_of(texts: pa.Array, size: pa.Array, weights: pa.Array) -> pa.Array:
+    """Digest of each text's weighted shingle set, NULL without a word."""
+    if not len(texts):
+        return pa.array([], pa.binary())
+    found = _sets([t or "" for t in texts.to_pylist()], size[0].as_py(), weights[0].as_py())
+    return pa.array([digest(elements, w) if len(elements) else None for elements, w in found], pa.binary())
 
 
-def near_duplicates(
+def text_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -277,36 +317,67 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
     weights: str = "binary",
-) -> DataFrame:
-    """doc_id, class_id (smallest id of the class) of every row."""
+) -> tuple[DataFrame, bool]:
+    """(doc_id, digest, component) of every row with an id and a word, and whether an id has several texts.
+
+    Texts are grouped, not ids: two texts of one id may be in two components.
+    A node of the links stands for a digest: the least id that has this text
+    alone or, if there is none, a hash of the digest.
+    """
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marks = save(signatures(docs, id_col, text_col, size, bands, rows, weights), "neardup-signatures")
+    several = marks.groupBy(F.col("doc_id").alias("id")).agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+    several = save(several.where("low != high").select("id"), "neardup-several")
+    n_several = several.count()
+    flagged = marks.withColumn("several", F.lit(False))
+    if n_several:
+        side = several.select(F.col("id").alias("doc_id"), F.lit(True).alias("many"))
+        side = F.broadcast(side) if n_several <= BROADCAST_IDS else side
+        flagged = marks.join(side, "doc_id", "left").withColumn("several", F.col("many").isNotNull())
     # 1. equal shingle sets: one representative each
-    same = save(marks.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("weight").alias("weight"), F.min("bands").alias("bands")), "neardup-reps")
+    alone = F.min(F.when(~F.col("several"), F.col("doc_id")))
+    same = flagged.groupBy("digest").agg(
+        alone.alias("rep"), F.min("doc_id").alias("first_id"), F.max("weight").alias("weight"), F.min("bands").alias("bands"),
+        F.count(F.lit(1)).alias("n_rows"),
+    )
+    same = save(same.withColumn("named", F.col("rep").isNull()).withColumn("rep", F.coalesce("rep", F.xxhash64(F.lit(9), "digest"))), "neardup-reps")
+    named = same.where("named").select("rep", F.col("first_id").alias("id"), "digest") if n_several else None
+
+    def texts_of(nodes: DataFrame) -> DataFrame:
+        """(node, text) of the rows whose text a node stands for."""
+        plain = by_ids(given, nodes, "id").select(F.col("id").alias("node"), "text")
+        if named is None:
+            return plain
+        wanted = save(named.join(nodes.withColumnRenamed(nodes.columns[0], "rep"), "rep", "left_semi"), "neardup-named")
+        rows_of = by_ids(given, wanted.select("id"), "id").withColumn("digest", _digest_of("text", F.lit(size), F.lit(weights)))
+        return plain.unionByName(rows_of.join(wanted, ["id", "digest"]).select(F.col("rep").alias("node"), "text"))
+
     # 2. buckets of more than one representative; their hub is the member that meets most others in all its buckets
     members = same.select(F.explode("bands").alias("bucket"), "rep", "weight")
+    bound = hot_bound(same.count() * bands)
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    crowded = save(members.join(sizes, "bucket"), "neardup-buckets")
+    crowded = save(join_hot(members, sizes.withColumn("n_", F.col("n")), "bucket", "n_", bound), "neardup-buckets")
     degree = crowded.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("degree"))
-    crowded = save(crowded.drop("n").join(degree, "rep"), "neardup-members")
+    crowded = save(crowded.join(degree, "rep"), "neardup-members")
     hub_key = F.struct("degree", (-F.col("rep")).alias("first"), "rep", "weight")
-    hubs = crowded.groupBy("bucket").agg(F.max(hub_key).alias("hub"))
+    hubs = crowded.groupBy("bucket").agg(F.max(hub_key).alias("hub"), F.count(F.lit(1)).alias("n_"))
     close = F.least("w1", "w2") >= threshold * F.greatest("w1", "w2") - 1e-9  # else the similarity is below the threshold
-    pairs = crowded.join(hubs, "bucket").select(
+    pairs = join_hot(crowded.drop("n", "degree"), hubs, "bucket", "n_", bound).select(
         F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
         F.col("weight").alias("w1"), F.col("hub.weight").alias("w2"),
     )
     pairs = save(pairs.where((F.col("a") < F.col("b")) & close).select("a", "b").distinct(), "neardup-hub-pairs")
-    links = save(_verified(pairs, given, size, weights, threshold), "neardup-hub-links")
+    links = save(_verified(pairs, texts_of, size, weights, threshold), "neardup-hub-links")
     found = components(links)
     # 3. members of one bucket still in different components: looked for once more by finer bands
     labelled = _labelled(crowded.select("bucket", "rep", "weight"), found)
-    open_ids = save(_open(labelled).select("rep").distinct(), "neardup-open")
-    fine = signatures(by_ids(given, open_ids, "id"), "id", "text", size, FINE_BANDS, FINE_ROWS, weights, sketches=True)
+    open_ids = save(_open(labelled, bound).select("rep").distinct(), "neardup-open")
+    fine = signatures(texts_of(open_ids), "node", "text", size, FINE_BANDS, FINE_ROWS, weights, sketches=True)
     fine = fine.groupBy(F.col("doc_id").alias("rep")).agg(F.min(F.struct("weight", "bands", "sketch")).alias("s"))
     fine = fine.select("rep", "s.weight", "s.bands", "s.sketch")
     fine = save(_labelled(fine, found), "neardup-fine")
-    members = _open(fine.select(F.explode("bands").alias("bucket"), "rep", "weight", "sketch", "component"))
+    fine_bound = hot_bound(fine.count() * FINE_BANDS)
+    members = _open(fine.select(F.explode("bands").alias("bucket"), "rep", "weight", "sketch", "component"), fine_bound)
     members = save(members, "neardup-fine-members")
     x = members.where("component != main").select("bucket", F.col("rep").alias("x"), F.col("weight").alias("w1"), F.col("component").alias("c1"), F.col("sketch").alias("s1"))
     y = members.select("bucket", F.col("rep").alias("y"), F.col("weight").alias("w2"), F.col("component").alias("c2"), F.col("sketch").alias("s2"), "main")
@@ -315,29 +386,63 @@ def near_duplicates(
     apart = apart & (_unlike("s1", "s2", k) <= most_unlike(threshold, k))
     rest = x.join(y, "bucket").where(apart).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = save(rest.join(pairs, ["a", "b"], "left_anti"), "neardup-rest-pairs")
-    more = save(_verified(rest, given, size, weights, threshold), "neardup-rest-links")
+    more = save(_verified(rest, texts_of, size, weights, threshold), "neardup-rest-links")
     final = components(links.unionByName(more))
     class_of = (
-        same.select("digest", "rep")
+        same.select("digest", "rep", "n_rows")
         .join(final.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("digest", F.coalesce("component", "rep").alias("class_id"))
+        .select("digest", "n_rows", F.coalesce("component", "rep").alias("component"))
     )
-    # rows that share an id share the smallest class of their texts
-    by_id = marks.select("doc_id", "digest").join(class_of, "digest").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    whole = join_hot(marks.select("doc_id", "digest"), class_of, "digest", "n_rows", hot_bound(marks.count()))
+    return whole.select("doc_id", "digest", "component"), n_several > 0
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """doc_id, class_id (smallest id of the class) of every row; ``options`` as for ``text_classes``."""
+    found, several = text_classes(docs, id_col, text_col, **options)
+    if several:  # rows that share an id are one document, so their texts' components are one class
+        found = save(found, "neardup-texts")
+        least = found.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("most")).where("a != most")
+        meet = found.select("doc_id", F.col("component").alias("b")).distinct().join(least.select("doc_id", "a"), "doc_id")
+        merged = components(save(meet.where("a != b").select("a", "b").distinct(), "neardup-meet"))
+        found = found.join(merged.withColumnRenamed("component", "merged").withColumnRenamed("node", "component"), "component", "left")
+        found = found.select("doc_id", F.coalesce("merged", "component").alias("component"))
+        found = found.join(found.groupBy("component").agg(F.min("doc_id").alias("class_id")), "component")
+    else:
+        found = found.withColumnRenamed("component", "class_id")  # named by its least id
+    by_id = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
     return ids.join(by_id, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def keep_one_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows whose class has a smaller id; of rows that share an id one stays (columns unchanged).
+    """``docs`` with one row of each group of near-duplicate texts, that of the smallest id (columns unchanged).
 
-    Rows with a NULL id stay.
+    Of rows that share this id, the one of the smallest text hash stays (and
+    of equal texts the one of the smallest row hash); texts of one id that are
+    no near-duplicates are all kept.  A text without words is like its repeats
+    under the same id only.  Rows with a NULL id stay.
     """
-    classes = save(near_duplicates(docs, id_col, text_col, **options), "neardup-classes")
-    gone = save(classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct(), "neardup-gone")
-    kept = by_ids(docs, gone, id_col, "left_anti")
-    repeated = classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
+    size, weights = options.get("size", SHINGLE), options.get("weights", "binary")
+    found, _ = text_classes(docs, id_col, text_col, **options)
+    found = save(found, "neardup-texts")
+    first = found.groupBy("component").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    found = save(join_hot(found, first, "component", "n", hot_bound(found.count())), "neardup-firsts")
+    ids = docs.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL")
+    repeated = save(ids.groupBy("id").count().where("count > 1").select("id"), "neardup-repeated")
+    gone = found.where(F.col("doc_id") != F.col("first")).select("doc_id").distinct()
     if not repeated.take(1):
-        return kept
-    null_ids = kept.where(F.col(id_col).isNull())
-    return kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(null_ids)
+        return by_ids(docs, save(gone, "neardup-gone"), id_col, "left_anti")
+    # rows of repeated ids are told apart by their texts
+    single = by_ids(docs, save(gone.unionByName(repeated.withColumnRenamed("id", "doc_id")).distinct(), "neardup-gone"), id_col, "left_anti")
+    own = F.struct(*[docs[c] for c in docs.columns])
+    rows = by_ids(docs, repeated, id_col).select(
+        own.alias("row"), F.col(id_col).cast("long").alias("doc_id"), _digest_of(F.col(text_col), F.lit(size), F.lit(weights)).alias("digest"),
+        F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("text_hash"),
+    )
+    chosen = by_ids(found, repeated, "doc_id").distinct()
+    rows = rows.join(chosen, ["doc_id", "digest"], "left").where(F.col("first").isNull() | (F.col("first") == F.col("doc_id")))
+    group = F.coalesce(F.col("component").cast("string"), F.lit("no word"))
+    order = Window.partitionBy("doc_id", group).orderBy("text_hash", F.xxhash64("row"))
+    kept = rows.withColumn("nth", F.row_number().over(order)).where("nth = 1").select("row.*")
+    return single.unionByName(kept)
