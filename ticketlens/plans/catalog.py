@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -194,6 +195,65 @@ def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_year(spark, [f"{path}/even", f"{path}/odd"]).select(*[snake_case(name) for name, _ in RAW_COLUMNS])
 
 
+SCRIPT_YEARS = (1996, 1997, 1998)
+
+
+def _whole_script(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole analysis, from raw yearly CSV files to the data of its eleven charts.
+
+    Tickets of three fiscal years are written as raw files (the last one with
+    43 columns in another order), each with a tenth of its records twice and
+    some records of the next fiscal year; then the files are cleaned, every
+    question is asked of the cleaned table, and the charts are put together.
+    """
+    from ticketlens.plans.report import case_study, chart_tables, clean_files
+    from ticketlens.sources.csv import RAW_COLUMNS, column_type, snake_case
+
+    number = F.col("summons_number")
+    minute = number % 1440
+    clock = F.concat(
+        F.lpad(F.when(F.floor(minute / 60) % 12 == 0, 12).otherwise(F.floor(minute / 60) % 12).cast("string"), 2, "0"),
+        F.lpad((minute % 60).cast("string"), 2, "0"),
+        F.when(minute < 720, "A").otherwise("P"),
+    )
+    own = {
+        "issue_date": F.date_format("issue_date", "MM/dd/yyyy"),
+        "violation_time": F.when(number % 97 != 0, F.when(number % 89 == 0, "8752A").otherwise(clock)),
+        "from_hours_in_effect": F.when(number % 2 == 0, "ALL").otherwise("0800A"),
+    }
+
+    def field(i: int, name: str):
+        column = snake_case(name)
+        if column in own:
+            return own[column].alias(name)
+        if column in CSV_COLUMNS:
+            return F.col(column).cast("string").alias(name)
+        rest = (number % (i + 2)).cast("string")
+        return (rest if column_type(column).typeName() == "integer" else F.concat(F.lit("v"), rest)).alias(name)
+
+    layout = [field(i, name) for i, (name, _) in enumerate(RAW_COLUMNS)]
+    t = tickets(spark, sf)
+    paths = {}
+    for year in SCRIPT_YEARS:
+        late = (F.col("fiscal_year") == year + 1) & (number % 50 == 0)
+        rows = t.where((F.col("fiscal_year") == year) | late)
+        twice = F.explode(F.array_repeat(F.lit(1), F.when(number % 10 == 0, 2).otherwise(1)))
+        fields = layout if year != SCRIPT_YEARS[-1] else layout[:SHORT_LAYOUT][::-1]
+        paths[year] = _scratch_path(spark, f"script-{year}")
+        rows.select("*", twice.alias("_copy")).select(*fields).write.option("header", "true").csv(paths[year])
+    clean_table = clean_files(spark, paths, _scratch_path(spark, "script-clean"), dict.fromkeys(paths, "uniform"))
+    fines, n_fines = mapping_fines(spark)
+    answers = case_study(clean_table, fines=fines, fines_rows=n_fines, years=SCRIPT_YEARS, shared_scan=True)
+    charts = [
+        df.select(
+            F.lit(name).alias("chart"), "x", F.col("y").cast("double").alias("y"), "fill",
+            (F.col("facet_row") if "facet_row" in df.columns else F.lit(None)).cast("string").alias("facet_row"), "facet_col",
+        )
+        for name, df in chart_tables(answers).items()
+    ]
+    return reduce(DataFrame.unionByName, charts)
+
+
 def _drop_empty_columns(spark: SparkSession, sf: str) -> DataFrame:
     """The joins run once: the write counts each column's values, the table is read back without the empty ones."""
     from ticketlens.sources.sink import read_clean, write_profiled
@@ -270,6 +330,7 @@ QUERIES: dict[str, QueryFn] = {
     "duplicate_report": lambda s, d: profile.duplicate_report(raw_tickets(s, d)),
     "dedupe": lambda s, d: clean.dedupe(raw_tickets(s, d)),
     "null_profile": lambda s, d: profile.null_profile(T(s, d)),
+    "whole_script": _whole_script,
     "stored_profile": lambda s, d: profile.stored_profile(s, table_path(d, "lineitem")),
     "drop_empty_columns": _drop_empty_columns,
     "first_columns": lambda s, d: clean.first_columns(L(s, d), 5),
@@ -949,6 +1010,36 @@ def _chart_sql(question: str, x: str, y: str, row: str | None) -> str:
     )
 
 
+# the whole script: the same charts over the distinct records of three years, clock times by a rule on the number
+_SCRIPT_CTE = (
+    f"script AS (SELECT DISTINCT fiscal_year, {', '.join(CSV_COLUMNS)}, "
+    "CASE WHEN summons_number % 97 = 0 THEN CASE WHEN summons_number % 2 = 1 THEN 480 END "
+    "WHEN summons_number % 89 <> 0 THEN summons_number % 1440 END AS minute_of_day "
+    f"FROM tickets WHERE fiscal_year IN {SCRIPT_YEARS})"
+)
+_SCRIPT_BINS = f"binned AS (SELECT *, {_BIN_SQL} AS time_of_day FROM script WHERE minute_of_day IS NOT NULL)"
+_SCRIPT_CHARTS = {
+    "codes": (_top_sql(_freq_sql("violation_code"), "fiscal_year", 5), "violation_code", "frequency", None),
+    "body_types": (_top_sql(_freq_sql("vehicle_body_type"), "fiscal_year", 5), "vehicle_body_type", "frequency", None),
+    "makes": (_top_sql(_freq_sql("vehicle_make"), "fiscal_year", 5), "vehicle_make", "frequency", None),
+    "violation_precincts": (_top_sql(_freq_sql("violation_precinct"), "fiscal_year", 5), "violation_precinct", "frequency", None),
+    "issuer_precincts": (_top_sql(_freq_sql("issuer_precinct"), "fiscal_year", 5), "issuer_precinct", "frequency", None),
+    "codes_per_precinct": (_TOP5_PER_PRECINCT, "violation_code", "frequency", "issuer_precinct"),
+    "codes_per_bin": (_TOP3_PER_BIN, "violation_code", "frequency", "time_of_day"),
+    "bins_per_code": (_TOP5_BIN_PER_CODE, "time_of_day", "frequency", "violation_code"),
+    "seasons": (
+        f"SELECT fiscal_year, season, count(*) AS frequency FROM (SELECT *, {_SEASON} AS season FROM tickets) GROUP BY fiscal_year, season",
+        "season", "frequency", None,
+    ),
+    "codes_per_season": (_TOP3_PER_SEASON, "violation_code", "frequency", "season"),
+    "revenue": (_REVENUE, "violation_code", "revenue", None),
+}
+ORACLE["whole_script"] = _with(TICKETS_CTE, FINES_CTE, _SCRIPT_CTE, _SCRIPT_BINS) + " UNION ALL ".join(
+    f"SELECT '{name}' AS chart, CAST({x} AS VARCHAR) AS x, CAST({y} AS DOUBLE) AS y, CAST({x} AS VARCHAR) AS fill, "
+    f"CAST({row or 'NULL'} AS VARCHAR) AS facet_row, fiscal_year AS facet_col FROM ({sql.replace('FROM tickets', 'FROM script')}) c"
+    for name, (sql, x, y, row) in _SCRIPT_CHARTS.items()
+)
+
 for _name, _spec in CHARTS.items():
     QUERIES[_name] = _chart(*_spec)
     ORACLE[_name] = _chart_sql(*_spec)
