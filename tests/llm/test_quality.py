@@ -28,7 +28,7 @@ def plain(text):
     letters = sum(any(c.isalpha() for c in x) for x in w)
     shouted = sum(len(run) > 1 for run in re.findall(r"[A-ZÄÉ]+", text))
     bad = (
-        failed or 10 * symbols > n or 100 * dup > 30 * len(lines) or not 3 * n <= chars <= 10 * n
+        failed or 10 * symbols > n or dup >= 3 and 100 * dup > 30 * len(lines) or not 3 * n <= chars <= 10 * n
         or 100 * letters < 80 * n or 2 * shouted > n
     )
     return n, chars, symbols, dup, repeat, failed, not bad
@@ -59,7 +59,7 @@ def test_every_rule_rejects_and_clean_prose_stays(spark):
     clean = prose(1, 200)
     cases = {
         "few_words": prose(2, 30), "repeated_words": prose(3, 20) + (" one two three" * 20), "symbols": clean.replace(" ", " # "),
-        "repeated_lines": "\n".join([prose(4, 30)] * 2 + [prose(5, 80)]), "short_words": " ".join(f"{i % 97} y" for i in range(60)),
+        "repeated_lines": "\n".join([prose(4, 30)] * 4 + [prose(5, 80)]), "short_words": " ".join(f"{i % 97} y" for i in range(60)),
         "long_words": " ".join(f"abcdefghijk{i}" for i in range(60)), "no_letters": " ".join(f"{i:05d}" for i in range(99)), "shouting": clean.upper(),
     }
     rows = spark.createDataFrame([*cases.items(), ("none", clean)], "name string, text string")

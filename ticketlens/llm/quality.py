@@ -40,6 +40,7 @@ SAMPLE = 500
 GAP = "\\x20\\x09-\\x0D"
 WORD = f"[^{GAP}]"
 MIN_WORDS = 50
+MIN_DUP_LINES = 3  # one headline that stands twice says nothing
 PLACE = 10  # digits that hold a place in a text
 
 
@@ -160,7 +161,7 @@ RULES = (
     Rule("few_words", ("n_words",), lambda n: n < MIN_WORDS),
     Rule("repeated_words", ("n_words", "n_repeat_words"), lambda n, repeat: repeat * 100 > n * 50),
     Rule("symbols", ("n_words", "n_symbols"), lambda n, symbols: symbols * 10 > n),
-    Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda n, dup: dup * 100 > n * 30),
+    Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda n, dup: (dup >= MIN_DUP_LINES) & (dup * 100 > n * 30)),
     Rule("short_words", ("n_words", "word_chars"), lambda n, chars: chars < n * 3),
     Rule("long_words", ("n_words", "word_chars"), lambda n, chars: chars > n * 10),
     Rule("no_letters", ("n_words", "n_letter_words"), lambda n, letters: letters * 100 < n * 80),

@@ -155,7 +155,7 @@ ORACLE: dict[str, str] = {
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM metrics
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-               NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
+               NOT (base_failed OR 10 * n_symbols > n_words OR n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines
                     OR word_chars < 3 * n_words OR word_chars > 10 * n_words
                     OR 100 * n_letter_words < 80 * n_words OR 2 * n_shouted > n_words) AS kept
         FROM judged
