@@ -26,6 +26,53 @@ def test_patience_gives_a_common_subsequence(a, b):
     assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
 
 
+def lcs(a, b):
+    t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            t[i + 1][j + 1] = t[i][j] + 1 if x == y else max(t[i][j + 1], t[i + 1][j])
+    return t[-1][-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.permutations(range(9)), st.sets(st.integers(0, 8)), st.sets(st.integers(20, 29), max_size=4))
+def test_patience_of_words_that_occur_once_is_the_longest_alignment(order, gone, more):
+    a = list(range(9))
+    b = [x for x in order if x not in gone] + sorted(more)
+    assert len(patience(a, b)) == lcs(a, b)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=14), st.lists(st.integers(0, 5), max_size=14))
+def test_patience_against_its_definition(a, b):
+    """Ends that agree and the longest chains of unique words, gap by gap: never more than the longest alignment, and all of that."""
+    pairs = patience(a, b)
+    assert len(pairs) <= lcs(a, b)
+    edges = [(-1, -1), *pairs, (len(a), len(b))]
+    for (i, j), (k, m) in zip(edges, edges[1:]):  # a gap that is left holds no agreeing ends and no word unique to both
+        x, y = a[i + 1 : k], b[j + 1 : m]
+        if x and y:
+            assert x[0] != y[0] and x[-1] != y[-1]
+            assert not any(x.count(w) == 1 and y.count(w) == 1 for w in x)
+
+
+def test_dual_licenses_identifiers_and_offsets():
+    scanner = Scanner(TEMPLATES, 0.8)
+
+    def found(text):
+        return [(scanner.names[x[0]][0], text[x[3] : x[4]]) for x in scanner.scan(text)]
+
+    assert {n for n, _ in found("Licensed under the MIT License and the Apache License, Version 2.0")} == {"MIT", "Apache-2.0"}
+    assert found("// SPDX-License-Identifier: MIT\nint x;") == [("MIT", "SPDX-License-Identifier: MIT")]
+    assert {n for n, _ in found("# SPDX-License-Identifier: (Apache-2.0 OR MIT)")} == {"MIT", "Apache-2.0"}
+    assert {n for n, _ in found("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0")} <= {"GPL-2.0"}
+    assert [n for n, _ in found("SPDX-License-Identifier: LGPL-3.0-or-later")] == ["LGPL-3.0"]
+    assert [n for n, _ in found("SPDX-License-Identifier: CC-BY-NC-4.0")] == ["CC-BY-NC-4.0"]
+    assert found("SPDX-License-Identifier: Zlib. Written at MIT by hand") == []
+    text = "İİİ Ǆ straße İ Released under the MIT License. İ"
+    assert found(text) == [("MIT", "Released under the MIT License")]
+
+
 def test_patience_aligns_edited_sequences():
     a = list(range(40))
     b = [x for x in a if x not in (5, 17)]

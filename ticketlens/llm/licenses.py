@@ -11,7 +11,11 @@ after common beginnings and ends are taken off.  Coverage is the share of the
 template's words that are aligned.  The words that tell a license from its
 siblings (``KEYS``: name and version) must be among the aligned ones wherever the
 template has them, and no word of a sibling (``SIBLINGS``) may stand between
-them.  Of overlapping finds the one with more aligned words stays.
+them.  Of an SPDX identifier all words must be aligned, with nothing but other
+parts of an SPDX expression between them.  Of overlapping finds of one family
+(``FAMILIES``) the one with more aligned words stays; finds of different
+families may share words, as those of a dual license do.  Spans count the
+characters of the text as given.
 
 Defined results: NULL and empty texts hold nothing; equal finds go to the
 license first in name order; rows that share an id are each scanned; a NULL id
@@ -131,6 +135,17 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("AGPL-3.0", "header", _GNU.format("program", "Affero General", "3")),
     ("All-rights-reserved", "line", "All rights reserved"),
 )
+SPDX = "spdx"
+TEMPLATES += tuple(
+    (license, SPDX, f"SPDX-License-Identifier: {license}")
+    for license in dict.fromkeys(license for license, _, _ in TEMPLATES)
+    if license != "All-rights-reserved"
+)
+# what may stand between the words of an SPDX identifier: the rest of the expression
+SPDX_WORDS = "and or with only later clause exception " + " ".join(license for license, name, _ in TEMPLATES if name == SPDX)
+SPDX_REACH = 16  # words of an expression
+# licenses whose notices are variants of each other, by the beginning of the name
+FAMILIES = {"GPL": "GNU", "LGPL": "GNU", "AGPL": "GNU"}
 
 # fixed values: words that tell a license from its siblings, and words that only its siblings have
 KEYS = {
@@ -149,7 +164,10 @@ SIBLINGS = {
 
 def words_of(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     """(word hashes, starts, ends in bytes, the lower-cased bytes)."""
-    raw = text.lower().encode("utf-8", "replace")
+    low = text.lower()
+    if len(low) != len(text):  # some capitals have two characters in lower case
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    raw = low.encode("utf-8", "replace")
     data = np.frombuffer(raw + b"\n", dtype=np.uint8)
     starts, ends = spans(NOT_ALNUM[data])
     return span_hashes(data, starts, ends), starts, ends, raw
@@ -215,7 +233,10 @@ class Scanner:
         self.vocabulary = np.unique(np.concatenate(self.words)) if templates else np.zeros(0, np.uint64)
         self.filter = np.zeros(1 << 16, dtype=bool)
         self.filter[(self.vocabulary & np.uint64(0xFFFF)).astype(np.int64)] = True
-        keys = [words_of(KEYS.get(license, ""))[0] for license, _ in self.names]
+        self.family = [FAMILIES.get(license.split("-")[0], license.split("-")[0]) for license, _ in self.names]
+        keys = [words_of(text if name == SPDX else KEYS.get(license, ""))[0] for license, name, text in templates]
+        self.expression = frozenset(words_of(SPDX_WORDS)[0].tolist())
+        self.reach = [len(w) + (SPDX_REACH if name == SPDX else (len(w) + 1) // 2) for (_, name), w in zip(self.names, self.words)]
         self.keys = [np.searchsorted(self.vocabulary, np.intersect1d(k, w)).tolist() for k, w in zip(keys, self.words)]
         self.siblings = [frozenset(words_of(SIBLINGS.get(license, ""))[0].tolist()) for license, _ in self.names]
         self.member = [np.isin(self.vocabulary, w) for w in self.words]
@@ -233,7 +254,7 @@ class Scanner:
         found = []
         for t, sequence in enumerate(self.sequence):
             need = max(1, int(np.ceil(self.coverage * len(sequence) - 1e-9)))
-            window = len(sequence) + (len(sequence) + 1) // 2
+            window = self.reach[t]
             own = place[self.member[t][word]]
             if len(own) < need:
                 continue
@@ -245,10 +266,10 @@ class Scanner:
             for run in np.split(np.arange(len(first)), np.flatnonzero(low[1:] > high[:-1] + window) + 1):
                 found += self._align(t, hashes, place, word, int(low[run[0]]), int(high[run[-1]]) + 1, need, window)
         out: list[tuple[int, float, int, int, int]] = []
-        taken: list[tuple[int, int]] = []
+        taken: list[tuple[int, int, str]] = []
         for n, share, t, a, b in sorted(found, key=lambda x: (-x[0], -x[1], self.names[x[2]], x[3])):
-            if all(b <= x or a >= y for x, y in taken):
-                taken.append((a, b))
+            if all(b <= x or a >= y or family != self.family[t] for x, y, family in taken):
+                taken.append((a, b, self.family[t]))
                 out.append((t, share, n, len(raw[: starts[a]].decode("utf-8", "replace")), len(raw[: ends[b - 1]].decode("utf-8", "replace"))))
         return sorted(out, key=lambda x: (x[3], x[0]))
 
@@ -257,10 +278,13 @@ class Scanner:
         aligned = {self.sequence[t][i] for i, _ in pairs}
         if not aligned.issuperset(self.keys[t]):
             return False
-        if not self.siblings[t]:
+        is_spdx = self.names[t][1] == SPDX
+        if not self.siblings[t] and not is_spdx:
             return True
         here = {j for _, j in pairs}
         between = hashes[pairs[0][1] : pairs[-1][1]].tolist()
+        if is_spdx and not all(w in self.expression or pairs[0][1] + j in here for j, w in enumerate(between)):
+            return False
         return not any(w in self.siblings[t] and pairs[0][1] + j not in here for j, w in enumerate(between))
 
     def _align(self, t: int, hashes, place, word, low: int, high: int, need: int, window: int) -> list[tuple[int, float, int, int, int]]:
