@@ -10,20 +10,35 @@ from hypothesis import strategies as st
 from ticketlens.llm.mixing import fit_budget, mix_table, mixed_rows
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(1, 12), st.integers(1, 3), min_size=1, max_size=5), st.integers(0, 60))
-def test_budget_is_fitted_as_well_as_any_choice(counted, budget):
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.integers(1, 12), st.integers(1, 4), min_size=1, max_size=5), st.integers(0, 90), st.integers(0, 20))
+def test_budget_is_fitted_as_well_as_any_choice(counted, budget, dp_words):
+    """Against all choices of documents, whatever the proportional and the seeded part took first."""
     lengths, counts = np.array(list(counted)), np.array(list(counted.values()))
-    take = fit_budget(lengths, counts, budget, 1)
+    take = fit_budget(lengths, counts, budget, 1, dp_words)
     assert (take >= 0).all() and (take <= counts).all()
-    start = [int(c) * budget // int((lengths * counts).sum()) for c in counts]
-    if budget >= (lengths * counts).sum():
-        start = counts.tolist()
-    # the best over the choices that keep the proportional part
-    options = itertools.product(*[range(s, c + 1) for s, c in zip(start, counts)])
-    best = min((abs(s - budget), s) for o in options if (s := int((lengths * np.array(o)).sum())) >= 0)
+    sums = (int((lengths * np.array(o)).sum()) for o in itertools.product(*[range(c + 1) for c in counts]))
     got = int((lengths * take).sum())
-    assert (abs(got - budget), got) == best
+    assert (abs(got - budget), got) == min((abs(s - budget), s) for s in sums)
+
+
+def test_documents_are_given_back():
+    take = fit_budget(np.array([5, 6]), np.array([2, 3]), 10, 1)
+    assert take.tolist() == [2, 0]
+
+
+def test_wide_windows_for_few_long_documents():
+    """Lengths without small ones need a window of many documents; checked against a set of all sums."""
+    rs = np.random.RandomState(4)
+    for seed in range(20):
+        lengths = np.unique(rs.randint(900, 1100, 6))
+        counts = rs.randint(1, 6, len(lengths))
+        sums = {0}
+        for n, c in zip(lengths.tolist(), counts.tolist()):
+            sums = {s + k * n for s in sums for k in range(c + 1)}
+        budget = int(rs.randint(0, (lengths * counts).sum()))
+        got = int((fit_budget(lengths, counts, budget, seed, 50) * lengths).sum())
+        assert (abs(got - budget), got) == min((abs(s - budget), s) for s in sums)
 
 
 def test_large_budgets_go_through_the_seeded_part():
@@ -31,7 +46,7 @@ def test_large_budgets_go_through_the_seeded_part():
     lengths, counts = np.unique(rs.randint(1, 20_000, 3000), return_counts=True)
     budget = int((lengths * counts).sum() * 0.37)
     take = fit_budget(lengths, counts, budget, 3, dp_words=2000)
-    assert abs(budget - int((take * lengths).sum())) <= 2
+    assert budget == int((take * lengths).sum())
     assert (take == fit_budget(lengths, counts, budget, 3, dp_words=2000)).all()
 
 

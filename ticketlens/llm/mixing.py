@@ -6,8 +6,8 @@ source's own words; what the cap leaves over is shared again by weight until
 no source is above it.  A source is taken whole as often as its target holds
 it, and the rest of its budget is fitted: documents are counted by exact
 length, each length gives its proportional part, and a bounded-knapsack
-dynamic program over the lengths left chooses how many more of each length
-come nearest to the budget.  Which documents of a length are taken is decided
+dynamic program over the lengths chooses how many more of each, or fewer, come
+nearest to the budget.  Which documents of a length are taken is decided
 by a seeded hash.
 
 Scale: only counts by (source, length, hash bucket) are aggregated; a source
@@ -37,6 +37,7 @@ REPEAT_CAP = 3
 SEED = 17
 BUCKETS = 256
 DP_WORDS = 50_000
+DP_BITS = 1 << 31  # 256 MB
 
 
 def word_count(text: str) -> Column:
@@ -72,13 +73,20 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], repeat_cap: int
     return s.select("source", "source_size", target.alias("target"))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int, dp_words: int = DP_WORDS) -> np.ndarray:
+def fit_budget(
+    lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int, dp_words: int = DP_WORDS, dp_bits: int = DP_BITS
+) -> np.ndarray:
     """How many documents of each length to take so that their words come nearest to ``budget``.
 
-    Equally near sums go to the smaller one.  The proportional part of every length leaves less than
-    one document of each; seeded lengths fill that down to ``dp_words``, and
-    the dynamic program (one bit per reachable sum) fits what is left exactly
-    if any choice does.
+    Equally near sums go to the smaller one.  The proportional part of every
+    length leaves less than one document of each; seeded lengths fill that
+    down to ``dp_words``.  From there a dynamic program (one bit per reachable
+    sum) adds documents and gives documents back, within a window of sums
+    around the budget.  The window is doubled until the sum is proven nearest:
+    it is off by no more than any multiple of the lengths' common divisor, or
+    the window holds all sums.  Beyond ``dp_bits`` bits kept for the way back
+    the search ends with the nearest sum found (not met with any table of
+    many lengths, whose first window holds an exact sum).
     """
     take = np.zeros(len(lengths), dtype=np.int64)
     total = int((lengths * counts).sum())
@@ -95,30 +103,50 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int,
         if lengths[i] > 0 and take[i] < counts[i] and lengths[i] <= left:
             take[i] += 1
             left -= int(lengths[i])
-    # bounded knapsack: a length's spare documents go in as 1, 2, 4, ... of them
-    reach, mask, steps = 1, (1 << (2 * left + 1)) - 1, []
-    for i in order:
-        n = int(lengths[i])
-        spare = min(int(counts[i] - take[i]), 2 * left // n) if n > 0 else 0
-        group = 1
-        while spare > 0:
-            k = min(group, spare)
-            grown = (reach | (reach << (k * n))) & mask
-            if grown != reach:
-                steps.append((i, k, reach))
-                reach = grown
-            spare, group = spare - k, group * 2
-        if reach >> left & 1:
-            break
-    below = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
-    above = reach >> (left + 1)
-    over = left + (above & -above).bit_length() if above else None
-    best = over if over is not None and over - left < left - below else below
+    present = lengths[(lengths > 0) & (counts > 0)]
+    divisor = int(np.gcd.reduce(present))
+    nearest = min(budget % divisor, -budget % divisor)  # no sum can be nearer
+    width = max(2 * left, 2 * int(present.max()), 1)
+    while True:
+        moved, miss, bits = _near(lengths, counts, take, left, order, min(width, total))
+        if miss == nearest and (miss == 0 or int((moved * lengths).sum()) <= budget):
+            return moved
+        if width >= total or 2 * bits > dp_bits:
+            return moved
+        width *= 2
+
+
+def _near(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, left: int, order: np.ndarray, width: int) -> tuple[np.ndarray, int, int]:
+    """(documents per length, words off, bits kept) of the sum nearest to ``left`` words more than ``take``.
+
+    Bit s + width of ``reach`` tells whether a sum of s words more is reached;
+    a length's documents go in, and are given back, as 1, 2, 4, ... of them.
+    """
+    aim, mask = width + left, (1 << (2 * width + 1)) - 1
+    reach, steps = 1 << width, []
+    for sign in (1, -1):
+        for i in order:
+            n = int(lengths[i])
+            spare = min(int(counts[i] - take[i]) if sign > 0 else int(take[i]), 2 * width // n) if n > 0 else 0
+            group = 1
+            while spare > 0 and not reach >> aim & 1:
+                k = min(group, spare)
+                grown = reach | (reach << k * n & mask if sign > 0 else reach >> k * n)
+                if grown != reach:
+                    steps.append((i, sign * k, reach))
+                    reach = grown
+                spare, group = spare - k, group * 2
+    below = (reach & ((1 << (aim + 1)) - 1)).bit_length() - 1
+    above = reach >> (aim + 1)
+    over = aim + (above & -above).bit_length() if above else None
+    best = over if over is not None and (below < 0 or over - aim < aim - below) else below
+    miss = abs(best - aim)
+    moved = take.copy()
     for i, k, without in reversed(steps):
         if not without >> best & 1:
-            take[i] += k
+            moved[i] += k
             best -= k * int(lengths[i])
-    return take
+    return moved, miss, len(steps) * 2 * width
 
 
 def _fit_source(seed: int, repeat_cap: int):
