@@ -101,7 +101,10 @@ def test_texts_that_no_tree_explains_are_rejected(spark):
     odd = [" ".join("".join(rs.choice(list("bcdfghjklmnpqrstvwxz"), rs.randint(2, 9))) for _ in range(60)) for _ in range(20)]
     odd += ["Это русский текст, который не входит в число изученных языков.", "这是一个没有学习过的中文句子", "これは学習されていない日本語の文です"]
     rows = docs.unionByName(spark.createDataFrame([(10_000_000 + i, t, None) for i, t in enumerate(odd)], "doc_id long, text string, lang string"))
-    kept = {r["doc_id"] for r in language.keep_identified(rows).collect()}
+    slips = spark.createDataFrame([(20_000_000 + i, t, None) for i, t in enumerate(["Thes iniblmb for.", "The xq of.", "De la ciónj."])], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language.keep_identified(rows.unionByName(slips)).collect()}
+    assert {d for d in kept if d >= 20_000_000} == {20_000_000, 20_000_001, 20_000_002}  # short texts with a slip
+    kept -= {20_000_000, 20_000_001, 20_000_002}
     assert max(kept) < 10_000_000
     assert kept == {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"])}
 

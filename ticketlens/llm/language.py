@@ -41,6 +41,7 @@ SAMPLE = 500
 SAMPLE_CHARS = 20_000
 MAX_LANGUAGES = 64  # of a dirty label column the most frequent ones are learned
 BLOCK_BYTES = 400_000
+SHORT_BITS = 64
 PLAIN_RATE = 8.0  # bits a byte of a text that is not coded at all
 UNDETERMINED = "und"
 RESULT_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
@@ -290,7 +291,9 @@ def keep_identified(
     The language must be likelier than all others together (``min_score``)
     and its tree must explain the text: a code of ``max_rate`` and more bits a
     byte is no shorter than the text itself, which is what letters without a
-    language or in a script or language that was never learned come to.
+    language or in a script or language that was never learned come to.  A
+    text may cost ``SHORT_BITS`` more, since a slip of the pen or two outweigh
+    the rest of a very short one.
     """
     model = model or train(docs, id_col, text_col, lang_col)
     predict = _predictor(docs.sparkSession, model)
@@ -298,8 +301,10 @@ def keep_identified(
     @F.arrow_udf("boolean")
     def accepted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            names, score, rate = predict([t or "" for t in batch.to_pylist()])
+            texts = [t or "" for t in batch.to_pylist()]
+            names, score, rate = predict(texts)
             known = np.array(names, dtype=object) != UNDETERMINED
-            yield pa.array(known & (score >= min_score) & (rate < max_rate), pa.bool_())
+            limit = max_rate + SHORT_BITS / np.array([max(1, len(_bytes(t))) for t in texts], dtype=np.float64)
+            yield pa.array(known & (score >= min_score) & (rate < limit), pa.bool_())
 
     return docs.where(accepted(F.col(text_col)))
