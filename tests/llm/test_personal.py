@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_fixtures import edge_docs, edge_rows, no_docs, prose  # noqa: F401
+from llm_fixtures import SMALL_SF, edge_docs, edge_rows, no_docs, prose  # noqa: F401
 
 from ticketlens.llm import personal
 from ticketlens.llm.personal import Finder, base_spans, joined, luhn, personal_data, reconciled, train, train_tagger
@@ -153,10 +153,65 @@ def test_implausible_and_base_overlapping_spans_do_not_displace_good_ones(monkey
     text = "call (217) 555-7713 or write to x@y.example.com now"
     phone, mail = (text.index("("), text.index(" or")), (text.index("x@"), text.index(" now"))
     found = [(phone[0] - 5, phone[1], 3, 0.99), (*phone, 3, 0.95), (phone[0], mail[1], 0, 0.999)]
-    monkeypatch.setattr(personal, "joined_pieces", lambda pieces, n: [found])
+    monkeypatch.setattr(personal, "joined_pieces", lambda pieces, n, longest: [found])
     assert Finder(None).find([text]) == [([("email", *mail)], [("phone", *phone)])]
 
 
+def test_spans_beyond_the_longest_are_not_added():
+    span = f"{'N' * 40}(AT){'H' * 40}.ORG"
+    text = f"{'lorem ipsum ' * 10}{span} {'lorem ipsum ' * 10}"
+    assert len(Finder(CapitalTagger(), len(span)).find([text])[0][1]) == 1
+    assert Finder(CapitalTagger(), len(span) - 1).find([text])[0][1] == []
+
+
+@pytest.fixture(scope="module")
+def production_tagger(spark):
+    return train(spark.read.parquet(f"{SMALL_SF}/documents.parquet"))
+
+
+def _unseen(rs):
+    """Forms that the generator of training windows never makes, by kind."""
+    d = lambda n: "".join(str(rs.randint(0, 9)) for _ in range(n))
+    names = "jane.doe j_smith maria-k x.y+tag info99 the.boss".split()
+    hosts = "mail-host.co.uk uni.edu site.io dept.example.de x1.my-shop.store4u.fr".split()
+    luhn_card = lambda n: next(b + c for b in [d(n - 1)] for c in "0123456789" if personal.luhn(b + c))
+    amex, visa = luhn_card(15), luhn_card(16)
+    return {
+        "phone": [f"({d(3)}) {d(3)} {d(4)}", f"1-{d(3)}-{d(3)}-{d(4)}", f"{d(3)} {d(3)} {d(4)}", f"0{d(2)} {d(4)} {d(4)}", f"({d(4)}) {d(6)}", f"{d(3)}.{d(3)}-{d(4)}"],
+        "email": [f"{rs.choice(names)}(At){rs.choice(hosts)}", f"{rs.choice(names)} (at){rs.choice(hosts)}", f"{rs.choice(names)}[At] {rs.choice(hosts)}", f"{rs.choice(names)}[at]{rs.choice(hosts)}"],
+        "ip": [f"{rs.randint(1, 255)}[.]{rs.randint(0, 255)}.{rs.randint(0, 255)}[.]{rs.randint(0, 255)}", f"{rs.randint(1, 255)}.{rs.randint(0, 255)}.{rs.randint(0, 255)}[.]{rs.randint(0, 255)}"],
+        "card": [f"{amex[:4]}.{amex[4:10]}.{amex[10:]}", f"{visa[:4]}/{visa[4:8]}.{visa[8:12]}/{visa[12:]}", f"{amex[:4]}/{amex[4:10]}/{amex[10:]}"],
+    }
+
+
+def test_recall_on_forms_that_training_does_not_make(production_tagger):
+    """Over half of every kind, at least four fifths in all, and no plain number taken."""
+    rs = random.Random(11)
+    made = [(kind, form) for _ in range(25) for kind, forms in _unseen(rs).items() for form in forms]
+    texts, spans = [], []
+    for i, (kind, form) in enumerate(made):
+        left = f"{prose(i, 12)[:-1]} "
+        texts.append(f"{left}{form} {prose(i + 7, 12)}")
+        spans.append((kind, len(left), len(left) + len(form)))
+    found = Finder(production_tagger).find(texts)
+    assert all(span not in base for span, (base, _) in zip(spans, found))
+    hit = {kind: [span in added for span, (_, added) in zip(spans, found) if span[0] == kind] for kind in personal.KINDS}
+    share = {kind: sum(x) / len(x) for kind, x in hit.items()}
+    print("recall on unseen forms:", share)
+    assert all(x >= 0.5 for x in share.values()), share
+    plain = [f"{prose(i, 12)} {n} {prose(i + 5, 12)}" for i, n in enumerate(["12.5", "1,234.50", "2024-05-06", "17:45", "#48213", "v2.10.3", "90210", "3/4", "1e-9", "0x1f9a"] * 10)]
+    assert sum(len(added) for _, added in Finder(production_tagger).find(plain)) == 0
+
+
+def test_edge_rows_with_a_trained_tagger(edge_docs, edge_rows, no_docs, tagger):
+    rows = personal_data(edge_docs, tagger).collect()
+    assert len(rows) == len(edge_rows)
+    finder = Finder(tagger)
+    want = sorted(((r[0], joined(sorted(b + a, key=lambda s: (s[1], personal.KINDS.index(s[0]))))) for r in edge_rows for b, a in finder.find([r[1] or ""])), key=repr)
+    assert sorted(((r["doc_id"], r["spans"]) for r in rows), key=repr) == want
+    assert personal_data(no_docs, tagger).collect() == []
+
+
 def test_edge_rows(edge_docs, edge_rows, no_docs):
     rows = personal_data(edge_docs, None).collect()
     assert len(rows) == len(edge_rows)

@@ -12,7 +12,9 @@ of overlap.  A span must hold an anchor (a digit, ``@``, ``(at)`` or
 ``[at]`` in any case), so the windows around anchors are run, and the next ones
 as long as a span goes on over their edge.  The decoded spans of all windows are
 reconciled over the whole document: a span cut by a window's edge is joined with
-its part in the next window (up to ``LONGEST`` characters).  An exact check
+its part in the next window.  Added spans of more than ``longest`` characters (a
+parameter; ``LONGEST``, the longest address that can be mailed to) are none of
+these kinds and not added.  An exact check
 leaves out spans without the digits of their kind (Luhn for cards) and spans
 that overlap a base span; of the rest the set of spans without overlap that has
 the greatest sum of marginals is taken (weighted interval scheduling).  Base
@@ -163,10 +165,12 @@ def _written(rs: np.random.RandomState, words: list[str]) -> tuple[str | None, s
     word = lambda: re.sub(r"[^A-Za-z]", "", words[rs.randint(len(words))]).lower() or "name"
     kind = rs.randint(0, 6)
     if kind == 0:
-        at = ("@", "(at)", "[at]", " (at) ", " [at] ", "@")[rs.randint(6)]
-        dot = (".", ".", " dot ", "(dot)")[rs.randint(4)]
-        left = (word(), f"{word()}.{rs.randint(0, 99)}", f"{word()}_{word()}")[rs.randint(3)]
-        return "email", f"{left}{at}{word()}{rs.randint(0, 10)}{dot}{('com', 'org', 'net')[rs.randint(3)]}"
+        at = ("@", "(at)", "[at]", " (at) ", " [at] ", " @ ", "(AT)", "[AT]", " [AT] ")[rs.randint(9)]
+        dot = (".", ".", ".", " dot ", "(dot)")[rs.randint(5)]
+        left = (word(), f"{word()}.{rs.randint(0, 99)}", f"{word()}_{word()}", f"{word()}.{word()}", f"{word()}-{word()[:1]}", f"{word()[:1]}.{word()}+{word()}", f"{word()}{rs.randint(0, 99)}")[rs.randint(7)]
+        label = lambda: (word(), f"{word()}{rs.randint(0, 10)}", f"{word()}-{word()}")[rs.randint(3)]
+        ending = ("com", "org", "net", "".join("abcdefghijklmnopqrstuvwxyz"[i] for i in rs.randint(0, 26, rs.randint(2, 5))))[rs.randint(4)]
+        return "email", left + at + dot.join([*(label() for _ in range(rs.randint(1, 3))), ending])
     if kind == 1:
         dot = (".", ".", "[.]", " . ")[rs.randint(4)]
         return "ip", dot.join(str(x) for x in rs.randint(0, 256, 4))
@@ -280,7 +284,7 @@ def reconciled(found: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
 Piece = tuple[int, int, int, np.ndarray, bool, bool]
 
 
-def joined_pieces(pieces: dict[tuple[int, int], list[Piece]], n: int) -> list[list[tuple[int, int, int, float]]]:
+def joined_pieces(pieces: dict[tuple[int, int], list[Piece]], n: int, longest: int = LONGEST) -> list[list[tuple[int, int, int, float]]]:
     """(start, end, kind, weight) of the whole spans of each text; ``pieces`` by (text, window).
 
     A piece cut on the right goes on in the next window's piece of its kind
@@ -295,7 +299,7 @@ def joined_pieces(pieces: dict[tuple[int, int], list[Piece]], n: int) -> list[li
         whole = [p for p in pieces[i, w] if not p[4]]
         for first, end, kind, held, _, _ in going_on:
             for a, b, k, own, _, cut in pieces[i, w]:
-                if k == kind and first <= a < end <= b and b - first <= LONGEST:
+                if k == kind and first <= a < end <= b and b - first <= longest:
                     both = np.concatenate([held, own[end - a :]])
                     both[a - first : end - first] = np.maximum(held[a - first :], own[: end - a])
                     whole.append((first, b, kind, both, False, cut))
@@ -311,8 +315,8 @@ def joined_pieces(pieces: dict[tuple[int, int], list[Piece]], n: int) -> list[li
 class Finder:
     """Base and added spans of texts, the windows of many texts decoded together."""
 
-    def __init__(self, tagger: Tagger | None) -> None:
-        self.tagger = tagger
+    def __init__(self, tagger: Tagger | None, longest: int = LONGEST) -> None:
+        self.tagger, self.longest = tagger, longest
 
     def find(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """(base, added) of each text."""
@@ -321,12 +325,12 @@ class Finder:
         if self.tagger is not None:
             half = WINDOW // 2
             todo = {(i, w) for i, t in enumerate(texts) for m in ANCHOR.finditer(t) for w in (m.start() // half - 1, m.start() // half)}
-            for _ in range(1 + LONGEST // half):
+            for _ in range(1 + self.longest // half):
                 new = sorted(todo - pieces.keys())
                 for a in range(0, len(new), DECODE_BATCH):
                     self._decode(texts, new[a : a + DECODE_BATCH], pieces)
                 todo = {(i, w + step) for i, w in new for p in pieces[i, w] for step, cut in ((-1, p[4]), (1, p[5])) if cut}
-        found = joined_pieces(pieces, len(texts))
+        found = joined_pieces(pieces, len(texts), self.longest)
         out = []
         for t, own, more in zip(texts, base, found):
             starts, ends = (np.array([s[i] for s in own], dtype=np.int64) for i in (1, 2))
@@ -368,14 +372,16 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return train_tagger([r["text"] for r in sorted(picked, key=lambda r: (r["rank"], r["text"]))])
 
 
-def personal_data(docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def personal_data(
+    docs: DataFrame, tagger: Tagger | None, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST
+) -> DataFrame:
     """doc_id, counts of base spans by kind, the base spans' digest, all spans, number of added spans."""
     spark = docs.sparkSession
     ready_workers(spark)
     shared = spark.sparkContext.broadcast(tagger)  # fixed size
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared.value)
+        finder = Finder(shared.value, longest)
         order = {k: i for i, k in enumerate(KINDS)}
         for batch in batches:
             found = finder.find([t or "" for t in batch.column(1).to_pylist()])
