@@ -163,10 +163,14 @@ def test_items_that_share_an_id_are_searched_each(spark):
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()} == {(1, 1), (2, 1)}
 
 
-def test_joins_without_broadcast_give_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [(10**9, 10), (0, 10**9), (0, 0)])
+def test_joins_without_broadcast_give_the_same(spark, monkeypatch, hot):
+    """No gram hot, all hot and broadcast, all hot but too many."""
     from ticketlens.llm import decontaminate
 
     docs, items, want = _tables(spark)
+    monkeypatch.setattr(decontaminate, "hot_bound", lambda total: hot[0])
+    monkeypatch.setattr(decontaminate, "BROADCAST_HOT", hot[1])
     monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", -1)
     monkeypatch.setattr(decontaminate, "BROADCAST_CHARS", -1)
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()} == want

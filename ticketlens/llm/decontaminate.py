@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketlens.llm.common import by_ids, mix64, ready_workers, save, slices
+from ticketlens.llm.common import by_ids, hot_bound, join_hot, mix64, ready_workers, save, slices
 from ticketlens.llm.words import shingle_hashes, word_hashes
 
 SEED_WORDS = 3
@@ -54,6 +54,7 @@ FILTER_BITS = 22
 FILTER_WORDS = 1 << (FILTER_BITS - 6)
 BROADCAST_SEEDS = 500_000
 BROADCAST_CHARS = 16_000_000
+BROADCAST_HOT = 500_000  # seeds of very common grams
 RESULT_SCHEMA = "doc_id long, item_id long, score double, start_word long, end_word long"
 
 
@@ -343,7 +344,13 @@ def _scored_by_joins(given: DataFrame, seeds: DataFrame, pairs: DataFrame, items
     wants = pairs.groupBy("item_id").agg(F.max("need").alias("need"))
     every = seeds.select("gram", "item_id", F.lit(-1).cast("long").alias("pos"), F.lit(False).alias("pair"))
     every = every.unionByName(pairs.select("gram", "item_id", "pos", F.lit(True).alias("pair")))
-    hits = _places(given, *tables, n).join(every, ["gram", "pair"]).groupBy("doc_id", "item_id")
+    places = save(_places(given, *tables, n), "decontaminate-places")
+    every = every.join(places.groupBy("gram", "pair").agg(F.count(F.lit(1)).alias("n")), ["gram", "pair"])
+    every = save(every, "decontaminate-weighted")
+    bound = hot_bound(places.count())  # the places of a very common gram stay where they are
+    if every.where(F.col("n") > bound).count() > BROADCAST_HOT:
+        bound = places.count()  # too many items share the common grams: a shuffle, cut by AQE where it is skewed
+    hits = join_hot(places, every, ["gram", "pair"], "n", bound).groupBy("doc_id", "item_id")
     hits = hits.agg(
         F.sort_array(F.collect_set(F.struct("place", "pos"))).alias("places"),
         F.max(F.col("pos") < 0).alias("rare"), F.count_distinct("pos").alias("n_pairs"),
