@@ -9,19 +9,30 @@
    is compared with its neighbours in that order, the pages with the nearest
    paths (one before, one after, and a second one each in reserve).  The two block lists are aligned by a longest
    common subsequence, and the blocks in it are shared: they belong to the
-   site and are deleted.  In a marked article a block must be shared by two
-   neighbours.  A neighbour that is a copy (for the article: one that shares most
-   of its blocks) tells nothing, and the next page on its side takes its place;
-   at the ends of a host the article's two are on one side.
+   site and are deleted.  In a marked article that takes more proof: a block must
+   be shared by two neighbours and stand in the articles of most other pages of
+   the host, and headings stay.  A neighbour that is a copy (for the article: one
+   that shares most of its blocks) tells nothing, and the next page on its side
+   takes its place; at the ends of a host the article's two are on one side.
 3. An exact check follows on what the page itself says: blocks inside menus,
    headers, footers, sidebars, notices, adverts, forms, comments, scripts and
    styles are deleted even where no neighbour shares them (menus and adverts
    that differ from page to page), and if the page marks its article, blocks
-   outside it go too.
+   outside it go too.  A header inside the article that holds a heading is part
+   of it.  A name of several parts counts if its last part names furniture
+   (site-header), or its first one and the rest only say where (ad-slot,
+   nav-links), not if they turn its meaning (legal-text, search-result).
 
 Scale: only block hashes travel for the comparison.  The (host, path) order is
-cut into ranges of like size, so a host with a third of all pages is split; the
-four pages at the ends of each range meet their neighbours in a second step.
+cut into ranges of about ``RANGE_PAGES`` pages, so a host with a third of all
+pages is split and the costly comparison has as many tasks as the pages ask
+for; the four pages at the ends of each range look up their neighbours by place
+number (the ranges' sizes, one number per range, are added up on the driver).
+Block counts per host are summed in the tasks first.  The many copies of one
+page get their result where they are.  A page that its neighbours change nothing
+of is finished from its own markup; only the others' decisions are sent to the
+pages, by broadcast within ``BROADCAST_PAGES`` and ``BROADCAST_FLAGS``, else by a
+shuffle of the pages.
 
 Defined results: a NULL or empty html gives an empty text; a NULL url is a host
 of its own with an empty path; pages that share a URL are neighbours by id;
@@ -33,6 +44,7 @@ from __future__ import annotations
 
 import hashlib
 import html as entities
+import math
 import re
 from collections.abc import Iterable, Iterator
 
@@ -41,7 +53,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketlens.llm.common import ready_workers, save
+from ticketlens.llm.common import hot_bound, join_hot, ready_workers, save
+
+RANGE_PAGES = 2000
+BROADCAST_BLOCKS = 500_000  # hosts and their usual blocks, some 10 MB
+BROADCAST_PAGES = 200_000  # decisions that differ from the markup's, some 16 MB
+BROADCAST_FLAGS = 32_000_000  # and the blocks they are about
+TABLE_BITS = 1 << 28  # of an alignment's table, 32 MB
 
 # fixed values: elements of HTML by their part in a page
 BLOCK = frozenset(
@@ -62,12 +80,20 @@ NAMES = frozenset(
     "comments disqus respond reply replies cookie cookies consent notice notices gdpr popup modal newsletter subscribe signup "
     "login search form complementary contentinfo search toolbar pagination pager copyright legal disclaimer skip".split()
 )
+# fixed values: words that only say where in the page a named part stands
+PLACES = frozenset(
+    "area bar block blocks bottom box button buttons center cell column container content group holder icons inner item items "
+    "left link links list main outer panel posts region right row section slot stories top unit units wrap wrapper zone".split()
+)
+HEADER_NAMES = frozenset("header masthead".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ARTICLE_NAMES = frozenset("article main".split())
 TAG = re.compile(
     r"<(?:!--.*?(?:-->|$)|!\[CDATA\[.*?(?:\]\]>|$)|[!?][^>]*(?:>|$)|"
     r"(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$))",
     re.S,
 )
+RAW_END = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 
@@ -79,25 +105,32 @@ CLOSES = {
 KEEP_OPEN = frozenset("ul ol dl table article section div body html main nav aside header footer form select".split())
 
 
-def _named_furniture(element: str, attributes: str) -> bool:
+def _part_named(element: str, attributes: str) -> str:
+    """What an element's class, id or role makes of it: ``furniture``, ``header`` or nothing."""
     if element in ("html", "body", "main"):
-        return False
+        return ""
+    found = ""
     for name, *values in ATTRIBUTE.findall(attributes):
         for value in "".join(values).lower().split():
-            parts = re.split(r"[-_:]+", value)
-            if value in NAMES or parts[0] in NAMES or (len(parts) > 1 and parts[-1] in NAMES):
-                return True
-    return bool(HIDDEN.search(attributes))
+            first, *rest = re.split(r"[-_:]+", value)
+            last = rest[-1] if rest else first
+            if last in HEADER_NAMES:
+                found = "header"
+            elif value in NAMES or last in NAMES or (rest and first in NAMES and PLACES.issuperset(rest)):
+                return "furniture"
+    return "furniture" if HIDDEN.search(attributes) else found
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
     """(kind, text) of every block in page order.
 
-    Kinds: ``article`` (inside an article or main element), ``open`` (outside
-    it), ``furniture``.  White space in a block is one space.
+    Kinds: ``article`` (inside an article or main element), ``heading`` (a
+    heading there), ``open`` (outside it), ``furniture``.  White space in a
+    block is one space.
     """
     out: list[tuple[str, str]] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, in furniture, in article
+    # element, in furniture, in article, first block of a header inside an article or -1
+    stack: list[tuple[str, bool, bool, int]] = []
     held: list[str] = []
 
     def state() -> tuple[bool, bool]:
@@ -108,19 +141,27 @@ def blocks(page: str) -> list[tuple[str, str]]:
         held.clear()
         if text:
             furniture, article = state()
-            out.append(("furniture" if furniture else "article" if article else "open", text))
+            of_article = "heading" if any(x[0] in HEADINGS for x in stack) else "article"
+            out.append(("furniture" if furniture else of_article if article else "open", text))
+
+    def drop(i: int) -> None:
+        """Leave the elements from ``i`` on; a header without a heading turns out to be furniture."""
+        for *_, since in stack[i:]:
+            if since >= 0 and not any(kind == "heading" for kind, _ in out[since:]):
+                out[since:] = [("furniture", text) for _, text in out[since:]]
+        del stack[i:]
 
     def close(name: str) -> None:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
                 if any(x[0] in BLOCK for x in stack[i:]):
                     flush()
-                del stack[i:]
+                drop(i)
                 return
             if stack[i][0] in KEEP_OPEN and name not in KEEP_OPEN:
                 return
 
-    at, lower = 0, page.lower()
+    at = 0
     while at < len(page):
         found = TAG.search(page, at)
         if not found:
@@ -148,15 +189,19 @@ def blocks(page: str) -> list[tuple[str, str]]:
         if name in VOID or found.group(0).endswith("/>") and name not in BLOCK:
             continue
         if name in RAW:
-            end = lower.find(f"</{name}", at)
-            at = len(page) if end < 0 else end
+            end = RAW_END[name].search(page, at)
+            at = end.start() if end else len(page)
         furniture, article = state()
-        furniture = furniture or name in FURNITURE or _named_furniture(name, found.group(3) or "")
+        part = _part_named(name, found.group(3) or "")
+        header = name == "header" or (part == "header" and name in BLOCK)
+        inside = header and article and not furniture and part != "furniture"
+        furniture = furniture or (not inside and (name in FURNITURE or bool(part)))
         role_main = "main" in (x.lower() for _, *v in ATTRIBUTE.findall(found.group(3) or "") for x in v)
-        stack.append((name, furniture, article or name in ARTICLE_NAMES or role_main))
+        stack.append((name, furniture, article or name in ARTICLE_NAMES or role_main, len(out) if inside else -1))
         if name in RAW:
             held.clear()
     flush()
+    drop(0)
     return out
 
 
@@ -166,25 +211,11 @@ def _hashes(found: list[tuple[str, str]]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) for _, text in found], dtype=np.uint64)
 
 
-def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which entries of ``a`` are in the longest common subsequence with ``b``.
+def _grown(x: list[int], y: list[int]) -> tuple[int, list[int]]:
+    """The last bit row of the table of ``x`` by ``y`` and all rows before it.
 
-    Entries that the other list lacks cannot be in it and are left out first;
-    then common beginnings and ends are taken off, and the rest is the
-    textbook table, one bit row of whole numbers per entry.
+    Bit j of a row is 0 where the subsequence grows at y[j].
     """
-    out = np.zeros(len(a), dtype=bool)
-    here, there = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
-    x, y = a[here].tolist(), b[there].tolist()
-    low = 0
-    while low < min(len(x), len(y)) and x[low] == y[low]:
-        low += 1
-    high = 0
-    while high < min(len(x), len(y)) - low and x[-1 - high] == y[-1 - high]:
-        high += 1
-    picked = list(range(low)) + list(range(len(x) - high, len(x)))
-    x, y = x[low : len(x) - high], y[low : len(y) - high]
-    # bit j of a row is 0 where the subsequence grows at y[j]
     places: dict[int, int] = {}
     for j, value in enumerate(y):
         places[value] = places.get(value, 0) | 1 << j
@@ -193,7 +224,32 @@ def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     for value in x:
         match = row & places.get(value, 0)
         row = ((row + match) | (row - match)) & full
-        rows.append(row)
+        if len(x) * len(y) <= TABLE_BITS:
+            rows.append(row)
+    return row, rows
+
+
+def _lengths(x: list[int], y: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``x`` and y[:j], for every j."""
+    row, _ = _grown(x, y)
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(y)]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+def _common(x: list[int], y: list[int]) -> list[int]:
+    """Places in ``x`` of a longest common subsequence with ``y``."""
+    if not x or not y:
+        return []
+    if len(x) * len(y) > TABLE_BITS and len(x) > 1:  # too large a table: halves of x with the best cut of y
+        half = len(x) // 2
+        ahead, behind = _lengths(x[:half], y), _lengths(x[half:][::-1], y[::-1])[::-1]
+        cut = int((ahead + behind).argmax())
+        return _common(x[:half], y[:cut]) + [half + i for i in _common(x[half:], y[cut:])]
+    if len(x) == 1:
+        return [0] if x[0] in y else []
+    _, rows = _grown(x, y)
+    full = (1 << len(y)) - 1
+    picked = []
     i, j = len(x), len(y)
     while i and j:
         grown = full & ~rows[i] & ((1 << j) - 1)
@@ -202,20 +258,53 @@ def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         j = grown.bit_length()  # the last growth point in y[:j]
         while i and not rows[i - 1] >> (j - 1) & 1:  # already there one entry earlier
             i -= 1
-        picked.append(low + i - 1)
+        picked.append(i - 1)
         i, j = i - 1, j - 1
+    return picked
+
+
+def shared_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which entries of ``a`` are in the longest common subsequence with ``b``.
+
+    Entries that the other list lacks cannot be in it and are left out first;
+    then common beginnings and ends are taken off, and the rest is the
+    textbook table, one bit row of whole numbers per entry, in parts of at most
+    ``TABLE_BITS``.
+    """
+    out = np.zeros(len(a), dtype=bool)
+    here, there = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
+    x, y = a[here].tolist(), b[there].tolist()
+    low = 0
+    while low < min(len(x), len(y)) and x[low] == y[low]:
+        low += 1
+    high = 0
+    while high < min(len(x), len(y)) - low and x[-1 - high] == y[-1 - high]:
+        high += 1
+    picked = list(range(low)) + list(range(len(x) - high, len(x)))
+    picked += [low + i for i in _common(x[low : len(x) - high], y[low : len(y) - high])]
     out[here[np.array(picked, dtype=np.int64)]] = True
     return out
 
 
-def kept_blocks(kinds: bytes, own: np.ndarray, before: list[np.ndarray], after: list[np.ndarray]) -> tuple[list[bool], int]:
+def by_markup(kinds: bytes) -> list[bool]:
+    """Which of the blocks that are no furniture stay if no neighbour shares one: the article's, if the page marks it."""
+    visible = kinds.replace(b"f", b"")
+    marked = b"a" in visible or b"h" in visible
+    return [not marked or k in b"ah" for k in visible]
+
+
+def kept_blocks(
+    kinds: bytes, own: np.ndarray, before: list[np.ndarray], after: list[np.ndarray], usual: np.ndarray
+) -> tuple[list[bool], int]:
     """Which of the blocks that are no furniture stay, and how many of them a neighbour shares; nearest neighbours first.
 
+    ``usual`` are the blocks in the articles of most other pages of the host.
     A neighbour that has all of them is a copy of the page and tells nothing;
     one that has more than half of a marked article's blocks tells nothing of it.
     """
     visible = np.frombuffer(kinds, np.uint8) != ord("f")
-    article = np.frombuffer(kinds, np.uint8) == ord("a")
+    heading = np.frombuffer(kinds, np.uint8) == ord("h")
+    article = heading | (np.frombuffer(kinds, np.uint8) == ord("a"))
     sides = [[shared_lines(own, other) for other in side] for side in (before, after)]
     shared = np.zeros(len(own), dtype=bool)
     for side in sides:
@@ -225,10 +314,36 @@ def kept_blocks(kinds: bytes, own: np.ndarray, before: list[np.ndarray], after:
     if article.any():
         told = [[x for x in side if 2 * x[article].sum() <= article.sum()] for side in sides]
         two = told[0][:1] + told[1][:1] if all(told) else told[0] + told[1]
-        deleted = ~article | (two[0] & two[1] if len(two) == 2 else False)
+        proven = two[0] & two[1] & np.isin(own, usual) & ~heading if len(two) == 2 else False
+        deleted = ~article | proven
     return (~deleted[visible]).tolist(), int(shared[visible].sum())
 
 
+def _usual_blocks(pages_once: DataFrame) -> DataFrame:
+    """(host, usual): hashes of the blocks that stand in the articles of most other pages of a host, each page once.
+
+    Each stands on more than half of the host's pages, so a host has at most
+    twice as many of them as its pages have article blocks on average.
+    """
+
+    def article_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hosts, found = [], [np.zeros(0, np.int64)]
+            for host, kinds, hashes in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                own = np.unique(np.frombuffer(hashes, np.int64)[np.frombuffer(kinds, np.uint8) == ord("a")])
+                hosts += [host] * len(own)
+                found.append(own)
+            yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(np.concatenate(found))], ["host", "block"])
+
+    n_pages = pages_once.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where("pages > 2")
+    counts = pages_once.select("host", "kinds", "hashes").mapInArrow(article_blocks, "host string, block long")
+    counts = counts.groupBy("host", "block").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(n_pages, "host")
+    usual = counts.where("2 * (n - 1) > pages - 1").groupBy("host").agg(F.collect_list("block").alias("usual"))
+    usual = save(usual, "pages-usual")
+    n_blocks = usual.agg(F.coalesce(F.sum(F.size("usual")), F.lit(0))).first()[0]
+    return F.broadcast(usual) if n_blocks + usual.count() <= BROADCAST_BLOCKS else usual
+
+
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars, n_shared (blocks outside furniture that a neighbour shares) of every page."""
     spark = pages.sparkSession
@@ -264,39 +379,52 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     # ranges of the (host, path) order; neighbours inside a range, then across the ranges' ends
     key = ["host", "path", "page_id", "key", "key2"]
     first = F.min(F.struct("path", "page_id", "key", "key2", "kinds", "hashes")).alias("first")
-    pages_once = table.groupBy("host", "same").agg(first).select("host", "same", "first.*")
-    ranged = pages_once.repartitionByRange(*key).withColumn("range", F.spark_partition_id())
+    pages_once = table.groupBy("host", "same").agg(first, F.count(F.lit(1)).alias("copies")).select("host", "same", "copies", "first.*")
+    n_rows = table.count()
+    n_ranges = max(1, math.ceil(n_rows / RANGE_PAGES))
+    ranged = pages_once.repartitionByRange(n_ranges, *key).withColumn("range", F.spark_partition_id())
     ranged = save(ranged, "pages-order")
     near = F.struct("host", "hashes")
     inside = Window.partitionBy("range").orderBy(*key)
-    away = {"before": F.lag, "before2": F.lag, "after": F.lead, "after2": F.lead}
-    steps = {c: f(near, 2 if c.endswith("2") else 1) for c, f in away.items()}
-    linked = ranged.withColumns({c: x.over(inside) for c, x in steps.items()})  # not written: four neighbours a page
-    at_end = F.greatest(*[F.col(c).isNull() for c in steps])
-    across = Window.orderBy("range", *key)  # four rows per range
-    ends = linked.where(at_end).withColumns({f"{c}_": F.coalesce(c, x.over(across)) for c, x in steps.items()})
-    ends = ends.drop(*steps).withColumnsRenamed({f"{c}_": c for c in steps})
-    whole = linked.where(~at_end).unionByName(ends)
-    same_host = [F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.hashes")).alias(c) for c in steps]
+    away = {"before": -1, "before2": -2, "after": 1, "after2": 2}
+    steps = {c: F.lag(near, -n) if n < 0 else F.lead(near, n) for c, n in away.items()}
+    # as many tasks as ranges, whatever their bytes; the neighbours are not written, four to a page
+    dealt = ranged.repartition(n_ranges, "range")
+    linked = dealt.withColumns({**{c: x.over(inside) for c, x in steps.items()}, "number": F.row_number().over(inside)})
+    at_end = F.greatest(*[F.col(c).isNull() for c in away])
+    # pages at the ends of ranges find theirs by place in the whole order: four rows per range, dealt by place
+    sizes = sorted((r["range"], r["count"]) for r in ranged.groupBy("range").count().collect())  # one number per range
+    before = np.concatenate([[0], np.cumsum([n for _, n in sizes])])[:-1].tolist() if sizes else []
+    offsets = spark.createDataFrame([(r, n) for (r, _), n in zip(sizes, before)], "range int, offset long")
+    ends = linked.where(at_end).join(F.broadcast(offsets), "range").withColumn("place", F.col("offset") + F.col("number")).drop("offset")
+    ends = save(ends, "pages-ends")
+    for c, n in away.items():
+        other = ends.select((F.col("place") - n).alias("place"), near.alias("found"))
+        ends = ends.join(other, "place", "left").withColumn(c, F.coalesce(c, "found")).drop("found")
+    whole = linked.where(~at_end).unionByName(ends.drop("place"))
+    whole = whole.join(_usual_blocks(ranged), "host", "left")
+    same_host = [F.when(F.col(f"{c}.host") == F.col("host"), F.col(f"{c}.hashes")).alias(c) for c in away]
 
     def difference(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, n_shared = [], []
-            for kinds, own, *others in zip(*[batch.column(i).to_pylist() for i in range(2, 8)]):
+            keep, n_shared, plain = [], [], []
+            for kinds, own, *others, usual in zip(*[batch.column(i).to_pylist() for i in range(3, 10)]):
                 sides = [[np.frombuffer(x, np.uint64) for x in side if x is not None] for side in (others[:2], others[2:])]
-                kept, n = kept_blocks(kinds, np.frombuffer(own, np.uint64), *sides)
+                usual = np.array(usual or [], dtype=np.int64).view(np.uint64)
+                kept, n = kept_blocks(kinds, np.frombuffer(own, np.uint64), *sides, usual)
                 keep.append(kept)
                 n_shared.append(n)
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(keep, pa.list_(pa.bool_())), pa.array(n_shared, pa.int64())],
-                ["host", "same", "keep", "n_shared"],
-            )
+                plain.append(n == 0 and kept == by_markup(kinds))
+            out = [*[batch.column(i) for i in range(3)], pa.array(keep, pa.list_(pa.bool_())), pa.array(n_shared, pa.int64())]
+            yield pa.record_batch(out, ["host", "same", "copies", "keep", "n_shared"]).filter(pa.array([not x for x in plain], pa.bool_()))
 
     def assemble(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             for page, keep in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                visible = [t for k, t in blocks(page or "") if k != "furniture"]
+                found = blocks(page or "")
+                visible = [t for k, t in found if k != "furniture"]
+                keep = by_markup("".join(k[0] for k, _ in found).encode()) if keep is None else keep
                 texts.append("\n".join([t for t, stays in zip(visible, keep, strict=True) if stays]))
             n_chars = pa.array([len(t) for t in texts], pa.int64())
             yield pa.record_batch(
@@ -304,9 +432,13 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 ["page_id", "url", "text", "n_chars", "n_shared"],
             )
 
-    decided = whole.select("host", "same", "kinds", "hashes", *same_host)
-    decided = decided.mapInArrow(difference, "host string, same binary, keep array<boolean>, n_shared long")
-    decided = table.select("key", "key2", "host", "same").join(decided, ["host", "same"])
+    decided = whole.select("host", "same", "copies", "kinds", "hashes", *same_host, "usual")
+    decided = save(decided.mapInArrow(difference, "host string, same binary, copies long, keep array<boolean>, n_shared long"), "pages-decided")
+    decided = join_hot(table.select("key", "key2", "host", "same"), decided, ["host", "same"], "copies", hot_bound(n_rows))
     decided = decided.groupBy("key", "key2").agg(F.min(F.struct("keep", "n_shared")).alias("d"))
-    joined = given.join(decided, ["key", "key2"]).select("page_id", "url", "html", "d.keep", "d.n_shared")
+    decided = save(decided.select("key", "key2", "d.keep", "d.n_shared"), "pages-changed")
+    n_changed, n_flags = decided.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("keep")), F.lit(0))).first()
+    few = n_changed <= BROADCAST_PAGES and n_flags <= BROADCAST_FLAGS
+    joined = given.join(F.broadcast(decided) if few else decided, ["key", "key2"], "left")
+    joined = joined.select("page_id", "url", "html", "keep", F.coalesce("n_shared", F.lit(0)).alias("n_shared"))
     return joined.mapInArrow(assemble, "page_id long, url string, text string, n_chars long, n_shared long")
