@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import tempfile
 from collections.abc import Iterable
 
@@ -78,6 +79,33 @@ def input_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
     return int(sizes.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
 
 
+def size_shuffles(
+    spark: SparkSession,
+    input_bytes: int,
+    start_partition_bytes: int = 4 * MB,
+    reduce_partition_bytes: int = 8 * MB,
+) -> SparkSession:
+    """Bound what one task of a join or dedupe over stored tables holds.
+
+    A task of the whole-row dedupe keeps its rows sorted for the join and in
+    two hash tables: measured, up to 28 times the bytes it fetches.  AQE joins
+    small partitions but splits none below an aggregate, so the count it
+    starts from follows the input (one per ``start_partition_bytes`` of
+    Parquet), and none is joined to more than ``reduce_partition_bytes``.  A
+    caller's larger count or smaller size stays.
+    """
+    def known(key: str) -> str:
+        return spark.conf.get(key, None) or "0"
+
+    start, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    asked = max(int(known(start)), int(known("spark.sql.shuffle.partitions")))
+    spark.conf.set(start, str(max(asked, math.ceil(input_bytes / start_partition_bytes))))
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", known(size).strip().lower()).groups()
+    given = int(number) * 1024 ** " kmgtp".index(unit or " ")
+    spark.conf.set(size, str(min(given or reduce_partition_bytes, reduce_partition_bytes)))
+    return spark
+
+
 def isolated(spark: SparkSession) -> SparkSession:
     """A session of its own on the same context, with the caller's SQL
     settings and the library's defaults on top; the caller's stay as they are."""
