@@ -54,3 +54,10 @@ def test_dedupe_starts_from_more_partitions_on_a_larger_input(spark, tmp_dir, mo
     assert int(out.sparkSession.conf.get(START)) >= 512 and int(out.sparkSession.conf.get(SIZE)) <= 8 * MB
     assert spark.conf.get(START, None) == before
     assert len(rows(out)) == len(set(rows(out))) == 80
+
+
+def test_duplicate_report_starts_from_more_partitions_on_a_larger_input(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(entry_mod, "input_bytes", lambda session, paths: 2048 * MB, raising=False)
+    out = entry_mod.queries()["duplicate_report"](spark, make_tables(spark, tmp_dir))
+    assert int(out.sparkSession.conf.get(START)) >= 512 and int(out.sparkSession.conf.get(SIZE)) <= 8 * MB
+    assert [tuple(r) for r in out.collect()] == [(120, 80, 40)]
