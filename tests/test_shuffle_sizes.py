@@ -61,3 +61,21 @@ def test_duplicate_report_starts_from_more_partitions_on_a_larger_input(spark, t
     out = entry_mod.queries()["duplicate_report"](spark, make_tables(spark, tmp_dir))
     assert int(out.sparkSession.conf.get(START)) >= 512 and int(out.sparkSession.conf.get(SIZE)) <= 8 * MB
     assert [tuple(r) for r in out.collect()] == [(120, 80, 40)]
+
+
+def test_rebalanced_write_neither_sorts_nor_fetches_much_in_a_task(spark, tmp_dir, monkeypatch):
+    """Before, a task fetched up to 256 MB, in the joins before the write too, and sorted all of it by the year."""
+    from pyspark.sql import DataFrameWriter
+    from pyspark.sql import functions as F
+
+    from ticketlens.sources.sink import read_clean, write_clean
+
+    seen, write, writers = [], DataFrameWriter.parquet, "spark.sql.maxConcurrentOutputFileWriters"
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path: (seen.append((spark.conf.get(SIZE), spark.conf.get(writers))), write(self, path))[1])
+    # more years than files kept open: the rest is sorted, no row is lost; a NULL year is a year
+    df = spark.range(0, 4000, 1, 3).select("id", F.expr("nullif(1900 + id % 40, 1907)").cast("int").alias("fiscal_year"))
+    before = spark.conf.get(SIZE), spark.conf.get(writers)
+    path = write_clean(df, os.path.join(tmp_dir, "clean"))
+    assert int(seen[0][0]) <= 64 * MB and int(seen[0][1]) > 1
+    assert (spark.conf.get(SIZE), spark.conf.get(writers)) == before
+    assert rows(read_clean(spark, path), "id", "fiscal_year") == rows(df)

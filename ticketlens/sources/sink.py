@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager, nullcontext
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,13 @@ from pyspark.sql import functions as F
 from ticketlens.session import MB, ensure_checkpoint_dir
 
 
-TARGET_FILE_BYTES = 256 * MB
+# Shuffled bytes of one writing task (the Parquet file is several times
+# smaller).  AQE joins the partitions of the joins before the write up to this
+# size too, so it also bounds what a task of those holds.
+TARGET_FILE_BYTES = 64 * MB
+# Files a writing task keeps open, one per partition value, before it falls
+# back to sorting its rows.
+OPEN_FILES = 16
 
 
 @contextmanager
@@ -54,11 +60,17 @@ def write_clean(
     unequal the years are.  ``target_bytes=None`` leaves the shuffle out (each
     task then writes one file per year it holds), for scratch tables; so does
     a session without AQE, where rebalancing would put a year into one task.
+
+    A rebalanced task holds few partition values, so it writes their files side
+    by side instead of sorting all its rows by them first.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     spark = df.sparkSession
     rebalance = bool(cols and target_bytes) and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
-    with _setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes)) if rebalance else nullcontext():
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes, "spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}
+    with ExitStack() as held:
+        for key, value in settings.items() if rebalance else ():
+            held.enter_context(_setting(spark, key, str(value)))
         writer = (df.hint("rebalance", *cols) if rebalance else df).write.mode(mode)
         if max_records_per_file:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
