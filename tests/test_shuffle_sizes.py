@@ -79,3 +79,18 @@ def test_rebalanced_write_neither_sorts_nor_fetches_much_in_a_task(spark, tmp_di
     assert int(seen[0][0]) <= 64 * MB and int(seen[0][1]) > 1
     assert (spark.conf.get(SIZE), spark.conf.get(writers)) == before
     assert rows(read_clean(spark, path), "id", "fiscal_year") == rows(df)
+
+
+def test_cleaned_years_are_written_without_another_shuffle(spark, tmp_dir, monkeypatch):
+    """Every task of a deduped yearly frame holds one year; before, all cleaned rows were shuffled again."""
+    from test_sources import make_files
+    from ticketlens.plans.report import clean_files
+
+    frame, hints = type(spark.range(1)), []
+    hint = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, name, *args: (hints.append(name), hint(self, name, *args))[1])
+    t = clean_files(spark, make_files(tmp_dir), os.path.join(tmp_dir, "clean"), {2017: "detect"})
+    assert "rebalance" not in hints
+    assert rows(t, "fiscal_year", "summons_number") == [(2015, 1), (2015, 2), (2017, 10), (2017, 11)]
+    folder = os.path.join(tmp_dir, "clean", "fiscal_year=2015")
+    assert sum(f.endswith(".parquet") for f in os.listdir(folder)) <= spark.sparkContext.defaultParallelism

@@ -162,6 +162,12 @@ def _scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{kind}-{uuid.uuid4().hex[:12]}")
 
 
+def _write_raw(df: DataFrame, path: str) -> None:
+    """Raw CSV part files with a header row, gzipped; a part is read by one task, so its rows are bounded."""
+    df.write.option("header", "true").option("compression", "gzip").option("maxRecordsPerFile", RAW_FILE_ROWS).csv(path)
+
+
+RAW_FILE_ROWS = 500_000
 # Ticket columns written into the raw CSV layouts by ``csv_scan``; every other
 # column is filled from the summons number by a rule.
 CSV_COLUMNS = (
@@ -240,7 +246,7 @@ def _whole_script(spark: SparkSession, sf: str) -> DataFrame:
         twice = F.explode(F.array_repeat(F.lit(1), F.when(number % 10 == 0, 2).otherwise(1)))
         fields = layout if year != SCRIPT_YEARS[-1] else layout[:SHORT_LAYOUT][::-1]
         paths[year] = _scratch_path(spark, f"script-{year}")
-        rows.select("*", twice.alias("_copy")).select(*fields).write.option("header", "true").csv(paths[year])
+        _write_raw(rows.select("*", twice.alias("_copy")).select(*fields), paths[year])
     clean_table = clean_files(spark, paths, _scratch_path(spark, "script-clean"), dict.fromkeys(paths, "uniform"))
     fines, n_fines = mapping_fines(spark)
     answers = case_study(clean_table, fines=fines, fines_rows=n_fines, years=SCRIPT_YEARS, shared_scan=True)

@@ -49,7 +49,7 @@ def clean_files(
         return pad_columns(cast_columns(df), names)
 
     cleaned = combine_years({year: clean_year(df, year, keep=names, cast=typed) for year, df in raw.items()})
-    write_clean(cleaned, out_path, "fiscal_year")
+    write_clean(cleaned, out_path, "fiscal_year", parted=True)
     return read_clean(spark, out_path)
 
 

@@ -50,6 +50,7 @@ def write_clean(
     mode: str = "overwrite",
     max_records_per_file: int | None = 5_000_000,
     target_bytes: int | None = TARGET_FILE_BYTES,
+    parted: bool = False,
 ) -> str:
     """Write ``df`` as Parquet at ``path`` and return the path.
 
@@ -62,14 +63,17 @@ def write_clean(
     a session without AQE, where rebalancing would put a year into one task.
 
     A rebalanced task holds few partition values, so it writes their files side
-    by side instead of sorting all its rows by them first.
+    by side instead of sorting all its rows by them first.  ``parted`` says that
+    every task of ``df`` holds one partition value already, after a shuffle that
+    AQE sizes (yearly frames deduped one by one): the rows are not shuffled again.
     """
     cols = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     spark = df.sparkSession
-    rebalance = bool(cols and target_bytes) and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    rebalance = bool(cols and target_bytes) and not parted and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true"
+    sized = rebalance or (parted and bool(cols and target_bytes))
     settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": target_bytes, "spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}
     with ExitStack() as held:
-        for key, value in settings.items() if rebalance else ():
+        for key, value in settings.items() if sized else ():
             held.enter_context(_setting(spark, key, str(value)))
         writer = (df.hint("rebalance", *cols) if rebalance else df).write.mode(mode)
         if max_records_per_file:
