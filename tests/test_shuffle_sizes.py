@@ -94,3 +94,21 @@ def test_cleaned_years_are_written_without_another_shuffle(spark, tmp_dir, monke
     assert rows(t, "fiscal_year", "summons_number") == [(2015, 1), (2015, 2), (2017, 10), (2017, 11)]
     folder = os.path.join(tmp_dir, "clean", "fiscal_year=2015")
     assert sum(f.endswith(".parquet") for f in os.listdir(folder)) <= spark.sparkContext.defaultParallelism
+
+
+def test_raw_files_of_csv_scan_are_compressed_and_bounded(spark, tmp_dir, monkeypatch):
+    import gzip
+
+    from ticketlens.plans import catalog
+
+    paths, scratch = [], os.path.join(tmp_dir, "scratch")
+    monkeypatch.setattr(catalog, "_scratch_path", lambda session, kind: paths.append(kind) or os.path.join(scratch, kind))
+    monkeypatch.setattr(catalog, "RAW_FILE_ROWS", 7, raising=False)
+    out = catalog.QUERIES["csv_scan"](spark, make_tables(spark, os.path.join(tmp_dir, "tables")))
+    files = [os.path.join(d, f) for d, _, names in os.walk(scratch) for f in names if ".csv" in f and not f.startswith(".")]
+    assert paths == ["csv"] and files and all(f.endswith(".csv.gz") for f in files)
+    sizes = [len(gzip.open(f, "rt").read().splitlines()) - 1 for f in files]
+    assert sum(sizes) == 120 and max(sizes) <= 7
+    assert rows(out, "summons_number") == sorted(((10 * i + n,) for i in range(40) for n in range(3)), key=repr)
+    # years of the short layout lack the last columns
+    assert all((r["nta"] is None) == (r["_year"] % 2 == 1) for r in out.selectExpr("nta", "year(add_months(to_date(issue_date, 'MM/dd/yyyy'), 6)) AS _year").collect())

@@ -195,9 +195,9 @@ def _csv_scan(spark: SparkSession, sf: str) -> DataFrame:
 
     full = [field(i, name) for i, (name, _) in enumerate(RAW_COLUMNS)]
     path = _scratch_path(spark, "csv")
-    t.where(F.col("fiscal_year") % 2 == 0).select(*full).write.option("header", "true").csv(f"{path}/even")
+    _write_raw(t.where(F.col("fiscal_year") % 2 == 0).select(*full), f"{path}/even")
     short = full[:SHORT_LAYOUT][::-1]
-    t.where(F.col("fiscal_year") % 2 == 1).select(*short).write.option("header", "true").csv(f"{path}/odd")
+    _write_raw(t.where(F.col("fiscal_year") % 2 == 1).select(*short), f"{path}/odd")
     return read_year(spark, [f"{path}/even", f"{path}/odd"]).select(*[snake_case(name) for name, _ in RAW_COLUMNS])
 
 
